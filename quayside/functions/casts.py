@@ -44,7 +44,12 @@ def parse_field(rule: dict[str, Any]) -> StructField:
             "nullable": rule.get("nullable", True), "metadata": rule.get("metadata") or {}}
     try:
         return StructField.fromJson(data)
-    except Exception as exc:  # unparseable type text
+    except Exception as exc:
+        if not isinstance(rule["type"], str):
+            raise ContractError(f"bad type for field {rule['name']!r}: {rule['type']!r}") from exc
+    try:  # DDL spelling ("int", "map<string,int>") as a fallback to the JSON type names
+        return StructField(data["name"], DataType.fromDDL(rule["type"]), data["nullable"], data["metadata"])
+    except Exception as exc:
         raise ContractError(f"bad type for field {rule['name']!r}: {rule['type']!r}") from exc
 
 

@@ -56,8 +56,6 @@ def upsert(target: DataFrame, updates: DataFrame, key: str = "id", order: str =
     if dedupe:
         u = latest_per_key(u, [key], [order], tiebreak)
     k = col(key)
-    if on_null_key == "fail":
-        u = u.where(F.when(k.isNull(), F.raise_error(F.lit(f"null {key} in updates"))).otherwise(F.lit(True)))
 
     left = t.where(k.isNotNull()).select(k.alias("__k"), F.struct(*[col(c) for c in names]).alias("__o"))
     right = u.where(k.isNotNull()).select(k.alias("__k"), F.struct(*[col(c) for c in names]).alias("__u"))
@@ -68,4 +66,9 @@ def upsert(target: DataFrame, updates: DataFrame, key: str = "id", order: str =
               .select(*[F.col("__r").getField(c).alias(c) for c in names]))
     if on_null_key == "keep":
         merged = merged.unionByName(t.where(k.isNull())).unionByName(u.where(k.isNull()))
+    elif on_null_key == "fail":
+        # Any null-key update row makes the job fail when the result is computed.
+        boom = F.raise_error(F.lit(f"null {key} in updates"))
+        merged = merged.unionByName(u.where(k.isNull()).select(
+            *[boom.cast(f.dataType).alias(f.name) for f in schema.fields]))
     return merged

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.types import StructType
 
 from quayside.errors import NoNewData, Outcome, RunResult
@@ -20,15 +20,21 @@ from quayside.operators.lineage import SOURCE_PATH, add_lineage
 from quayside.operators.project import all_as_text
 from quayside.session import configure
 from quayside.sinks.history import HistoryTable
-from quayside.sources.json_feed import read_envelopes
+from quayside.sources.json_feed import corrupt_count, corrupt_documents, read_envelopes
 from quayside.sources.landing import LandingFeed, window_dates_for
 
 
 def history_frame(spark: SparkSession, paths: Sequence[str], envelope: str = "Data", *,
                   schema: StructType | None = None, recursive: bool = False,
-                  as_text: bool = False) -> DataFrame:
-    """Lazy history rows for the given folders: flatten, nested -> JSON text, lineage."""
+                  as_text: bool = False, observation: Observation | None = None) -> DataFrame:
+    """Lazy history rows for the given folders: flatten, nested -> JSON text, lineage.
+
+    With ``observation`` the number of corrupt documents is observed on the
+    same scan (reported once the rows are written).
+    """
     raw = read_envelopes(spark, paths, schema=schema, recursive=recursive)
+    if observation is not None:
+        raw = raw.observe(observation, corrupt_count(raw))
     rows = add_lineage(nested_to_json(flatten_envelope(raw, envelope, carry=[SOURCE_PATH])))
     return all_as_text(rows) if as_text else rows
 
@@ -43,7 +49,12 @@ def ingest_history(spark: SparkSession, feed: LandingFeed, history: HistoryTable
         folders = feed.date_folders(spark, dates, starting_from)
         if not folders:
             raise NoNewData(f"no delivery folder for {dates}")
-        rows = history_frame(spark, folders, envelope, schema=schema, as_text=as_text)
+        scanned = Observation("landing_scan")
+        try:
+            rows = history_frame(spark, folders, envelope, schema=schema, as_text=as_text, observation=scanned)
+        except NoNewData as exc:
+            corrupt = corrupt_documents(spark, folders).count()
+            return RunResult(Outcome.NO_NEW_DATA, str(exc), {"folders": len(folders), "corrupt_documents": corrupt})
         window = window_dates_for(dates, starting_from)
         if window is None:
             metrics = history.replace_all(rows, max_records_per_file=max_records_per_file,
@@ -54,4 +65,5 @@ def ingest_history(spark: SparkSession, feed: LandingFeed, history: HistoryTable
     except NoNewData as exc:
         return RunResult(Outcome.NO_NEW_DATA, str(exc))
     metrics["folders"] = len(folders)
+    metrics["corrupt_documents"] = scanned.get["corrupt_documents"]
     return RunResult(Outcome.SUCCESS, "", metrics)

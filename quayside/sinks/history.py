@@ -21,6 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.errors import NoNewData
 from quayside.functions.dates import in_dates, to_date_values
 from quayside.functions.names import col
 from quayside.operators.lineage import INGESTION_DATE
@@ -38,7 +39,12 @@ class HistoryTable:
 
     # -- S6 --------------------------------------------------------------------
     def read(self, spark: SparkSession, dates: Iterable[str] | None = None) -> DataFrame:
-        """All history (default), or only ``dates`` (yyyyMMdd) with partition pruning."""
+        """All history (default), or only ``dates`` (yyyyMMdd) with partition pruning.
+
+        Raises :class:`NoNewData` when the table holds no partition at all.
+        """
+        if not self.exists(spark):
+            raise NoNewData(f"history table {self.path} is empty")
         df = spark.read.option("mergeSchema", True).parquet(self.path)
         if dates is not None:
             df = df.where(in_dates(self.partition_column, dates))

@@ -63,8 +63,24 @@ def envelope_records_type(df: DataFrame, field: str) -> StructType | None:
     return None
 
 
-def corrupt_documents(df: DataFrame, corrupt_column: str = CORRUPT_COLUMN) -> DataFrame:
-    """Documents that did not parse (path + raw text); empty when none were seen."""
+def corrupt_documents(spark: SparkSession, paths: Sequence[str], *, recursive: bool = False) -> DataFrame:
+    """Files that are not empty yet do not parse as JSON: ``source_path`` and the raw text.
+
+    Reads each file whole as text (a raw JSON scan cannot be queried for its
+    corrupt-record column alone). Within an ingest the count is observed on
+    the ingest job instead, without this extra read.
+    """
+    reader = spark.read
+    if recursive:
+        reader = reader.option("recursiveFileLookup", True)
+    text = reader.text(list(paths), wholetext=True)
+    bad = (F.length(F.trim(F.col("value"))) > 0) & F.try_parse_json(F.col("value")).isNull()
+    return text.where(bad).select(F.col("_metadata.file_path").alias(SOURCE_PATH),
+                                  F.col("value").alias(CORRUPT_COLUMN))
+
+
+def corrupt_count(df: DataFrame, corrupt_column: str = CORRUPT_COLUMN):
+    """Aggregate counting corrupt documents of a raw scan (for ``observe``)."""
     if corrupt_column not in df.columns:
-        return df.sparkSession.createDataFrame([], f"{SOURCE_PATH} string, {corrupt_column} string")
-    return df.where(F.col(corrupt_column).isNotNull()).select(SOURCE_PATH, corrupt_column)
+        return F.lit(0).cast("long").alias("corrupt_documents")
+    return F.count_if(F.col(corrupt_column).isNotNull()).alias("corrupt_documents")

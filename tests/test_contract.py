@@ -1,0 +1,192 @@
+"""Contract projection (P7-P14) on the FIXTURES.md §D contract and value fixtures."""
+
+import datetime as dt
+import decimal
+
+import pytest
+
+from quayside.errors import ContractError
+from quayside.functions.casts import field_column
+from quayside.operators.project import all_as_text, apply_contract, conform_to_schema, select_columns
+from quayside.plans.contract import Contract
+from quayside.plans.current_state import current_frame
+
+CONTRACT = {"origin_conf": {"type": "struct", "fields": [
+    {"name": "id", "type": "string", "nullable": True, "metadata": {}},
+    {"name": "amount", "type": "string", "nullable": True, "metadata": {}},
+    {"name": "created", "type": "string", "nullable": True, "metadata": {}},
+    {"name": "zone", "type": "string", "nullable": True, "metadata": {}},
+    {"name": "day", "type": "string", "nullable": True, "metadata": {}},
+    {"name": "site", "nullable": True, "metadata": {}, "type": {"type": "struct", "fields": [
+        {"name": "code", "type": "integer", "nullable": True, "metadata": {}},
+        {"name": "absent", "type": "string", "nullable": True, "metadata": {}}]}},
+    {"name": "missing", "type": "double", "nullable": True, "metadata": {}}]},
+    "fields": [
+        {"name": "id", "source_name": "id", "type": "long", "nullable": True, "metadata": {}},
+        {"name": "amount_eur", "source_name": "amount", "type": "decimal(12,2)", "nullable": True, "metadata": {}},
+        {"name": "label", "expression": "concat(id, '-', zone)", "type": "string", "nullable": True, "metadata": {}},
+        {"name": "created_utc", "source_name": "created", "type": "timestamp", "nullable": True,
+         "metadata": {"timestamp_definition": {"source_format": {"type": "string"},
+                                               "timezone": {"type": "field", "value": "zone"}}}},
+        {"name": "created_paris_utc", "source_name": "created", "type": "timestamp", "nullable": True,
+         "metadata": {"timestamp_definition": {"source_format": {"type": "string"},
+                                               "timezone": {"type": "literal", "value": "Europe/Paris"}}}},
+        {"name": "day", "source_name": "day", "type": "date", "nullable": True,
+         "metadata": {"date_definition": {"source_format": {"type": "string", "date_format": "dd/MM/yyyy"}}}}]}
+
+HISTORY_SCHEMA = "id string, amount string, created string, zone string, day string, site string, extra string, " \
+                 "ingestion_date date"
+
+
+def history_rows(spark):
+    return spark.createDataFrame([
+        ("1", "1.50", "2024-07-01 12:00:00", "Europe/Paris", "01/07/2024", '{"code":"7","name":"A"}', "x",
+         dt.date(2024, 7, 1)),
+        ("2", "abc", "2024-07-01 12:00:00", "America/New_York", "31/12/2024", None, None, dt.date(2024, 7, 2)),
+    ], HISTORY_SCHEMA)
+
+
+def test_contract_output_schema_and_values(spark):
+    contract = Contract.from_dict(CONTRACT)
+    out = current_frame(history_rows(spark), contract)
+    assert [(f.name, f.dataType.simpleString()) for f in out.schema.fields] == [
+        ("id", "bigint"), ("amount_eur", "decimal(12,2)"), ("label", "string"), ("created_utc", "timestamp"),
+        ("created_paris_utc", "timestamp"), ("day", "date"), ("ingestion_date", "date"),
+        ("processing_time", "timestamp")]
+    got = {r.id: r for r in out.collect()}
+    assert got[1].amount_eur == decimal.Decimal("1.50")
+    assert got[1].label == "1-Europe/Paris"
+    assert got[1].created_utc == dt.datetime(2024, 7, 1, 10, 0)  # CEST = UTC+2
+    assert got[2].created_utc == dt.datetime(2024, 7, 1, 16, 0)  # EDT = UTC-4
+    assert got[2].created_paris_utc == dt.datetime(2024, 7, 1, 10, 0)
+    assert got[1].day == dt.date(2024, 7, 1) and got[2].day == dt.date(2024, 12, 31)
+    assert got[2].amount_eur is None  # 'abc' -> null (lenient cast)
+    assert len({r.processing_time for r in out.collect()}) == 1
+
+
+def test_conform_keeps_declared_columns_and_types_nested(spark):
+    contract = Contract.from_dict(CONTRACT)
+    out = conform_to_schema(history_rows(spark), contract.origin_schema)
+    assert out.columns == ["id", "amount", "created", "zone", "day", "site", "missing", "ingestion_date"]
+    assert out.schema["site"].dataType.simpleString() == "struct<code:int,absent:string>"
+    assert out.schema["missing"].dataType.simpleString() == "double"
+    rows = {r.id: r for r in out.collect()}
+    assert rows["1"].site.code == 7 and rows["1"].site.absent is None
+    assert rows["2"].site is None and rows["2"].missing is None
+
+
+def test_conform_from_nested_value_and_array_of_structs(spark):
+    from pyspark.sql.types import StructType
+    df = spark.createDataFrame([({"code": "12", "name": "n"}, [{"q": "1"}, {"q": "x"}], dt.date(2024, 1, 1))],
+                               "site struct<code:string,name:string>, lines array<struct<q:string>>, "
+                               "ingestion_date date")
+    schema = StructType.fromJson({"type": "struct", "fields": [
+        {"name": "site", "nullable": True, "metadata": {}, "type": {"type": "struct", "fields": [
+            {"name": "code", "type": "integer", "nullable": True, "metadata": {}}]}},
+        {"name": "lines", "nullable": True, "metadata": {}, "type": {"type": "array", "containsNull": True,
+         "elementType": {"type": "struct", "fields": [{"name": "q", "type": "long", "nullable": True, "metadata": {}},
+                                                      {"name": "r", "type": "string", "nullable": True,
+                                                       "metadata": {}}]}}}]})
+    r = conform_to_schema(df, schema).first()
+    assert r.site.code == 12
+    assert [(x.q, x.r) for x in r.lines] == [(1, None), (None, None)]
+
+
+def test_case_variant_resolves_case_insensitively(spark):
+    contract = Contract.from_dict(CONTRACT)
+    df = spark.createDataFrame([("5", dt.date(2024, 1, 1))], "ID string, ingestion_date date")
+    assert conform_to_schema(df, contract.origin_schema).first().id == "5"
+
+
+@pytest.mark.parametrize("text,dtype,expected", [
+    ("abc", "int", None), ("1.5", "int", None), (" 7 ", "int", 7),
+    ("1.239", "decimal(5,2)", decimal.Decimal("1.24")), ("12345.678", "decimal(5,2)", None),
+    ("yes", "boolean", True), ("maybe", "boolean", None), ("1e3", "double", 1000.0)])
+def test_lenient_value_casts(spark, text, dtype, expected):
+    df = spark.createDataFrame([(text,)], "v string")
+    rule = {"name": "out", "source_name": "v", "type": dtype}
+    assert df.select(field_column(rule, df.schema)).first().out == expected
+
+
+def test_strict_casts_fail_the_job(spark):
+    df = spark.createDataFrame([("abc",)], "v string")
+    rule = {"name": "out", "source_name": "v", "type": "int"}
+    with pytest.raises(Exception):
+        df.select(field_column(rule, df.schema, strict=True)).collect()
+
+
+def test_date_pattern_mismatch_is_null(spark):
+    df = spark.createDataFrame([("31/12/2024",)], "v string")
+    rule = {"name": "d", "source_name": "v", "type": "date",
+            "metadata": {"date_definition": {"source_format": {"type": "string", "date_format": "yyyy-MM-dd"}}}}
+    assert df.select(field_column(rule, df.schema)).first().d is None
+
+
+def _ts(zone):
+    return {"name": "t", "source_name": "v", "type": "timestamp",
+            "metadata": {"timestamp_definition": {"source_format": {"type": "string"}, "timezone": zone}}}
+
+
+@pytest.mark.parametrize("text,expected", [
+    ("2024-03-31 02:30:00", dt.datetime(2024, 3, 31, 1, 30)),   # DST gap
+    ("2024-10-27 02:30:00", dt.datetime(2024, 10, 27, 0, 30)),  # overlap -> earlier offset
+    ("2024-07-01 12:00:00Z", dt.datetime(2024, 7, 1, 10, 0)),   # zone in text honoured, then shifted again
+    ("not a time", None)])
+def test_timestamp_zone_edges(spark, text, expected):
+    df = spark.createDataFrame([(text,)], "v string")
+    assert df.select(field_column(_ts({"type": "literal", "value": "Europe/Paris"}), df.schema)).first().t == expected
+
+
+def test_null_zone_column_gives_null(spark):
+    df = spark.createDataFrame([("2024-07-01 12:00:00", None)], "v string, z string")
+    assert df.select(field_column(_ts({"type": "field", "value": "z"}), df.schema)).first().t is None
+
+
+@pytest.mark.parametrize("rule", [
+    _ts({"type": "literal", "value": "Mars/Olympus"}),
+    _ts({"type": "column", "value": "z"}),
+    {"name": "t", "source_name": "v", "type": "timestamp",
+     "metadata": {"timestamp_definition": {"source_format": {"type": "epoch"}, "timezone": {"type": "literal",
+                                                                                            "value": "UTC"}}}},
+    {"name": "d", "source_name": "v", "type": "date",
+     "metadata": {"date_definition": {"source_format": {"type": "epoch"}}}},
+    {"name": "m", "source_name": "v", "type": "map<string,string>"},
+    {"name": "n", "source_name": "v", "type": "timestamp_ntz"},
+    {"name": "c", "source_name": "v", "type": "varchar(3)"},
+    {"name": "x", "source_name": "nope", "type": "int"},
+])
+def test_invalid_rules_rejected_before_any_job(spark, rule):
+    df = spark.createDataFrame([("a",)], "v string")
+    with pytest.raises(ContractError):
+        field_column(rule, df.schema)
+
+
+def test_expression_allows_otherwise_unsupported_type(spark):
+    df = spark.createDataFrame([("a",)], "v string")
+    rule = {"name": "m", "expression": "map('k', v)", "type": "map<string,string>"}
+    assert df.select(field_column(rule, df.schema)).first().m == {"k": "a"}
+
+
+def test_contract_validation_on_load():
+    with pytest.raises(ContractError):
+        Contract.from_dict({"origin_conf": {"type": "struct", "fields": []}})
+    with pytest.raises(ContractError):
+        Contract.from_dict({"origin_conf": {"type": "struct", "fields": []},
+                            "fields": [{"name": "x", "type": "not_a_type"}]})
+    c = Contract.from_json('{"origin_conf": {"type": "struct", "fields": [{"name": "a", "type": "string"}]},'
+                           ' "fields": [{"name": "a", "source_name": "a", "type": "int"}]}')
+    assert c.target_schema().simpleString() == "struct<a:int>"
+
+
+def test_select_columns_and_all_as_text(spark):
+    df = spark.createDataFrame([(1, dt.date(2024, 1, 1))], "a int, ingestion_date date")
+    out = select_columns(df, ["a", "b"])
+    assert out.schema.simpleString() == "struct<a:int,b:string>"
+    txt = all_as_text(df)
+    assert txt.schema.simpleString() == "struct<a:string,ingestion_date:date>"
+
+
+def test_apply_contract_strict_expression(spark):
+    df = spark.createDataFrame([("1", dt.date(2024, 1, 1))], "v string, ingestion_date date")
+    out = apply_contract(df, [{"name": "w", "expression": "v || '0'", "type": "int"}])
+    assert out.first().w == 10 and out.columns == ["w", "ingestion_date"]

@@ -32,7 +32,7 @@ def history_frame(spark: SparkSession, paths: Sequence[str], envelope: str = "Da
     With ``observation`` the number of corrupt documents is observed on the
     same scan (reported once the rows are written).
     """
-    raw = read_envelopes(spark, paths, schema=schema, recursive=recursive)
+    raw = read_envelopes(spark, paths, schema=schema, recursive=recursive, envelope=envelope)
     if observation is not None:
         raw = raw.observe(observation, corrupt_count(raw))
     rows = add_lineage(nested_to_json(flatten_envelope(raw, envelope, carry=[SOURCE_PATH])))

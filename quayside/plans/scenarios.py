@@ -41,6 +41,13 @@ from quayside.sources.landing import LandingFeed
 from quayside.testing import write_deliveries
 
 CACHE_VERSION = "v1"
+_cache_token = ""
+
+
+def use_fresh_fixtures(token: str) -> None:
+    """Make later scenarios rebuild the shared landing/history fixtures under ``token``."""
+    global _cache_token
+    _cache_token = token
 DATASET = "events"
 UPDATE_TYPES = ("purchase", "error")  # the second feed in the upsert scenarios
 
@@ -50,7 +57,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _cache_dir(spark: SparkSession, sf_dir: str) -> str:
-    key = hashlib.sha1(f"{os.path.realpath(sf_dir)}|{CACHE_VERSION}".encode()).hexdigest()[:12]
+    key = hashlib.sha1(f"{os.path.realpath(sf_dir)}|{CACHE_VERSION}|{_cache_token}".encode()).hexdigest()[:12]
     return scratch_path(spark, "cache", key)
 
 

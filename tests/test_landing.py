@@ -156,3 +156,9 @@ def test_explicit_envelope_schema_skips_inference(spark, landing):
 def test_missing_folder_in_list_raises_no_new_data_only_when_empty(spark):
     with pytest.raises(NoNewData):
         read_envelopes(spark, [])
+
+
+def test_pretty_printed_and_single_line_documents_read_alike(spark, landing):
+    root = landing({"20240101/a.json": '{\n  "Data": [\n    {"id": 1,\n     "v": 2.50}\n  ]\n}\n',
+                    "20240101/b.json": '{"Data": [{"id": 2, "v": 3}]}'})
+    assert rows(history_frame(spark, [f"{root}/feed/20240101"]), "id", "v") == [("1", "2.50"), ("2", "3")]

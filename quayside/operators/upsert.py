@@ -16,13 +16,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import MapType, StructType
 
 from quayside.functions.names import col
 from quayside.functions.nested import typed_null
 from quayside.operators.latest import ROW_HASH, latest_per_key
 
 NULL_KEY_POLICIES = ("keep", "drop", "fail")
+NULL_KEY_SALTS = 8192
 
 
 def union_schema(target: StructType, updates: StructType) -> StructType:
@@ -56,19 +57,24 @@ def upsert(target: DataFrame, updates: DataFrame, key: str = "id", order: str =
     if dedupe:
         u = latest_per_key(u, [key], [order], tiebreak)
     k = col(key)
+    if on_null_key == "drop":
+        t, u = t.where(k.isNotNull()), u.where(k.isNotNull())
 
-    left = t.where(k.isNotNull()).select(k.alias("__k"), F.struct(*[col(c) for c in names]).alias("__o"))
-    right = u.where(k.isNotNull()).select(k.alias("__k"), F.struct(*[col(c) for c in names]).alias("__u"))
-    joined = left.join(right, "__k", "full_outer")
+    def side(df: DataFrame, name: str) -> DataFrame:
+        row = [col(c) for c in names]
+        salt = F.when(k.isNull(), F.pmod(F.xxhash64(*_hashable(df)), F.lit(NULL_KEY_SALTS))).otherwise(F.lit(0))
+        return df.select(k.alias("__k"), salt.alias("__s"), F.struct(*row).alias(name))
+
+    joined = side(t, "__o").join(side(u, "__u"), ["__k", "__s"], "full_outer")
     o, n = F.col("__o"), F.col("__u")
     take_update = o.isNull() | (n.isNotNull() & F.coalesce(n.getField(order) >= o.getField(order), F.lit(False)))
-    merged = (joined.select(F.when(take_update, n).otherwise(o).alias("__r"))
-              .select(*[F.col("__r").getField(c).alias(c) for c in names]))
-    if on_null_key == "keep":
-        merged = merged.unionByName(t.where(k.isNull())).unionByName(u.where(k.isNull()))
-    elif on_null_key == "fail":
-        # Any null-key update row makes the job fail when the result is computed.
-        boom = F.raise_error(F.lit(f"null {key} in updates"))
-        merged = merged.unionByName(u.where(k.isNull()).select(
-            *[boom.cast(f.dataType).alias(f.name) for f in schema.fields]))
-    return merged
+    chosen = F.when(take_update, n).otherwise(o)
+    if on_null_key == "fail":
+        # A null-key update row fails the job when the result is computed.
+        bad = n.isNotNull() & n.getField(key).isNull()
+        chosen = F.when(bad, F.raise_error(F.lit(f"null {key} in updates")).cast(schema)).otherwise(chosen)
+    return joined.select(chosen.alias("__r")).select(*[F.col("__r").getField(c).alias(c) for c in names])
+
+
+def _hashable(df: DataFrame) -> list:
+    return [col(f.name) for f in df.schema.fields if not isinstance(f.dataType, MapType)]

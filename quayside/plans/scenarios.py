@@ -38,6 +38,7 @@ from quayside.sinks.history import HistoryTable, replace_window_frame
 from quayside.sinks.views import publish_view, view_name
 from quayside.sources import fs
 from quayside.sources.landing import LandingFeed
+from quayside.streaming.landing_stream import ingest_arrivals
 from quayside.testing import write_deliveries
 
 CACHE_VERSION = "v1"
@@ -386,6 +387,19 @@ def recursive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _history_view(history_frame(spark, [feed.path], recursive=True))
 
 
+def arrival_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streaming file-arrival ingest: every delivery day found by the stream, windowed replace."""
+    configure(spark)
+    feed = landed_events(spark, sf_dir)
+    history = HistoryTable(new_scratch_path(spark, "arrivals"))
+    outcomes = []
+    query = ingest_arrivals(spark, feed, history, checkpoint=new_scratch_path(spark, "arrivals-ckpt"),
+                            on_result=lambda days, result: outcomes.append(result.outcome))
+    query.awaitTermination()
+    assert outcomes and all(o is Outcome.SUCCESS for o in outcomes), outcomes
+    return _history_view(history.read(spark))
+
+
 SCENARIOS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feed_ingest": feed_ingest,
     "lookback_window": lookback_window,
@@ -407,4 +421,5 @@ SCENARIOS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "current_state_build": current_state_build,
     "latest_file": latest_file,
     "recursive_scan": recursive_scan,
+    "arrival_ingest": arrival_ingest,
 }

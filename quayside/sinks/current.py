@@ -43,6 +43,8 @@ class CurrentStateTable:
     order: str = "ingestion_date"
     num_buckets: int = 64
     tiebreak: object = ROW_HASH
+    files_per_bucket: int = 1
+    max_records_per_file: int | None = None
 
     # -- locations -------------------------------------------------------------
     def _pointer(self) -> str:
@@ -77,10 +79,15 @@ class CurrentStateTable:
         return df.withColumn(BUCKET, bucket_of(col(self.key), self.num_buckets))
 
     def _write(self, df: DataFrame, location: str, dynamic: bool) -> None:
-        # One shuffle by bucket: each bucket is written by exactly one task.
-        (df.repartition(col(BUCKET)).write.partitionBy(BUCKET)
-         .mode("overwrite").option("partitionOverwriteMode", "dynamic" if dynamic else "static")
-         .parquet(location))
+        # One shuffle by bucket, so a bucket's files come from few tasks; a large
+        # bucket is spread over ``files_per_bucket`` writers by a second hash.
+        spread = [col(BUCKET)]
+        if self.files_per_bucket > 1:
+            spread.append(F.pmod(F.hash(col(self.key)), F.lit(self.files_per_bucket)))
+        w = df.repartition(*spread).write.partitionBy(BUCKET)
+        if self.max_records_per_file:
+            w = w.option("maxRecordsPerFile", self.max_records_per_file)
+        w.mode("overwrite").option("partitionOverwriteMode", "dynamic" if dynamic else "static").parquet(location)
 
     def upsert(self, spark: SparkSession, updates: DataFrame) -> dict:
         """Merge ``updates`` (K4 rules); creates the table on first use."""

@@ -1,0 +1,27 @@
+"""File-arrival ingest: each run picks up only the days with new files."""
+
+from quayside.sinks.history import HistoryTable
+from quayside.sources.landing import LandingFeed
+from quayside.streaming.landing_stream import ingest_arrivals
+
+
+def test_arrivals_are_ingested_by_day(spark, landing, tmp_path):
+    root = landing({"20240101/a.json": {"Data": [{"id": 1}]}, "20240102/a.json": {"Data": [{"id": 2}]}})
+    feed = LandingFeed(root, "feed")
+    history = HistoryTable(str(tmp_path / "history"))
+    seen = []
+    ckpt = str(tmp_path / "ckpt")
+    q = ingest_arrivals(spark, feed, history, checkpoint=ckpt, on_result=lambda d, r: seen.append((d, r.outcome.value)))
+    q.awaitTermination(120)
+    assert seen == [(["20240101", "20240102"], "SUCCESS")]
+    assert sorted(r.id for r in history.read(spark).collect()) == ["1", "2"]
+
+    landing({"20240103/a.json": {"Data": [{"id": 3}]}, "20240102/b.json": {"Data": [{"id": 22}]}})
+    q = ingest_arrivals(spark, feed, history, checkpoint=ckpt, on_result=lambda d, r: seen.append((d, r.outcome.value)))
+    q.awaitTermination(120)
+    assert seen[1] == (["20240102", "20240103"], "SUCCESS")
+    assert sorted(r.id for r in history.read(spark).collect()) == ["1", "2", "22", "3"]
+
+    q = ingest_arrivals(spark, feed, history, checkpoint=ckpt, on_result=lambda d, r: seen.append((d, r.outcome.value)))
+    q.awaitTermination(120)
+    assert len(seen) == 2  # nothing new arrived

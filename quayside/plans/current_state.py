@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quayside.errors import NoNewData, Outcome, RunResult
 from quayside.operators.lineage import stamp_run
+from quayside.operators.profile import observed
 from quayside.operators.project import apply_contract, conform_to_schema
 from quayside.plans.contract import Contract
 from quayside.session import configure
@@ -31,13 +32,23 @@ def current_frame(history_rows: DataFrame, contract: Contract, strict: bool = Fa
 def build_current_state(spark: SparkSession, history: HistoryTable, contract: Contract,
                         target: CurrentStateTable, *, reload: bool = False,
                         dates: Iterable[str] | None = None, view: str | None = None,
-                        strict: bool = False) -> RunResult:
+                        strict: bool = False, freshness_column: str | None = None) -> RunResult:
+    """One current-state run. Metrics: rows written, buckets touched, and the
+    profile of the incoming rows (``volume`` counts every version, before the
+    latest-per-key step; ``freshness`` is the max of ``freshness_column``),
+    observed on the run's own jobs rather than by another scan.
+    """
     configure(spark)
+    if freshness_column is not None and freshness_column not in contract.target_schema().fieldNames() \
+            and freshness_column != "ingestion_date":
+        freshness_column = None  # the contract has no such column: report volume only
     try:
-        rows = current_frame(history.read(spark, dates), contract, strict)
+        rows, profile = observed(current_frame(history.read(spark, dates), contract, strict),
+                                 "current_state_input", freshness_column)
         metrics = target.reload(spark, rows) if reload else target.upsert(spark, rows)
     except NoNewData as exc:
         return RunResult(Outcome.NO_NEW_DATA, str(exc))
+    metrics.update(profile.get)
     if view:
         publish_view(spark, view, target.location(spark))
     return RunResult(Outcome.SUCCESS, "", metrics)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
@@ -44,7 +45,12 @@ def infer_envelope_schema(spark: SparkSession, paths: Sequence[str], *, corrupt_
     reader = _reader(spark, corrupt_column, recursive)
     if sampling_ratio is not None:
         reader = reader.option("samplingRatio", sampling_ratio)
-    return reader.json(list(paths)).schema
+    try:
+        return reader.json(list(paths)).schema
+    except AnalysisException as exc:
+        if "UNABLE_TO_INFER_SCHEMA" in str(exc):  # the folders hold no file at all
+            raise NoNewData("no delivery file in the requested folders") from exc
+        raise
 
 
 def read_envelopes(spark: SparkSession, paths: Sequence[str], *, schema: StructType | None = None,

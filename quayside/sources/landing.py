@@ -30,22 +30,23 @@ class LandingFeed:
     # -- S2 / S3 / S4 / S5 / F4 ------------------------------------------------
     def date_folders(self, spark: SparkSession, dates: str = "all",
                      starting_from: str | None = None, days_back: int = 1) -> list[str]:
-        """Folders to read for a request.
+        """Folders to read for a request (sorted).
 
         ``dates="all"``: every folder of the dataset whose name is ``>=
-        starting_from``. Otherwise ``dates`` is a comma list; it is widened by
-        the look-back window. Either way only existing, non-empty folders are
-        returned (sorted), so a missing day never fails the scan.
+        starting_from``, from one listing of the dataset folder; empty ones
+        are left in, since Spark's (parallel) file listing simply finds no
+        file there. Otherwise ``dates`` is a comma list widened by the
+        look-back window, and only existing, non-empty folders are kept (a
+        couple of metadata calls per requested day), so a missing day never
+        fails the scan.
         """
         if dates is None or not str(dates).strip():
             raise ValueError("Empty input for ingestion dates")
         if str(dates).strip().lower() == "all":
             names = [e.name for e in fs.list_dir(spark, self.path) if e.is_dir]
-            candidates = [self.folder(n) for n in apply_lower_bound(names, starting_from)]
-        else:
-            window = lookback_window(dates, starting_from, days_back)
-            candidates = [self.folder(d) for d in sorted(window)]
-        return [p for p in candidates if fs.is_nonempty(spark, p)]
+            return [self.folder(n) for n in apply_lower_bound(names, starting_from)]
+        window = lookback_window(dates, starting_from, days_back)
+        return [p for p in (self.folder(d) for d in sorted(window)) if fs.is_nonempty(spark, p)]
 
     # -- S7 / S8 ---------------------------------------------------------------
     def files(self, spark: SparkSession) -> list[str]:

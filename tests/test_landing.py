@@ -26,8 +26,10 @@ def test_date_folders_skip_missing_and_empty(spark, landing):
     got = feed.date_folders(spark, "20240102,20240104")
     # window = 1..4 Jan: 2 Jan is missing, 3 Jan is empty
     assert [p.rsplit("/", 1)[1] for p in got] == ["20240101", "20240104"]
-    assert [p.rsplit("/", 1)[1] for p in feed.date_folders(spark, "all")] == ["20240101", "20240104"]
-    assert [p.rsplit("/", 1)[1] for p in feed.date_folders(spark, "ALL", starting_from="20240102")] == ["20240104"]
+    # "all" lists day folders once; the empty one is left to Spark's file listing
+    assert [p.rsplit("/", 1)[1] for p in feed.date_folders(spark, "all")] == ["20240101", "20240103", "20240104"]
+    assert [p.rsplit("/", 1)[1] for p in feed.date_folders(spark, "ALL", starting_from="20240102")] == [
+        "20240103", "20240104"]
     with pytest.raises(ValueError):
         feed.date_folders(spark, "")
 
@@ -73,6 +75,19 @@ def test_nothing_to_ingest_is_no_new_data(spark, landing, tmp_path, content):
     assert res.outcome is Outcome.NO_NEW_DATA
 
 
+def test_all_mode_with_only_empty_folders_is_no_new_data(spark, landing, tmp_path):
+    root = landing({"20240101": None, "20240102": None})
+    res = ingest_history(spark, LandingFeed(root, "feed"), HistoryTable(str(tmp_path / "h")), "all")
+    assert res.outcome is Outcome.NO_NEW_DATA
+
+
+def test_all_mode_reads_beside_empty_folder(spark, landing, tmp_path):
+    root = landing({"20240101": None, "20240102/a.json": {"Data": [{"id": 1}]}})
+    history = HistoryTable(str(tmp_path / "h"))
+    assert ingest_history(spark, LandingFeed(root, "feed"), history, "all").ok
+    assert rows(history.read(spark), "id") == [("1",)]
+
+
 def test_missing_folder_alone_is_no_new_data(spark, landing, tmp_path):
     root = landing({"20240101/a.json": REGULAR})
     res = ingest_history(spark, LandingFeed(root, "feed"), HistoryTable(str(tmp_path / "h")), "20240301")
@@ -133,6 +148,16 @@ def test_nested_folder_needs_recursive_scan(spark, landing):
     assert LandingFeed(root, "missing").latest_file(spark) == []
 
 
+def test_struct_like_variant_keeps_scalar_arrays(spark, landing):
+    from quayside.functions.nested import is_struct_like, nested_to_json
+    from quayside.operators.flatten import flatten_envelope
+    root = landing({"20240101/a.json": REGULAR})
+    raw = read_envelopes(spark, [f"{root}/feed/20240101"])
+    df = nested_to_json(flatten_envelope(raw, "Data"), is_struct_like)
+    r = df.where("id = '1'").first()
+    assert r["tags"] == ["x", "y"] and r["site"] == '{"code":"7","name":"A"}' and r["lines"] == '[{"q":"1"},{"q":"2"}]'
+
+
 def test_dotted_field_name_is_quoted(spark, landing):
     root = landing({"20240101/a.json": {"Data": [{"a.b": 1, "c": {"d.e": 2}}]}})
     r = history_frame(spark, [f"{root}/feed/20240101"]).first()

@@ -27,8 +27,10 @@ def test_daily_runs(spark, landing, tmp_path):
     target = CurrentStateTable(str(tmp_path / "current"), key="id", num_buckets=4)
 
     assert ingest_history(spark, feed, history, "all").ok
-    res = build_current_state(spark, history, CONTRACT, target, reload=True, view="cur_view")
+    res = build_current_state(spark, history, CONTRACT, target, reload=True, view="cur_view",
+                              freshness_column="ingestion_date")
     assert res.ok and res.metrics["rows_written"] == 2
+    assert res.metrics["volume"] == 3 and res.metrics["freshness"] == dt.date(2024, 1, 2)
     assert sorted((r.id, r.v) for r in spark.table("cur_view").collect()) == [(1, 11), (2, 20)]
 
     # a late correction for 2 Jan arrives with a new day; only the window is replaced
@@ -38,8 +40,9 @@ def test_daily_runs(spark, landing, tmp_path):
     assert res.ok and res.metrics["dates_written"] == ["2024-01-02", "2024-01-03"]
     assert history.read(spark).count() == 6
 
-    res = build_current_state(spark, history, CONTRACT, target, dates=["20240102", "20240103"], view="cur_view")
-    assert res.ok
+    res = build_current_state(spark, history, CONTRACT, target, dates=["20240102", "20240103"], view="cur_view",
+                              freshness_column="date_int")
+    assert res.ok and res.metrics["volume"] == 4 and "freshness" not in res.metrics
     got = sorted((r.id, r.v, r.ingestion_date) for r in spark.table("cur_view").collect())
     assert got[0][0] == 1 and got[0][1] in (11, 12) and got[0][2] == dt.date(2024, 1, 2)
     assert got[1:] == [(2, 21, dt.date(2024, 1, 3)), (3, 30, dt.date(2024, 1, 3))]

@@ -71,7 +71,7 @@ class CurrentStateTable:
         loc = self.location(spark)
         if loc is None:
             raise FileNotFoundError(f"no current-state table at {self.path}")
-        df = spark.read.parquet(loc)
+        df = spark.read.option("mergeSchema", True).parquet(loc)
         return df if with_bucket else df.drop(BUCKET)
 
     # -- writes ----------------------------------------------------------------
@@ -104,7 +104,10 @@ class CurrentStateTable:
             fs.write_text(spark, self._pointer(), gen)
             return {"created": True, "buckets_touched": len(touched), **obs.get}
         loc = self.location(spark)
-        target = spark.read.parquet(loc).where(col(BUCKET).isin(touched)).drop(BUCKET)
+        # Buckets rewritten after a contract gained a column carry it, others do not:
+        # merge the file schemas so old rows read the new column as null (K3).
+        target = (spark.read.option("mergeSchema", True).parquet(loc)
+                  .where(col(BUCKET).isin(touched)).drop(BUCKET))
         merged = upsert(target, deduped, self.key, self.order, dedupe=False)
         out = self._bucketed(merged).observe(obs, F.count(F.lit(1)).alias("rows_written"))
         self._write(out, loc, dynamic=True)

@@ -77,7 +77,9 @@ def read_envelopes(spark: SparkSession, paths: Sequence[str], *, schema: StructT
     if corrupt_column not in schema.fieldNames():
         schema = StructType(list(schema.fields) + [StructField(corrupt_column, StringType())])
     raw = _reader(spark, corrupt_column, recursive).schema(schema).json(list(paths))
-    return raw.select("*", F.col("_metadata.file_path").alias(SOURCE_PATH))
+    # A document-level field named like the provenance column is replaced by it.
+    return raw.select(*[F.col(f"`{c}`") for c in raw.columns if c != SOURCE_PATH],
+                      F.col("_metadata.file_path").alias(SOURCE_PATH))
 
 
 def envelope_records_type(df: DataFrame, field: str) -> StructType | None:

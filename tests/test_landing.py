@@ -187,3 +187,9 @@ def test_pretty_printed_and_single_line_documents_read_alike(spark, landing):
     root = landing({"20240101/a.json": '{\n  "Data": [\n    {"id": 1,\n     "v": 2.50}\n  ]\n}\n',
                     "20240101/b.json": '{"Data": [{"id": 2, "v": 3}]}'})
     assert rows(history_frame(spark, [f"{root}/feed/20240101"]), "id", "v") == [("1", "2.50"), ("2", "3")]
+
+
+def test_document_field_named_like_provenance_is_replaced(spark, landing):
+    root = landing({"20240101/a.json": {"Data": [{"id": 1}], "source_path": "elsewhere"}})
+    r = history_frame(spark, [f"{root}/feed/20240101"]).first()
+    assert r["source_path"].endswith("/feed/20240101/a.json")

@@ -107,3 +107,26 @@ def test_views(spark, tmp_path):
     h.replace_all(history_rows(spark, [("1", "a", D(2024, 1, 1))]))
     publish_view(spark, name, h.path)
     assert spark.table(name).count() == 1
+
+
+def test_current_state_schema_evolves_per_bucket(spark, tmp_path):
+    t = CurrentStateTable(str(tmp_path / "cur"), key="id", num_buckets=8, files_per_bucket=2)
+    t.upsert(spark, spark.createDataFrame([(i, D(2024, 1, 1), "a") for i in range(50)],
+                                          "id long, ingestion_date date, v string"))
+    t.upsert(spark, spark.createDataFrame([(3, D(2024, 1, 2), "b", 7)], "id long, ingestion_date date, v string, w int"))
+    state = {r.id: (r.v, r.w) for r in t.read(spark).collect()}
+    assert len(state) == 50 and state[3] == ("b", 7) and state[4] == ("a", None)
+    t.upsert(spark, spark.createDataFrame([(4, D(2024, 1, 3), "c")], "id long, ingestion_date date, v string"))
+    state = {r.id: (r.v, r.w) for r in t.read(spark).collect()}
+    assert state[3] == ("b", 7) and state[4] == ("c", None) and len(state) == 50
+
+
+def test_upsert_join_spreads_null_keys(spark):
+    from quayside.operators.upsert import upsert
+    t = history_rows(spark, [(None, "a", D(2024, 1, 1))] * 3 + [("1", "x", D(2024, 1, 1))])
+    u = history_rows(spark, [(None, "b", D(2024, 1, 2)), ("1", "y", D(2024, 1, 2))])
+    out = upsert(t, u)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "__s" in plan and "FullOuter" in plan
+    assert sorted((r.id or "", r.v) for r in out.collect()) == [("", "a"), ("", "a"), ("", "a"), ("", "b"),
+                                                               ("1", "y")]

@@ -5,11 +5,12 @@ Layout::
     <path>/_CURRENT                      -> name of the live generation
     <path>/gen-000001/key_bucket=<b>/    -> parquet, b = pmod(xxhash64(key), N)
 
-* Upsert (K4) rewrites only the buckets the updates touch. The touched bucket
-  numbers (at most N small integers) are collected to prune the target scan;
-  the merge is :func:`quayside.operators.upsert.upsert`; the result is
+* Upsert (K4) rewrites only the buckets the updates touch. The deduplicated
+  updates are staged once in the shared folder; the touched bucket numbers
+  (at most N small integers) are observed on that write and prune the target
+  scan; the merge is :func:`quayside.operators.upsert.upsert`; the result is
   written back with dynamic partition overwrite, one shuffle by bucket so each
-  bucket is written by one task.
+  bucket is written by few tasks.
 * Reload (K5) writes the deduplicated updates as a new generation, then
   flips ``_CURRENT``; readers of the old generation are not disturbed.
 * The first run creates the table (K6: the target does not need to pre-exist).
@@ -26,6 +27,7 @@ from quayside.errors import NoNewData
 from quayside.functions.names import col
 from quayside.operators.latest import ROW_HASH, latest_per_key
 from quayside.operators.upsert import upsert
+from quayside.session import new_scratch_path
 from quayside.sources import fs
 
 BUCKET = "key_bucket"
@@ -90,33 +92,43 @@ class CurrentStateTable:
         w.mode("overwrite").option("partitionOverwriteMode", "dynamic" if dynamic else "static").parquet(location)
 
     def upsert(self, spark: SparkSession, updates: DataFrame) -> dict:
-        """Merge ``updates`` (K4 rules); creates the table on first use."""
-        touched = sorted(r[0] for r in self._bucketed(updates.select(col(self.key)))
-                         .select(BUCKET).distinct().collect())
-        if not touched:
-            raise NoNewData("no update rows")
-        deduped = latest_per_key(updates, [self.key], [self.order], self.tiebreak)
-        obs = Observation("current_upsert")
+        """Merge ``updates`` (K4 rules); creates the table on first use.
+
+        The updates are scanned once: deduplicated rows are written to a
+        staging table in the shared folder, and the touched bucket numbers
+        (at most ``num_buckets`` integers) are observed on that write. The
+        merge then reads only the staging table and the touched buckets; a
+        lost executor recomputes from staging, not from the update source.
+        """
         if not self.exists(spark):
-            gen = self._next_generation(spark)
-            out = self._bucketed(deduped).observe(obs, F.count(F.lit(1)).alias("rows_written"))
-            self._write(out, f"{self.path.rstrip('/')}/{gen}", dynamic=False)
-            fs.write_text(spark, self._pointer(), gen)
-            return {"created": True, "buckets_touched": len(touched), **obs.get}
-        loc = self.location(spark)
-        # Buckets rewritten after a contract gained a column carry it, others do not:
-        # merge the file schemas so old rows read the new column as null (K3).
-        target = (spark.read.option("mergeSchema", True).parquet(loc)
-                  .where(col(BUCKET).isin(touched)).drop(BUCKET))
-        merged = upsert(target, deduped, self.key, self.order, dedupe=False)
-        out = self._bucketed(merged).observe(obs, F.count(F.lit(1)).alias("rows_written"))
-        self._write(out, loc, dynamic=True)
-        return {"created": False, "buckets_touched": len(touched), **obs.get}
-
-    def reload(self, spark: SparkSession, updates: DataFrame) -> dict:
-        """Publish the deduplicated ``updates`` as the whole table (new generation)."""
+            return {"created": True, **self._publish_generation(spark, updates)}
+        deduped = self._bucketed(latest_per_key(updates, [self.key], [self.order], self.tiebreak))
+        staged = Observation("current_staging")
+        staging = new_scratch_path(spark, "current-staging")
+        (deduped.observe(staged, F.count(F.lit(1)).alias("rows_staged"), F.collect_set(col(BUCKET)).alias("buckets"))
+         .write.mode("overwrite").parquet(staging))
+        try:
+            touched = sorted(staged.get["buckets"] or [])
+            if not touched:
+                raise NoNewData("no update rows")
+            loc = self.location(spark)
+            # Buckets rewritten after a contract gained a column carry it, others do not:
+            # merge the file schemas so old rows read the new column as null (K3).
+            target = (spark.read.option("mergeSchema", True).parquet(loc)
+                      .where(col(BUCKET).isin(touched)).drop(BUCKET))
+            merged = upsert(target, spark.read.parquet(staging).drop(BUCKET), self.key, self.order, dedupe=False)
+            obs = Observation("current_upsert")
+            out = self._bucketed(merged).observe(obs, F.count(F.lit(1)).alias("rows_written"))
+            self._write(out, loc, dynamic=True)
+        finally:
+            fs.delete(spark, staging)
+        return {"created": False, "buckets_touched": len(touched), "rows_staged": staged.get["rows_staged"],
+                **obs.get}
+
+    def _publish_generation(self, spark: SparkSession, updates: DataFrame) -> dict:
+        """Write the deduplicated ``updates`` as a new generation and make it live."""
         gen = self._next_generation(spark)
-        obs = Observation("current_reload")
+        obs = Observation("current_generation")
         out = self._bucketed(latest_per_key(updates, [self.key], [self.order], self.tiebreak))
         out = out.observe(obs, F.count(F.lit(1)).alias("rows_written"))
         self._write(out, f"{self.path.rstrip('/')}/{gen}", dynamic=False)
@@ -126,6 +138,10 @@ class CurrentStateTable:
         fs.write_text(spark, self._pointer(), gen)
         return {"generation": gen, **obs.get}
 
+    def reload(self, spark: SparkSession, updates: DataFrame) -> dict:
+        """Publish the deduplicated ``updates`` as the whole table (new generation)."""
+        return self._publish_generation(spark, updates)
+
     def vacuum(self, spark: SparkSession, keep: int = 2) -> list[str]:
         """Delete generations older than the newest ``keep`` (never the live one)."""
         live = self.generation(spark)

@@ -1,0 +1,30 @@
+"""The command-line run shapes, driven in-process."""
+
+import json
+
+from quayside.errors import Outcome
+from quayside.plans.cli import run
+
+
+def test_history_then_current(spark, landing, tmp_path):
+    root = landing({"20240101/a.json": {"Data": [{"id": 1, "v": "a"}, {"id": 2, "v": "b"}]},
+                    "20240102/a.json": {"Data": [{"id": 1, "v": "c"}]}})
+    history, target = str(tmp_path / "h"), str(tmp_path / "t")
+    contract = tmp_path / "c.json"
+    contract.write_text(json.dumps({
+        "origin_conf": {"type": "struct", "fields": [{"name": "id", "type": "string"},
+                                                     {"name": "v", "type": "string"}]},
+        "fields": [{"name": "id", "source_name": "id", "type": "long"},
+                   {"name": "v", "source_name": "v", "type": "string"}]}))
+    res = run(["history", "--landing-root", root, "--dataset", "feed", "--dates", "ALL", "--history", history,
+               "--view", "cli_hist"], spark)
+    assert res.ok and spark.table("cli_hist").count() == 3
+    res = run(["current", "--history", history, "--contract", str(contract), "--target", target,
+               "--dates", "all", "--view", "cli_cur"], spark)
+    assert res.ok and sorted((r.id, r.v) for r in spark.table("cli_cur").collect()) == [(1, "c"), (2, "b")]
+    res = run(["current", "--history", history, "--contract", str(contract), "--target", target,
+               "--dates", "20240102"], spark)
+    assert res.ok and res.metrics["rows_staged"] == 2
+    res = run(["history", "--landing-root", root, "--dataset", "feed", "--dates", "20240301", "--history", history],
+              spark)
+    assert res.outcome is Outcome.NO_NEW_DATA

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from quayside.errors import ContractError, NoNewData
 from quayside.functions.names import col, quote
@@ -38,6 +37,3 @@ def flatten_envelope(df: DataFrame, field: str = "Data", carry: Sequence[str] =
     return exploded.select(*[col(c) for c in carry],
                            *[F.col(f"{_RECORD}.{quote(n)}").alias(n) for n in record_type.fieldNames()])
 
-
-def record_fields(record_type: StructType) -> list[str]:
-    return record_type.fieldNames()

@@ -44,6 +44,3 @@ def observed(df: DataFrame, name: str, freshness_column: str | None = None,
     obs = Observation(name)
     return df.observe(obs, *profile_metrics(freshness_column, columns)), obs
 
-
-def row_count(df: DataFrame) -> int:
-    return df.count()

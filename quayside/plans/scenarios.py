@@ -49,6 +49,8 @@ def use_fresh_fixtures(token: str) -> None:
     """Make later scenarios rebuild the shared landing/history fixtures under ``token``."""
     global _cache_token
     _cache_token = token
+
+
 DATASET = "events"
 UPDATE_TYPES = ("purchase", "error")  # the second feed in the upsert scenarios
 

@@ -112,19 +112,27 @@ class CurrentStateTable:
             if not touched:
                 raise NoNewData("no update rows")
             loc = self.location(spark)
-            # Buckets rewritten after a contract gained a column carry it, others do not:
-            # merge the file schemas so old rows read the new column as null (K3).
-            target = (spark.read.option("mergeSchema", True).parquet(loc)
-                      .where(col(BUCKET).isin(touched)).drop(BUCKET))
-            merged = upsert(target, spark.read.parquet(staging).drop(BUCKET), self.key, self.order, dedupe=False)
             obs = Observation("current_upsert")
-            out = self._bucketed(merged).observe(obs, F.count(F.lit(1)).alias("rows_written"))
-            self._write(out, loc, dynamic=True)
+            out = self.merge_frame(spark, spark.read.parquet(staging), touched)
+            self._write(out.observe(obs, F.count(F.lit(1)).alias("rows_written")), loc, dynamic=True)
         finally:
             fs.delete(spark, staging)
         return {"created": False, "buckets_touched": len(touched), "rows_staged": staged.get["rows_staged"],
                 **obs.get}
 
+    def merge_frame(self, spark: SparkSession, staged: DataFrame, touched: list[int]) -> DataFrame:
+        """New rows of the ``touched`` buckets: their target rows merged with ``staged``.
+
+        ``staged`` holds deduplicated updates with their bucket column. Only
+        the touched buckets of the live generation are scanned. Buckets
+        rewritten after a contract gained a column carry it and others do
+        not, so file schemas are merged (old rows read the new column as null).
+        """
+        target = (spark.read.option("mergeSchema", True).parquet(self.location(spark))
+                  .where(col(BUCKET).isin(touched)).drop(BUCKET))
+        merged = upsert(target, staged.drop(BUCKET), self.key, self.order, dedupe=False)
+        return self._bucketed(merged)
+
     def _publish_generation(self, spark: SparkSession, updates: DataFrame) -> dict:
         """Write the deduplicated ``updates`` as a new generation and make it live."""
         gen = self._next_generation(spark)

@@ -4,7 +4,8 @@
   dates. Dynamic partition overwrite swaps the dates the batch produced;
   window dates the batch did not produce are then dropped, so they end empty.
   Rows outside the window are rejected before the write.
-* Full replace (K2): static overwrite of the whole table.
+* Full replace (K2): dynamic overwrite of every produced date, then the
+  dates not produced are dropped; a failed rebuild leaves the old table.
 * Schema evolution (K3): parquet files carry their own schema; the table is
   read with ``mergeSchema`` so new columns appear and old rows read as null.
 * Layout (K7): no ``coalesce(1)``. Each scan task writes its own files; a
@@ -95,16 +96,32 @@ class HistoryTable:
     # -- K2 --------------------------------------------------------------------
     def replace_all(self, df: DataFrame, *, max_records_per_file: int | None = None,
                     single_file: bool = False) -> dict:
-        """Replace the whole table with ``df`` (rows without a date are rejected)."""
+        """Replace the whole table with ``df`` (rows without a date are rejected).
+
+        Written as a dynamic partition overwrite, which changes nothing until
+        the job commits, so a rebuild that fails half-way leaves the old
+        table intact (a static overwrite deletes it first). Partitions the
+        rebuild did not produce are dropped afterwards; their dates are
+        observed on the write (one per delivery day, metadata-sized).
+        """
         part = col(self.partition_column)
         seen = Observation("history_full")
         batch = df.observe(seen, F.count(F.lit(1)).alias("rows_in"),
                            F.count_if(part.isNull()).alias("rows_rejected"))
         batch = batch.where(part.isNotNull())
+        kept = Observation("history_full_dates")
+        batch = batch.observe(kept, F.collect_set(part).alias("dates"))
         (self._writer(batch, max_records_per_file, single_file)
-         .mode("overwrite").option("partitionOverwriteMode", "static").parquet(self.path))
+         .mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.path))
+        written = {d.isoformat() for d in (kept.get["dates"] or [])}
+        prefix = f"{self.partition_column}="
+        dropped = sorted(e.name[len(prefix):] for e in fs.list_dir(df.sparkSession, self.path)
+                         if e.is_dir and e.name.startswith(prefix) and e.name[len(prefix):] not in written)
+        for d in dropped:
+            fs.delete(df.sparkSession, f"{self.path.rstrip('/')}/{prefix}{d}")
         m = seen.get
-        return {"rows": m["rows_in"] - m["rows_rejected"], **m}
+        return {"rows": m["rows_in"] - m["rows_rejected"], **m, "dates_written": sorted(written),
+                "dates_dropped": dropped}
 
     def append(self, df: DataFrame) -> None:
         df.write.mode("append").partitionBy(self.partition_column).parquet(self.path)

@@ -130,3 +130,17 @@ def test_upsert_join_spreads_null_keys(spark):
     assert "__s" in plan and "FullOuter" in plan
     assert sorted((r.id or "", r.v) for r in out.collect()) == [("", "a"), ("", "a"), ("", "a"), ("", "b"),
                                                                ("1", "y")]
+
+
+def test_full_replace_drops_dates_not_rebuilt_and_survives_a_failed_job(spark, tmp_path):
+    h = HistoryTable(str(tmp_path / "h"))
+    h.replace_all(history_rows(spark, [(str(i), "old", D(2024, 1, i)) for i in range(1, 5)]))
+    m = h.replace_all(history_rows(spark, [("3", "new", D(2024, 1, 3)), ("5", "new", D(2024, 1, 5))]))
+    assert m["dates_dropped"] == ["2024-01-01", "2024-01-02", "2024-01-04"]
+    assert sorted((r.id, r.v) for r in h.read(spark).collect()) == [("3", "new"), ("5", "new")]
+    from pyspark.sql import functions as F
+    boom = history_rows(spark, [("9", "x", D(2024, 1, 9))]).withColumn(
+        "v", F.raise_error(F.lit("executor-side failure")).cast("string"))
+    with pytest.raises(Exception):
+        h.replace_all(boom)
+    assert sorted((r.id, r.v) for r in h.read(spark).collect()) == [("3", "new"), ("5", "new")]

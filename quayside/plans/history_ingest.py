@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.types import StructType
 
 from quayside.errors import NoNewData, Outcome, RunResult
-from quayside.functions.nested import nested_to_json
+from quayside.functions.nested import is_nested, is_struct_like, nested_to_json
 from quayside.operators.flatten import flatten_envelope
 from quayside.operators.lineage import SOURCE_PATH, add_lineage
 from quayside.operators.project import all_as_text
@@ -24,25 +24,34 @@ from quayside.sources.json_feed import corrupt_count, corrupt_documents, read_en
 from quayside.sources.landing import LandingFeed, window_dates_for
 
 
+NESTED_RULES = {"all": is_nested, "struct_like": is_struct_like}
+
+
 def history_frame(spark: SparkSession, paths: Sequence[str], envelope: str = "Data", *,
                   schema: StructType | None = None, recursive: bool = False,
-                  as_text: bool = False, observation: Observation | None = None) -> DataFrame:
+                  as_text: bool = False, observation: Observation | None = None,
+                  nested: str = "all") -> DataFrame:
     """Lazy history rows for the given folders: flatten, nested -> JSON text, lineage.
 
-    With ``observation`` the number of corrupt documents is observed on the
-    same scan (reported once the rows are written).
+    ``nested="all"`` serialises every struct and array to JSON text;
+    ``nested="struct_like"`` only structs and arrays of structs (arrays of
+    scalars stay arrays). With ``observation`` the number of corrupt
+    documents is observed on the same scan (reported once the rows are written).
     """
+    if nested not in NESTED_RULES:
+        raise ValueError(f"nested must be one of {sorted(NESTED_RULES)}")
     raw = read_envelopes(spark, paths, schema=schema, recursive=recursive, envelope=envelope)
     if observation is not None:
         raw = raw.observe(observation, corrupt_count(raw))
-    rows = add_lineage(nested_to_json(flatten_envelope(raw, envelope, carry=[SOURCE_PATH])))
+    rows = add_lineage(nested_to_json(flatten_envelope(raw, envelope, carry=[SOURCE_PATH]), NESTED_RULES[nested]))
     return all_as_text(rows) if as_text else rows
 
 
 def ingest_history(spark: SparkSession, feed: LandingFeed, history: HistoryTable, dates: str, *,
                    envelope: str = "Data", starting_from: str | None = None,
                    schema: StructType | None = None, as_text: bool = False,
-                   max_records_per_file: int | None = None, single_file: bool = False) -> RunResult:
+                   max_records_per_file: int | None = None, single_file: bool = False,
+                   nested: str = "all") -> RunResult:
     """Run one ingest. NO_NEW_DATA when nothing can be read; errors propagate."""
     configure(spark)
     try:
@@ -51,7 +60,8 @@ def ingest_history(spark: SparkSession, feed: LandingFeed, history: HistoryTable
             raise NoNewData(f"no delivery folder for {dates}")
         scanned = Observation("landing_scan")
         try:
-            rows = history_frame(spark, folders, envelope, schema=schema, as_text=as_text, observation=scanned)
+            rows = history_frame(spark, folders, envelope, schema=schema, as_text=as_text, observation=scanned,
+                                 nested=nested)
         except NoNewData as exc:
             corrupt = corrupt_documents(spark, folders).count()
             return RunResult(Outcome.NO_NEW_DATA, str(exc), {"folders": len(folders), "corrupt_documents": corrupt})

@@ -41,6 +41,8 @@ from quayside.sources.landing import LandingFeed
 from quayside.streaming.landing_stream import ingest_arrivals
 from quayside.testing import write_deliveries
 
+# Bump when the landed fixture's shape changes (landing_records / write_deliveries),
+# so cached fixtures from an older layout are not reused.
 CACHE_VERSION = "v1"
 _cache_token = ""
 

@@ -1,8 +1,10 @@
-"""The enveloped multiline JSON scan (S1) and the no-envelope guard (F2).
+"""The enveloped JSON document scan (S1) and the no-envelope guard (F2).
 
-Every scalar leaf is kept as text (``primitivesAsString``) so number text such
-as ``1e3`` or a 23-digit id survives verbatim; malformed documents land in a
-corrupt-record column instead of failing the scan.
+One file holds one document (pretty-printed or not) or a top-level array of
+documents. Every scalar leaf is kept as text (``primitivesAsString``) so
+number text such as ``1.50``, ``1e3`` or a 23-digit id survives verbatim;
+malformed documents land in a corrupt-record column instead of failing the
+scan.
 """
 
 from __future__ import annotations

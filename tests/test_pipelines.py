@@ -66,3 +66,11 @@ def test_text_mode_and_single_file_layout(spark, landing, tmp_path):
     df = history.read(spark)
     assert df.schema["ingestion_date"].dataType.typeName() == "date"
     assert df.first()["n"] == '{"a":"1"}'
+
+
+def test_struct_like_rule_keeps_scalar_arrays(spark, landing, tmp_path):
+    root = landing({"20240101/a.json": {"Data": [{"id": 1, "tags": ["a", "b"], "s": {"x": 1}}]}})
+    history = HistoryTable(str(tmp_path / "history"))
+    assert ingest_history(spark, LandingFeed(root, "feed"), history, "all", nested="struct_like").ok
+    r = history.read(spark).first()
+    assert r["tags"] == ["a", "b"] and r["s"] == '{"x":"1"}'

@@ -33,6 +33,13 @@ AUTO_CAST_TYPES = (
     LongType, ShortType, StructType, ArrayType,
 )
 
+# The short zone aliases Java's ZoneId.SHORT_IDS maps to regions,
+# which Spark accepts wherever it takes a zone id.
+JAVA_SHORT_ZONE_IDS = frozenset({
+    "ACT", "AET", "AGT", "ART", "AST", "BET", "BST", "CAT", "CNT", "CST", "CTT", "EAT", "ECT", "EST",
+    "HST", "IET", "IST", "JST", "MIT", "MST", "NET", "NST", "PLT", "PNT", "PRT", "PST", "SST", "VST",
+})
+
 _OFFSET_ZONE = re.compile(r"^(?:(?:UTC|GMT|UT)?[+-]\d{1,2}(?::?\d{2}){0,2}|Z|UTC|GMT|UT)$")
 
 
@@ -57,7 +64,7 @@ def check_zone_id(zone: str) -> str:
     """Validate a literal zone: region id (``Europe/Paris``) or a fixed offset."""
     if not isinstance(zone, str) or not zone:
         raise ContractError(f"bad time zone literal {zone!r}")
-    if _OFFSET_ZONE.match(zone):
+    if _OFFSET_ZONE.match(zone) or zone in JAVA_SHORT_ZONE_IDS:
         return zone
     try:
         zoneinfo.ZoneInfo(zone)

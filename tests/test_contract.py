@@ -190,3 +190,10 @@ def test_apply_contract_strict_expression(spark):
     df = spark.createDataFrame([("1", dt.date(2024, 1, 1))], "v string, ingestion_date date")
     out = apply_contract(df, [{"name": "w", "expression": "v || '0'", "type": "int"}])
     assert out.first().w == 10 and out.columns == ["w", "ingestion_date"]
+
+
+@pytest.mark.parametrize("zone,expected", [("PST", dt.datetime(2024, 7, 1, 19, 0)), ("+02:00", dt.datetime(2024, 7, 1, 10, 0)),
+                                           ("UTC", dt.datetime(2024, 7, 1, 12, 0))])
+def test_zone_literal_forms_accepted_by_spark(spark, zone, expected):
+    df = spark.createDataFrame([("2024-07-01 12:00:00",)], "v string")
+    assert df.select(field_column(_ts({"type": "literal", "value": zone}), df.schema)).first().t == expected

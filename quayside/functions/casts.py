@@ -40,6 +40,10 @@ JAVA_SHORT_ZONE_IDS = frozenset({
     "HST", "IET", "IST", "JST", "MIT", "MST", "NET", "NST", "PLT", "PNT", "PRT", "PST", "SST", "VST",
 })
 
+# The pattern letters Spark's datetime parser documents for
+# parsing; week-based and other legacy letters are refused by Spark at run time.
+DATETIME_PATTERN_LETTERS = frozenset("GyDMLdQqEFahKkHmsSVzOXxZ")
+
 _OFFSET_ZONE = re.compile(r"^(?:(?:UTC|GMT|UT)?[+-]\d{1,2}(?::?\d{2}){0,2}|Z|UTC|GMT|UT)$")
 
 
@@ -73,6 +77,17 @@ def check_zone_id(zone: str) -> str:
     return zone
 
 
+def check_date_pattern(pattern: str) -> str:
+    """Reject a date pattern whose letters Spark cannot parse with (quoted text is literal)."""
+    if not isinstance(pattern, str) or not pattern:
+        raise ContractError(f"bad date pattern {pattern!r}")
+    unquoted = re.sub(r"'[^']*'", "", pattern)
+    bad = sorted({ch for ch in unquoted if ch.isascii() and ch.isalpha() and ch not in DATETIME_PATTERN_LETTERS})
+    if bad:
+        raise ContractError(f"unsupported letters {bad} in date pattern {pattern!r}")
+    return pattern
+
+
 def _definition(rule: dict[str, Any], key: str) -> dict[str, Any]:
     meta = rule.get("metadata") or {}
     if key not in meta:
@@ -131,7 +146,7 @@ def field_column(rule: dict[str, Any], schema: StructType, *, strict: bool = Fal
         if source_format.get("type") != "string" or not source_format.get("date_format"):
             raise ContractError(f"Unsupported source_format {source_format} for field {rule.get('source_name')}")
         value, _ = _source(rule, schema, case_sensitive)
-        pattern = source_format["date_format"]
+        pattern = check_date_pattern(source_format["date_format"])
         return (F.to_date(value, pattern) if strict else F.try_to_date(value, pattern)).alias(name)
     raise ContractError(f"Unsupported cast to {dtype.simpleString()} for field {rule.get('source_name')}")
 

@@ -197,3 +197,16 @@ def test_apply_contract_strict_expression(spark):
 def test_zone_literal_forms_accepted_by_spark(spark, zone, expected):
     df = spark.createDataFrame([("2024-07-01 12:00:00",)], "v string")
     assert df.select(field_column(_ts({"type": "literal", "value": zone}), df.schema)).first().t == expected
+
+
+@pytest.mark.parametrize("pattern,ok", [("dd/MM/yyyy", True), ("yyyy-MM-dd'T'HH", True), ("YYYY-ww", False),
+                                        ("yyyy-MM-dd u", False)])
+def test_date_patterns_checked_before_any_job(spark, pattern, ok):
+    df = spark.createDataFrame([("01/07/2024",)], "v string")
+    rule = {"name": "d", "source_name": "v", "type": "date",
+            "metadata": {"date_definition": {"source_format": {"type": "string", "date_format": pattern}}}}
+    if ok:
+        field_column(rule, df.schema)
+    else:
+        with pytest.raises(ContractError):
+            field_column(rule, df.schema)

@@ -47,6 +47,7 @@ class CurrentStateTable:
     tiebreak: object = ROW_HASH
     files_per_bucket: int = 1
     max_records_per_file: int | None = None
+    target_file_bytes: int = 512 * 1024 * 1024
 
     # -- locations -------------------------------------------------------------
     def _pointer(self) -> str:
@@ -80,12 +81,29 @@ class CurrentStateTable:
     def _bucketed(self, df: DataFrame) -> DataFrame:
         return df.withColumn(BUCKET, bucket_of(col(self.key), self.num_buckets))
 
-    def _write(self, df: DataFrame, location: str, dynamic: bool) -> None:
+    def writers_per_bucket(self, spark: SparkSession, touched: list[int]) -> int:
+        """Writers per rewritten bucket: enough that a file stays near ``target_file_bytes``.
+
+        Sized from the current files of the touched buckets (one recursive
+        metadata listing); never below ``files_per_bucket``.
+        """
+        loc = self.location(spark)
+        wanted = {f"{BUCKET}={b}" for b in touched}
+        sizes: dict[str, int] = {}
+        for e in fs.list_files_recursive(spark, loc):
+            parent = e.path.rsplit("/", 2)[-2]
+            if parent in wanted:
+                sizes[parent] = sizes.get(parent, 0) + e.length
+        largest = max(sizes.values(), default=0)
+        return max(self.files_per_bucket, -(-largest // self.target_file_bytes))
+
+    def _write(self, df: DataFrame, location: str, dynamic: bool, writers: int | None = None) -> None:
         # One shuffle by bucket, so a bucket's files come from few tasks; a large
-        # bucket is spread over ``files_per_bucket`` writers by a second hash.
+        # bucket is spread over several writers by a second hash of the key.
+        writers = writers or self.files_per_bucket
         spread = [col(BUCKET)]
-        if self.files_per_bucket > 1:
-            spread.append(F.pmod(F.hash(col(self.key)), F.lit(self.files_per_bucket)))
+        if writers > 1:
+            spread.append(F.pmod(F.hash(col(self.key)), F.lit(writers)))
         w = df.repartition(*spread).write.partitionBy(BUCKET)
         if self.max_records_per_file:
             w = w.option("maxRecordsPerFile", self.max_records_per_file)
@@ -112,13 +130,15 @@ class CurrentStateTable:
             if not touched:
                 raise NoNewData("no update rows")
             loc = self.location(spark)
+            writers = self.writers_per_bucket(spark, touched)
             obs = Observation("current_upsert")
             out = self.merge_frame(spark, spark.read.parquet(staging), touched)
-            self._write(out.observe(obs, F.count(F.lit(1)).alias("rows_written")), loc, dynamic=True)
+            self._write(out.observe(obs, F.count(F.lit(1)).alias("rows_written")), loc, dynamic=True,
+                        writers=writers)
         finally:
             fs.delete(spark, staging)
         return {"created": False, "buckets_touched": len(touched), "rows_staged": staged.get["rows_staged"],
-                **obs.get}
+                "writers_per_bucket": writers, **obs.get}
 
     def merge_frame(self, spark: SparkSession, staged: DataFrame, touched: list[int]) -> DataFrame:
         """New rows of the ``touched`` buckets: their target rows merged with ``staged``.

@@ -144,3 +144,26 @@ def test_full_replace_drops_dates_not_rebuilt_and_survives_a_failed_job(spark, t
     with pytest.raises(Exception):
         h.replace_all(boom)
     assert sorted((r.id, r.v) for r in h.read(spark).collect()) == [("3", "new"), ("5", "new")]
+
+
+def test_writers_per_bucket_follow_bucket_size(spark, tmp_path):
+    schema = "id long, ingestion_date date, v string"
+    rows = [(i, D(2024, 1, 1), "x" * 50) for i in range(400)]
+    t = CurrentStateTable(str(tmp_path / "cur"), key="id", num_buckets=2, target_file_bytes=2048)
+    t.upsert(spark, spark.createDataFrame(rows, schema))
+    # AQE would merge these tiny shuffle partitions; at real sizes it keeps partitions
+    # above the advisory size apart, which is what the writer count relies on.
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        m = t.upsert(spark, spark.createDataFrame([(i, D(2024, 1, 2), "y") for i in range(0, 400, 7)], schema))
+    finally:
+        spark.conf.set(key, before)
+    assert m["writers_per_bucket"] > 1
+    loc = t.location(spark)
+    files = [f for b in os.listdir(loc) if b.startswith(BUCKET) for f in os.listdir(os.path.join(loc, b))
+             if f.endswith(".parquet")]
+    assert len(files) > 2
+    state = {r.id: r.v for r in t.read(spark).collect()}
+    assert len(state) == 400 and state[7] == "y" and state[8] == "x" * 50

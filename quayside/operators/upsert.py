@@ -6,15 +6,24 @@ target.order``; keys only in the updates are inserted; all other target rows
 are kept. Null keys never match (SQL equality), so a null-key update is always
 inserted and null-key target rows are always kept.
 
-Plan: one full-outer equi-join on the key (both sides shuffled by key once).
-Null-key rows bypass the join entirely, so they never pile up in one hash
-partition. Both sides have at most one row per key after deduplication, so
-the join itself has no key skew.
+Two plans, same rows:
+
+* ``strategy="shuffle"`` (default): one full-outer equi-join on the key, both
+  sides shuffled by key once. Null keys are salted, so they never pile up in
+  one hash partition. Both sides have at most one row per key after
+  deduplication, so the join itself has no key skew. Works at any size.
+* ``strategy="broadcast"``: the target is never shuffled. Target rows meet
+  the broadcast updates in a left-outer hash join (each row keeps itself or
+  takes its update). Inserts are the updates whose key no target row has;
+  those keys come from a key-only scan of the target semi-joined with the
+  broadcast update keys, so they are at most as many as the updates. Only
+  for update sets whose size the caller has checked (the bucketed
+  current-state table measures its staged updates first).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StructType
 
@@ -23,6 +32,7 @@ from quayside.functions.nested import typed_null
 from quayside.operators.latest import ROW_HASH, latest_per_key
 
 NULL_KEY_POLICIES = ("keep", "drop", "fail")
+STRATEGIES = ("shuffle", "broadcast")
 NULL_KEY_SALTS = 8192
 
 
@@ -46,10 +56,18 @@ def align(df: DataFrame, schema: StructType) -> DataFrame:
 
 
 def upsert(target: DataFrame, updates: DataFrame, key: str = "id", order: str = "ingestion_date", *,
-           dedupe: bool = True, tiebreak=ROW_HASH, on_null_key: str = "keep") -> DataFrame:
-    """Return the new target state after merging ``updates`` into ``target``."""
+           dedupe: bool = True, tiebreak=ROW_HASH, on_null_key: str = "keep",
+           strategy: str = "shuffle") -> DataFrame:
+    """Return the new target state after merging ``updates`` into ``target``.
+
+    ``strategy="broadcast"`` ships the (deduplicated) updates to every task
+    instead of shuffling the target; use it only for an update set of known,
+    small size.
+    """
     if on_null_key not in NULL_KEY_POLICIES:
         raise ValueError(f"on_null_key must be one of {NULL_KEY_POLICIES}")
+    if strategy not in STRATEGIES:
+        raise ValueError(f"strategy must be one of {STRATEGIES}")
     schema = union_schema(target.schema, updates.schema)
     names = schema.fieldNames()
     t = align(target, schema)
@@ -59,21 +77,39 @@ def upsert(target: DataFrame, updates: DataFrame, key: str = "id", order: str =
     k = col(key)
     if on_null_key == "drop":
         t, u = t.where(k.isNotNull()), u.where(k.isNotNull())
-
-    def side(df: DataFrame, name: str) -> DataFrame:
-        row = [col(c) for c in names]
-        salt = F.when(k.isNull(), F.pmod(F.xxhash64(*_hashable(df)), F.lit(NULL_KEY_SALTS))).otherwise(F.lit(0))
-        return df.select(k.alias("__k"), salt.alias("__s"), F.struct(*row).alias(name))
-
-    joined = side(t, "__o").join(side(u, "__u"), ["__k", "__s"], "full_outer")
-    o, n = F.col("__o"), F.col("__u")
-    take_update = o.isNull() | (n.isNotNull() & F.coalesce(n.getField(order) >= o.getField(order), F.lit(False)))
-    chosen = F.when(take_update, n).otherwise(o)
-    if on_null_key == "fail":
+    elif on_null_key == "fail":
         # A null-key update row fails the job when the result is computed.
-        bad = n.isNotNull() & n.getField(key).isNull()
-        chosen = F.when(bad, F.raise_error(F.lit(f"null {key} in updates")).cast(schema)).otherwise(chosen)
-    return joined.select(chosen.alias("__r")).select(*[F.col("__r").getField(c).alias(c) for c in names])
+        u = u.withColumn(key, F.when(k.isNull(), F.raise_error(F.lit(f"null {key} in updates"))).otherwise(k))
+    row = F.struct(*[col(c) for c in names])
+    if strategy == "broadcast":
+        result = _merge_broadcast(t, u, key, order, row)
+    else:
+        def side(df: DataFrame, name: str) -> DataFrame:
+            salt = F.when(k.isNull(), F.pmod(F.xxhash64(*_hashable(df)), F.lit(NULL_KEY_SALTS))).otherwise(F.lit(0))
+            return df.select(k.alias("__k"), salt.alias("__s"), row.alias(name))
+
+        joined = side(t, "__o").join(side(u, "__u"), ["__k", "__s"], "full_outer")
+        result = joined.select(_chosen(F.col("__o"), F.col("__u"), order).alias("__r"))
+    return result.select(*[F.col("__r").getField(c).alias(c) for c in names])
+
+
+def _chosen(o: Column, n: Column, order: str) -> Column:
+    """The update when there is no target row, or when it is not older; else the target row."""
+    take_update = o.isNull() | (n.isNotNull() & F.coalesce(n.getField(order) >= o.getField(order), F.lit(False)))
+    return F.when(take_update, n).otherwise(o)
+
+
+def _merge_broadcast(t: DataFrame, u: DataFrame, key: str, order: str, row: Column) -> DataFrame:
+    """K4 without shuffling the target (see the module notes); returns one ``__r`` struct column."""
+    updates = F.broadcast(u.select(col(key).alias("__k"), row.alias("__u")))
+    kept = (t.select(col(key).alias("__k"), row.alias("__o"))
+            .join(updates, "__k", "left_outer")
+            .select(_chosen(F.col("__o"), F.col("__u"), order).alias("__r")))
+    # Update keys some target row has (null keys never match); bounded by the update count.
+    matched = t.select(col(key).alias("__k")).join(F.broadcast(u.select(col(key).alias("__k"))), "__k", "left_semi")
+    inserted = (u.select(col(key).alias("__k"), row.alias("__r"))
+                .join(F.broadcast(matched), "__k", "left_anti").select("__r"))
+    return kept.unionByName(inserted)
 
 
 def _hashable(df: DataFrame) -> list:

@@ -10,7 +10,10 @@ Layout::
   (at most N small integers) are observed on that write and prune the target
   scan; the merge is :func:`quayside.operators.upsert.upsert`; the result is
   written back with dynamic partition overwrite, one shuffle by bucket so each
-  bucket is written by few tasks.
+  bucket is written by few tasks. The staged files' size is measured (one
+  listing): up to ``broadcast_update_bytes`` the updates are broadcast and the
+  target rows are shuffled only once, for the write; above it the merge is a
+  shuffled full-outer join, which works at any size.
 * Reload (K5) writes the deduplicated updates as a new generation, then
   flips ``_CURRENT``; readers of the old generation are not disturbed.
 * The first run creates the table (K6: the target does not need to pre-exist).
@@ -48,6 +51,9 @@ class CurrentStateTable:
     files_per_bucket: int = 1
     max_records_per_file: int | None = None
     target_file_bytes: int = 512 * 1024 * 1024
+    # Staged (deduplicated, parquet) update size up to which the merge broadcasts
+    # the updates instead of shuffling the target for the join; 0 disables it.
+    broadcast_update_bytes: int = 64 * 1024 * 1024
 
     # -- locations -------------------------------------------------------------
     def _pointer(self) -> str:
@@ -131,26 +137,31 @@ class CurrentStateTable:
                 raise NoNewData("no update rows")
             loc = self.location(spark)
             writers = self.writers_per_bucket(spark, touched)
+            staged_bytes = sum(e.length for e in fs.list_files_recursive(spark, staging)
+                               if not e.name.startswith(("_", ".")))
+            strategy = "broadcast" if staged_bytes <= self.broadcast_update_bytes else "shuffle"
             obs = Observation("current_upsert")
-            out = self.merge_frame(spark, spark.read.parquet(staging), touched)
+            out = self.merge_frame(spark, spark.read.parquet(staging), touched, strategy)
             self._write(out.observe(obs, F.count(F.lit(1)).alias("rows_written")), loc, dynamic=True,
                         writers=writers)
         finally:
             fs.delete(spark, staging)
         return {"created": False, "buckets_touched": len(touched), "rows_staged": staged.get["rows_staged"],
-                "writers_per_bucket": writers, **obs.get}
+                "staged_bytes": staged_bytes, "merge": strategy, "writers_per_bucket": writers, **obs.get}
 
-    def merge_frame(self, spark: SparkSession, staged: DataFrame, touched: list[int]) -> DataFrame:
+    def merge_frame(self, spark: SparkSession, staged: DataFrame, touched: list[int],
+                    strategy: str = "shuffle") -> DataFrame:
         """New rows of the ``touched`` buckets: their target rows merged with ``staged``.
 
         ``staged`` holds deduplicated updates with their bucket column. Only
-        the touched buckets of the live generation are scanned. Buckets
+        the touched buckets of the live generation are scanned.
+        ``strategy="broadcast"`` is for a staged set whose size was checked. Buckets
         rewritten after a contract gained a column carry it and others do
         not, so file schemas are merged (old rows read the new column as null).
         """
         target = (spark.read.option("mergeSchema", True).parquet(self.location(spark))
                   .where(col(BUCKET).isin(touched)).drop(BUCKET))
-        merged = upsert(target, staged.drop(BUCKET), self.key, self.order, dedupe=False)
+        merged = upsert(target, staged.drop(BUCKET), self.key, self.order, dedupe=False, strategy=strategy)
         return self._bucketed(merged)
 
     def _publish_generation(self, spark: SparkSession, updates: DataFrame) -> dict:

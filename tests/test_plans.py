@@ -37,6 +37,18 @@ def test_upsert_merge_scans_only_touched_buckets(spark, tmp_path):
     assert "FullOuter" in p
 
 
+def test_broadcast_merge_never_shuffles_the_target(spark, tmp_path):
+    t = CurrentStateTable(str(tmp_path / "cur"), key="id", num_buckets=16)
+    schema = "id long, ingestion_date date, v string"
+    t.upsert(spark, spark.createDataFrame([(i, D(2024, 1, 1), "a") for i in range(100)], schema))
+    staged = t._bucketed(spark.createDataFrame([(5, D(2024, 1, 2), "b"), (500, D(2024, 1, 2), "c")], schema))
+    touched = sorted({r[0] for r in staged.select(BUCKET).collect()})
+    p = plan(t.merge_frame(spark, staged, touched, "broadcast"))
+    assert "Exchange hashpartitioning" not in p and "FullOuter" not in p
+    assert "BroadcastHashJoin" in p and "LeftOuter" in p and "LeftAnti" in p and "LeftSemi" in p
+    assert "ReadSchema: struct<id:bigint>" in p  # the matched-key scan reads the key column only
+
+
 def test_upsert_dedupes_updates_map_side_and_joins_on_salted_key(spark):
     schema = "id long, ingestion_date date, v string"
     t = spark.createDataFrame([(1, D(2024, 1, 1), "a")], schema)

@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from quayside.operators.latest import latest_per_key
-from quayside.operators.upsert import upsert
+from quayside.operators.upsert import STRATEGIES, upsert
 
 SCHEMA = "id long, ingestion_date date, v string"
 D = dt.date
@@ -31,25 +31,32 @@ def state(df):
     ([(3, D(2024, 1, 2), "a")], [], [(3, D(2024, 1, 2), "a")]),
     ([(3, None, "a")], [(3, D(2024, 1, 3), "b")], [(3, None, "a")]),
 ])
-def test_upsert_rules(spark, target, updates, expected):
-    assert state(upsert(frame(spark, target), frame(spark, updates))) == expected
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_upsert_rules(spark, target, updates, expected, strategy):
+    assert state(upsert(frame(spark, target), frame(spark, updates), strategy=strategy)) == expected
 
 
-def test_null_keys_never_match(spark):
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_null_keys_never_match(spark, strategy):
     out = upsert(frame(spark, [(None, D(2024, 1, 1), "a")]),
-                 frame(spark, [(None, D(2024, 1, 2), "b"), (None, D(2024, 1, 3), "c")]))
+                 frame(spark, [(None, D(2024, 1, 2), "b"), (None, D(2024, 1, 3), "c")]), strategy=strategy)
     assert sorted(r.v for r in out.collect()) == ["a", "c"]
     dropped = upsert(frame(spark, [(None, D(2024, 1, 1), "a"), (1, D(2024, 1, 1), "x")]),
-                     frame(spark, [(None, D(2024, 1, 2), "b")]), on_null_key="drop")
+                     frame(spark, [(None, D(2024, 1, 2), "b")]), on_null_key="drop", strategy=strategy)
     assert state(dropped) == [(1, D(2024, 1, 1), "x")]
     with pytest.raises(Exception):
-        upsert(frame(spark, []), frame(spark, [(None, D(2024, 1, 2), "b")]), on_null_key="fail").collect()
+        upsert(frame(spark, []), frame(spark, [(None, D(2024, 1, 2), "b")]), on_null_key="fail",
+               strategy=strategy).collect()
+    kept = upsert(frame(spark, [(None, D(2024, 1, 1), "a")]), frame(spark, [(1, D(2024, 1, 2), "b")]),
+                  on_null_key="fail", strategy=strategy)
+    assert state(kept) == [(None, D(2024, 1, 1), "a"), (1, D(2024, 1, 2), "b")]
 
 
-def test_new_update_columns_evolve_the_target(spark):
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_new_update_columns_evolve_the_target(spark, strategy):
     target = frame(spark, [(1, D(2024, 1, 1), "a"), (2, D(2024, 1, 1), "b")])
     updates = spark.createDataFrame([(1, D(2024, 1, 2), "c", 9)], "id long, ingestion_date date, v string, w int")
-    out = sorted(tuple(r) for r in upsert(target, updates).collect())
+    out = sorted(tuple(r) for r in upsert(target, updates, strategy=strategy).collect())
     assert out == [(1, D(2024, 1, 2), "c", 9), (2, D(2024, 1, 1), "b", None)]
 
 
@@ -79,6 +86,7 @@ def test_upsert_matches_brute_force_and_is_idempotent(spark, target, updates):
     t = latest_per_key(frame(spark, rows(target)), ["id"], tiebreak=["v"])
     u = frame(spark, rows(updates))
     once = upsert(t, u, tiebreak=["v"])
+    assert state(upsert(t, u, tiebreak=["v"], strategy="broadcast")) == state(once)
     # brute force on the driver over the tiny fixture
     cur = {r.id: (r.ingestion_date, r.v) for r in t.collect()}
     newest = {}

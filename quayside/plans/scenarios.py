@@ -43,7 +43,7 @@ from quayside.testing import write_deliveries
 
 # Bump when the landed fixture's shape changes (landing_records / write_deliveries),
 # so cached fixtures from an older layout are not reused.
-CACHE_VERSION = "v1"
+CACHE_VERSION = "v2"
 _cache_token = ""
 
 

@@ -27,7 +27,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
     Scratch tables and lineage cuts go there, never to a machine-local
-    folder. Only when the setting is absent (local tests) one is created.
+    folder. Only when the setting is absent on a ``local`` master (tests) is
+    a temporary folder created; on a cluster the setting is required.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
@@ -38,6 +39,9 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not str(sc.master).startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach "
+                           "(staging tables and stream checkpoints are written there)")
     local = tempfile.mkdtemp(prefix="quayside-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir().rstrip("/")

@@ -1,16 +1,15 @@
 """Land a Spark table as dated JSON deliveries, for scenarios and tests.
 
 Writes ``<root>/<dataset>/<yyyyMMdd>/part-*.txt``, each file one envelope
-document ``{"Data": [records...], "Meta": ...}``. Records are grouped per day
-into documents of about ``rows_per_document`` rows by a hash of the row, so
-no group grows with the data; ``maxRecordsPerFile=1`` makes every document
-its own file (a multiline JSON file holds one document).
+document ``{"Data": [records...], "Meta": ...}``. Each day's records are
+split into ``ceil(rows of the day / rows_per_document)`` documents by a hash
+of the row, so no document grows with the data, even for a day holding a
+third of all rows; ``maxRecordsPerFile=1`` makes every document its own file
+(a multiline JSON file holds one document).
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +18,8 @@ from quayside.session import new_scratch_path
 from quayside.sources import fs
 from quayside.sources.landing import LandingFeed
 
+MAX_BROADCAST_DAYS = 100_000
+
 
 def write_deliveries(df: DataFrame, feed: LandingFeed, day: Column, *, rows_per_document: int = 2000,
                      envelope: str = "Data", meta: str = "delivery") -> list[str]:
@@ -27,14 +28,20 @@ def write_deliveries(df: DataFrame, feed: LandingFeed, day: Column, *, rows_per_
     Returns the folders written. Fails if a day folder already exists.
     """
     spark = df.sparkSession
-    stats = df.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(day).alias("days")).first()
-    if not stats["n"]:
-        return []
-    per_day = max(1, math.ceil(stats["n"] / max(1, stats["days"]) / rows_per_document))
     record = F.struct(*[col(c) for c in df.columns])
-    docs = (df.select(F.date_format(day, "yyyyMMdd").alias("__day"),
-                      F.pmod(F.xxhash64(*[col(c) for c in df.columns]), F.lit(per_day)).alias("__doc"),
-                      record.alias("__rec"))
+    rows = df.select(F.date_format(day, "yyyyMMdd").alias("__day"),
+                     F.xxhash64(*[col(c) for c in df.columns]).alias("__hash"), record.alias("__rec"))
+    # Documents per day, from one row per day (partial counts before the shuffle).
+    per_day = (rows.groupBy("__day").agg(F.count(F.lit(1)).alias("__n"))
+               .select("__day", F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(rows_per_document)))
+                       .alias("__docs")))
+    days = per_day.count()
+    if not days:
+        return []
+    # One row per delivery day: broadcast it when that is small, else a shuffled join.
+    per_day = F.broadcast(per_day) if days <= MAX_BROADCAST_DAYS else per_day
+    docs = (rows.join(per_day, "__day")
+            .select("__day", F.pmod(F.col("__hash"), F.col("__docs")).alias("__doc"), "__rec")
             .groupBy("__day", "__doc")
             .agg(F.collect_list("__rec").alias(envelope))
             .select("__day", F.to_json(F.struct(F.col(envelope), F.lit(meta).alias("Meta"))).alias("value")))

@@ -193,3 +193,26 @@ def test_document_field_named_like_provenance_is_replaced(spark, landing):
     root = landing({"20240101/a.json": {"Data": [{"id": 1}], "source_path": "elsewhere"}})
     r = history_frame(spark, [f"{root}/feed/20240101"]).first()
     assert r["source_path"].endswith("/feed/20240101/a.json")
+
+
+def test_landed_documents_stay_bounded_on_a_hot_day(spark, tmp_path):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from quayside.testing import write_deliveries
+    # day 1 holds 3,000 rows, days 2 and 3 hold 50 each
+    data = [(i, dt.date(2024, 1, 1)) for i in range(3000)] + [(3000 + i, dt.date(2024, 1, 2 + i % 2)) for i in range(100)]
+    df = spark.createDataFrame(data, "id long, d date")
+    feed = LandingFeed(str(tmp_path / "landing"), "hot")
+    write_deliveries(df, feed, F.col("d"), rows_per_document=500)
+    docs = read_envelopes(spark, [feed.folder(d) for d in ("20240101", "20240102", "20240103")])
+    sizes = sorted((r.day, r.n) for r in docs.select(
+        F.regexp_extract("source_path", r"/([0-9]{8})/", 1).alias("day"), F.size("Data").alias("n")).collect())
+    per_day = {}
+    for day, n in sizes:
+        per_day.setdefault(day, []).append(n)
+    assert len(per_day["20240101"]) == 6 and sum(per_day["20240101"]) == 3000
+    assert max(per_day["20240101"]) < 1000  # split by row hash, near 500 each
+    assert per_day["20240102"] == [50] and per_day["20240103"] == [50]
+    assert history_frame(spark, [feed.path], recursive=True).count() == 3100

@@ -47,6 +47,8 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--key", default="id")
     c.add_argument("--order", default="ingestion_date")
     c.add_argument("--buckets", type=int, default=64)
+    c.add_argument("--broadcast-update-mb", type=int, default=64,
+                   help="staged update size up to which the merge broadcasts the updates (0: always shuffle)")
     c.add_argument("--dates", default="all",
                    help="'all' = reload from all history; else read only these dates' look-back window")
     c.add_argument("--full-scan", action="store_true", help="upsert from all history instead of the window")
@@ -71,7 +73,8 @@ def run(argv: list[str], spark: SparkSession | None = None) -> RunResult:
     dates = args.dates.strip().lower()
     reload = dates == "all"
     window = None if reload or args.full_scan else sorted(lookback_window(dates))
-    target = CurrentStateTable(args.target, key=args.key, order=args.order, num_buckets=args.buckets)
+    target = CurrentStateTable(args.target, key=args.key, order=args.order, num_buckets=args.buckets,
+                               broadcast_update_bytes=args.broadcast_update_mb * 1024 * 1024)
     return build_current_state(spark, HistoryTable(args.history), Contract.load(args.contract), target,
                                reload=reload, dates=window, view=args.view, strict=args.strict,
                                freshness_column=args.freshness_column)

@@ -24,7 +24,11 @@ def test_history_then_current(spark, landing, tmp_path):
     assert res.ok and sorted((r.id, r.v) for r in spark.table("cli_cur").collect()) == [(1, "c"), (2, "b")]
     res = run(["current", "--history", history, "--contract", str(contract), "--target", target,
                "--dates", "20240102"], spark)
-    assert res.ok and res.metrics["rows_staged"] == 2
+    assert res.ok and res.metrics["rows_staged"] == 2 and res.metrics["merge"] == "broadcast"
+    res = run(["current", "--history", history, "--contract", str(contract), "--target", target,
+               "--dates", "20240102", "--broadcast-update-mb", "0", "--view", "cli_cur"], spark)
+    assert res.ok and res.metrics["merge"] == "shuffle"
+    assert sorted((r.id, r.v) for r in spark.table("cli_cur").collect()) == [(1, "c"), (2, "b")]
     res = run(["history", "--landing-root", root, "--dataset", "feed", "--dates", "20240301", "--history", history],
               spark)
     assert res.outcome is Outcome.NO_NEW_DATA

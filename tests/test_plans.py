@@ -77,3 +77,25 @@ def test_library_has_no_udfs_or_rdds():
     text = "\n".join(f.read_text() for f in src.rglob("*.py"))
     for pattern in (r"\budf\(", r"pandas_udf", r"mapInPandas", r"applyInPandas", r"\.rdd\b", r"localCheckpoint"):
         assert not re.search(pattern, text), pattern
+
+
+def test_hot_delivery_day_is_written_by_many_tasks(spark, tmp_path):
+    import os
+
+    from pyspark.sql import functions as F
+
+    from quayside.plans.history_ingest import ingest_history
+    from quayside.sinks.history import HistoryTable
+    from quayside.sources.landing import LandingFeed
+    from quayside.testing import write_deliveries
+    # 2 Jan holds 90% of the rows
+    data = [(i, D(2024, 1, 2)) for i in range(1800)] + [(2000 + i, D(2024, 1, 1 + 2 * (i % 2))) for i in range(200)]
+    feed = LandingFeed(str(tmp_path / "landing"), "hot")
+    write_deliveries(spark.createDataFrame(data, "id long, d date"), feed, F.col("d"), rows_per_document=300)
+    history = HistoryTable(str(tmp_path / "h"))
+    result = ingest_history(spark, feed, history, "all")
+    assert result.ok and result.metrics["rows"] == 2000
+    hot = os.path.join(history.path, "ingestion_date=2024-01-02")
+    files = [f for f in os.listdir(hot) if f.endswith(".parquet")]
+    assert len(files) >= 4  # one writer per landing document's task, no single hot writer
+    assert history.read(spark, ["20240102"]).count() == 1800

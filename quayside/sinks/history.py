@@ -40,16 +40,27 @@ class HistoryTable:
 
     # -- S6 --------------------------------------------------------------------
     def read(self, spark: SparkSession, dates: Iterable[str] | None = None) -> DataFrame:
-        """All history (default), or only ``dates`` (yyyyMMdd) with partition pruning.
+        """All history (default), or only ``dates`` (yyyyMMdd).
 
-        Raises :class:`NoNewData` when the table holds no partition at all.
+        With ``dates`` only those dates' partition folders are opened (with
+        ``basePath``, so ``ingestion_date`` stays a typed partition column):
+        file listing and the schema merge touch the window, not the whole
+        table, and the date predicate is kept as a partition filter. Columns
+        that only older partitions have are then absent from the frame (the
+        contract projection fills declared ones with typed nulls).
+
+        Raises :class:`NoNewData` when the table, or every requested date, has no partition.
         """
         if not self.exists(spark):
             raise NoNewData(f"history table {self.path} is empty")
-        df = spark.read.option("mergeSchema", True).parquet(self.path)
-        if dates is not None:
-            df = df.where(in_dates(self.partition_column, dates))
-        return df
+        reader = spark.read.option("mergeSchema", True)
+        if dates is None:
+            return reader.parquet(self.path)
+        dates = set(dates)
+        present = [d for d in map(self.partition_dir, to_date_values(dates)) if fs.exists(spark, d)]
+        if not present:
+            raise NoNewData(f"history table {self.path} has no partition for {sorted(dates)}")
+        return reader.option("basePath", self.path).parquet(*present).where(in_dates(self.partition_column, dates))
 
     def partition_dir(self, day: dt.date) -> str:
         return f"{self.path.rstrip('/')}/{self.partition_column}={day.isoformat()}"

@@ -45,6 +45,21 @@ def test_history_read_prunes_partitions(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(ingestion_date" in plan
 
 
+def test_history_read_opens_only_the_window_partitions(spark, tmp_path):
+    h = HistoryTable(str(tmp_path / "h"))
+    h.replace_all(spark.createDataFrame([("1", "a", "old-only", D(2024, 1, 1))],
+                                        "id string, v string, gone string, ingestion_date date"))
+    h.replace_window(history_rows(spark, [("2", "b", D(2024, 1, 2)), ("3", "c", D(2024, 1, 3))]),
+                     {"20240102", "20240103"})
+    df = h.read(spark, dates=["20240103", "20240109"])  # 9 Jan has no partition
+    assert all("ingestion_date=2024-01-03" in f for f in df.inputFiles()) and df.inputFiles()
+    assert [(r.id, r.ingestion_date) for r in df.collect()] == [("3", D(2024, 1, 3))]
+    assert "gone" not in df.columns and dict(df.dtypes)["ingestion_date"] == "date"
+    assert "gone" in h.read(spark).columns
+    with pytest.raises(NoNewData):
+        h.read(spark, dates=["20240109"])
+
+
 def test_full_replace_and_schema_evolution(spark, tmp_path):
     h = HistoryTable(str(tmp_path / "h"))
     h.replace_all(history_rows(spark, [("1", "a", D(2024, 1, 1))]))

@@ -159,11 +159,27 @@ class CurrentStateTable:
         rewritten after a contract gained a column carry it and others do
         not, so file schemas are merged (old rows read the new column as null).
         """
-        target = (spark.read.option("mergeSchema", True).parquet(self.location(spark))
-                  .where(col(BUCKET).isin(touched)).drop(BUCKET))
+        target = self._read_buckets(spark, touched).drop(BUCKET)
         merged = upsert(target, staged.drop(BUCKET), self.key, self.order, dedupe=False, strategy=strategy)
         return self._bucketed(merged)
 
+    def _read_buckets(self, spark: SparkSession, buckets: list[int]) -> DataFrame:
+        """Rows of the given buckets of the live generation.
+
+        Only the existing folders of those buckets are opened (one listing of
+        the generation finds them; ``basePath`` keeps ``key_bucket`` a
+        partition column), so file listing and the schema merge scale with
+        the touched buckets, not the table. When none of them exists yet the
+        whole generation is opened instead, so column types still come from
+        the table. The bucket predicate stays as a partition filter.
+        """
+        loc = self.location(spark)
+        wanted = {f"{BUCKET}={b}" for b in buckets}
+        present = [e.path for e in fs.list_dir(spark, loc) if e.is_dir and e.name in wanted]
+        reader = spark.read.option("mergeSchema", True)
+        df = reader.option("basePath", loc).parquet(*present) if present else reader.parquet(loc)
+        return df.where(col(BUCKET).isin(buckets))
+
     def _publish_generation(self, spark: SparkSession, updates: DataFrame) -> dict:
         """Write the deduplicated ``updates`` as a new generation and make it live."""
         gen = self._next_generation(spark)

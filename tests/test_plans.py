@@ -37,6 +37,16 @@ def test_upsert_merge_scans_only_touched_buckets(spark, tmp_path):
     assert "FullOuter" in p
 
 
+def test_upsert_merge_opens_only_touched_bucket_folders(spark, tmp_path):
+    t = CurrentStateTable(str(tmp_path / "cur"), key="id", num_buckets=16)
+    schema = "id long, ingestion_date date, v string"
+    t.upsert(spark, spark.createDataFrame([(i, D(2024, 1, 1), "a") for i in range(100)], schema))
+    staged = t._bucketed(spark.createDataFrame([(5, D(2024, 1, 2), "b")], schema))
+    touched = [r[0] for r in staged.select(BUCKET).collect()]
+    files = [f for f in t.merge_frame(spark, staged, touched).inputFiles() if "/gen-" in f]
+    assert files and all(f"/{BUCKET}={touched[0]}/" in f for f in files)
+
+
 def test_broadcast_merge_never_shuffles_the_target(spark, tmp_path):
     t = CurrentStateTable(str(tmp_path / "cur"), key="id", num_buckets=16)
     schema = "id long, ingestion_date date, v string"

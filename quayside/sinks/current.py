@@ -11,7 +11,8 @@ Layout::
   scan; the merge is :func:`quayside.operators.upsert.upsert`; the result is
   written back with dynamic partition overwrite, one shuffle by bucket so each
   bucket is written by few tasks. The staged files' size is measured (one
-  listing): up to ``broadcast_update_bytes`` the updates are broadcast and the
+  listing; the row count is observed): up to ``broadcast_update_bytes`` and
+  ``broadcast_update_rows`` the updates are broadcast and the
   target rows are shuffled only once, for the write; above it the merge is a
   shuffled full-outer join, which works at any size.
 * Reload (K5) writes the deduplicated updates as a new generation, then
@@ -54,6 +55,9 @@ class CurrentStateTable:
     # Staged (deduplicated, parquet) update size up to which the merge broadcasts
     # the updates instead of shuffling the target for the join; 0 disables it.
     broadcast_update_bytes: int = 64 * 1024 * 1024
+    # ... and staged row count up to which it may (narrow rows compress well on disk,
+    # while a broadcast hash relation is bounded in rows as well as bytes).
+    broadcast_update_rows: int = 20_000_000
 
     # -- locations -------------------------------------------------------------
     def _pointer(self) -> str:
@@ -139,7 +143,9 @@ class CurrentStateTable:
             writers = self.writers_per_bucket(spark, touched)
             staged_bytes = sum(e.length for e in fs.list_files_recursive(spark, staging)
                                if not e.name.startswith(("_", ".")))
-            strategy = "broadcast" if staged_bytes <= self.broadcast_update_bytes else "shuffle"
+            small = (staged_bytes <= self.broadcast_update_bytes
+                     and staged.get["rows_staged"] <= self.broadcast_update_rows)
+            strategy = "broadcast" if small else "shuffle"
             obs = Observation("current_upsert")
             out = self.merge_frame(spark, spark.read.parquet(staging), touched, strategy)
             self._write(out.observe(obs, F.count(F.lit(1)).alias("rows_written")), loc, dynamic=True,

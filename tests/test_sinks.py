@@ -104,14 +104,14 @@ def test_upsert_merge_strategy_follows_staged_size(spark, tmp_path):
     base = spark.createDataFrame(base_rows + [(None, D(2024, 1, 1), "n")], schema)
     upd = spark.createDataFrame(upd_rows + [(None, D(2024, 1, 4), "m")], schema)
     states = {}
-    for limit, expected in ((1 << 30, "broadcast"), (0, "shuffle")):
+    for limit, rows, expected in ((1 << 30, 10**6, "broadcast"), (0, 10**6, "shuffle"), (1 << 30, 10, "by_rows")):
         t = CurrentStateTable(str(tmp_path / expected), key="id", num_buckets=8, tiebreak=["v"],
-                              broadcast_update_bytes=limit)
+                              broadcast_update_bytes=limit, broadcast_update_rows=rows)
         t.upsert(spark, base)
         m = t.upsert(spark, upd)
-        assert m["merge"] == expected and m["staged_bytes"] > 0
+        assert m["merge"] == ("shuffle" if expected == "by_rows" else expected) and m["staged_bytes"] > 0
         states[expected] = sorted(((r.id is None, r.id or 0), r.ingestion_date, r.v) for r in t.read(spark).collect())
-    assert states["broadcast"] == states["shuffle"]
+    assert states["broadcast"] == states["shuffle"] == states["by_rows"]
     # brute force on the driver over the tiny fixture: equal or newer update wins, new keys are inserted
     want = {k: (d, v) for k, d, v in base_rows}
     for k, d, v in upd_rows:

@@ -109,3 +109,11 @@ def test_hot_delivery_day_is_written_by_many_tasks(spark, tmp_path):
     files = [f for f in os.listdir(hot) if f.endswith(".parquet")]
     assert len(files) >= 4  # one writer per landing document's task, no single hot writer
     assert history.read(spark, ["20240102"]).count() == 1800
+
+
+def test_observed_profile_keeps_the_partial_group_limit(spark):
+    from quayside.operators.profile import observed
+    df = spark.createDataFrame([(1, D(2024, 1, 1), "a")], "id long, ingestion_date date, v string")
+    rows, _ = observed(df, "profile_plan_check", "ingestion_date")
+    p = plan(latest_per_key(rows, ["id"]))
+    assert "CollectMetrics" in p and re.search(r"WindowGroupLimit .*Partial", p)

@@ -15,6 +15,7 @@ import json
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql.types import StructType
 
 from quayside.errors import Outcome, RunResult
 from quayside.functions.dates import lookback_window
@@ -40,6 +41,8 @@ def parser() -> argparse.ArgumentParser:
     h.add_argument("--as-text", action="store_true", help="cast every data column to string")
     h.add_argument("--max-records-per-file", type=int, default=None)
     h.add_argument("--view", default=None, help="temporary view to (re)publish over the history")
+    h.add_argument("--envelope-schema", default=None,
+                   help="file with the Spark schema JSON of a delivery document; skips the inference pass")
     c = sub.add_parser("current", help="history table -> current-state table")
     c.add_argument("--history", required=True)
     c.add_argument("--contract", required=True, help="contract JSON file")
@@ -64,9 +67,13 @@ def run(argv: list[str], spark: SparkSession | None = None) -> RunResult:
     if args.command == "history":
         dates = args.dates.strip().lower()
         history = HistoryTable(args.history)
+        schema = None
+        if args.envelope_schema:
+            with open(args.envelope_schema, encoding="utf-8") as fh:
+                schema = StructType.fromJson(json.load(fh))
         result = ingest_history(spark, LandingFeed(args.landing_root, args.dataset), history, dates,
                                 envelope=args.envelope, starting_from=args.starting_from, as_text=args.as_text,
-                                max_records_per_file=args.max_records_per_file)
+                                max_records_per_file=args.max_records_per_file, schema=schema)
         if result.ok and args.view:
             publish_view(spark, args.view, history.path)
         return result

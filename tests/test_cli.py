@@ -1,5 +1,6 @@
 """The command-line run shapes, driven in-process."""
 
+import datetime as dt
 import json
 
 from quayside.errors import Outcome
@@ -32,3 +33,25 @@ def test_history_then_current(spark, landing, tmp_path):
     res = run(["history", "--landing-root", root, "--dataset", "feed", "--dates", "20240301", "--history", history],
               spark)
     assert res.outcome is Outcome.NO_NEW_DATA
+
+
+def test_history_with_a_given_envelope_schema(spark, landing, tmp_path):
+    root = landing({"20240101/a.json": {"Data": [{"id": 1, "v": "a", "n": {"k": 2}}]}})
+    schema = tmp_path / "envelope.json"
+    schema.write_text(json.dumps({"type": "struct", "fields": [
+        {"name": "Data", "nullable": True, "metadata": {}, "type": {"type": "array", "containsNull": True,
+         "elementType": {"type": "struct", "fields": [
+             {"name": "id", "type": "string", "nullable": True, "metadata": {}},
+             {"name": "n", "nullable": True, "metadata": {},
+              "type": {"type": "struct", "fields": [{"name": "k", "type": "string", "nullable": True,
+                                                     "metadata": {}}]}},
+             {"name": "v", "type": "string", "nullable": True, "metadata": {}}]}}}]}))
+    inferred, given = str(tmp_path / "h1"), str(tmp_path / "h2")
+    assert run(["history", "--landing-root", root, "--dataset", "feed", "--dates", "all", "--history", inferred],
+               spark).ok
+    assert run(["history", "--landing-root", root, "--dataset", "feed", "--dates", "all", "--history", given,
+                "--envelope-schema", str(schema)], spark).ok
+
+    def rows(path):
+        return sorted(tuple(r) for r in spark.read.parquet(path).select("id", "v", "n", "ingestion_date").collect())
+    assert rows(inferred) == rows(given) == [("1", "a", '{"k":"2"}', dt.date(2024, 1, 1))]

@@ -23,6 +23,8 @@ Two plans, same rows:
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StructType
@@ -57,12 +59,21 @@ def align(df: DataFrame, schema: StructType) -> DataFrame:
 
 def upsert(target: DataFrame, updates: DataFrame, key: str = "id", order: str = "ingestion_date", *,
            dedupe: bool = True, tiebreak=ROW_HASH, on_null_key: str = "keep",
-           strategy: str = "shuffle") -> DataFrame:
+           strategy: str = "shuffle",
+           copartition: Callable[[Column, Column], Sequence[Column]] | None = None) -> DataFrame:
     """Return the new target state after merging ``updates`` into ``target``.
 
     ``strategy="broadcast"`` ships the (deduplicated) updates to every task
     instead of shuffling the target; use it only for an update set of known,
     small size.
+
+    ``copartition`` (shuffle plan only) maps the key and its null-key salt to
+    extra join keys that must be functions of the key for non-null keys.
+    Both sides are hash-partitioned by those columns alone before the join,
+    so a write partitioned by the same columns needs no second shuffle. Spark
+    keeps that partitioning for the join only while
+    ``spark.sql.requireAllClusterKeysForCoPartition`` is false; otherwise it
+    re-partitions by all join keys, with the same result.
     """
     if on_null_key not in NULL_KEY_POLICIES:
         raise ValueError(f"on_null_key must be one of {NULL_KEY_POLICIES}")
@@ -86,9 +97,12 @@ def upsert(target: DataFrame, updates: DataFrame, key: str = "id", order: str =
     else:
         def side(df: DataFrame, name: str) -> DataFrame:
             salt = F.when(k.isNull(), F.pmod(F.xxhash64(*_hashable(df)), F.lit(NULL_KEY_SALTS))).otherwise(F.lit(0))
-            return df.select(k.alias("__k"), salt.alias("__s"), row.alias(name))
+            extra = [c.alias(f"__p{i}") for i, c in enumerate(copartition(k, salt))] if copartition else []
+            out = df.select(*extra, k.alias("__k"), salt.alias("__s"), row.alias(name))
+            return out.repartition(*[F.col(f"__p{i}") for i in range(len(extra))]) if extra else out
 
-        joined = side(t, "__o").join(side(u, "__u"), ["__k", "__s"], "full_outer")
+        keys = [f"__p{i}" for i in range(len(copartition(k, F.lit(0))))] if copartition else []
+        joined = side(t, "__o").join(side(u, "__u"), [*keys, "__k", "__s"], "full_outer")
         result = joined.select(_chosen(F.col("__o"), F.col("__u"), order).alias("__r"))
     return result.select(*[F.col("__r").getField(c).alias(c) for c in names])
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -55,3 +57,19 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 def new_scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, unique path below the shared scratch folder."""
     return scratch_path(spark, "runs", f"{label}-{uuid.uuid4().hex[:12]}")
+
+
+@contextmanager
+def session_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Set SQL confs for the actions run inside the block, then restore them."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -12,9 +12,10 @@ Layout::
   written back with dynamic partition overwrite, one shuffle by bucket so each
   bucket is written by few tasks. The staged files' size is measured (one
   listing; the row count is observed): up to ``broadcast_update_bytes`` and
-  ``broadcast_update_rows`` the updates are broadcast and the
-  target rows are shuffled only once, for the write; above it the merge is a
-  shuffled full-outer join, which works at any size.
+  ``broadcast_update_rows`` the updates are broadcast and the target rows are
+  shuffled only for the write. Above that the merge is a full-outer join of
+  both sides hash-partitioned by (bucket, writer spread); the write reuses
+  that partitioning, so the target is shuffled once in either plan.
 * Reload (K5) writes the deduplicated updates as a new generation, then
   flips ``_CURRENT``; readers of the old generation are not disturbed.
 * The first run creates the table (K6: the target does not need to pre-exist).
@@ -31,11 +32,14 @@ from quayside.errors import NoNewData
 from quayside.functions.names import col
 from quayside.operators.latest import ROW_HASH, latest_per_key
 from quayside.operators.upsert import upsert
-from quayside.session import new_scratch_path
+from quayside.session import new_scratch_path, session_conf
 from quayside.sources import fs
 
 BUCKET = "key_bucket"
 POINTER = "_CURRENT"
+# Lets the shuffled merge join on rows hash-partitioned by (bucket, spread) alone;
+# buckets hold one row per key, so that partitioning is not skewed.
+COPARTITIONED_JOIN = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
 
 
 def bucket_of(key: Column, num_buckets: int) -> Column:
@@ -107,14 +111,16 @@ class CurrentStateTable:
         largest = max(sizes.values(), default=0)
         return max(self.files_per_bucket, -(-largest // self.target_file_bytes))
 
-    def _write(self, df: DataFrame, location: str, dynamic: bool, writers: int | None = None) -> None:
+    def _write(self, df: DataFrame, location: str, dynamic: bool, writers: int | None = None,
+               copartitioned: bool = False) -> None:
         # One shuffle by bucket, so a bucket's files come from few tasks; a large
         # bucket is spread over several writers by a second hash of the key.
+        # ``copartitioned`` rows already arrive grouped that way (see merge_frame).
         writers = writers or self.files_per_bucket
         spread = [col(BUCKET)]
         if writers > 1:
             spread.append(F.pmod(F.hash(col(self.key)), F.lit(writers)))
-        w = df.repartition(*spread).write.partitionBy(BUCKET)
+        w = (df if copartitioned else df.repartition(*spread)).write.partitionBy(BUCKET)
         if self.max_records_per_file:
             w = w.option("maxRecordsPerFile", self.max_records_per_file)
         w.mode("overwrite").option("partitionOverwriteMode", "dynamic" if dynamic else "static").parquet(location)
@@ -147,26 +153,40 @@ class CurrentStateTable:
                      and staged.get["rows_staged"] <= self.broadcast_update_rows)
             strategy = "broadcast" if small else "shuffle"
             obs = Observation("current_upsert")
-            out = self.merge_frame(spark, spark.read.parquet(staging), touched, strategy)
-            self._write(out.observe(obs, F.count(F.lit(1)).alias("rows_written")), loc, dynamic=True,
-                        writers=writers)
+            out = self.merge_frame(spark, spark.read.parquet(staging), touched, strategy, writers)
+            out = out.observe(obs, F.count(F.lit(1)).alias("rows_written"))
+            if strategy == "shuffle":
+                # The join's (bucket, spread) partitioning is the write's: one shuffle.
+                with session_conf(spark, COPARTITIONED_JOIN):
+                    self._write(out, loc, dynamic=True, writers=writers, copartitioned=True)
+            else:
+                self._write(out, loc, dynamic=True, writers=writers)
         finally:
             fs.delete(spark, staging)
         return {"created": False, "buckets_touched": len(touched), "rows_staged": staged.get["rows_staged"],
                 "staged_bytes": staged_bytes, "merge": strategy, "writers_per_bucket": writers, **obs.get}
 
     def merge_frame(self, spark: SparkSession, staged: DataFrame, touched: list[int],
-                    strategy: str = "shuffle") -> DataFrame:
+                    strategy: str = "shuffle", writers: int = 1) -> DataFrame:
         """New rows of the ``touched`` buckets: their target rows merged with ``staged``.
 
         ``staged`` holds deduplicated updates with their bucket column. Only
         the touched buckets of the live generation are scanned.
-        ``strategy="broadcast"`` is for a staged set whose size was checked. Buckets
+        ``strategy="broadcast"`` is for a staged set whose size was checked.
+        With ``strategy="shuffle"`` both sides are partitioned by (bucket,
+        writer spread) for the join, so the bucketed write can reuse that
+        partitioning (under :data:`COPARTITIONED_JOIN`). Buckets
         rewritten after a contract gained a column carry it and others do
         not, so file schemas are merged (old rows read the new column as null).
         """
         target = self._read_buckets(spark, touched).drop(BUCKET)
-        merged = upsert(target, staged.drop(BUCKET), self.key, self.order, dedupe=False, strategy=strategy)
+        def copartition(k: Column, salt: Column) -> list[Column]:
+            # null keys never match: spread them by their salt instead of one writer
+            return [bucket_of(k, self.num_buckets),
+                    F.when(k.isNull(), salt).otherwise(F.pmod(F.hash(k), F.lit(max(1, writers))))]
+
+        merged = upsert(target, staged.drop(BUCKET), self.key, self.order, dedupe=False, strategy=strategy,
+                        copartition=copartition if strategy == "shuffle" else None)
         return self._bucketed(merged)
 
     def _read_buckets(self, spark: SparkSession, buckets: list[int]) -> DataFrame:

@@ -59,6 +59,22 @@ def test_broadcast_merge_never_shuffles_the_target(spark, tmp_path):
     assert "ReadSchema: struct<id:bigint>" in p  # the matched-key scan reads the key column only
 
 
+def test_shuffled_merge_reuses_one_partitioning_for_join_and_write(spark, tmp_path):
+    from quayside.session import session_conf
+    from quayside.sinks.current import COPARTITIONED_JOIN
+    t = CurrentStateTable(str(tmp_path / "cur"), key="id", num_buckets=16)
+    schema = "id long, ingestion_date date, v string"
+    t.upsert(spark, spark.createDataFrame([(i, D(2024, 1, 1), "a") for i in range(100)], schema))
+    staged = t._bucketed(spark.createDataFrame([(5, D(2024, 1, 2), "b"), (500, D(2024, 1, 2), "c")], schema))
+    touched = sorted({r[0] for r in staged.select(BUCKET).collect()})
+    with session_conf(spark, COPARTITIONED_JOIN):
+        p = plan(t.merge_frame(spark, staged, touched, "shuffle", writers=2))
+    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", p)
+    assert len(exchanges) == 2 and all("__p0" in e and "__p1" in e and "__k" not in e for e in exchanges)
+    assert "FullOuter" in p or "SortMergeJoin" in p
+    assert spark.conf.get(next(iter(COPARTITIONED_JOIN))) != "false"  # restored after the block
+
+
 def test_upsert_dedupes_updates_map_side_and_joins_on_salted_key(spark):
     schema = "id long, ingestion_date date, v string"
     t = spark.createDataFrame([(1, D(2024, 1, 1), "a")], schema)

@@ -122,6 +122,21 @@ def test_upsert_merge_strategy_follows_staged_size(spark, tmp_path):
     assert sorted(v for k, _, v in states["broadcast"] if k[0]) == ["m", "n"]  # null keys never match
 
 
+def test_shuffled_merge_with_several_writers_per_bucket(spark, tmp_path):
+    schema = "id long, ingestion_date date, v string"
+    base = [(i, D(2024, 1, 1), "a") for i in range(400)]
+    upd = [(i, D(2024, 1, 2), "b") for i in range(200, 600)]
+    t = CurrentStateTable(str(tmp_path / "cur"), key="id", num_buckets=4, tiebreak=["v"],
+                          broadcast_update_bytes=0, files_per_bucket=3)
+    t.upsert(spark, spark.createDataFrame(base + [(None, D(2024, 1, 1), "n")], schema))
+    m = t.upsert(spark, spark.createDataFrame(upd + [(None, D(2024, 1, 3), "m")], schema))
+    assert m["merge"] == "shuffle" and m["writers_per_bucket"] == 3
+    rows = t.read(spark).collect()
+    got = {r.id: r.v for r in rows if r.id is not None}
+    assert got == {**{i: "a" for i in range(200)}, **{i: "b" for i in range(200, 600)}}
+    assert sorted(r.v for r in rows if r.id is None) == ["m", "n"]
+
+
 def test_reload_flips_generation_and_vacuum(spark, tmp_path):
     t = CurrentStateTable(str(tmp_path / "cur"), key="id", num_buckets=4)
     schema = "id long, ingestion_date date, v string"

@@ -40,6 +40,8 @@ def parser() -> argparse.ArgumentParser:
     h.add_argument("--starting-from", default=None)
     h.add_argument("--as-text", action="store_true", help="cast every data column to string")
     h.add_argument("--max-records-per-file", type=int, default=None)
+    h.add_argument("--rebalance", action="store_true",
+                   help="one AQE-sized shuffle by date before writing (feeds of many small documents)")
     h.add_argument("--view", default=None, help="temporary view to (re)publish over the history")
     h.add_argument("--envelope-schema", default=None,
                    help="file with the Spark schema JSON of a delivery document; skips the inference pass")
@@ -73,7 +75,8 @@ def run(argv: list[str], spark: SparkSession | None = None) -> RunResult:
                 schema = StructType.fromJson(json.load(fh))
         result = ingest_history(spark, LandingFeed(args.landing_root, args.dataset), history, dates,
                                 envelope=args.envelope, starting_from=args.starting_from, as_text=args.as_text,
-                                max_records_per_file=args.max_records_per_file, schema=schema)
+                                max_records_per_file=args.max_records_per_file, schema=schema,
+                                rebalance=args.rebalance)
         if result.ok and args.view:
             publish_view(spark, args.view, history.path)
         return result

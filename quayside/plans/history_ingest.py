@@ -51,8 +51,12 @@ def ingest_history(spark: SparkSession, feed: LandingFeed, history: HistoryTable
                    envelope: str = "Data", starting_from: str | None = None,
                    schema: StructType | None = None, as_text: bool = False,
                    max_records_per_file: int | None = None, single_file: bool = False,
-                   nested: str = "all") -> RunResult:
-    """Run one ingest. NO_NEW_DATA when nothing can be read; errors propagate."""
+                   nested: str = "all", rebalance: bool = False) -> RunResult:
+    """Run one ingest. NO_NEW_DATA when nothing can be read; errors propagate.
+
+    ``rebalance=True`` writes through one AQE-sized shuffle by date, so files
+    per date follow its volume (for feeds of many small documents).
+    """
     configure(spark)
     try:
         folders = feed.date_folders(spark, dates, starting_from)
@@ -68,10 +72,10 @@ def ingest_history(spark: SparkSession, feed: LandingFeed, history: HistoryTable
         window = window_dates_for(dates, starting_from)
         if window is None:
             metrics = history.replace_all(rows, max_records_per_file=max_records_per_file,
-                                          single_file=single_file)
+                                          single_file=single_file, rebalance=rebalance)
         else:
             metrics = history.replace_window(rows, window, max_records_per_file=max_records_per_file,
-                                             single_file=single_file)
+                                             single_file=single_file, rebalance=rebalance)
     except NoNewData as exc:
         return RunResult(Outcome.NO_NEW_DATA, str(exc))
     metrics["folders"] = len(folders)

@@ -8,9 +8,12 @@
   dates not produced are dropped; a failed rebuild leaves the old table.
 * Schema evolution (K3): parquet files carry their own schema; the table is
   read with ``mergeSchema`` so new columns appear and old rows read as null.
-* Layout (K7): no ``coalesce(1)``. Each scan task writes its own files; a
-  multiline-JSON task reads whole files of one delivery day, so tasks map to
-  few dates and no shuffle is needed. ``max_records_per_file`` caps file size.
+* Layout (K7): no ``coalesce(1)``. Each scan task writes its own files, one
+  per date among the delivery files it read, with no shuffle. Spark packs
+  files into tasks by size, so a task can hold several dates: the table has
+  at most as many files per date as the landing. ``rebalance=True`` adds one
+  AQE-sized shuffle by date for feeds of many small documents;
+  ``max_records_per_file`` caps file size.
 """
 
 from __future__ import annotations
@@ -65,9 +68,15 @@ class HistoryTable:
     def partition_dir(self, day: dt.date) -> str:
         return f"{self.path.rstrip('/')}/{self.partition_column}={day.isoformat()}"
 
-    def _writer(self, df: DataFrame, max_records_per_file: int | None, single_file: bool):
+    def _writer(self, df: DataFrame, max_records_per_file: int | None, single_file: bool,
+                rebalance: bool = False):
         if single_file:  # the one-task layout, kept only for comparison runs
             df = df.coalesce(1)
+        elif rebalance:
+            # One shuffle by date, sized by AQE: small partitions are coalesced and a hot
+            # date's partition is split (advisoryPartitionSizeInBytes), so files per date
+            # follow the date's volume instead of how delivery files were packed into tasks.
+            df = df.hint("rebalance", self.partition_column)
         w = df.write.partitionBy(self.partition_column)
         if max_records_per_file:
             w = w.option("maxRecordsPerFile", max_records_per_file)
@@ -75,7 +84,7 @@ class HistoryTable:
 
     # -- K1 --------------------------------------------------------------------
     def replace_window(self, df: DataFrame, window: Iterable[str], *, max_records_per_file: int | None = None,
-                       single_file: bool = False) -> dict:
+                       single_file: bool = False, rebalance: bool = False) -> dict:
         """Make the window dates hold exactly ``df``'s rows for those dates.
 
         Returns metrics: rows written, rows rejected (outside the window or
@@ -93,7 +102,7 @@ class HistoryTable:
         kept = Observation("history_window")
         # collect_set is bounded: at most len(window) dates survive the filter.
         batch = batch.observe(kept, F.count(F.lit(1)).alias("rows"), F.collect_set(part).alias("dates"))
-        (self._writer(batch, max_records_per_file, single_file)
+        (self._writer(batch, max_records_per_file, single_file, rebalance)
          .mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.path))
         written = set(kept.get["dates"] or [])
         emptied = [d for d in days if d not in written]
@@ -106,7 +115,7 @@ class HistoryTable:
 
     # -- K2 --------------------------------------------------------------------
     def replace_all(self, df: DataFrame, *, max_records_per_file: int | None = None,
-                    single_file: bool = False) -> dict:
+                    single_file: bool = False, rebalance: bool = False) -> dict:
         """Replace the whole table with ``df`` (rows without a date are rejected).
 
         Written as a dynamic partition overwrite, which changes nothing until
@@ -122,7 +131,7 @@ class HistoryTable:
         batch = batch.where(part.isNotNull())
         kept = Observation("history_full_dates")
         batch = batch.observe(kept, F.collect_set(part).alias("dates"))
-        (self._writer(batch, max_records_per_file, single_file)
+        (self._writer(batch, max_records_per_file, single_file, rebalance)
          .mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.path))
         written = {d.isoformat() for d in (kept.get["dates"] or [])}
         prefix = f"{self.partition_column}="

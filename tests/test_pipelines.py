@@ -74,3 +74,28 @@ def test_struct_like_rule_keeps_scalar_arrays(spark, landing, tmp_path):
     assert ingest_history(spark, LandingFeed(root, "feed"), history, "all", nested="struct_like").ok
     r = history.read(spark).first()
     assert r["tags"] == ["a", "b"] and r["s"] == '{"x":"1"}'
+
+
+def test_rebalance_groups_many_small_documents_by_date(spark, landing, tmp_path):
+    import os
+
+    from quayside.session import session_conf
+    files = {f"2024010{1 + i % 2}/d{i:03d}.json": {"Data": [{"id": i, "v": "x"}]} for i in range(60)}
+    root = landing(files)
+    feed = LandingFeed(root, "feed")
+    packed = {"spark.sql.files.maxPartitionBytes": "2048", "spark.sql.files.openCostInBytes": "1"}
+
+    def files_per_date(path):
+        return sorted(len([f for f in os.listdir(os.path.join(path, d)) if f.endswith(".parquet")])
+                      for d in os.listdir(path) if d.startswith("ingestion_date="))
+
+    out = {}
+    for rebalance in (False, True):
+        h = HistoryTable(str(tmp_path / f"h{rebalance}"))
+        with session_conf(spark, packed):
+            res = ingest_history(spark, feed, h, "all", rebalance=rebalance)
+        assert res.ok and res.metrics["rows"] == 60
+        out[rebalance] = (files_per_date(h.path), sorted(r.id for r in h.read(spark).collect()))
+    assert out[False][1] == out[True][1] == sorted(str(i) for i in range(60))
+    assert min(out[False][0]) > 1  # tasks mix documents of both dates: several files per date
+    assert out[True][0] == [1, 1]  # one AQE-sized shuffle by date

@@ -139,9 +139,10 @@ class CurrentStateTable:
         deduped = self._bucketed(latest_per_key(updates, [self.key], [self.order], self.tiebreak))
         staged = Observation("current_staging")
         staging = new_scratch_path(spark, "current-staging")
-        (deduped.observe(staged, F.count(F.lit(1)).alias("rows_staged"), F.collect_set(col(BUCKET)).alias("buckets"))
-         .write.mode("overwrite").parquet(staging))
         try:
+            (deduped.observe(staged, F.count(F.lit(1)).alias("rows_staged"),
+                             F.collect_set(col(BUCKET)).alias("buckets"))
+             .write.mode("overwrite").parquet(staging))
             touched = sorted(staged.get["buckets"] or [])
             if not touched:
                 raise NoNewData("no update rows")

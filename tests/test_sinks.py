@@ -137,6 +137,27 @@ def test_shuffled_merge_with_several_writers_per_bucket(spark, tmp_path):
     assert sorted(r.v for r in rows if r.id is None) == ["m", "n"]
 
 
+def test_failed_upsert_leaves_the_table_and_no_staging(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from quayside.session import shared_dir
+    schema = "id long, ingestion_date date, v string"
+    t = CurrentStateTable(str(tmp_path / "cur"), key="id", num_buckets=4)
+    t.upsert(spark, spark.createDataFrame([(i, D(2024, 1, 1), "a") for i in range(50)], schema))
+    before = sorted(tuple(r) for r in t.read(spark).collect())
+    staging_root = os.path.join(shared_dir(spark).replace("file:", ""), "quayside", "runs")
+    staged_before = {d for d in os.listdir(staging_root) if d.startswith("current-staging")} \
+        if os.path.isdir(staging_root) else set()
+    bad = spark.createDataFrame([(i, D(2024, 1, 2), "b") for i in range(40, 60)], schema) \
+        .withColumn("v", F.when(F.col("id") == 55, F.raise_error(F.lit("boom"))).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="boom"):
+        t.upsert(spark, bad)
+    assert sorted(tuple(r) for r in t.read(spark).collect()) == before
+    staged_after = {d for d in os.listdir(staging_root) if d.startswith("current-staging")} \
+        if os.path.isdir(staging_root) else set()
+    assert staged_after <= staged_before  # the failed run's staging folder was removed
+
+
 def test_reload_flips_generation_and_vacuum(spark, tmp_path):
     t = CurrentStateTable(str(tmp_path / "cur"), key="id", num_buckets=4)
     schema = "id long, ingestion_date date, v string"

@@ -213,10 +213,14 @@ class CurrentStateTable:
         obs = Observation("current_generation")
         out = self._bucketed(latest_per_key(updates, [self.key], [self.order], self.tiebreak))
         out = out.observe(obs, F.count(F.lit(1)).alias("rows_written"))
-        self._write(out, f"{self.path.rstrip('/')}/{gen}", dynamic=False)
-        if obs.get["rows_written"] == 0:
-            fs.delete(spark, f"{self.path.rstrip('/')}/{gen}")
-            raise NoNewData("no update rows")
+        location = f"{self.path.rstrip('/')}/{gen}"
+        try:
+            self._write(out, location, dynamic=False)
+            if obs.get["rows_written"] == 0:
+                raise NoNewData("no update rows")
+        except BaseException:
+            fs.delete(spark, location)  # never live: readers still see the previous generation
+            raise
         fs.write_text(spark, self._pointer(), gen)
         return {"generation": gen, **obs.get}
 

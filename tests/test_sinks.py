@@ -158,6 +158,19 @@ def test_failed_upsert_leaves_the_table_and_no_staging(spark, tmp_path):
     assert staged_after <= staged_before  # the failed run's staging folder was removed
 
 
+def test_failed_reload_keeps_the_live_generation_and_leaves_no_folder(spark, tmp_path):
+    from pyspark.sql import functions as F
+    schema = "id long, ingestion_date date, v string"
+    t = CurrentStateTable(str(tmp_path / "cur"), key="id", num_buckets=4)
+    t.upsert(spark, spark.createDataFrame([(1, D(2024, 1, 1), "a")], schema))
+    live = t.generation(spark)
+    bad = spark.createDataFrame([(2, D(2024, 1, 2), "b")], schema).withColumn("v", F.raise_error(F.lit("boom")))
+    with pytest.raises(Exception, match="boom"):
+        t.reload(spark, bad)
+    assert t.generation(spark) == live and [(r.id, r.v) for r in t.read(spark).collect()] == [(1, "a")]
+    assert sorted(d for d in os.listdir(t.path) if d.startswith("gen-")) == [live]
+
+
 def test_reload_flips_generation_and_vacuum(spark, tmp_path):
     t = CurrentStateTable(str(tmp_path / "cur"), key="id", num_buckets=4)
     schema = "id long, ingestion_date date, v string"

@@ -54,9 +54,16 @@ class LandingFeed:
         return [e.path for e in fs.list_files_recursive(spark, self.path)]
 
     def latest_file(self, spark: SparkSession) -> list[str]:
-        """The lexicographically greatest file path, as a 0- or 1-element list."""
-        files = self.files(spark)
-        return [max(files)] if files else []
+        """The lexicographically greatest file path below the dataset, as a 0- or 1-element list.
+
+        Same answer as the maximum over the full recursive listing, found by
+        descending from the top: every path below a folder starts with
+        ``<folder>/``, so the children are ranked by that prefix (a file by its
+        own path) and only the greatest one is explored, falling back to the
+        next one when a folder holds no file. A few folder listings instead of
+        listing every delivery file.
+        """
+        return _greatest_file(spark, self.path)
 
 
 def window_dates_for(dates: str, starting_from: str | None = None, days_back: int = 1) -> set[str] | None:
@@ -64,3 +71,14 @@ def window_dates_for(dates: str, starting_from: str | None = None, days_back: in
     if str(dates).strip().lower() == "all":
         return None
     return lookback_window(dates, starting_from, days_back)
+
+
+def _greatest_file(spark: SparkSession, path: str) -> list[str]:
+    entries = fs.list_dir(spark, path)
+    for e in sorted(entries, key=lambda e: e.path + "/" if e.is_dir else e.path, reverse=True):
+        if not e.is_dir:
+            return [e.path]
+        found = _greatest_file(spark, e.path)
+        if found:
+            return found
+    return []

@@ -216,3 +216,24 @@ def test_landed_documents_stay_bounded_on_a_hot_day(spark, tmp_path):
     assert max(per_day["20240101"]) < 1000  # split by row hash, near 500 each
     assert per_day["20240102"] == [50] and per_day["20240103"] == [50]
     assert history_frame(spark, [feed.path], recursive=True).count() == 3100
+
+
+def test_latest_file_descent_matches_the_full_listing(spark, tmp_path):
+    from quayside.sources import fs
+    root = tmp_path / "landing"
+    layout = ["feed/20240101/a.json", "feed/20240102/b.json", "feed/20240102/sub/z.json",
+              "feed/2024/zz.json", "feed/20240102x", "feed/0top.json", "feed/20240103/"]
+    for rel in layout:
+        p = root / rel
+        if rel.endswith("/"):
+            p.mkdir(parents=True, exist_ok=True)  # the newest folder is empty
+        else:
+            p.parent.mkdir(parents=True, exist_ok=True)
+            p.write_text("{}")
+    feed = LandingFeed(str(root), "feed")
+    every = [e.path for e in fs.list_files_recursive(spark, feed.path)]
+    assert feed.latest_file(spark) == [max(every)] and max(every).endswith("/feed/20240102x")
+    (root / "feed/20240102x").unlink()
+    every = [e.path for e in fs.list_files_recursive(spark, feed.path)]
+    assert feed.latest_file(spark) == [max(every)] and max(every).endswith("/feed/20240102/sub/z.json")
+    assert LandingFeed(str(root), "missing").latest_file(spark) == []

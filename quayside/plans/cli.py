@@ -39,6 +39,8 @@ def parser() -> argparse.ArgumentParser:
     h.add_argument("--envelope", default="Data")
     h.add_argument("--starting-from", default=None)
     h.add_argument("--as-text", action="store_true", help="cast every data column to string")
+    h.add_argument("--nested", choices=["all", "struct_like"], default="all",
+                   help="serialise every struct and array to JSON text, or only structs and arrays of structs")
     h.add_argument("--max-records-per-file", type=int, default=None)
     h.add_argument("--rebalance", action="store_true",
                    help="one AQE-sized shuffle by date before writing (feeds of many small documents)")
@@ -76,7 +78,7 @@ def run(argv: list[str], spark: SparkSession | None = None) -> RunResult:
         result = ingest_history(spark, LandingFeed(args.landing_root, args.dataset), history, dates,
                                 envelope=args.envelope, starting_from=args.starting_from, as_text=args.as_text,
                                 max_records_per_file=args.max_records_per_file, schema=schema,
-                                rebalance=args.rebalance)
+                                rebalance=args.rebalance, nested=args.nested)
         if result.ok and args.view:
             publish_view(spark, args.view, history.path)
         return result

@@ -55,3 +55,12 @@ def test_history_with_a_given_envelope_schema(spark, landing, tmp_path):
     def rows(path):
         return sorted(tuple(r) for r in spark.read.parquet(path).select("id", "v", "n", "ingestion_date").collect())
     assert rows(inferred) == rows(given) == [("1", "a", '{"k":"2"}', dt.date(2024, 1, 1))]
+
+
+def test_history_struct_like_rule_keeps_scalar_arrays(spark, landing, tmp_path):
+    root = landing({"20240101/a.json": {"Data": [{"id": 1, "tags": ["x", "y"], "s": {"k": 1}}]}})
+    out = str(tmp_path / "h")
+    assert run(["history", "--landing-root", root, "--dataset", "feed", "--dates", "all", "--history", out,
+                "--nested", "struct_like"], spark).ok
+    row = spark.read.parquet(out).first()
+    assert row.tags == ["x", "y"] and row.s == '{"k":"1"}'

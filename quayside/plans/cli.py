@@ -2,6 +2,7 @@
 
     python -m quayside history --landing-root R --dataset D --dates 20240110,20240115 --history H
     python -m quayside current --history H --contract C.json --target T --key id --dates all
+    python -m quayside current ... --dates 20240115 --window-only   # read only 14-15 Jan of the history
 
 ``--dates all`` rebuilds (history: full replace; current state: reload).
 Prints the run result as one JSON line. Exit code 0 for SUCCESS and
@@ -57,8 +58,10 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--broadcast-update-mb", type=int, default=64,
                    help="staged update size up to which the merge broadcasts the updates (0: always shuffle)")
     c.add_argument("--dates", default="all",
-                   help="'all' = reload from all history; else read only these dates' look-back window")
-    c.add_argument("--full-scan", action="store_true", help="upsert from all history instead of the window")
+                   help="'all' = reload from all history; else upsert (from all history by default)")
+    c.add_argument("--window-only", action="store_true",
+                   help="upsert from the dates' look-back window of the history only (partition-pruned read)")
+    c.add_argument("--full-scan", action="store_true", help="upsert from all history (the default; kept for scripts)")
     c.add_argument("--strict", action="store_true", help="plain casts: bad values fail the run")
     c.add_argument("--freshness-column", default=None)
     c.add_argument("--view", default=None)
@@ -84,7 +87,7 @@ def run(argv: list[str], spark: SparkSession | None = None) -> RunResult:
         return result
     dates = args.dates.strip().lower()
     reload = dates == "all"
-    window = None if reload or args.full_scan else sorted(lookback_window(dates))
+    window = sorted(lookback_window(dates)) if args.window_only and not reload and not args.full_scan else None
     target = CurrentStateTable(args.target, key=args.key, order=args.order, num_buckets=args.buckets,
                                broadcast_update_bytes=args.broadcast_update_mb * 1024 * 1024)
     return build_current_state(spark, HistoryTable(args.history), Contract.load(args.contract), target,

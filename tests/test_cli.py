@@ -64,3 +64,20 @@ def test_history_struct_like_rule_keeps_scalar_arrays(spark, landing, tmp_path):
                 "--nested", "struct_like"], spark).ok
     row = spark.read.parquet(out).first()
     assert row.tags == ["x", "y"] and row.s == '{"k":"1"}'
+
+
+def test_current_reads_all_history_unless_window_only(spark, landing, tmp_path):
+    root = landing({"20240101/a.json": {"Data": [{"id": 1, "v": "a"}, {"id": 2, "v": "b"}]},
+                    "20240105/a.json": {"Data": [{"id": 3, "v": "c"}]}})
+    history, contract = str(tmp_path / "h"), tmp_path / "c.json"
+    contract.write_text(json.dumps({
+        "origin_conf": {"type": "struct", "fields": [{"name": "id", "type": "string"},
+                                                     {"name": "v", "type": "string"}]},
+        "fields": [{"name": "id", "source_name": "id", "type": "long"},
+                   {"name": "v", "source_name": "v", "type": "string"}]}))
+    assert run(["history", "--landing-root", root, "--dataset", "feed", "--dates", "all", "--history", history],
+               spark).ok
+    base = ["current", "--history", history, "--contract", str(contract), "--dates", "20240105"]
+    full = run(base + ["--target", str(tmp_path / "t1")], spark)
+    window = run(base + ["--target", str(tmp_path / "t2"), "--window-only"], spark)
+    assert full.metrics["rows_written"] == 3 and window.metrics["rows_written"] == 1

@@ -48,3 +48,16 @@ def test_local_master_gets_a_temporary_folder():
     s = _Session("local[2]")
     path = shared_dir(s)
     assert path and s.sparkContext.getCheckpointDir() == path
+
+
+def test_session_conf_restores_set_and_unset_values(spark):
+    from quayside.session import session_conf
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+    default_open_cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    with pytest.raises(RuntimeError):
+        with session_conf(spark, {"spark.sql.shuffle.partitions": "3", "spark.sql.files.openCostInBytes": "1"}):
+            assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
+            raise RuntimeError("fails inside the block")
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == default_open_cost

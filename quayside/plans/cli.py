@@ -45,7 +45,9 @@ def parser() -> argparse.ArgumentParser:
     h.add_argument("--max-records-per-file", type=int, default=None)
     h.add_argument("--rebalance", action="store_true",
                    help="one AQE-sized shuffle by date before writing (feeds of many small documents)")
-    h.add_argument("--view", default=None, help="temporary view to (re)publish over the history")
+    h.add_argument("--view", default=None, help="view to (re)publish over the history")
+    h.add_argument("--persistent-view", action="store_true",
+                   help="publish --view in the session catalog (outlives the run) instead of as a temporary view")
     h.add_argument("--envelope-schema", default=None,
                    help="file with the Spark schema JSON of a delivery document; skips the inference pass")
     c = sub.add_parser("current", help="history table -> current-state table")
@@ -64,7 +66,9 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--full-scan", action="store_true", help="upsert from all history (the default; kept for scripts)")
     c.add_argument("--strict", action="store_true", help="plain casts: bad values fail the run")
     c.add_argument("--freshness-column", default=None)
-    c.add_argument("--view", default=None)
+    c.add_argument("--view", default=None, help="view to (re)publish over the live generation")
+    c.add_argument("--persistent-view", action="store_true",
+                   help="publish --view in the session catalog (outlives the run) instead of as a temporary view")
     return p
 
 
@@ -83,7 +87,7 @@ def run(argv: list[str], spark: SparkSession | None = None) -> RunResult:
                                 max_records_per_file=args.max_records_per_file, schema=schema,
                                 rebalance=args.rebalance, nested=args.nested)
         if result.ok and args.view:
-            publish_view(spark, args.view, history.path)
+            publish_view(spark, args.view, history.path, persistent=args.persistent_view)
         return result
     dates = args.dates.strip().lower()
     reload = dates == "all"
@@ -91,7 +95,8 @@ def run(argv: list[str], spark: SparkSession | None = None) -> RunResult:
     target = CurrentStateTable(args.target, key=args.key, order=args.order, num_buckets=args.buckets,
                                broadcast_update_bytes=args.broadcast_update_mb * 1024 * 1024)
     return build_current_state(spark, HistoryTable(args.history), Contract.load(args.contract), target,
-                               reload=reload, dates=window, view=args.view, strict=args.strict,
+                               reload=reload, dates=window, view=args.view, persistent_view=args.persistent_view,
+                               strict=args.strict,
                                freshness_column=args.freshness_column)
 
 

@@ -32,6 +32,7 @@ def current_frame(history_rows: DataFrame, contract: Contract, strict: bool = Fa
 def build_current_state(spark: SparkSession, history: HistoryTable, contract: Contract,
                         target: CurrentStateTable, *, reload: bool = False,
                         dates: Iterable[str] | None = None, view: str | None = None,
+                        persistent_view: bool = False,
                         strict: bool = False, freshness_column: str | None = None) -> RunResult:
     """One current-state run. Metrics: rows written, buckets touched, and the
     profile of the incoming rows (``volume`` counts every version, before the
@@ -50,5 +51,5 @@ def build_current_state(spark: SparkSession, history: HistoryTable, contract: Co
         return RunResult(Outcome.NO_NEW_DATA, str(exc))
     metrics.update(profile.get)
     if view:
-        publish_view(spark, view, target.location(spark))
+        publish_view(spark, view, target.location(spark), persistent=persistent_view)
     return RunResult(Outcome.SUCCESS, "", metrics)

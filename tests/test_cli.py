@@ -81,3 +81,14 @@ def test_current_reads_all_history_unless_window_only(spark, landing, tmp_path):
     full = run(base + ["--target", str(tmp_path / "t1")], spark)
     window = run(base + ["--target", str(tmp_path / "t2"), "--window-only"], spark)
     assert full.metrics["rows_written"] == 3 and window.metrics["rows_written"] == 1
+
+
+def test_persistent_views_outlive_temporary_ones(spark, landing, tmp_path):
+    root = landing({"20240101/a.json": {"Data": [{"id": 1, "v": "a"}]}})
+    history = str(tmp_path / "h")
+    assert run(["history", "--landing-root", root, "--dataset", "feed", "--dates", "all", "--history", history,
+                "--view", "cli_hist_catalog", "--persistent-view"], spark).ok
+    found = [t for t in spark.catalog.listTables() if t.name == "cli_hist_catalog"]
+    assert found and not found[0].isTemporary
+    assert spark.table("cli_hist_catalog").count() == 1
+    spark.sql("DROP VIEW cli_hist_catalog")

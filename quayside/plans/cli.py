@@ -65,6 +65,8 @@ def parser() -> argparse.ArgumentParser:
                    help="upsert from the dates' look-back window of the history only (partition-pruned read)")
     c.add_argument("--full-scan", action="store_true", help="upsert from all history (the default; kept for scripts)")
     c.add_argument("--strict", action="store_true", help="plain casts: bad values fail the run")
+    c.add_argument("--keep-generations", type=int, default=None,
+                   help="after a successful run, delete all but the newest N generations (never the live one)")
     c.add_argument("--freshness-column", default=None)
     c.add_argument("--view", default=None, help="view to (re)publish over the live generation")
     c.add_argument("--persistent-view", action="store_true",
@@ -94,10 +96,13 @@ def run(argv: list[str], spark: SparkSession | None = None) -> RunResult:
     window = sorted(lookback_window(dates)) if args.window_only and not reload and not args.full_scan else None
     target = CurrentStateTable(args.target, key=args.key, order=args.order, num_buckets=args.buckets,
                                broadcast_update_bytes=args.broadcast_update_mb * 1024 * 1024)
-    return build_current_state(spark, HistoryTable(args.history), Contract.load(args.contract), target,
+    result = build_current_state(spark, HistoryTable(args.history), Contract.load(args.contract), target,
                                reload=reload, dates=window, view=args.view, persistent_view=args.persistent_view,
                                strict=args.strict,
                                freshness_column=args.freshness_column)
+    if result.ok and args.keep_generations is not None:
+        result.metrics["generations_deleted"] = target.vacuum(spark, keep=args.keep_generations)
+    return result
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -92,3 +92,22 @@ def test_persistent_views_outlive_temporary_ones(spark, landing, tmp_path):
     assert found and not found[0].isTemporary
     assert spark.table("cli_hist_catalog").count() == 1
     spark.sql("DROP VIEW cli_hist_catalog")
+
+
+def test_keep_generations_after_reloads(spark, landing, tmp_path):
+    root = landing({"20240101/a.json": {"Data": [{"id": 1, "v": "a"}]}})
+    history, target, contract = str(tmp_path / "h"), str(tmp_path / "t"), tmp_path / "c.json"
+    contract.write_text(json.dumps({
+        "origin_conf": {"type": "struct", "fields": [{"name": "id", "type": "string"},
+                                                     {"name": "v", "type": "string"}]},
+        "fields": [{"name": "id", "source_name": "id", "type": "long"},
+                   {"name": "v", "source_name": "v", "type": "string"}]}))
+    assert run(["history", "--landing-root", root, "--dataset", "feed", "--dates", "all", "--history", history],
+               spark).ok
+    for _ in range(3):
+        res = run(["current", "--history", history, "--contract", str(contract), "--target", target,
+                   "--dates", "all", "--keep-generations", "1"], spark)
+        assert res.ok
+    import os
+    assert sorted(d for d in os.listdir(target) if d.startswith("gen-")) == ["gen-000003"]
+    assert res.metrics["generations_deleted"] == ["gen-000002"]

@@ -23,12 +23,13 @@ Layout::
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.errors import NoNewData
+from quayside.errors import ContractError, NoNewData
 from quayside.functions.names import col
 from quayside.operators.latest import ROW_HASH, latest_per_key
 from quayside.operators.upsert import upsert
@@ -37,6 +38,7 @@ from quayside.sources import fs
 
 BUCKET = "key_bucket"
 POINTER = "_CURRENT"
+LAYOUT = "_LAYOUT"  # per generation: key and bucket count it was written with
 # Lets the shuffled merge join on rows hash-partitioned by (bucket, spread) alone;
 # buckets hold one row per key, so that partitioning is not skewed.
 COPARTITIONED_JOIN = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
@@ -136,6 +138,7 @@ class CurrentStateTable:
         """
         if not self.exists(spark):
             return {"created": True, **self._publish_generation(spark, updates)}
+        self._check_layout(spark)
         deduped = self._bucketed(latest_per_key(updates, [self.key], [self.order], self.tiebreak))
         staged = Observation("current_staging")
         staging = new_scratch_path(spark, "current-staging")
@@ -221,9 +224,24 @@ class CurrentStateTable:
         except BaseException:
             fs.delete(spark, location)  # never live: readers still see the previous generation
             raise
+        fs.write_text(spark, f"{location}/{LAYOUT}", json.dumps(self._layout(), sort_keys=True))
         fs.write_text(spark, self._pointer(), gen)
         return {"generation": gen, **obs.get}
 
+    def _layout(self) -> dict:
+        return {"key": self.key, "num_buckets": self.num_buckets, "bucket": "pmod(xxhash64(key), num_buckets)"}
+
+    def _check_layout(self, spark: SparkSession) -> None:
+        """Refuse to merge into a generation bucketed another way (keys would land in the
+        wrong buckets and duplicate). Generations without a layout file are not checked."""
+        text = fs.read_text(spark, f"{self.location(spark)}/{LAYOUT}")
+        if text is None:
+            return
+        written = json.loads(text)
+        if written != self._layout():
+            raise ContractError(f"current-state table {self.path} is laid out as {written}, not "
+                                f"{self._layout()}; reload it to change the key or the bucket count")
+
     def reload(self, spark: SparkSession, updates: DataFrame) -> dict:
         """Publish the deduplicated ``updates`` as the whole table (new generation)."""
         return self._publish_generation(spark, updates)

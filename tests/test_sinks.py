@@ -171,6 +171,21 @@ def test_failed_reload_keeps_the_live_generation_and_leaves_no_folder(spark, tmp
     assert sorted(d for d in os.listdir(t.path) if d.startswith("gen-")) == [live]
 
 
+def test_upsert_refuses_a_table_bucketed_another_way(spark, tmp_path):
+    from quayside.errors import ContractError
+    schema = "id long, ingestion_date date, v string"
+    rows = spark.createDataFrame([(i, D(2024, 1, 1), "a") for i in range(40)], schema)
+    newer = spark.createDataFrame([(i, D(2024, 1, 2), "b") for i in range(0, 40, 3)], schema)
+    CurrentStateTable(str(tmp_path / "cur"), key="id", num_buckets=4).upsert(spark, rows)
+    regrown = CurrentStateTable(str(tmp_path / "cur"), key="id", num_buckets=8)
+    with pytest.raises(ContractError, match="bucket"):
+        regrown.upsert(spark, newer)
+    regrown.reload(spark, rows)  # a reload rewrites every bucket, so it may change the layout
+    regrown.upsert(spark, newer)
+    state = regrown.read(spark)
+    assert state.count() == 40 and state.where("v = 'b'").count() == 14
+
+
 def test_reload_flips_generation_and_vacuum(spark, tmp_path):
     t = CurrentStateTable(str(tmp_path / "cur"), key="id", num_buckets=4)
     schema = "id long, ingestion_date date, v string"

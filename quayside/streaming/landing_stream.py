@@ -37,8 +37,12 @@ def arrived_days(batch: DataFrame) -> list[str]:
 def ingest_arrivals(spark: SparkSession, feed: LandingFeed, history: HistoryTable, *,
                     checkpoint: str | None = None, envelope: str = "Data",
                     on_result: Callable[[list[str], RunResult], None] | None = None,
-                    available_now: bool = True, interval: str = "1 hour") -> StreamingQuery:
-    """Start the stream; with ``available_now`` it processes what has arrived, then stops."""
+                    available_now: bool = True, interval: str = "1 hour", folders: str = "*") -> StreamingQuery:
+    """Start the stream; with ``available_now`` it processes what has arrived, then stops.
+
+    ``folders`` is the glob of day folders the stream watches (``"2024*"`` for a year);
+    the file source lists all of it on every trigger.
+    """
     checkpoint = checkpoint or scratch_path(spark, "streams", feed.dataset)
 
     def run(batch: DataFrame, epoch_id: int) -> None:
@@ -51,7 +55,7 @@ def ingest_arrivals(spark: SparkSession, feed: LandingFeed, history: HistoryTabl
 
     files = (spark.readStream.format("binaryFile")
              .schema(_BINARY_FILE_SCHEMA)
-             .load(f"{feed.path}/*")
+             .load(f"{feed.path}/{folders}")
              .select("path"))
     writer = files.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)

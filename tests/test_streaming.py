@@ -25,3 +25,13 @@ def test_arrivals_are_ingested_by_day(spark, landing, tmp_path):
     q = ingest_arrivals(spark, feed, history, checkpoint=ckpt, on_result=lambda d, r: seen.append((d, r.outcome.value)))
     q.awaitTermination(120)
     assert len(seen) == 2  # nothing new arrived
+
+
+def test_arrivals_watch_only_the_given_folders(spark, landing, tmp_path):
+    root = landing({"20231231/a.json": {"Data": [{"id": 1}]}, "20240105/a.json": {"Data": [{"id": 5}]}})
+    seen = []
+    q = ingest_arrivals(spark, LandingFeed(root, "feed"), HistoryTable(str(tmp_path / "history")),
+                        checkpoint=str(tmp_path / "ckpt"), folders="2024*",
+                        on_result=lambda d, r: seen.append(d))
+    q.awaitTermination(120)
+    assert seen == [["20240105"]]

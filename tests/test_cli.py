@@ -111,3 +111,18 @@ def test_keep_generations_after_reloads(spark, landing, tmp_path):
     import os
     assert sorted(d for d in os.listdir(target) if d.startswith("gen-")) == ["gen-000003"]
     assert res.metrics["generations_deleted"] == ["gen-000002"]
+
+
+def test_main_prints_outcomes_and_raises_on_errors(spark, landing, tmp_path, capsys):
+    import pytest
+
+    from quayside.plans.cli import main
+    root = landing({"20240101/a.json": {"Data": [{"id": 1}]}})
+    args = ["history", "--landing-root", root, "--dataset", "feed", "--history", str(tmp_path / "h")]
+    assert main(args + ["--dates", "20240301"]) == 0
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["outcome"] == "NO_NEW_DATA"
+    assert main(args + ["--dates", "all"]) == 0
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["outcome"] == "SUCCESS"
+    with pytest.raises(ValueError):
+        main(args + ["--dates", "2024-13-01"])
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["outcome"] == "ERROR"

@@ -43,6 +43,8 @@ def parser() -> argparse.ArgumentParser:
     h.add_argument("--nested", choices=["all", "struct_like"], default="all",
                    help="serialise every struct and array to JSON text, or only structs and arrays of structs")
     h.add_argument("--max-records-per-file", type=int, default=None)
+    h.add_argument("--fail-on-corrupt", action="store_true",
+                   help="fail the run on a malformed delivery document instead of counting it")
     h.add_argument("--rebalance", action="store_true",
                    help="one AQE-sized shuffle by date before writing (feeds of many small documents)")
     h.add_argument("--view", default=None, help="view to (re)publish over the history")
@@ -87,7 +89,8 @@ def run(argv: list[str], spark: SparkSession | None = None) -> RunResult:
         result = ingest_history(spark, LandingFeed(args.landing_root, args.dataset), history, dates,
                                 envelope=args.envelope, starting_from=args.starting_from, as_text=args.as_text,
                                 max_records_per_file=args.max_records_per_file, schema=schema,
-                                rebalance=args.rebalance, nested=args.nested)
+                                rebalance=args.rebalance, nested=args.nested,
+                                on_corrupt="fail" if args.fail_on_corrupt else "count")
         if result.ok and args.view:
             publish_view(spark, args.view, history.path, persistent=args.persistent_view)
         return result

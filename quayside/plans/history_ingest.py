@@ -30,7 +30,7 @@ NESTED_RULES = {"all": is_nested, "struct_like": is_struct_like}
 def history_frame(spark: SparkSession, paths: Sequence[str], envelope: str = "Data", *,
                   schema: StructType | None = None, recursive: bool = False,
                   as_text: bool = False, observation: Observation | None = None,
-                  nested: str = "all") -> DataFrame:
+                  nested: str = "all", on_corrupt: str = "count") -> DataFrame:
     """Lazy history rows for the given folders: flatten, nested -> JSON text, lineage.
 
     ``nested="all"`` serialises every struct and array to JSON text;
@@ -40,7 +40,7 @@ def history_frame(spark: SparkSession, paths: Sequence[str], envelope: str = "Da
     """
     if nested not in NESTED_RULES:
         raise ValueError(f"nested must be one of {sorted(NESTED_RULES)}")
-    raw = read_envelopes(spark, paths, schema=schema, recursive=recursive, envelope=envelope)
+    raw = read_envelopes(spark, paths, schema=schema, recursive=recursive, envelope=envelope, on_corrupt=on_corrupt)
     if observation is not None:
         raw = raw.observe(observation, corrupt_count(raw))
     rows = add_lineage(nested_to_json(flatten_envelope(raw, envelope, carry=[SOURCE_PATH]), NESTED_RULES[nested]))
@@ -51,11 +51,13 @@ def ingest_history(spark: SparkSession, feed: LandingFeed, history: HistoryTable
                    envelope: str = "Data", starting_from: str | None = None,
                    schema: StructType | None = None, as_text: bool = False,
                    max_records_per_file: int | None = None, single_file: bool = False,
-                   nested: str = "all", rebalance: bool = False) -> RunResult:
+                   nested: str = "all", rebalance: bool = False, on_corrupt: str = "count") -> RunResult:
     """Run one ingest. NO_NEW_DATA when nothing can be read; errors propagate.
 
     ``rebalance=True`` writes through one AQE-sized shuffle by date, so files
     per date follow its volume (for feeds of many small documents).
+    ``on_corrupt="fail"`` fails the run on a malformed document instead of
+    counting it; the write job fails before it commits, so the table is unchanged.
     """
     configure(spark)
     try:
@@ -65,7 +67,7 @@ def ingest_history(spark: SparkSession, feed: LandingFeed, history: HistoryTable
         scanned = Observation("landing_scan")
         try:
             rows = history_frame(spark, folders, envelope, schema=schema, as_text=as_text, observation=scanned,
-                                 nested=nested)
+                                 nested=nested, on_corrupt=on_corrupt)
         except NoNewData as exc:
             corrupt = corrupt_documents(spark, folders).count()
             return RunResult(Outcome.NO_NEW_DATA, str(exc), {"folders": len(folders), "corrupt_documents": corrupt})

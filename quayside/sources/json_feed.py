@@ -31,10 +31,13 @@ SOURCE_PATH = "source_path"
 _ONE_RECORD_PER_FILE = "\u0000"
 
 
-def _reader(spark: SparkSession, corrupt_column: str, recursive: bool):
+CORRUPT_POLICIES = ("count", "fail")
+
+
+def _reader(spark: SparkSession, corrupt_column: str, recursive: bool, mode: str = "PERMISSIVE"):
     reader = (spark.read.option("lineSep", _ONE_RECORD_PER_FILE)
               .option("primitivesAsString", True)
-              .option("mode", "PERMISSIVE")
+              .option("mode", mode)
               .option("columnNameOfCorruptRecord", corrupt_column))
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
@@ -57,7 +60,8 @@ def infer_envelope_schema(spark: SparkSession, paths: Sequence[str], *, corrupt_
 
 def read_envelopes(spark: SparkSession, paths: Sequence[str], *, schema: StructType | None = None,
                    corrupt_column: str = CORRUPT_COLUMN, recursive: bool = False,
-                   sampling_ratio: float | None = None, envelope: str | None = None) -> DataFrame:
+                   sampling_ratio: float | None = None, envelope: str | None = None,
+                   on_corrupt: str = "count") -> DataFrame:
     """Scan JSON documents, one file = one document or one top-level array of documents.
 
     The document schema is inferred first (one pass over the files) unless
@@ -67,8 +71,11 @@ def read_envelopes(spark: SparkSession, paths: Sequence[str], *, schema: StructT
     comes from the scan's ``_metadata``, so it stays right after a shuffle.
 
     With ``envelope`` set, a missing envelope field raises :class:`NoNewData`
-    before the parsing pass.
+    before the parsing pass. ``on_corrupt="fail"`` parses in ``FAILFAST`` mode:
+    a malformed document fails the job that reads it (before any write commits).
     """
+    if on_corrupt not in CORRUPT_POLICIES:
+        raise ValueError(f"on_corrupt must be one of {CORRUPT_POLICIES}")
     if not paths:
         raise NoNewData("no landing folder to read")
     if schema is None:
@@ -76,9 +83,13 @@ def read_envelopes(spark: SparkSession, paths: Sequence[str], *, schema: StructT
                                        sampling_ratio=sampling_ratio)
     if envelope is not None and envelope not in schema.fieldNames():
         raise NoNewData(f"no '{envelope}' envelope in the delivery")
-    if corrupt_column not in schema.fieldNames():
-        schema = StructType(list(schema.fields) + [StructField(corrupt_column, StringType())])
-    raw = _reader(spark, corrupt_column, recursive).schema(schema).json(list(paths))
+    if on_corrupt == "fail":
+        schema = StructType([f for f in schema.fields if f.name != corrupt_column])
+        raw = _reader(spark, corrupt_column, recursive, "FAILFAST").schema(schema).json(list(paths))
+    else:
+        if corrupt_column not in schema.fieldNames():
+            schema = StructType(list(schema.fields) + [StructField(corrupt_column, StringType())])
+        raw = _reader(spark, corrupt_column, recursive).schema(schema).json(list(paths))
     # A document-level field named like the provenance column is replaced by it.
     return raw.select(*[F.col(f"`{c}`") for c in raw.columns if c != SOURCE_PATH],
                       F.col("_metadata.file_path").alias(SOURCE_PATH))

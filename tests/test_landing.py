@@ -111,6 +111,19 @@ def test_corrupt_beside_good_file(spark, landing, tmp_path):
     assert rows(history.read(spark), "id") == [("2",)]
 
 
+def test_fail_policy_rejects_a_corrupt_document_and_keeps_the_table(spark, landing, tmp_path):
+    root = landing({"20240101/a.json": {"Data": [{"id": 1}]}})
+    history = HistoryTable(str(tmp_path / "h"))
+    assert ingest_history(spark, LandingFeed(root, "feed"), history, "all", on_corrupt="fail").ok
+    landing({"20240102/a.json": '{"Data":[{"id":2', "20240102/b.json": {"Data": [{"id": 3}]}})
+    with pytest.raises(Exception, match="(?i)malformed|FAILFAST"):
+        ingest_history(spark, LandingFeed(root, "feed"), history, "20240102", on_corrupt="fail")
+    assert rows(history.read(spark), "id") == [("1",)]  # the failed run committed nothing
+    res = ingest_history(spark, LandingFeed(root, "feed"), history, "20240102")
+    assert res.ok and res.metrics["corrupt_documents"] == 1
+    assert rows(history.read(spark), "id") == [("1",), ("3",)]
+
+
 def test_object_envelope_is_contract_error(spark, landing):
     root = landing({"20240101/a.json": {"Data": {"id": 1}}})
     with pytest.raises(ContractError):

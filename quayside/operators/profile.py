@@ -39,8 +39,9 @@ def distribution(df: DataFrame, column: str, by: Sequence[Column | str] = ()) ->
 
 
 def observed(df: DataFrame, name: str, freshness_column: str | None = None,
-             columns: Sequence[str] = ()) -> tuple[DataFrame, Observation]:
-    """Attach profile metrics to ``df``; read them from the Observation after its action."""
+             columns: Sequence[str] = (), extra: Sequence[Column] = ()) -> tuple[DataFrame, Observation]:
+    """Attach profile metrics (plus ``extra`` aggregates) to ``df``; read them from the
+    Observation after its action."""
     obs = Observation(name)
-    return df.observe(obs, *profile_metrics(freshness_column, columns)), obs
+    return df.observe(obs, *profile_metrics(freshness_column, columns), *extra), obs
 

@@ -53,14 +53,29 @@ def conform_to_schema(df: DataFrame, schema: StructType, keep: Sequence[str] = (
     return df.select(out)
 
 
+LOST_PREFIX = "__lost_"
+
+
 def apply_contract(df: DataFrame, fields: Sequence[dict[str, Any]], keep: Sequence[str] = (INGESTION_DATE,),
-                   strict: bool = False) -> DataFrame:
-    """One output column per field rule (renamed and typed), plus ``keep`` columns."""
+                   strict: bool = False, loss_flags: bool = False) -> DataFrame:
+    """One output column per field rule (renamed and typed), plus ``keep`` columns.
+
+    With ``loss_flags`` a boolean ``__lost_<name>`` column is added per rule that
+    reads a source column: true where the source has a value and the typed
+    result is null (a lenient cast or pattern that did not fit). They are
+    computed in the same projection, for counting on the run's own job.
+    """
     case_sensitive = _case_sensitive(df)
     cols = [field_column(rule, df.schema, strict=strict, case_sensitive=case_sensitive) for rule in fields]
     declared = {rule["name"] for rule in fields}
-    cols += [col(k) for k in keep if k in df.columns and k not in declared]
-    return df.select(cols)
+    out = cols + [col(k) for k in keep if k in df.columns and k not in declared]
+    if loss_flags:
+        for rule, typed in zip(fields, cols):
+            source = None if rule.get("expression") else resolve(rule.get("source_name") or "", df.columns,
+                                                                  case_sensitive)
+            if source is not None:
+                out.append((col(source).isNotNull() & typed.isNull()).alias(LOST_PREFIX + rule["name"]))
+    return df.select(out)
 
 
 def null_counts(df: DataFrame, columns: Sequence[str]) -> list:

@@ -11,11 +11,12 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quayside.errors import NoNewData, Outcome, RunResult
 from quayside.operators.lineage import stamp_run
 from quayside.operators.profile import observed
-from quayside.operators.project import apply_contract, conform_to_schema
+from quayside.operators.project import LOST_PREFIX, apply_contract, conform_to_schema
 from quayside.plans.contract import Contract
 from quayside.session import configure
 from quayside.sinks.current import CurrentStateTable
@@ -23,10 +24,14 @@ from quayside.sinks.history import HistoryTable
 from quayside.sinks.views import publish_view
 
 
-def current_frame(history_rows: DataFrame, contract: Contract, strict: bool = False) -> DataFrame:
-    """Typed rows of the contract (all versions, before the latest-per-key step)."""
+def current_frame(history_rows: DataFrame, contract: Contract, strict: bool = False,
+                  loss_flags: bool = False) -> DataFrame:
+    """Typed rows of the contract (all versions, before the latest-per-key step).
+
+    ``loss_flags`` adds the ``__lost_<field>`` columns of :func:`apply_contract`.
+    """
     return stamp_run(apply_contract(conform_to_schema(history_rows, contract.origin_schema),
-                                    contract.fields, strict=strict))
+                                    contract.fields, strict=strict, loss_flags=loss_flags))
 
 
 def build_current_state(spark: SparkSession, history: HistoryTable, contract: Contract,
@@ -36,16 +41,21 @@ def build_current_state(spark: SparkSession, history: HistoryTable, contract: Co
                         strict: bool = False, freshness_column: str | None = None) -> RunResult:
     """One current-state run. Metrics: rows written, buckets touched, and the
     profile of the incoming rows (``volume`` counts every version, before the
-    latest-per-key step; ``freshness`` is the max of ``freshness_column``),
-    observed on the run's own jobs rather than by another scan.
+    latest-per-key step; ``freshness`` is the max of ``freshness_column``;
+    ``cast_nulls_<field>`` counts values a lenient cast or pattern turned into
+    null), observed on the run's own jobs rather than by another scan.
     """
     configure(spark)
     if freshness_column is not None and freshness_column not in contract.target_schema().fieldNames() \
             and freshness_column != "ingestion_date":
         freshness_column = None  # the contract has no such column: report volume only
     try:
-        rows, profile = observed(current_frame(history.read(spark, dates), contract, strict),
-                                 "current_state_input", freshness_column)
+        typed = current_frame(history.read(spark, dates), contract, strict, loss_flags=True)
+        lost = [c for c in typed.columns if c.startswith(LOST_PREFIX)]
+        rows, profile = observed(typed, "current_state_input", freshness_column,
+                                 extra=[F.count_if(F.col(c)).alias("cast_nulls_" + c[len(LOST_PREFIX):])
+                                        for c in lost])
+        rows = rows.drop(*lost)
         metrics = target.reload(spark, rows) if reload else target.upsert(spark, rows)
     except NoNewData as exc:
         return RunResult(Outcome.NO_NEW_DATA, str(exc))

@@ -99,3 +99,15 @@ def test_rebalance_groups_many_small_documents_by_date(spark, landing, tmp_path)
     assert out[False][1] == out[True][1] == sorted(str(i) for i in range(60))
     assert min(out[False][0]) > 1  # tasks mix documents of both dates: several files per date
     assert out[True][0] == [1, 1]  # one AQE-sized shuffle by date
+
+
+def test_cast_losses_are_counted_on_the_run(spark, landing, tmp_path):
+    root = landing({"20240101/a.json": {"Data": [{"id": 1, "v": "7"}, {"id": 2, "v": "x"}, {"id": 3}]}})
+    history = HistoryTable(str(tmp_path / "h"))
+    assert ingest_history(spark, LandingFeed(root, "feed"), history, "all").ok
+    target = CurrentStateTable(str(tmp_path / "cur"), key="id", num_buckets=2)
+    res = build_current_state(spark, history, CONTRACT, target, reload=True)
+    assert res.ok and res.metrics["volume"] == 3
+    assert res.metrics["cast_nulls_v"] == 1 and res.metrics["cast_nulls_id"] == 0
+    assert sorted((r.id, r.v) for r in target.read(spark).collect()) == [(1, 7), (2, None), (3, None)]
+    assert not [c for c in target.read(spark).columns if c.startswith("__lost_")]

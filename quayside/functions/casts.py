@@ -44,6 +44,9 @@ JAVA_SHORT_ZONE_IDS = frozenset({
 # parsing; week-based and other legacy letters are refused by Spark at run time.
 DATETIME_PATTERN_LETTERS = frozenset("GyDMLdQqEFahKkHmsSVzOXxZ")
 
+# Text ending in an explicit zone designator: Z, or a numeric offset such as +02:00 / -0500.
+ZONE_IN_TEXT = r"(Z|[+-][0-9]{2}(:?[0-9]{2})?)$"
+
 _OFFSET_ZONE = re.compile(r"^(?:(?:UTC|GMT|UT)?[+-]\d{1,2}(?::?\d{2}){0,2}|Z|UTC|GMT|UT)$")
 
 
@@ -136,10 +139,15 @@ def field_column(rule: dict[str, Any], schema: StructType, *, strict: bool = Fal
             zone_col = resolve(zone.get("value", ""), schema.fieldNames(), case_sensitive)
             if zone_col is None:
                 raise ContractError(f"zone column {zone.get('value')!r} of field {name!r} is not in the conformed schema")
-            return F.to_utc_timestamp(parsed, col(zone_col)).alias(name)
-        if zone.get("type") == "literal":
-            return F.to_utc_timestamp(parsed, F.lit(check_zone_id(zone.get("value")))).alias(name)
-        raise ContractError(f"Unsupported timezone {zone} for field {rule.get('source_name')}")
+            shifted = F.to_utc_timestamp(parsed, col(zone_col))
+        elif zone.get("type") == "literal":
+            shifted = F.to_utc_timestamp(parsed, F.lit(check_zone_id(zone.get("value"))))
+        else:
+            raise ContractError(f"Unsupported timezone {zone} for field {rule.get('source_name')}")
+        if definition.get("respect_zone_in_text"):
+            # Opt-in: text that states its own zone (Z or an offset) is already an instant.
+            shifted = F.when(value.rlike(ZONE_IN_TEXT), parsed).otherwise(shifted)
+        return shifted.alias(name)
     if isinstance(dtype, DateType):
         definition = _definition(rule, "date_definition")
         source_format = definition.get("source_format") or {}

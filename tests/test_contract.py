@@ -210,3 +210,15 @@ def test_date_patterns_checked_before_any_job(spark, pattern, ok):
     else:
         with pytest.raises(ContractError):
             field_column(rule, df.schema)
+
+
+@pytest.mark.parametrize("text,expected", [
+    ("2024-07-01 12:00:00Z", dt.datetime(2024, 7, 1, 12, 0)),        # the stated instant
+    ("2024-07-01T12:00:00+02:00", dt.datetime(2024, 7, 1, 10, 0)),   # offset stated in the text
+    ("2024-07-01 12:00:00", dt.datetime(2024, 7, 1, 10, 0)),         # local text: shifted from Paris
+    ("not a time", None)])
+def test_zone_in_text_respected_on_request(spark, text, expected):
+    rule = _ts({"type": "literal", "value": "Europe/Paris"})
+    rule["metadata"]["timestamp_definition"]["respect_zone_in_text"] = True
+    df = spark.createDataFrame([(text,)], "v string")
+    assert df.select(field_column(rule, df.schema)).first().t == expected

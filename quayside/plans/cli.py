@@ -20,6 +20,7 @@ from pyspark.sql.types import StructType
 
 from quayside.errors import Outcome, RunResult
 from quayside.functions.dates import lookback_window
+from quayside.operators.latest import ROW_HASH
 from quayside.plans.contract import Contract
 from quayside.plans.current_state import build_current_state
 from quayside.plans.history_ingest import ingest_history
@@ -58,6 +59,9 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--target", required=True, help="current-state table path")
     c.add_argument("--key", default="id")
     c.add_argument("--order", default="ingestion_date")
+    c.add_argument("--tiebreak", default=None,
+                   help="comma list of columns ordering rows of one key and one date, greatest first "
+                        "(default: a hash of the row, so reruns pick the same row)")
     c.add_argument("--buckets", type=int, default=64)
     c.add_argument("--broadcast-update-mb", type=int, default=64,
                    help="staged update size up to which the merge broadcasts the updates (0: always shuffle)")
@@ -97,7 +101,8 @@ def run(argv: list[str], spark: SparkSession | None = None) -> RunResult:
     dates = args.dates.strip().lower()
     reload = dates == "all"
     window = sorted(lookback_window(dates)) if args.window_only and not reload and not args.full_scan else None
-    target = CurrentStateTable(args.target, key=args.key, order=args.order, num_buckets=args.buckets,
+    tiebreak = [c.strip() for c in args.tiebreak.split(",") if c.strip()] if args.tiebreak else ROW_HASH
+    target = CurrentStateTable(args.target, key=args.key, order=args.order, num_buckets=args.buckets, tiebreak=tiebreak,
                                broadcast_update_bytes=args.broadcast_update_mb * 1024 * 1024)
     result = build_current_state(spark, HistoryTable(args.history), Contract.load(args.contract), target,
                                reload=reload, dates=window, view=args.view, persistent_view=args.persistent_view,

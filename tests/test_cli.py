@@ -126,3 +126,19 @@ def test_main_prints_outcomes_and_raises_on_errors(spark, landing, tmp_path, cap
     with pytest.raises(ValueError):
         main(args + ["--dates", "2024-13-01"])
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["outcome"] == "ERROR"
+
+
+def test_tiebreak_columns_pick_the_row_of_a_key_and_date(spark, landing, tmp_path):
+    root = landing({"20240101/a.json": {"Data": [{"id": 1, "v": "a", "seq": "1"}, {"id": 1, "v": "b", "seq": "2"}]}})
+    history, contract = str(tmp_path / "h"), tmp_path / "c.json"
+    contract.write_text(json.dumps({
+        "origin_conf": {"type": "struct", "fields": [{"name": "id", "type": "string"}, {"name": "v", "type": "string"},
+                                                     {"name": "seq", "type": "string"}]},
+        "fields": [{"name": "id", "source_name": "id", "type": "long"},
+                   {"name": "v", "source_name": "v", "type": "string"},
+                   {"name": "seq", "source_name": "seq", "type": "integer"}]}))
+    assert run(["history", "--landing-root", root, "--dataset", "feed", "--dates", "all", "--history", history],
+               spark).ok
+    assert run(["current", "--history", history, "--contract", str(contract), "--target", str(tmp_path / "t"),
+                "--dates", "all", "--tiebreak", "seq", "--view", "cli_tiebreak"], spark).ok
+    assert [(r.id, r.v) for r in spark.table("cli_tiebreak").collect()] == [(1, "b")]

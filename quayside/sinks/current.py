@@ -157,7 +157,9 @@ class CurrentStateTable:
                      and staged.get["rows_staged"] <= self.broadcast_update_rows)
             strategy = "broadcast" if small else "shuffle"
             obs = Observation("current_upsert")
-            out = self.merge_frame(spark, spark.read.parquet(staging), touched, strategy, writers)
+            # the staged schema is known: no footer-reading job to infer it
+            out = self.merge_frame(spark, spark.read.schema(deduped.schema).parquet(staging), touched, strategy,
+                                   writers)
             out = out.observe(obs, F.count(F.lit(1)).alias("rows_written"))
             if strategy == "shuffle":
                 # The join's (bucket, spread) partitioning is the write's: one shuffle.

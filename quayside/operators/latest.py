@@ -15,12 +15,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
 from quayside.functions.names import col
+from quayside.operators.lineage import PROCESSING_TIME
 
 ROW_HASH = "row_hash"
 
 
 def _row_hash(df: DataFrame) -> Column:
-    hashable = [col(f.name) for f in df.schema.fields if not isinstance(f.dataType, MapType)]
+    # The run stamp differs between runs over the same rows; leaving it out keeps
+    # the tie-break winner the same on every rerun.
+    hashable = [col(f.name) for f in df.schema.fields
+                if not isinstance(f.dataType, MapType) and f.name != PROCESSING_TIME]
     return F.xxhash64(*hashable)
 
 

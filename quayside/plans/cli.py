@@ -70,6 +70,9 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--window-only", action="store_true",
                    help="upsert from the dates' look-back window of the history only (partition-pruned read)")
     c.add_argument("--full-scan", action="store_true", help="upsert from all history (the default; kept for scripts)")
+    c.add_argument("--changed-only", action="store_true",
+                   help="upsert from the history dates written since the last run (change log); "
+                        "same state as a full read, falls back to one when no mark exists")
     c.add_argument("--strict", action="store_true", help="plain casts: bad values fail the run")
     c.add_argument("--keep-generations", type=int, default=None,
                    help="after a successful run, delete all but the newest N generations (never the live one)")
@@ -106,6 +109,7 @@ def run(argv: list[str], spark: SparkSession | None = None) -> RunResult:
                                broadcast_update_bytes=args.broadcast_update_mb * 1024 * 1024)
     result = build_current_state(spark, HistoryTable(args.history), Contract.load(args.contract), target,
                                reload=reload, dates=window, view=args.view, persistent_view=args.persistent_view,
+                               changed_only=args.changed_only and window is None,
                                strict=args.strict,
                                freshness_column=args.freshness_column)
     if result.ok and args.keep_generations is not None:

@@ -434,6 +434,23 @@ def current_state_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read(spark).select("user_id", "event_id", "amount", _ntz("event_time"), "ingestion_date")
 
 
+def current_state_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 K4 with the history change log: a history of 1-28 Jan and its current state, then the
+    30 Jan delivery (window 29-30 Jan) and a change-driven run that reads only those dates."""
+    configure(spark)
+    feed = landed_events(spark, sf_dir)
+    history = HistoryTable(new_scratch_path(spark, "history-changed"))
+    assert ingest_history(spark, feed, history, ",".join(f"202401{d:02d}" for d in range(1, 29))).ok
+    contract = Contract.from_dict(CURRENT_CONTRACT)
+    target = CurrentStateTable(new_scratch_path(spark, "current-changed"), key="user_id", num_buckets=8,
+                               tiebreak=["event_id"])
+    assert build_current_state(spark, history, contract, target, changed_only=True).ok  # no mark: full read
+    assert ingest_history(spark, feed, history, "20240130").ok
+    run = build_current_state(spark, history, contract, target, changed_only=True)
+    assert run.ok and run.metrics["history_dates"] == ["20240129", "20240130"], run
+    return target.read(spark).select("user_id", "event_id", "amount", _ntz("event_time"), "ingestion_date")
+
+
 def latest_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only the newest landing file (greatest path) is read and flattened."""
     configure(spark)
@@ -484,6 +501,7 @@ SCENARIOS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_bucketed_shuffle": upsert_bucketed_shuffle,
     "current_state_build": current_state_build,
     "current_state_daily": current_state_daily,
+    "current_state_changed": current_state_changed,
     "latest_file": latest_file,
     "recursive_scan": recursive_scan,
     "arrival_ingest": arrival_ingest,

@@ -39,6 +39,7 @@ from quayside.sources import fs
 BUCKET = "key_bucket"
 POINTER = "_CURRENT"
 LAYOUT = "_LAYOUT"  # per generation: key and bucket count it was written with
+SOURCE_MARK = "_SOURCE_MARK"  # per generation: newest history change record absorbed
 # Lets the shuffled merge join on rows hash-partitioned by (bucket, spread) alone;
 # buckets hold one row per key, so that partitioning is not skewed.
 COPARTITIONED_JOIN = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
@@ -230,6 +231,17 @@ class CurrentStateTable:
         fs.write_text(spark, self._pointer(), gen)
         return {"generation": gen, **obs.get}
 
+    # -- history change mark (incremental runs) -------------------------------
+    def source_mark(self, spark: SparkSession) -> str | None:
+        """Newest history change record the live generation has absorbed (None: unknown)."""
+        loc = self.location(spark)
+        text = fs.read_text(spark, f"{loc}/{SOURCE_MARK}") if loc else None
+        return text.strip() if text else None
+
+    def set_source_mark(self, spark: SparkSession, mark: str) -> None:
+        """Record ``mark`` on the live generation; call only after the run's data committed."""
+        fs.write_text(spark, f"{self.location(spark)}/{SOURCE_MARK}", mark)
+
     def _layout(self) -> dict:
         return {"key": self.key, "num_buckets": self.num_buckets, "bucket": "pmod(xxhash64(key), num_buckets)"}
 

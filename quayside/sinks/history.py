@@ -19,6 +19,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
+import time
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -32,6 +35,10 @@ from quayside.operators.lineage import INGESTION_DATE
 from quayside.sources import fs
 
 
+CHANGES = "_changes"
+CHANGE_GRACE_MS = 60 * 60 * 1000  # clock skew tolerated between the drivers of the two runs
+
+
 @dataclass(frozen=True)
 class HistoryTable:
     path: str
@@ -108,6 +115,7 @@ class HistoryTable:
         emptied = [d for d in days if d not in written]
         for d in emptied:
             fs.delete(batch.sparkSession, self.partition_dir(d))
+        self._record_change(batch.sparkSession, sorted(d.isoformat() for d in written))
         return {"rows": kept.get["rows"], "rows_in": seen.get["rows_in"],
                 "rows_rejected": seen.get["rows_rejected"],
                 "dates_written": sorted(d.isoformat() for d in written),
@@ -139,12 +147,58 @@ class HistoryTable:
                          if e.is_dir and e.name.startswith(prefix) and e.name[len(prefix):] not in written)
         for d in dropped:
             fs.delete(df.sparkSession, f"{self.path.rstrip('/')}/{prefix}{d}")
+        self._record_change(df.sparkSession, sorted(written))
         m = seen.get
         return {"rows": m["rows_in"] - m["rows_rejected"], **m, "dates_written": sorted(written),
                 "dates_dropped": dropped}
 
     def append(self, df: DataFrame) -> None:
         df.write.mode("append").partitionBy(self.partition_column).parquet(self.path)
+        days = sorted(str(r[0]) for r in df.select(self.partition_column).distinct().collect() if r[0])
+        self._record_change(df.sparkSession, days)
+
+    # -- change log (for incremental current-state runs) -----------------------
+    def _record_change(self, spark: SparkSession, dates_written: list[str]) -> None:
+        """Note which dates a committed run wrote: ``_changes/<epoch ms>-<id>.json``.
+
+        Written after the data commit, so every record stands for committed
+        data. Readers skip the folder (its name starts with ``_``).
+        """
+        name = f"{int(time.time() * 1000):013d}-{uuid.uuid4().hex[:8]}.json"
+        fs.write_text(spark, f"{self.path.rstrip('/')}/{CHANGES}/{name}", json.dumps({"dates_written": dates_written}))
+
+    def changes_since(self, spark: SparkSession, mark: str | None,
+                      grace_ms: int = CHANGE_GRACE_MS) -> tuple[set[str] | None, str | None]:
+        """Dates (``yyyyMMdd``) written by runs recorded since ``mark``, and the new mark.
+
+        The mark (opaque text) names the newest record absorbed and every record
+        within ``grace_ms`` before it. Records from that window that were not
+        absorbed yet still count, so a record stamped by a driver whose clock
+        runs behind is not skipped. The dates are ``None`` when a full read is
+        needed: no mark yet, or a table without a change log.
+        """
+        records = sorted(e.name for e in fs.list_dir(spark, f"{self.path.rstrip('/')}/{CHANGES}")
+                         if e.name.endswith(".json"))
+        if not records:
+            return None, None
+        newest = records[-1]
+        new_mark = json.dumps({"newest": newest,
+                               "seen": [n for n in records if _stamp(n) >= _stamp(newest) - grace_ms]})
+        if mark is None:
+            return None, new_mark
+        previous = json.loads(mark)
+        cutoff = _stamp(previous["newest"]) - grace_ms
+        seen = set(previous.get("seen", []))
+        dates: set[str] = set()
+        for name in records:
+            if _stamp(name) >= cutoff and name not in seen:
+                record = json.loads(fs.read_text(spark, f"{self.path.rstrip('/')}/{CHANGES}/{name}") or "{}")
+                dates |= {d.replace("-", "") for d in record.get("dates_written", [])}
+        return dates, new_mark
+
+
+def _stamp(record_name: str) -> int:
+    return int(record_name.split("-")[0])
 
 
 def replace_window_frame(history: DataFrame, batch: DataFrame, window: Iterable[str],

@@ -99,3 +99,11 @@ def test_upsert_matches_brute_force_and_is_idempotent(spark, target, updates):
     assert state(once) == sorted((k, d, v) for k, (d, v) in cur.items())
     assert state(upsert(once, u, tiebreak=["v"])) == state(once)
     assert once.groupBy("id").count().where("count > 1").count() == 0
+
+
+def test_row_hash_tiebreak_ignores_the_run_stamp(spark):
+    from pyspark.sql import functions as F
+    base = frame(spark, [(1, D(2024, 1, 3), v) for v in "abcdefgh"])
+    winners = {latest_per_key(base.withColumn("processing_time", F.lit(ts).cast("timestamp")), ["id"]).first().v
+               for ts in ("2024-01-01 00:00:00", "2025-06-30 12:34:56", "2026-12-02 08:00:00")}
+    assert len(winners) == 1

@@ -184,10 +184,13 @@ class HistoryTable:
         newest = records[-1]
         new_mark = json.dumps({"newest": newest,
                                "seen": [n for n in records if _stamp(n) >= _stamp(newest) - grace_ms]})
-        if mark is None:
+        try:
+            previous = json.loads(mark) if mark else None
+            cutoff = _stamp(previous["newest"]) - grace_ms
+        except (ValueError, TypeError, KeyError):
+            previous = None  # no usable mark: the caller reads everything
+        if previous is None:
             return None, new_mark
-        previous = json.loads(mark)
-        cutoff = _stamp(previous["newest"]) - grace_ms
         seen = set(previous.get("seen", []))
         dates: set[str] = set()
         for name in records:

@@ -271,3 +271,16 @@ def test_writers_per_bucket_follow_bucket_size(spark, tmp_path):
     assert len(files) > 2
     state = {r.id: r.v for r in t.read(spark).collect()}
     assert len(state) == 400 and state[7] == "y" and state[8] == "x" * 50
+
+
+def test_change_log_marks(spark, tmp_path):
+    h = HistoryTable(str(tmp_path / "h"))
+    assert h.changes_since(spark, None) == (None, None)  # no log yet
+    h.replace_all(history_rows(spark, [("1", "a", D(2024, 1, 1)), ("2", "b", D(2024, 1, 2))]))
+    dates, mark = h.changes_since(spark, None)
+    assert dates is None and mark  # no mark: a full read
+    assert h.changes_since(spark, mark)[0] == set()  # nothing new since
+    h.replace_window(history_rows(spark, [("3", "c", D(2024, 1, 3))]), {"20240102", "20240103"})
+    dates, newer = h.changes_since(spark, mark)
+    assert dates == {"20240103"} and newer != mark  # 2 Jan was emptied, not written
+    assert h.changes_since(spark, "not a mark")[0] is None  # unreadable mark: full read

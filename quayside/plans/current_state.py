@@ -52,11 +52,10 @@ def build_current_state(spark: SparkSession, history: HistoryTable, contract: Co
     where its dates changed; upserts never delete), except that untouched rows
     keep their ``processing_time``. (Exact for the default order column, the
     history date; with another order column, a target row removed from
-    history can lose a tie to an unchanged row only in a full read.) It
-    falls back to a full read when the
-    target has no mark yet or the history has no change log. Full and
-    change-driven runs record the newest change record they started from,
-    after their data committed.
+    history can lose a tie to an unchanged row only in a full read.) It falls
+    back to a full read when the target has no mark yet or the history has no
+    change log. Full and change-driven runs record the newest change record
+    they started from, after their data committed.
     """
     configure(spark)
     dates = None if dates is None else sorted(dates)

@@ -4,6 +4,8 @@ Layout::
 
     <path>/_CURRENT                      -> name of the live generation
     <path>/gen-000001/key_bucket=<b>/    -> parquet, b = pmod(xxhash64(key), N)
+    <path>/gen-000001/_LAYOUT            -> key and N the generation was written with
+    <path>/gen-000001/_SOURCE_MARK       -> history change records absorbed (incremental runs)
 
 * Upsert (K4) rewrites only the buckets the updates touch. The deduplicated
   updates are staged once in the shared folder; the touched bucket numbers

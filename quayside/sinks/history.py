@@ -14,6 +14,9 @@
   at most as many files per date as the landing. ``rebalance=True`` adds one
   AQE-sized shuffle by date for feeds of many small documents;
   ``max_records_per_file`` caps file size.
+* Change log: each committed write appends ``_changes/<epoch ms>-<id>.json``
+  with the dates it wrote; :meth:`HistoryTable.changes_since` lets a
+  current-state run read only those dates.
 """
 
 from __future__ import annotations

@@ -142,3 +142,22 @@ def test_tiebreak_columns_pick_the_row_of_a_key_and_date(spark, landing, tmp_pat
     assert run(["current", "--history", history, "--contract", str(contract), "--target", str(tmp_path / "t"),
                 "--dates", "all", "--tiebreak", "seq", "--view", "cli_tiebreak"], spark).ok
     assert [(r.id, r.v) for r in spark.table("cli_tiebreak").collect()] == [(1, "b")]
+
+
+def test_changed_only_flag(spark, landing, tmp_path):
+    root = landing({"20240101/a.json": {"Data": [{"id": 1, "v": "a"}]}})
+    history, target, contract = str(tmp_path / "h"), str(tmp_path / "t"), tmp_path / "c.json"
+    contract.write_text(json.dumps({
+        "origin_conf": {"type": "struct", "fields": [{"name": "id", "type": "string"},
+                                                     {"name": "v", "type": "string"}]},
+        "fields": [{"name": "id", "source_name": "id", "type": "long"},
+                   {"name": "v", "source_name": "v", "type": "string"}]}))
+    hist = ["history", "--landing-root", root, "--dataset", "feed", "--history", history]
+    cur = ["current", "--history", history, "--contract", str(contract), "--target", target, "--changed-only"]
+    assert run(hist + ["--dates", "all"], spark).ok
+    assert run(cur + ["--dates", "20240101"], spark).metrics["history_dates"] == "all"  # first run: full read
+    assert run(cur + ["--dates", "20240101"], spark).outcome is Outcome.NO_NEW_DATA
+    landing({"20240102/a.json": {"Data": [{"id": 2, "v": "b"}]}})
+    assert run(hist + ["--dates", "20240102"], spark).ok
+    res = run(cur + ["--dates", "20240102"], spark)
+    assert res.ok and res.metrics["history_dates"] == ["20240101", "20240102"]  # the window's written dates

@@ -1,6 +1,8 @@
 """Run every registered scenario and its DuckDB oracle; compare rows as multisets.
 
-Usage: python tests/oracle_check.py [sf_dir] [name ...]
+Usage: python tests/oracle_check.py [--exact] [sf_dir] [name ...]
+
+``--exact`` compares unrounded values (floats bit for bit, decimals as decimals).
 """
 
 from __future__ import annotations
@@ -44,7 +46,11 @@ def oracle_rows(sf_dir: str, sql: str) -> tuple[list[str], list[tuple]]:
     return cols, cur.fetchall()
 
 
-def compare(spark, name: str, fn, sql: str | None, sf_dir: str) -> dict:
+def _exact(v):
+    return v.replace(tzinfo=None) if isinstance(v, dt.datetime) else v
+
+
+def compare(spark, name: str, fn, sql: str | None, sf_dir: str, exact: bool = False) -> dict:
     t0 = time.time()
     df = fn(spark, sf_dir)
     rows = [tuple(r) for r in df.collect()]
@@ -59,8 +65,9 @@ def compare(spark, name: str, fn, sql: str | None, sf_dir: str) -> dict:
         out["status"] = f"COLUMNS {sorted(spark_cols)} vs {sorted(ocols)}"
         return out
     order = [ocols.index(c) for c in spark_cols]
-    a = Counter(tuple(_norm(v) for v in r) for r in rows)
-    b = Counter(tuple(_norm(r[i]) for i in order) for r in orows)
+    norm = _exact if exact else _norm  # exact: no float rounding, decimals as decimals
+    a = Counter(tuple(norm(v) for v in r) for r in rows)
+    b = Counter(tuple(norm(r[i]) for i in order) for r in orows)
     if a == b:
         out["status"] = "MATCH"
     else:
@@ -75,6 +82,8 @@ def main(argv: list[str]) -> int:
 
     import __spark_entry__ as entry
 
+    exact = "--exact" in argv
+    argv = [a for a in argv if a != "--exact"]
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     wanted = set(argv[1:])
     spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
@@ -86,7 +95,7 @@ def main(argv: list[str]) -> int:
         if wanted and name not in wanted:
             continue
         try:
-            res = compare(spark, name, fn, sqls.get(name), sf_dir)
+            res = compare(spark, name, fn, sqls.get(name), sf_dir, exact)
         except Exception as exc:  # report and continue
             res = {"name": name, "status": f"ERROR {type(exc).__name__}: {str(exc)[:400]}"}
         bad += res["status"] not in ("MATCH", "rows-only")

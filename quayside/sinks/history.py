@@ -48,8 +48,12 @@ class HistoryTable:
     partition_column: str = INGESTION_DATE
 
     def exists(self, spark: SparkSession) -> bool:
-        return any(e.is_dir and e.name.startswith(f"{self.partition_column}=")
-                   for e in fs.list_dir(spark, self.path))
+        return bool(self._partition_names(spark))
+
+    def _partition_names(self, spark: SparkSession) -> set[str]:
+        """Names of the partition folders (one listing of the table root)."""
+        return {e.name for e in fs.list_dir(spark, self.path)
+                if e.is_dir and e.name.startswith(f"{self.partition_column}=")}
 
     # -- S6 --------------------------------------------------------------------
     def read(self, spark: SparkSession, dates: Iterable[str] | None = None) -> DataFrame:
@@ -64,13 +68,15 @@ class HistoryTable:
 
         Raises :class:`NoNewData` when the table, or every requested date, has no partition.
         """
-        if not self.exists(spark):
+        names = self._partition_names(spark)  # also answers which requested dates exist
+        if not names:
             raise NoNewData(f"history table {self.path} is empty")
         reader = spark.read.option("mergeSchema", True)
         if dates is None:
             return reader.parquet(self.path)
         dates = set(dates)
-        present = [d for d in map(self.partition_dir, to_date_values(dates)) if fs.exists(spark, d)]
+        present = [self.partition_dir(d) for d in to_date_values(dates)
+                   if f"{self.partition_column}={d.isoformat()}" in names]
         if not present:
             raise NoNewData(f"history table {self.path} has no partition for {sorted(dates)}")
         return reader.option("basePath", self.path).parquet(*present).where(in_dates(self.partition_column, dates))

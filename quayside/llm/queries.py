@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quayside.llm import quality
+from quayside.llm import chats, pieces, quality, secret_scan, sharding
 from quayside.llm.common import table
 
 
@@ -14,9 +15,58 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *quality.BASE, "base_failed", "kept", "score")
 
 
+def op2_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    text = F.coalesce("text", F.lit(""))
+    return sharding.hilbert_shards(docs, sharding.document_dims()).select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "curve")
+
+
+def op4_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chats.collapse_snapshots(table(spark, sf_dir, "conversations"))
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
+    base = secret_scan.of_kind(F.col("secrets"), *secret_scan.BASE_KINDS)
+    return found.select(
+        "doc_id", *[F.size(secret_scan.of_kind(F.col("secrets"), k)).cast("long").alias(f"n_{k}")
+                    for k in secret_scan.BASE_KINDS],
+        F.sha2(secret_scan.spans_text(base), 256).alias("base_sha256"), secret_scan.spans_text(F.col("secrets")).alias("spans"))
+
+
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = pieces.encode_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                          F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                          F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_hilbert_shards": op2_hilbert_shards,
+    "op4_chat_snapshots": op4_chat_snapshots,
+    "op6_secret_scan": op6_secret_scan,
+    "op9_sentencepiece": op9_sentencepiece,
 }
 
 #: DuckDB SQL for the same rows, where SQL can express them.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_chat_snapshots": """
+        WITH t AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                          role NULLS FIRST, text NULLS FIRST) AS place FROM conversations),
+             p AS (SELECT *, string_agg(md5(coalesce('r' || role, '')) || md5(coalesce('t' || text, '')), '')
+                             OVER (PARTITION BY conv_id ORDER BY place) AS prefix,
+                          count(*) OVER (PARTITION BY conv_id) AS n_turns FROM t),
+             w AS (SELECT prefix, min(conv_id) AS conv_id, count(*) AS n_copies FROM p
+                   WHERE place = n_turns GROUP BY prefix),
+             m AS (SELECT * FROM w WHERE prefix NOT IN (SELECT prefix FROM p WHERE place < n_turns))
+        SELECT conv_id, count(*) AS n_turns, any_value(n_copies) AS n_copies,
+               string_agg('<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '') || '<|end|>' || chr(10), ''
+                          ORDER BY place) AS rendered
+        FROM m JOIN t USING (conv_id) GROUP BY conv_id""",
+}

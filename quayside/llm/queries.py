@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import chats, pieces, quality, secret_scan, sharding
+from quayside.llm import chats, chosen_path, pieces, quality, repeats, secret_scan, sharding
 from quayside.llm.common import table
 
 
@@ -27,6 +27,11 @@ def op4_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chats.collapse_snapshots(table(spark, sf_dir, "conversations"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.similar_documents(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "class_id", "n_links", "n_text_links", "class_size")
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
     base = secret_scan.of_kind(F.col("secrets"), *secret_scan.BASE_KINDS)
@@ -36,6 +41,11 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secret_scan.spans_text(base), 256).alias("base_sha256"), secret_scan.spans_text(F.col("secrets")).alias("spans"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -50,12 +60,26 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_hilbert_shards": op2_hilbert_shards,
     "op4_chat_snapshots": op4_chat_snapshots,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_secret_scan": op6_secret_scan,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_sentencepiece": op9_sentencepiece,
 }
 
 #: DuckDB SQL for the same rows, where SQL can express them.
 ORACLE_SQL: dict[str, str] = {
+    "op8_substring_dedup": r"""
+        WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '') AS w
+                   FROM documents),
+             p AS (SELECT doc_id, unnest(range(1, len(w) - 11)) AS i, w FROM d),
+             v AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS k FROM p),
+             m AS (SELECT k, min(doc_id) AS first_id FROM v GROUP BY k HAVING min(doc_id) < max(doc_id)),
+             g AS (SELECT doc_id, list_distinct(flatten(list(range(i, i + 13)))) AS gone
+                   FROM v JOIN m USING (k) WHERE doc_id > first_id GROUP BY doc_id)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+               sha256(array_to_string(CASE WHEN gone IS NULL THEN w ELSE
+                   [w[j] FOR j IN range(1, len(w) + 1) IF NOT list_contains(gone, j)] END, ' ')) AS kept_sha256
+        FROM d LEFT JOIN g USING (doc_id)""",
     "op4_chat_snapshots": """
         WITH t AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
                           role NULLS FIRST, text NULLS FIRST) AS place FROM conversations),

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import chats, chosen_path, pieces, quality, repeats, secret_scan, sharding
+from quayside.llm import (chats, chosen_path, pieces, pseudonyms, quality, repeats, secret_scan, sharding,
+                          templates)
 from quayside.llm.common import table
 
 
@@ -23,6 +24,16 @@ def op2_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "curve")
 
 
+def pii_key(spark: SparkSession) -> str:
+    """The key of the pseudonyms: from the session's settings; without one, that of the tests."""
+    return spark.conf.get("spark.quayside.pii.key", "for tests only")
+
+
+def op3_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonyms.pseudonymise(docs, pii_key(spark))
+
+
 def op4_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chats.collapse_snapshots(table(spark, sf_dir, "conversations"))
 
@@ -41,6 +52,12 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secret_scan.spans_text(base), 256).alias("base_sha256"), secret_scan.spans_text(F.col("secrets")).alias("spans"))
 
 
+def op7_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return templates.decontaminate(docs, table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "contaminated", "items", "covered")
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
@@ -59,9 +76,11 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_hilbert_shards": op2_hilbert_shards,
+    "op3_feistel_pseudonyms": op3_feistel_pseudonyms,
     "op4_chat_snapshots": op4_chat_snapshots,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_secret_scan": op6_secret_scan,
+    "op7_template_decontamination": op7_template_decontamination,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_sentencepiece": op9_sentencepiece,
 }
@@ -69,7 +88,7 @@ QUERIES = {
 #: DuckDB SQL for the same rows, where SQL can express them.
 ORACLE_SQL: dict[str, str] = {
     "op8_substring_dedup": r"""
-        WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '') AS w
+        WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
                    FROM documents),
              p AS (SELECT doc_id, unnest(range(1, len(w) - 11)) AS i, w FROM d),
              v AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS k FROM p),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.llm import (chats, chosen_path, pieces, pseudonyms, quality, repeats, secret_scan, sharding,
-                          templates)
+                          templates, wrappers)
 from quayside.llm.common import table
 
 
@@ -63,16 +63,23 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
-def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+def piece_model() -> str:
     import public_tokenizers
 
-    model = public_tokenizers.path("piece_bpe_32k.model")
-    encoded = pieces.encode_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = pieces.encode_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"), piece_model())
     return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                           F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
                           F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op10_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract_main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_hilbert_shards": op2_hilbert_shards,
@@ -83,6 +90,7 @@ QUERIES = {
     "op7_template_decontamination": op7_template_decontamination,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_sentencepiece": op9_sentencepiece,
+    "op10_html_wrappers": op10_html_wrappers,
 }
 
 #: DuckDB SQL for the same rows, where SQL can express them.

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import mix, replace_columns, written
+from quayside.llm.common import mix, replace_columns, slices, written
 from quayside.llm.wordscan import Words, inside, scan, windows
 
 SHINGLE = 5
@@ -32,8 +32,9 @@ TOKENS = 64
 BUCKET = 256
 #: Levels of splitting. What is together after them is compared by brute force, in blocks.
 DEPTH = 4
-#: Sets of a block of a large bucket.
+#: Sets, and shingles in all, of a block of a large bucket.
 BLOCK = 512
+BLOCK_SHINGLES = 400_000
 #: Chance that a node samples a second coordinate.
 SECOND = 0.25
 
@@ -100,21 +101,6 @@ def _columns(batch: pa.RecordBatch | pa.Table, name: str) -> pa.Array:
     return c if isinstance(c, pa.Array) else pa.concat_arrays(c.chunks) if c.num_chunks else pa.array([], c.type)
 
 
-def _parts(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Slices with about ``most`` bytes of text, so that arrays made from them stay small."""
-    size = np.cumsum([len(x) for x in batch.column("text").cast(pa.large_binary()).to_pylist() or []]) \
-        if batch.column("text").nbytes > most else np.zeros(0)
-    at = 0
-    while at < batch.num_rows:
-        if not len(size):
-            yield batch.slice(at)
-            return
-        done = size[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(size, done + most, side="right")))
-        yield batch.slice(at, to - at)
-        at = to
-
-
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"),
@@ -129,7 +115,7 @@ def sketches(docs: DataFrame, size: int = SHINGLE, id_col: str = "doc_id", text_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in _parts(batch):
+            for part in slices(batch, "text"):
                 h, first = shingles(scan(part.column("text")), size)
                 d1, d2 = _digests(h, first)
                 sig = signatures(h, first)
@@ -154,27 +140,30 @@ def _children(path: np.ndarray, sig: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _split(nodes: DataFrame) -> DataFrame:
-    """key, bucket of every child; ``nodes``: key, path, sig."""
+    """key, n, bucket of every child; ``nodes``: key, n, path, sig."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint32).reshape(-1, TOKENS)
                 rows, path = _children(batch.column("path").to_numpy().view(_U), sig)
+                at = pa.array(rows)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("key").take(pa.array(rows)), pa.array(path.view(np.int64))], names=["key", "bucket"])
+                    [batch.column("key").take(at), batch.column("n").take(at), pa.array(path.view(np.int64))],
+                    names=["key", "n", "bucket"])
 
-    return nodes.select("key", "path", "sig").mapInArrow(run, "key long, bucket long")
+    return nodes.select("key", "n", "path", "sig").mapInArrow(run, "key long, n int, bucket long")
 
 
 def leaves(sets: DataFrame, runs: int, bucket: int = BUCKET, depth: int = DEPTH) -> DataFrame:
-    """key, bucket, size of every set in every leaf bucket that it shares with another set."""
+    """key, bucket, size and weight (sets and shingles in it) of every set in every leaf bucket that it
+    shares with another set."""
     roots = [int(x) for x in mix(np.arange(1, runs + 1, dtype=_U) * _U(0x452821E638D01377)).view(np.int64)]
-    nodes = sets.select("key", F.explode(F.array(*[F.lit(r) for r in roots])).alias("path"), "sig")
+    nodes = sets.select("key", "n", F.explode(F.array(*[F.lit(r) for r in roots])).alias("path"), "sig")
     out = None
     for level in range(1, depth + 1):
         rows = written(_split(nodes))
-        sizes = rows.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
+        sizes = rows.groupBy("bucket").agg(F.count("*").alias("size"), F.sum("n").alias("weight")).filter("size > 1")
         shared = written(rows.join(sizes, "bucket"))
         leaf = shared if level == depth else shared.filter(F.col("size") <= bucket)
         out = leaf if out is None else out.unionByName(leaf)
@@ -183,7 +172,7 @@ def leaves(sets: DataFrame, runs: int, bucket: int = BUCKET, depth: int = DEPTH)
         large = shared.filter(F.col("size") > bucket)
         if large.isEmpty():
             break
-        nodes = large.select("key", F.col("bucket").alias("path")).join(sets.select("key", "sig"), "key")
+        nodes = large.select("key", "n", F.col("bucket").alias("path")).join(sets.select("key", "sig"), "key")
     return out
 
 
@@ -296,7 +285,8 @@ def similar_links(docs: DataFrame, sets: DataFrame, similarity: float = SIMILARI
     leaf = written(leaves(sets, runs_for(similarity, recall)))
     lists = leaf.groupBy("key").agg(F.array_sort(F.collect_list("bucket")).alias("buckets"))
     known = written(sets.select("key", "n", "d1", "d2", "copies", "sig").join(lists, "key"))
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("weight") / BLOCK_SHINGLES)).cast("int")
+    blocks = F.least(blocks, F.col("size").cast("int"))
     member = leaf.select("key", "bucket", blocks.alias("blocks"),
                          F.pmod(F.xxhash64("key", "bucket"), blocks).cast("int").alias("block"))
     # a set meets every block of its bucket once: (a, b) with a <= b
@@ -320,7 +310,7 @@ def similar_links(docs: DataFrame, sets: DataFrame, similarity: float = SIMILARI
 
     def whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in _parts(batch):
+            for part in slices(batch, "text"):
                 h, first = shingles(scan(part.column("text")), size)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("key"), pa.array([h[i:j].tobytes() for i, j in zip(first, first[1:])], pa.binary())],

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,27 +85,28 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(tokens: list[bytes], key: str = "0123456789abcdef") -> np.ndarray:
-    """A 64-bit hash of each word, the same on every machine."""
-    if not tokens:
-        return np.empty(0, np.uint64)
-    flat = np.empty(len(tokens), object)
-    flat[:] = tokens
-    return pd.util.hash_array(flat, hash_key=key, categorize=False)
+def slices(batch: pa.RecordBatch, column: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of the batch with about ``most`` bytes in a string column; a longer text goes
+    alone. What a worker makes of a slice stays small whatever the size of a batch."""
+    done = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        before = int(done[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(done, before + most, side="right")))
+        yield batch.slice(at, to - at)
+        at = to
 
 
-def split_words(text: str | None) -> list[bytes]:
-    """Words of a whole text in UTF-8. bytes.split() parts at just the white space of ``WHITE``."""
-    return text.encode("utf-8", "surrogatepass").split() if text else []
+def with_columns_of(df: DataFrame, column: str, fields: str, f: Callable[[pa.RecordBatch], list[pa.Array]]) -> DataFrame:
+    """``df`` and further columns, named and typed by ``fields`` (a DDL string), that ``f`` makes of each
+    slice of rows."""
+    schema = df.limit(0).schema
+    more = df.sparkSession.createDataFrame([], fields).schema
+    names = [*df.columns, *more.names]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, column):
+                yield pa.RecordBatch.from_arrays([*part.columns, *f(part)], names=names)
 
-def window_hashes(h: np.ndarray, size: int, salt: int = 0) -> np.ndarray:
-    """A hash of every run of ``size`` consecutive word hashes."""
-    n = len(h) - size + 1
-    if n <= 0:
-        return np.empty(0, np.uint64)
-    out = np.full(n, np.uint64(salt))
-    for i in range(size):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + h[i : i + n]
-        out ^= out >> np.uint64(29)
-    return mix(out)
+    return df.mapInArrow(run, type(schema)([*schema.fields, *more.fields]))

@@ -12,12 +12,14 @@ from __future__ import annotations
 import datetime
 import hashlib
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quayside.llm.common import with_columns_of
+
 ROUNDS = 10
 KINDS = ("mail", "account", "date", "address", "card", "tax", "phone")
 
@@ -247,18 +249,16 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", back: bool =
     column (in any case) is replaced by it.
     """
     names = {k: "n_" + {"address": "addresses", "tax": "taxes"}.get(k, k + "s") for k in KINDS}
-    made = ", ".join(["text string", *(f"{n} long" for n in names.values())])
+    fields = ", ".join(["__text string", *(f"__{n} long" for n in names.values())])
 
-    @F.pandas_udf(f"struct<{', '.join(x.replace(' ', ': ') for x in made.split(', '))}>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(part: pa.RecordBatch) -> list[pa.Array]:
         who = Pseudonymiser(key, back)
-        for texts in batches:
-            rows = [who.replace(t) for t in texts]
-            yield pd.DataFrame({"text": pd.Series([t for t, _ in rows], dtype=object),
-                                **{n: pd.Series([c[k] for _, c in rows], dtype="int64") for k, n in names.items()}})
+        rows = [who.replace(t) for t in part.column(text_col).to_pylist()]
+        return [pa.array([t for t, _ in rows], pa.string()),
+                *[pa.array([c[k] for _, c in rows], pa.int64()) for k in names]]
 
     clash = {n.lower() for n in names.values()}
     columns = [c for c in docs.columns if c.lower() not in clash]
-    got = docs.select(*[F.col(f"`{c}`") for c in columns], run(F.col(f"`{text_col}`")).alias("__done"))
-    return got.select(*[F.col("__done.text").alias(c) if c == text_col else F.col(f"`{c}`") for c in columns],
-                      *[F.col(f"__done.{n}") for n in names.values()])
+    got = with_columns_of(docs.select(*[F.col(f"`{c}`") for c in columns]), text_col, fields, run)
+    return got.select(*[F.col("__text").alias(c) if c == text_col else F.col(f"`{c}`") for c in columns],
+                      *[F.col(f"__{n}").alias(n) for n in names.values()])

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import mix, replace_columns, written
+from quayside.llm.common import mix, replace_columns, slices, written
 from quayside.llm.wordscan import _BYTE, borders, buffers, inside, powers, segments, windows
 
 WINDOW = 8
@@ -149,18 +149,12 @@ def _rows(keys: pa.Array, found: tuple) -> pa.RecordBatch:
          pa.array(size.astype(np.int32)), slots], names=["key", "place", "hash", "size", "slots"])
 
 
-def _slices(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    rows = max(1, int(batch.num_rows * most / max(most, batch.nbytes)))
-    for at in range(0, batch.num_rows, rows):
-        yield batch.slice(at, rows)
-
-
 def benchmark_windows(items: DataFrame, size: int = WINDOW) -> DataFrame:
     """Windows of the items: item_id, item_place, hash, size, item_slots, n_windows (distinct places)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in _slices(batch):
+            for part in slices(batch, "text"):
                 yield _rows(part.column("key"), template_windows(part.column("text"), size, short=True))
 
     rows = written(items.select(F.col("item_id").cast("long").alias("key"), F.coalesce("text", F.lit("")).alias("text"))
@@ -200,7 +194,7 @@ def contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW, coverage
             return known[h & mask] & known[(h.view(np.int64) >> 32).view(_U) & mask]
 
         for batch in batches:
-            for part in _slices(batch):
+            for part in slices(batch, "text"):
                 for n in sizes:
                     yield _rows(part.column("key"), template_windows(part.column("text"), n, wanted))
 

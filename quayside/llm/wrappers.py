@@ -19,10 +19,11 @@ import zlib
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import replace_columns, written
+from quayside.llm.common import replace_columns, slices, with_columns_of, written
 
 #: Groups in which a host's skeletons are aligned before their wrappers are.
 SALTS = 32
@@ -350,14 +351,18 @@ def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html
     """host, wrapper (JSON), pages (distinct ones) of every host."""
     rows = pages.select(_host(F.col(url_col)).alias("host"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
 
-    def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: dict[tuple[str, str], list] = {}
-            for host, page in zip(batch["host"], batch["html"]):
-                w = skeleton(parse(page))
-                key = host, json.dumps(_shape(w))
-                found[key] = align(found[key], w) if key in found else w
-            yield pd.DataFrame([(h, s, json.dumps(w)) for (h, s), w in found.items()], columns=["host", "shape", "wrapper"])
+            for part in slices(batch, "html"):
+                for host, page in zip(part.column("host").to_pylist(), part.column("html").to_pylist()):
+                    w = skeleton(parse(page))
+                    key = host, json.dumps(_shape(w))
+                    found[key] = align(found[key], w) if key in found else w
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x, pa.string()) for x in ([h for h, _ in found], [s for _, s in found],
+                                                    [json.dumps(w) for w in found.values()])],
+                names=["host", "shape", "wrapper"])
 
     def merge(key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         wrapper = None
@@ -367,7 +372,7 @@ def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html
                 wrapper = w if wrapper is None else align(wrapper, w)
         yield pd.DataFrame({"host": [key[0]], "wrapper": [json.dumps(wrapper)]})
 
-    skeletons = rows.mapInPandas(reduce, _SKELETON)
+    skeletons = rows.mapInArrow(reduce, _SKELETON)
     salted = skeletons.withColumn("salt", F.pmod(F.xxhash64("shape"), F.lit(SALTS)))
     partial = salted.groupBy("host", "salt").applyInPandas(merge, "host string, wrapper string")
     whole = partial.groupBy("host").applyInPandas(merge, "host string, wrapper string")
@@ -399,20 +404,14 @@ def extract_main_text(pages: DataFrame, url_col: str = "url", html_col: str = "h
 
     known = written(infer_wrappers(pages, url_col, html_col).select("host", judge("wrapper", "pages").alias("rules")))
 
-    @F.pandas_udf("string")
-    def extract(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        read: dict[str, dict[str, int]] = {}
-        for html_, rule in batches:
-            out = []
-            for page, r in zip(html_, rule):
-                if r not in read:
-                    if len(read) > 1000:
-                        read.clear()
-                    read[r] = json.loads(r)
-                out.append(main_text(page, read[r]))
-            yield pd.Series(out, dtype=object)
-
-    rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("row"))
-    joined = rows.withColumn("host", _host(F.col(f"row.{url_col}"))).join(known, "host")
-    done = joined.select("row", extract(F.col(f"row.{html_col}"), F.col("rules")).alias("text"))
+    def extract(part: pa.RecordBatch) -> list[pa.Array]:
+        rule = part.column("rules").dictionary_encode()
+        read = [json.loads(r) for r in rule.dictionary.to_pylist()]
+        return [pa.array([main_text(page, read[i]) for page, i in
+                          zip(part.column("page").to_pylist(), rule.indices.to_pylist())], pa.string())]
+
+    rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns if c != html_col]).alias("row"),
+                        F.col(f"`{html_col}`").alias("page"), _host(F.col(f"`{url_col}`")).alias("host"))
+    done = with_columns_of(rows.join(known, "host").select("row", "page", "rules"), "page", "text string", extract)
+    done = done.select(F.struct("row.*", F.col("page").alias(html_col)).alias("row"), "text")
     return replace_columns(done.withColumn("n_chars", F.length("text").cast("long")), "row", ["text", "n_chars"])

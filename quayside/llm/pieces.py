@@ -12,23 +12,22 @@ from __future__ import annotations
 import heapq
 import os
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quayside.llm.common import with_columns_of
+
 SPACE = "▁"
 #: Units longer than this go through the heap.
 LONG = 40
 #: Units whose ids a worker remembers in each of two generations. It bounds memory only: units that
 #: drop out unused are encoded again.
-REMEMBERED = 300_000
-#: Characters of text that a worker takes into its arrays at once; a longer text goes alone.
-AT_ONCE = 2_000_000
-
+REMEMBERED = 100_000
 _NEVER = np.int32(2**31 - 1)
 
 
@@ -209,20 +208,6 @@ class MergeVocabulary:
         return [self.library.decode(x) for x in ids]
 
 
-def _parts(texts: list[str | None], at_once: int = AT_ONCE) -> Iterator[list[str | None]]:
-    part: list[str | None] = []
-    held = 0
-    for t in texts:
-        size = len(t) if t else 0
-        if part and held + size > at_once:
-            yield part
-            part, held = [], 0
-        part.append(t)
-        held += size
-    if part:
-        yield part
-
-
 _VOCABULARIES: dict[str, MergeVocabulary] = {}
 
 
@@ -244,19 +229,13 @@ def encode_pieces(docs: DataFrame, model: str, text_col: str = "text", check: bo
     ``check``: hold every Arrow batch against the library's own encode, and fail where they differ.
     """
 
-    @F.pandas_udf("struct<ids: array<int>, decoded: string>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(part: pa.RecordBatch) -> list[pa.Array]:
         v = vocabulary(model)
-        for batch in batches:
-            ids, decoded = [], []
-            for part in _parts(batch.tolist()):
-                got = v.encode(part)
-                if check and got != v.library.encode([t or "" for t in part], num_threads=1):
-                    raise ValueError("ids differ from the library's")
-                decoded += v.decode(got)
-                ids += [np.array(x, np.int32) for x in got]
-            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series(decoded, dtype=object)})
-
-    rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("ids", "decoded")],
-                       run(F.col(text_col)).alias("__pieces"))
-    return rows.select("*", "__pieces.ids", "__pieces.decoded").drop("__pieces")
+        texts = part.column(text_col).to_pylist()
+        ids = v.encode(texts)
+        if check and ids != v.library.encode([t or "" for t in texts], num_threads=1):
+            raise ValueError("ids differ from the library's")
+        return [pa.array(ids, pa.list_(pa.int32())), pa.array(v.decode(ids), pa.string())]
+
+    rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("ids", "decoded")])
+    return with_columns_of(rows, text_col, "ids array<int>, decoded string", run)

@@ -15,7 +15,7 @@ import re
 import zoneinfo
 from typing import Any
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, ByteType, DataType, DateType,
                                DecimalType, DoubleType, FloatType, IntegerType, LongType, NullType,
@@ -23,7 +23,7 @@ from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, ByteType, Dat
 
 from quayside.errors import ContractError
 from quayside.functions.names import col, resolve
-from quayside.functions.nested import conform, typed_null
+from quayside.functions.nested import conform
 
 # The target types reached by a plain cast (same list as the reference).
 AUTO_CAST_TYPES = (
@@ -91,6 +91,12 @@ def check_date_pattern(pattern: str) -> str:
     return pattern
 
 
+def is_zone(zone: Column) -> Column:
+    """Whether a zone id is one that Spark's zone functions accept; null for null."""
+    ids = [*SparkSession.active()._jvm.java.time.ZoneId.getAvailableZoneIds(), *sorted(JAVA_SHORT_ZONE_IDS)]
+    return zone.isin(ids) | zone.rlike(_OFFSET_ZONE.pattern)
+
+
 def _definition(rule: dict[str, Any], key: str) -> dict[str, Any]:
     meta = rule.get("metadata") or {}
     if key not in meta:
@@ -108,10 +114,10 @@ def _source(rule: dict[str, Any], schema: StructType, case_sensitive: bool) -> t
     return col(hit), schema[hit].dataType
 
 
-def _cast(value: Column, source: DataType | None, target: DataType, strict: bool) -> Column:
+def _cast(value: Column, source: DataType | None, target: DataType, strict: bool, case_sensitive: bool = False) -> Column:
     if isinstance(target, (StructType, ArrayType)) and source is not None:
         # By-name rebuild (a plain struct cast is positional, and text cannot be cast to a struct).
-        return conform(value, source, target)
+        return conform(value, source, target, case_sensitive=case_sensitive, strict=strict)
     if source is not None and source == target:
         return value
     return value.cast(target) if strict else value.try_cast(target)
@@ -126,13 +132,13 @@ def field_column(rule: dict[str, Any], schema: StructType, *, strict: bool = Fal
         return _cast(F.expr(rule["expression"]), None, dtype, strict).alias(name)
     if isinstance(dtype, AUTO_CAST_TYPES):
         value, source = _source(rule, schema, case_sensitive)
-        return _cast(value, source, dtype, strict).alias(name)
+        return _cast(value, source, dtype, strict, case_sensitive).alias(name)
     if isinstance(dtype, TimestampType):
         definition = _definition(rule, "timestamp_definition")
         source_format = definition.get("source_format") or {}
         zone = definition.get("timezone") or {}
         if source_format.get("type") != "string":
-            raise ContractError(f"Unsupported source_format {source_format} for field {rule.get('source_name')}")
+            raise ContractError(f"field {name!r}: a timestamp's source_format must be of type 'string', not {source_format}")
         value, _ = _source(rule, schema, case_sensitive)
         parsed = F.to_timestamp(value) if strict else F.try_to_timestamp(value)
         if zone.get("type") == "field":
@@ -140,10 +146,12 @@ def field_column(rule: dict[str, Any], schema: StructType, *, strict: bool = Fal
             if zone_col is None:
                 raise ContractError(f"zone column {zone.get('value')!r} of field {name!r} is not in the conformed schema")
             shifted = F.to_utc_timestamp(parsed, col(zone_col))
+            if not strict:  # an unknown zone would fail the job: the value is lost instead, and counted
+                shifted = F.when(is_zone(col(zone_col)), shifted)
         elif zone.get("type") == "literal":
             shifted = F.to_utc_timestamp(parsed, F.lit(check_zone_id(zone.get("value"))))
         else:
-            raise ContractError(f"Unsupported timezone {zone} for field {rule.get('source_name')}")
+            raise ContractError(f"field {name!r}: timezone must be a 'field' or a 'literal', not {zone}")
         if definition.get("respect_zone_in_text"):
             # Opt-in: text that states its own zone (Z or an offset) is already an instant.
             shifted = F.when(value.rlike(ZONE_IN_TEXT), parsed).otherwise(shifted)
@@ -152,12 +160,9 @@ def field_column(rule: dict[str, Any], schema: StructType, *, strict: bool = Fal
         definition = _definition(rule, "date_definition")
         source_format = definition.get("source_format") or {}
         if source_format.get("type") != "string" or not source_format.get("date_format"):
-            raise ContractError(f"Unsupported source_format {source_format} for field {rule.get('source_name')}")
+            raise ContractError(f"field {name!r}: a date needs a source_format of type 'string' with a date_format, "
+                                f"not {source_format}")
         value, _ = _source(rule, schema, case_sensitive)
         pattern = check_date_pattern(source_format["date_format"])
         return (F.to_date(value, pattern) if strict else F.try_to_date(value, pattern)).alias(name)
-    raise ContractError(f"Unsupported cast to {dtype.simpleString()} for field {rule.get('source_name')}")
-
-
-def null_column(field: StructField) -> Column:
-    return typed_null(field.dataType).alias(field.name)
+    raise ContractError(f"field {name!r}: no rule makes a {dtype.simpleString()}; use an expression")

@@ -63,11 +63,3 @@ def in_dates(column: Column | str, dates: Iterable[str]) -> Column:
     """``column IN (date literals)``; on a partition column this prunes partitions."""
     c = F.col(column) if isinstance(column, str) else column
     return c.isin(to_date_values(dates))
-
-
-def lookback_window_frame(requested: DataFrame, column: str = "d", days_back: int = 1) -> DataFrame:
-    """DataFrame form of the window: ``d UNION d - 1 [UNION d - 2 ...]`` (distinct)."""
-    out = requested.select(F.col(column).alias(column))
-    for back in range(1, days_back + 1):
-        out = out.union(requested.select(F.date_sub(F.col(column), back).alias(column)))
-    return out.distinct()

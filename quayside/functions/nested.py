@@ -50,7 +50,7 @@ def typed_null(dtype: DataType) -> Column:
 
 
 def conform(value: Column, source: DataType, target: DataType, *, cast_leaves: bool = True,
-            case_sensitive: bool = False) -> Column:
+            case_sensitive: bool = False, strict: bool = False) -> Column:
     """Rebuild ``value`` (of type ``source``) into ``target`` by field name.
 
     * JSON text becomes the declared struct/array/map: parsed with all-text
@@ -59,12 +59,15 @@ def conform(value: Column, source: DataType, target: DataType, *, cast_leaves: b
     * Structs keep declared fields in declared order; absent fields are typed
       nulls, undeclared fields are dropped; a null struct stays null.
     * Arrays are rebuilt element by element with ``transform``.
+    * Text that is no JSON is a typed null.
+    * ``strict``: such text, and leaves that do not fit, fail the job instead.
     * Scalars are ``try_cast`` when ``cast_leaves`` and the types differ.
     """
     if isinstance(target, (StructType, ArrayType, MapType)) and isinstance(source, StringType):
         parse_as = text_leaves(target)
-        return conform(F.from_json(value, parse_as), parse_as, target,
-                       cast_leaves=cast_leaves, case_sensitive=case_sensitive)
+        parsed = F.from_json(value, parse_as, {"mode": "FAILFAST"} if strict else {})
+        made = conform(parsed, parse_as, target, cast_leaves=cast_leaves, case_sensitive=case_sensitive, strict=strict)
+        return made if strict else F.when(F.try_parse_json(value).isNotNull(), made)
     if isinstance(target, StructType):
         if not isinstance(source, StructType):
             raise ContractError(f"cannot re-shape {source.simpleString()} into {target.simpleString()}")
@@ -76,20 +79,45 @@ def conform(value: Column, source: DataType, target: DataType, *, cast_leaves: b
                 parts.append(typed_null(f.dataType).alias(f.name))
             else:
                 parts.append(conform(value.getField(hit), source[hit].dataType, f.dataType,
-                                     cast_leaves=cast_leaves, case_sensitive=case_sensitive).alias(f.name))
+                                     cast_leaves=cast_leaves, case_sensitive=case_sensitive, strict=strict).alias(f.name))
         return F.when(value.isNull(), typed_null(target)).otherwise(F.struct(*parts))
     if isinstance(target, ArrayType):
         if not isinstance(source, ArrayType):
             raise ContractError(f"cannot re-shape {source.simpleString()} into {target.simpleString()}")
         return F.transform(value, lambda x: conform(x, source.elementType, target.elementType,
-                                                     cast_leaves=cast_leaves, case_sensitive=case_sensitive))
+                                                     cast_leaves=cast_leaves, case_sensitive=case_sensitive,
+                                                     strict=strict))
     if isinstance(target, MapType):
         if not isinstance(source, MapType):
             raise ContractError(f"cannot re-shape {source.simpleString()} into {target.simpleString()}")
         keyed = value if source.keyType == target.keyType else F.transform_keys(
-            value, lambda k, v: k.try_cast(target.keyType))
+            value, lambda k, v: k.cast(target.keyType) if strict else k.try_cast(target.keyType))
         return F.transform_values(keyed, lambda k, v: conform(v, source.valueType, target.valueType,
-                                                              cast_leaves=cast_leaves, case_sensitive=case_sensitive))
+                                                              cast_leaves=cast_leaves, case_sensitive=case_sensitive,
+                                                     strict=strict))
     if source == target or not cast_leaves:
         return value
-    return value.try_cast(target)
+    return value.cast(target) if strict else value.try_cast(target)
+
+
+def lost(value: Column, source: DataType, target: DataType, case_sensitive: bool = False) -> Column:
+    """Whether a lenient :func:`conform` loses something of ``value``: text that is no JSON, or a leaf
+    that does not fit its type. Never null."""
+    no = F.lit(False)
+    if isinstance(target, (StructType, ArrayType, MapType)) and isinstance(source, StringType):
+        parse_as = text_leaves(target)
+        inner = lost(F.from_json(value, parse_as), parse_as, target, case_sensitive)
+        return value.isNotNull() & (F.try_parse_json(value).isNull() | inner)
+    if isinstance(target, StructType) and isinstance(source, StructType):
+        hits = [(resolve(f.name, source.fieldNames(), case_sensitive), f) for f in target.fields]
+        out = no
+        for hit, f in hits:
+            if hit is not None:
+                out = out | lost(value.getField(hit), source[hit].dataType, f.dataType, case_sensitive)
+        return F.coalesce(out, no)
+    if isinstance(target, ArrayType) and isinstance(source, ArrayType):
+        return F.coalesce(F.exists(value, lambda x: lost(x, source.elementType, target.elementType, case_sensitive)), no)
+    if isinstance(target, MapType) and isinstance(source, MapType):
+        return F.coalesce(F.exists(F.map_values(value),
+                                   lambda x: lost(x, source.valueType, target.valueType, case_sensitive)), no)
+    return no if source == target else value.isNotNull() & value.try_cast(target).isNull()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quayside.errors import ContractError, NoNewData
 from quayside.functions.names import col, quote
+from quayside.operators.lineage import LINEAGE_COLUMNS
 from quayside.sources.json_feed import envelope_records_type
 
 _RECORD = "__record"
@@ -19,7 +20,7 @@ def flatten_envelope(df: DataFrame, field: str = "Data", carry: Sequence[str] =
 
     ``carry`` columns (e.g. ``source_path``) are kept beside every record. Null
     or empty arrays yield no rows. A record field that collides with a carried
-    column is a contract error (it would make later references ambiguous).
+    or a lineage column, in any case, is a contract error (it would make later references ambiguous).
 
     When inference saw only empty arrays the element type is not a struct;
     that is reported as :class:`NoNewData` if no element exists at all, and as
@@ -30,7 +31,8 @@ def flatten_envelope(df: DataFrame, field: str = "Data", carry: Sequence[str] =
         if df.where(F.size(col(field)) > 0).isEmpty():
             raise NoNewData(f"every '{field}' array is empty")
         raise ContractError(f"'{field}' elements are not objects")
-    clash = sorted(set(record_type.fieldNames()) & set(carry))
+    taken = {c.lower() for c in (*carry, *LINEAGE_COLUMNS)}
+    clash = sorted(n for n in record_type.fieldNames() if n.lower() in taken)
     if clash:
         raise ContractError(f"record fields collide with lineage columns: {clash}")
     exploded = df.select(*[col(c) for c in carry], F.explode(col(field)).alias(_RECORD))

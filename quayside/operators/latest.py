@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from quayside.functions.names import col
 from quayside.operators.lineage import PROCESSING_TIME
@@ -20,11 +20,17 @@ from quayside.operators.lineage import PROCESSING_TIME
 ROW_HASH = "row_hash"
 
 
-def _row_hash(df: DataFrame) -> Column:
-    # The run stamp differs between runs over the same rows; leaving it out keeps
-    # the tie-break winner the same on every rerun.
-    hashable = [col(f.name) for f in df.schema.fields
-                if not isinstance(f.dataType, MapType) and f.name != PROCESSING_TIME]
+def _holds_map(dtype: DataType) -> bool:
+    if isinstance(dtype, StructType):
+        return any(_holds_map(f.dataType) for f in dtype.fields)
+    return isinstance(dtype, MapType) or isinstance(dtype, ArrayType) and _holds_map(dtype.elementType)
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A hash of the row; values that hold a map at any depth are left out (maps have no order). The
+    run stamp is left out, too: it differs between runs over the same rows, and the winner of a tie
+    must not."""
+    hashable = [col(f.name) for f in df.schema.fields if not _holds_map(f.dataType) and f.name != PROCESSING_TIME]
     return F.xxhash64(*hashable)
 
 
@@ -38,7 +44,7 @@ def latest_per_key(df: DataFrame, keys: Sequence[str] = ("id",), order_by: Seque
     """
     order = [col(c).desc_nulls_last() for c in order_by]
     if tiebreak == ROW_HASH:
-        order.append(_row_hash(df).desc())
+        order.append(row_hash(df).desc())
     elif tiebreak:
         order += [col(c).desc_nulls_last() for c in ([tiebreak] if isinstance(tiebreak, str) else tiebreak)]
     w = Window.partitionBy(*[col(k) for k in keys]).orderBy(*order)

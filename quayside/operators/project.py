@@ -6,15 +6,17 @@ from collections.abc import Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType, StructType
+from pyspark.sql.types import ArrayType, DataType, StringType, StructType
 
-from quayside.functions.casts import field_column
+from quayside.functions.casts import field_column, parse_field
 from quayside.functions.names import col, resolve
-from quayside.functions.nested import conform, is_struct_like, typed_null
+from quayside.functions.nested import conform, is_struct_like, lost, typed_null
 from quayside.operators.lineage import INGESTION_DATE, LINEAGE_COLUMNS
 
 
+LOST_PREFIX = "__lost_"
+
+
 def _case_sensitive(df: DataFrame) -> bool:
     return str(df.sparkSession.conf.get("spark.sql.caseSensitive", "false")).lower() == "true"
 
@@ -29,31 +31,33 @@ def all_as_text(df: DataFrame, keep: Sequence[str] = LINEAGE_COLUMNS) -> DataFra
     return df.select([col(c) if c in keep else col(c).cast("string").alias(c) for c in df.columns])
 
 
-def conform_to_schema(df: DataFrame, schema: StructType, keep: Sequence[str] = (INGESTION_DATE,)) -> DataFrame:
+def conform_to_schema(df: DataFrame, schema: StructType, keep: Sequence[str] = (INGESTION_DATE,),
+                      strict: bool = False, loss_flags: bool = False) -> DataFrame:
     """Keep exactly the declared columns, in declared order, plus ``keep``.
 
     Absent columns become typed nulls; structs and arrays of structs are
     re-shaped to the declared type by name (from JSON text or from a nested
     value); other declared columns pass through unchanged (the contract
     projection casts them). Names resolve with the session's case rule.
+    ``strict`` fails the job on nested values that do not fit; with
+    ``loss_flags`` a ``__lost_<name>`` column says where one lost something.
     """
     case_sensitive = _case_sensitive(df)
     names = df.columns
-    out = []
+    out, flags = [], []
     for f in schema.fields:
         hit = resolve(f.name, names, case_sensitive)
         if hit is None:
             out.append(typed_null(f.dataType).alias(f.name))
         elif is_struct_like(f.dataType):
-            out.append(conform(col(hit), df.schema[hit].dataType, f.dataType,
-                               case_sensitive=case_sensitive).alias(f.name))
+            source = df.schema[hit].dataType
+            out.append(conform(col(hit), source, f.dataType, case_sensitive=case_sensitive, strict=strict).alias(f.name))
+            if loss_flags and not strict:
+                flags.append(lost(col(hit), source, f.dataType, case_sensitive).alias(LOST_PREFIX + f.name))
         else:
             out.append(col(hit).alias(f.name))
     out += [col(k) for k in keep if k in names and k not in schema.fieldNames()]
-    return df.select(out)
-
-
-LOST_PREFIX = "__lost_"
+    return df.select(out + flags)
 
 
 def apply_contract(df: DataFrame, fields: Sequence[dict[str, Any]], keep: Sequence[str] = (INGESTION_DATE,),
@@ -74,10 +78,11 @@ def apply_contract(df: DataFrame, fields: Sequence[dict[str, Any]], keep: Sequen
             source = None if rule.get("expression") else resolve(rule.get("source_name") or "", df.columns,
                                                                   case_sensitive)
             if source is not None:
-                out.append((col(source).isNotNull() & typed.isNull()).alias(LOST_PREFIX + rule["name"]))
+                flag = col(source).isNotNull() & typed.isNull()
+                target = parse_field(rule).dataType
+                if isinstance(target, (StructType, ArrayType)):
+                    flag = flag | lost(col(source), df.schema[source].dataType, target, case_sensitive)
+                earlier = LOST_PREFIX + source  # what conforming the source column already lost
+                flag = flag | col(earlier) if earlier in df.columns else flag
+                out.append(flag.alias(LOST_PREFIX + rule["name"]))
     return df.select(out)
-
-
-def null_counts(df: DataFrame, columns: Sequence[str]) -> list:
-    """Aggregates counting nulls per column (for observing cast losses)."""
-    return [F.count_if(col(c).isNull()).alias(f"null_{c}") for c in columns]

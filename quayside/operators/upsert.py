@@ -6,19 +6,11 @@ target.order``; keys only in the updates are inserted; all other target rows
 are kept. Null keys never match (SQL equality), so a null-key update is always
 inserted and null-key target rows are always kept.
 
-Two plans, same rows:
-
-* ``strategy="shuffle"`` (default): one full-outer equi-join on the key, both
-  sides shuffled by key once. Null keys are salted, so they never pile up in
-  one hash partition. Both sides have at most one row per key after
-  deduplication, so the join itself has no key skew. Works at any size.
-* ``strategy="broadcast"``: the target is never shuffled. Target rows meet
-  the broadcast updates in a left-outer hash join (each row keeps itself or
-  takes its update). Inserts are the updates whose key no target row has;
-  those keys come from a key-only scan of the target semi-joined with the
-  broadcast update keys, so they are at most as many as the updates. Only
-  for update sets whose size the caller has checked (the bucketed
-  current-state table measures its staged updates first).
+One plan at every size: a full-outer equi-join on the key, both sides shuffled
+by key once. Null keys are salted, so they never pile up in one hash partition.
+Both sides have at most one row per key after deduplication, so the join itself
+has no key skew; Spark may still turn it into a broadcast join on its own
+statistics.
 """
 
 from __future__ import annotations
@@ -27,47 +19,70 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, StructType
+from pyspark.sql.types import DataType, DecimalType, StructType
 
-from quayside.functions.names import col
+from quayside.errors import ContractError
+from quayside.functions.names import col, resolve
 from quayside.functions.nested import typed_null
-from quayside.operators.latest import ROW_HASH, latest_per_key
+from quayside.operators.latest import ROW_HASH, latest_per_key, row_hash
 
 NULL_KEY_POLICIES = ("keep", "drop", "fail")
-STRATEGIES = ("shuffle", "broadcast")
 NULL_KEY_SALTS = 8192
 
 
-def union_schema(target: StructType, updates: StructType) -> StructType:
+def _case_sensitive(df: DataFrame) -> bool:
+    return str(df.sparkSession.conf.get("spark.sql.caseSensitive", "false")).lower() == "true"
+
+
+def union_schema(target: StructType, updates: StructType, case_sensitive: bool = False) -> StructType:
     """Target columns (with target types) followed by columns only the updates have."""
-    names = set(target.fieldNames())
-    return StructType(list(target.fields) + [f for f in updates.fields if f.name not in names])
+    names = target.fieldNames()
+    return StructType(list(target.fields)
+                      + [f for f in updates.fields if resolve(f.name, names, case_sensitive) is None])
+
+
+_WHOLE = ["tinyint", "smallint", "int", "bigint"]  # narrow to wide
+
+
+def keeps_values(source: DataType, target: DataType) -> bool:
+    """Whether every value of ``source`` is a value of ``target`` (same type, or a wider number)."""
+    a, b = source.simpleString(), target.simpleString()
+    if a == b or a == "void" or (a, b) == ("float", "double"):
+        return True
+    if a in _WHOLE and b in _WHOLE:
+        return _WHOLE.index(a) <= _WHOLE.index(b)
+    if isinstance(source, DecimalType) and isinstance(target, DecimalType):
+        return (target.scale >= source.scale
+                and target.precision - target.scale >= source.precision - source.scale)
+    return False
 
 
 def align(df: DataFrame, schema: StructType) -> DataFrame:
-    """Project ``df`` onto ``schema``: missing columns are typed nulls, types follow the schema."""
+    """Project ``df`` onto ``schema``: columns are found by the session's case rule, missing ones are
+    typed nulls, narrower numbers are widened. Any other change of type is a :class:`ContractError`:
+    a cast could turn values into nulls or truncate them without a trace."""
+    case_sensitive = _case_sensitive(df)
     out = []
     for f in schema.fields:
-        if f.name not in df.columns:
+        hit = resolve(f.name, df.columns, case_sensitive)
+        if hit is None:
             out.append(typed_null(f.dataType).alias(f.name))
-        elif df.schema[f.name].dataType != f.dataType:
-            out.append(col(f.name).cast(f.dataType).alias(f.name))
-        else:
-            out.append(col(f.name))
+            continue
+        source = df.schema[hit].dataType
+        if not keeps_values(source, f.dataType):
+            raise ContractError(f"column {f.name!r} is {f.dataType.simpleString()} in the table and "
+                                f"{source.simpleString()} in the new rows; reload the table to change its type")
+        value = col(hit) if source.simpleString() == f.dataType.simpleString() else col(hit).cast(f.dataType)
+        out.append(value.alias(f.name))
     return df.select(out)
 
 
 def upsert(target: DataFrame, updates: DataFrame, key: str = "id", order: str = "ingestion_date", *,
            dedupe: bool = True, tiebreak=ROW_HASH, on_null_key: str = "keep",
-           strategy: str = "shuffle",
            copartition: Callable[[Column, Column], Sequence[Column]] | None = None) -> DataFrame:
     """Return the new target state after merging ``updates`` into ``target``.
 
-    ``strategy="broadcast"`` ships the (deduplicated) updates to every task
-    instead of shuffling the target; use it only for an update set of known,
-    small size.
-
-    ``copartition`` (shuffle plan only) maps the key and its null-key salt to
+    ``copartition`` maps the key and its null-key salt to
     extra join keys that must be functions of the key for non-null keys.
     Both sides are hash-partitioned by those columns alone before the join,
     so a write partitioned by the same columns needs no second shuffle. Spark
@@ -77,9 +92,7 @@ def upsert(target: DataFrame, updates: DataFrame, key: str = "id", order: str =
     """
     if on_null_key not in NULL_KEY_POLICIES:
         raise ValueError(f"on_null_key must be one of {NULL_KEY_POLICIES}")
-    if strategy not in STRATEGIES:
-        raise ValueError(f"strategy must be one of {STRATEGIES}")
-    schema = union_schema(target.schema, updates.schema)
+    schema = union_schema(target.schema, updates.schema, _case_sensitive(target))
     names = schema.fieldNames()
     t = align(target, schema)
     u = align(updates, schema)
@@ -92,18 +105,16 @@ def upsert(target: DataFrame, updates: DataFrame, key: str = "id", order: str =
         # A null-key update row fails the job when the result is computed.
         u = u.withColumn(key, F.when(k.isNull(), F.raise_error(F.lit(f"null {key} in updates"))).otherwise(k))
     row = F.struct(*[col(c) for c in names])
-    if strategy == "broadcast":
-        result = _merge_broadcast(t, u, key, order, row)
-    else:
-        def side(df: DataFrame, name: str) -> DataFrame:
-            salt = F.when(k.isNull(), F.pmod(F.xxhash64(*_hashable(df)), F.lit(NULL_KEY_SALTS))).otherwise(F.lit(0))
-            extra = [c.alias(f"__p{i}") for i, c in enumerate(copartition(k, salt))] if copartition else []
-            out = df.select(*extra, k.alias("__k"), salt.alias("__s"), row.alias(name))
-            return out.repartition(*[F.col(f"__p{i}") for i in range(len(extra))]) if extra else out
-
-        keys = [f"__p{i}" for i in range(len(copartition(k, F.lit(0))))] if copartition else []
-        joined = side(t, "__o").join(side(u, "__u"), [*keys, "__k", "__s"], "full_outer")
-        result = joined.select(_chosen(F.col("__o"), F.col("__u"), order).alias("__r"))
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        salt = F.when(k.isNull(), F.pmod(row_hash(df), F.lit(NULL_KEY_SALTS))).otherwise(F.lit(0))
+        extra = [c.alias(f"__p{i}") for i, c in enumerate(copartition(k, salt))] if copartition else []
+        out = df.select(*extra, k.alias("__k"), salt.alias("__s"), row.alias(name))
+        return out.repartition(*[F.col(f"__p{i}") for i in range(len(extra))]) if extra else out
+
+    keys = [f"__p{i}" for i in range(len(copartition(k, F.lit(0))))] if copartition else []
+    joined = side(t, "__o").join(side(u, "__u"), [*keys, "__k", "__s"], "full_outer")
+    result = joined.select(_chosen(F.col("__o"), F.col("__u"), order).alias("__r"))
     return result.select(*[F.col("__r").getField(c).alias(c) for c in names])
 
 
@@ -111,20 +122,3 @@ def _chosen(o: Column, n: Column, order: str) -> Column:
     """The update when there is no target row, or when it is not older; else the target row."""
     take_update = o.isNull() | (n.isNotNull() & F.coalesce(n.getField(order) >= o.getField(order), F.lit(False)))
     return F.when(take_update, n).otherwise(o)
-
-
-def _merge_broadcast(t: DataFrame, u: DataFrame, key: str, order: str, row: Column) -> DataFrame:
-    """K4 without shuffling the target (see the module notes); returns one ``__r`` struct column."""
-    updates = F.broadcast(u.select(col(key).alias("__k"), row.alias("__u")))
-    kept = (t.select(col(key).alias("__k"), row.alias("__o"))
-            .join(updates, "__k", "left_outer")
-            .select(_chosen(F.col("__o"), F.col("__u"), order).alias("__r")))
-    # Update keys some target row has (null keys never match); bounded by the update count.
-    matched = t.select(col(key).alias("__k")).join(F.broadcast(u.select(col(key).alias("__k"))), "__k", "left_semi")
-    inserted = (u.select(col(key).alias("__k"), row.alias("__r"))
-                .join(F.broadcast(matched), "__k", "left_anti").select("__r"))
-    return kept.unionByName(inserted)
-
-
-def _hashable(df: DataFrame) -> list:
-    return [col(f.name) for f in df.schema.fields if not isinstance(f.dataType, MapType)]

@@ -21,15 +21,23 @@ from pyspark.sql.types import StructType
 from quayside.errors import Outcome, RunResult
 from quayside.functions.dates import lookback_window
 from quayside.operators.latest import ROW_HASH
+from quayside.operators.upsert import NULL_KEY_POLICIES
 from quayside.plans.contract import Contract
 from quayside.plans.current_state import build_current_state
 from quayside.plans.history_ingest import ingest_history
 from quayside.sinks.current import CurrentStateTable
 from quayside.sinks.history import HistoryTable
 from quayside.sinks.views import publish_view
+from quayside.sources import fs
 from quayside.sources.landing import LandingFeed
 
 
+def _view_kind(p: argparse.ArgumentParser) -> None:
+    p.add_argument("--persistent-view", action="store_true",
+                   help="publish --view in the session catalog, so that it outlives the run (the default)")
+    p.add_argument("--temporary-view", action="store_true", help="publish --view for this session only")
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="quayside")
     sub = p.add_subparsers(dest="command", required=True)
@@ -49,8 +57,7 @@ def parser() -> argparse.ArgumentParser:
     h.add_argument("--rebalance", action="store_true",
                    help="one AQE-sized shuffle by date before writing (feeds of many small documents)")
     h.add_argument("--view", default=None, help="view to (re)publish over the history")
-    h.add_argument("--persistent-view", action="store_true",
-                   help="publish --view in the session catalog (outlives the run) instead of as a temporary view")
+    _view_kind(h)
     h.add_argument("--envelope-schema", default=None,
                    help="file with the Spark schema JSON of a delivery document; skips the inference pass")
     c = sub.add_parser("current", help="history table -> current-state table")
@@ -63,8 +70,8 @@ def parser() -> argparse.ArgumentParser:
                    help="comma list of columns ordering rows of one key and one date, greatest first "
                         "(default: a hash of the row, so reruns pick the same row)")
     c.add_argument("--buckets", type=int, default=64)
-    c.add_argument("--broadcast-update-mb", type=int, default=64,
-                   help="staged update size up to which the merge broadcasts the updates (0: always shuffle)")
+    c.add_argument("--on-null-key", choices=NULL_KEY_POLICIES, default="keep", help="rows without a key")
+    c.add_argument("--distribution-column", default=None, help="report the state's rows per value of this column")
     c.add_argument("--dates", default="all",
                    help="'all' = reload from all history; else upsert (from all history by default)")
     c.add_argument("--window-only", action="store_true",
@@ -78,8 +85,7 @@ def parser() -> argparse.ArgumentParser:
                    help="after a successful run, delete all but the newest N generations (never the live one)")
     c.add_argument("--freshness-column", default=None)
     c.add_argument("--view", default=None, help="view to (re)publish over the live generation")
-    c.add_argument("--persistent-view", action="store_true",
-                   help="publish --view in the session catalog (outlives the run) instead of as a temporary view")
+    _view_kind(c)
     return p
 
 
@@ -91,27 +97,33 @@ def run(argv: list[str], spark: SparkSession | None = None) -> RunResult:
         history = HistoryTable(args.history)
         schema = None
         if args.envelope_schema:
-            with open(args.envelope_schema, encoding="utf-8") as fh:
-                schema = StructType.fromJson(json.load(fh))
+            text = fs.read_text(spark, args.envelope_schema)
+            if text is None:
+                raise FileNotFoundError(args.envelope_schema)
+            schema = StructType.fromJson(json.loads(text))
         result = ingest_history(spark, LandingFeed(args.landing_root, args.dataset), history, dates,
                                 envelope=args.envelope, starting_from=args.starting_from, as_text=args.as_text,
                                 max_records_per_file=args.max_records_per_file, schema=schema,
                                 rebalance=args.rebalance, nested=args.nested,
                                 on_corrupt="fail" if args.fail_on_corrupt else "count")
         if result.ok and args.view:
-            publish_view(spark, args.view, history.path, persistent=args.persistent_view)
+            publish_view(spark, args.view, history.path, persistent=not args.temporary_view,
+                         schema=history.schema(spark), partitions=[history.partition_column])
         return result
     dates = args.dates.strip().lower()
     reload = dates == "all"
     window = sorted(lookback_window(dates)) if args.window_only and not reload and not args.full_scan else None
     tiebreak = [c.strip() for c in args.tiebreak.split(",") if c.strip()] if args.tiebreak else ROW_HASH
     target = CurrentStateTable(args.target, key=args.key, order=args.order, num_buckets=args.buckets, tiebreak=tiebreak,
-                               broadcast_update_bytes=args.broadcast_update_mb * 1024 * 1024)
-    result = build_current_state(spark, HistoryTable(args.history), Contract.load(args.contract), target,
-                               reload=reload, dates=window, view=args.view, persistent_view=args.persistent_view,
+                               on_null_key=args.on_null_key)
+    result = build_current_state(spark, HistoryTable(args.history), Contract.load(args.contract, spark), target,
+                               reload=reload, dates=window, view=args.view, persistent_view=not args.temporary_view,
                                changed_only=args.changed_only and window is None,
                                strict=args.strict,
-                               freshness_column=args.freshness_column)
+                               freshness_column=args.freshness_column,
+                               distribution_column=args.distribution_column)
+    if result.ok and args.distribution_column:  # as many rows as the column has values: asked for by the user
+        result.metrics["distribution"] = [r.asDict() for r in result.metrics["distribution"].collect()]
     if result.ok and args.keep_generations is not None:
         result.metrics["generations_deleted"] = target.vacuum(spark, keep=args.keep_generations)
     return result
@@ -121,7 +133,7 @@ def main(argv: list[str] | None = None) -> int:
     try:
         result = run(sys.argv[1:] if argv is None else argv)
     except Exception as exc:
-        print(json.dumps({"outcome": Outcome.ERROR.value, "message": str(exc)[:2000]}))
+        print(json.dumps({"outcome": Outcome.ERROR.value, "message": str(exc)}))
         raise
     print(json.dumps({"outcome": result.outcome.value, "message": result.message, "metrics": result.metrics},
                      default=str))

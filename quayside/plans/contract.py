@@ -11,13 +11,14 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass, field
-from pathlib import Path
 from typing import Any
 
+from pyspark.sql import SparkSession
 from pyspark.sql.types import StructField, StructType
 
 from quayside.errors import ContractError
 from quayside.functions.casts import parse_field
+from quayside.sources import fs
 
 
 @dataclass
@@ -46,8 +47,12 @@ class Contract:
         return cls.from_dict(json.loads(text))
 
     @classmethod
-    def load(cls, path: str | Path) -> "Contract":
-        return cls.from_json(Path(path).read_text())
+    def load(cls, path: str, spark: SparkSession | None = None) -> "Contract":
+        """Read the contract from any file system that Spark reads (the active session's by default)."""
+        text = fs.read_text(spark or SparkSession.getActiveSession(), str(path))
+        if text is None:
+            raise FileNotFoundError(path)
+        return cls.from_json(text)
 
     def target_schema(self) -> StructType:
         return StructType([parse_field(r) for r in self.fields])

@@ -15,13 +15,13 @@ from pyspark.sql import functions as F
 
 from quayside.errors import NoNewData, Outcome, RunResult
 from quayside.operators.lineage import stamp_run
-from quayside.operators.profile import observed
+from quayside.operators.profile import distribution, metrics_of, observed
 from quayside.operators.project import LOST_PREFIX, apply_contract, conform_to_schema
 from quayside.plans.contract import Contract
-from quayside.session import configure
+from quayside.session import PIPELINE_CONF, session_conf
 from quayside.sinks.current import CurrentStateTable
 from quayside.sinks.history import HistoryTable
-from quayside.sinks.views import publish_view
+from quayside.sinks.views import publish_current
 
 
 def current_frame(history_rows: DataFrame, contract: Contract, strict: bool = False,
@@ -30,20 +30,21 @@ def current_frame(history_rows: DataFrame, contract: Contract, strict: bool = Fa
 
     ``loss_flags`` adds the ``__lost_<field>`` columns of :func:`apply_contract`.
     """
-    return stamp_run(apply_contract(conform_to_schema(history_rows, contract.origin_schema),
-                                    contract.fields, strict=strict, loss_flags=loss_flags))
+    conformed = conform_to_schema(history_rows, contract.origin_schema, strict=strict, loss_flags=loss_flags)
+    return stamp_run(apply_contract(conformed, contract.fields, strict=strict, loss_flags=loss_flags))
 
 
 def build_current_state(spark: SparkSession, history: HistoryTable, contract: Contract,
                         target: CurrentStateTable, *, reload: bool = False,
                         dates: Iterable[str] | None = None, view: str | None = None,
                         persistent_view: bool = False, changed_only: bool = False,
-                        strict: bool = False, freshness_column: str | None = None) -> RunResult:
+                        strict: bool = False, freshness_column: str | None = None,
+                        distribution_column: str | None = None) -> RunResult:
     """One current-state run. Metrics: rows written, buckets touched, and the
     profile of the incoming rows (``volume`` counts every version, before the
     latest-per-key step; ``freshness`` is the max of ``freshness_column``;
     ``cast_nulls_<field>`` counts values a lenient cast or pattern turned into
-    null), observed on the run's own jobs rather than by another scan.
+    null; ``distribution_column`` adds ``distribution``, a DataFrame of the state's rows per value of it), observed on the run's own jobs rather than by another scan.
 
     History read: all of it by default (the source semantics); ``dates`` reads
     only those dates; ``changed_only`` reads only the dates history runs wrote
@@ -57,7 +58,14 @@ def build_current_state(spark: SparkSession, history: HistoryTable, contract: Co
     change log. Full and change-driven runs record the newest change record
     they started from, after their data committed.
     """
-    configure(spark)
+    with session_conf(spark, PIPELINE_CONF):
+        return _build(spark, history, contract, target, reload, dates, view, persistent_view, changed_only, strict,
+                      freshness_column, distribution_column)
+
+
+def _build(spark: SparkSession, history: HistoryTable, contract: Contract, target: CurrentStateTable, reload: bool,
+           dates: Iterable[str] | None, view: str | None, persistent_view: bool, changed_only: bool, strict: bool,
+           freshness_column: str | None, distribution_column: str | None) -> RunResult:
     dates = None if dates is None else sorted(dates)
     if changed_only and dates is not None:
         raise ValueError("changed_only and dates are exclusive")
@@ -86,8 +94,10 @@ def build_current_state(spark: SparkSession, history: HistoryTable, contract: Co
         return RunResult(Outcome.NO_NEW_DATA, str(exc))
     if mark is not None:
         target.set_source_mark(spark, mark)
-    metrics.update(profile.get)
+    metrics.update(metrics_of(profile, volume=0))
     metrics["history_dates"] = "all" if dates is None else sorted(dates)
     if view:
-        publish_view(spark, view, target.location(spark), persistent=persistent_view)
+        publish_current(spark, view, target, persistent=persistent_view)
+    if distribution_column:
+        metrics["distribution"] = distribution(target.read(spark), distribution_column)
     return RunResult(Outcome.SUCCESS, "", metrics)

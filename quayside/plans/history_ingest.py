@@ -18,9 +18,10 @@ from quayside.functions.nested import is_nested, is_struct_like, nested_to_json
 from quayside.operators.flatten import flatten_envelope
 from quayside.operators.lineage import SOURCE_PATH, add_lineage
 from quayside.operators.project import all_as_text
-from quayside.session import configure
+from quayside.operators.profile import metrics_of
+from quayside.session import PIPELINE_CONF, session_conf
 from quayside.sinks.history import HistoryTable
-from quayside.sources.json_feed import corrupt_count, corrupt_documents, read_envelopes
+from quayside.sources.json_feed import corrupt_count, corrupt_documents, read_envelopes, unsplit_files
 from quayside.sources.landing import LandingFeed, window_dates_for
 
 
@@ -59,27 +60,33 @@ def ingest_history(spark: SparkSession, feed: LandingFeed, history: HistoryTable
     ``on_corrupt="fail"`` fails the run on a malformed document instead of
     counting it; the write job fails before it commits, so the table is unchanged.
     """
-    configure(spark)
+    with session_conf(spark, PIPELINE_CONF):
+        return _ingest(spark, feed, history, dates, envelope, starting_from, schema, as_text, max_records_per_file,
+                       single_file, nested, rebalance, on_corrupt)
+
+
+def _ingest(spark: SparkSession, feed: LandingFeed, history: HistoryTable, dates: str, envelope: str,
+            starting_from: str | None, schema: StructType | None, as_text: bool, max_records_per_file: int | None,
+            single_file: bool, nested: str, rebalance: bool, on_corrupt: str) -> RunResult:
+    folders: list[str] = []
     try:
         folders = feed.date_folders(spark, dates, starting_from)
         if not folders:
             raise NoNewData(f"no delivery folder for {dates}")
         scanned = Observation("landing_scan")
-        try:
-            rows = history_frame(spark, folders, envelope, schema=schema, as_text=as_text, observation=scanned,
-                                 nested=nested, on_corrupt=on_corrupt)
-        except NoNewData as exc:
-            corrupt = corrupt_documents(spark, folders).count()
-            return RunResult(Outcome.NO_NEW_DATA, str(exc), {"folders": len(folders), "corrupt_documents": corrupt})
+        rows = history_frame(spark, folders, envelope, schema=schema, as_text=as_text, observation=scanned,
+                             nested=nested, on_corrupt=on_corrupt)
+        whole_files = unsplit_files(spark, folders)
         window = window_dates_for(dates, starting_from)
-        if window is None:
-            metrics = history.replace_all(rows, max_records_per_file=max_records_per_file,
-                                          single_file=single_file, rebalance=rebalance)
-        else:
-            metrics = history.replace_window(rows, window, max_records_per_file=max_records_per_file,
-                                             single_file=single_file, rebalance=rebalance)
+        layout = {"max_records_per_file": max_records_per_file, "single_file": single_file, "rebalance": rebalance}
+        with session_conf(spark, whole_files):
+            if window is None:
+                metrics = history.replace_all(rows, **layout)
+            else:
+                metrics = history.replace_window(rows, window, **layout, refuse_empty=True)
     except NoNewData as exc:
-        return RunResult(Outcome.NO_NEW_DATA, str(exc))
+        corrupt = corrupt_documents(spark, folders).count() if folders else 0
+        return RunResult(Outcome.NO_NEW_DATA, str(exc), {"folders": len(folders), "corrupt_documents": corrupt})
     metrics["folders"] = len(folders)
-    metrics["corrupt_documents"] = scanned.get["corrupt_documents"]
+    metrics["corrupt_documents"] = metrics_of(scanned, corrupt_documents=0)["corrupt_documents"]
     return RunResult(Outcome.SUCCESS, "", metrics)

@@ -15,6 +15,7 @@ own writes go to a fresh folder).
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
 import os
 from collections.abc import Callable
@@ -22,29 +23,32 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.errors import Outcome
+from quayside.errors import ContractError, NoNewData, Outcome
 from quayside.functions.dates import lookback_window as window_of
 from quayside.functions.names import col
+from quayside.functions.nested import is_struct_like, nested_to_json
 from quayside.operators.latest import latest_per_key
 from quayside.operators.profile import distribution, profile
-from quayside.operators.project import apply_contract, conform_to_schema
+from quayside.operators.lineage import stamp_run
+from quayside.operators.project import all_as_text, apply_contract, conform_to_schema, select_columns
 from quayside.operators.upsert import upsert
 from quayside.plans.contract import Contract
-from quayside.plans.current_state import build_current_state
+from quayside.plans.current_state import build_current_state, current_frame
 from quayside.plans.history_ingest import history_frame, ingest_history
 from quayside.session import configure, new_scratch_path, scratch_path
 from quayside.sinks.current import CurrentStateTable
 from quayside.sinks.evolve import insert_evolving
 from quayside.sinks.history import HistoryTable, replace_window_frame
-from quayside.sinks.views import publish_view, view_name
+from quayside.sinks.views import publish_current, publish_view, view_name
 from quayside.sources import fs
+from quayside.sources.json_feed import infer_envelope_schema
 from quayside.sources.landing import LandingFeed
 from quayside.streaming.landing_stream import ingest_arrivals
 from quayside.testing import write_deliveries
 
 # Bump when the landed fixture's shape changes (landing_records / write_deliveries),
 # so cached fixtures from an older layout are not reused.
-CACHE_VERSION = "v2"
+CACHE_VERSION = "v3"
 _cache_token = ""
 
 
@@ -62,8 +66,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _require(ok: bool, what: object) -> None:
+    if not ok:
+        raise RuntimeError(f"scenario step failed: {what}")
+
+
 def _cache_dir(spark: SparkSession, sf_dir: str) -> str:
-    key = hashlib.sha1(f"{os.path.realpath(sf_dir)}|{CACHE_VERSION}|{_cache_token}".encode()).hexdigest()[:12]
+    """A folder that belongs to the events table as it is now: its files' names, sizes and times."""
+    files = fs.fingerprint(spark, f"{sf_dir.rstrip('/')}/events.parquet")
+    key = hashlib.sha1(f"{files}|{CACHE_VERSION}|{_cache_token}".encode()).hexdigest()[:12]
     return scratch_path(spark, "cache", key)
 
 
@@ -125,7 +136,7 @@ def feed_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = landed_events(spark, sf_dir)
     history = HistoryTable(new_scratch_path(spark, "feed-ingest"))
     result = ingest_history(spark, feed, history, "all")
-    assert result.ok, result
+    _require(result.ok, result)
     return _history_view(history.read(spark))
 
 
@@ -136,7 +147,7 @@ def feed_ingest_rebalanced(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = landed_events(spark, sf_dir)
     history = HistoryTable(new_scratch_path(spark, "feed-ingest-rebalanced"))
     result = ingest_history(spark, feed, history, "all", rebalance=True)
-    assert result.ok, result
+    _require(result.ok, result)
     return _history_view(history.read(spark))
 
 
@@ -146,7 +157,7 @@ def lookback_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = landed_events(spark, sf_dir)
     history = HistoryTable(new_scratch_path(spark, "lookback"))
     result = ingest_history(spark, feed, history, "20240110,20240115")
-    assert result.ok, result
+    _require(result.ok, result)
     return history.read(spark).select("id", "ingestion_date")
 
 
@@ -206,14 +217,15 @@ def window_replace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     base = landed_events(spark, sf_dir)
     history = HistoryTable(new_scratch_path(spark, "window-table"))
-    assert ingest_history(spark, base, history, "all").ok
+    result = ingest_history(spark, base, history, "all")
+    _require(result.ok, result)
     events = _table(spark, sf_dir, "events")
     corrected = LandingFeed(new_scratch_path(spark, "landing-v2"), DATASET)
     day3 = events.where(F.to_date("ts") == F.lit("2024-01-03").cast("date")).withColumn("value", col("value") * 2)
     write_deliveries(landing_records(day3), corrected, F.to_date("ts"))
     for _ in range(2):
         result = ingest_history(spark, corrected, history, "20240103")
-        assert result.ok and result.metrics["dates_emptied"] == ["2024-01-02"], result
+        _require(result.ok and result.metrics["dates_emptied"] == ["2024-01-02"], result)
     return history.read(spark).select("id", "ingestion_date", col("value").cast("double").alias("value"))
 
 
@@ -347,8 +359,8 @@ def reload_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     table.upsert(spark, rows.withColumn("value", -col("value")))
     table.reload(spark, rows)
     name = view_name("silver", "standardized", os.path.basename(table.path).replace("-", "_"), DATASET)
-    publish_view(spark, name, table.location(spark))
-    return spark.table(name).drop("key_bucket")
+    publish_current(spark, name, table)
+    return spark.table(name)
 
 
 def conform_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -365,10 +377,10 @@ def conform_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
                        first_line.getField("absent").alias("line_absent"))
 
 
-def _bucketed_upserts(spark: SparkSession, sf_dir: str, broadcast_update_bytes: int) -> DataFrame:
+def _bucketed_upserts(spark: SparkSession, sf_dir: str, files_per_bucket: int) -> DataFrame:
     first, second = _feeds(spark, sf_dir)
     table = CurrentStateTable(new_scratch_path(spark, "bucketed"), key="user_id", num_buckets=8,
-                              tiebreak=["event_id"], broadcast_update_bytes=broadcast_update_bytes)
+                              tiebreak=["event_id"], files_per_bucket=files_per_bucket)
     table.upsert(spark, first)
     for _ in range(2):
         table.upsert(spark, second)
@@ -376,20 +388,15 @@ def _bucketed_upserts(spark: SparkSession, sf_dir: str, broadcast_update_bytes:
 
 
 def upsert_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K4 K6 on the bucketed table: create from one feed, merge the other twice (replay).
-
-    The staged updates are small here, so the merge takes the broadcast plan
-    (the target is shuffled only for the write).
-    """
+    """K4 K6 on the bucketed table: create from one feed, merge the other twice (replay)."""
     configure(spark)
-    return _bucketed_upserts(spark, sf_dir, CurrentStateTable.broadcast_update_bytes)
+    return _bucketed_upserts(spark, sf_dir, 1)
 
 
 def upsert_bucketed_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K4 K6 as ``upsert_bucketed``, with the broadcast plan switched off: the
-    shuffled full-outer merge that update sets above the size limit take."""
+    """K4 K6 as ``upsert_bucketed``, each rewritten bucket spread over three writers."""
     configure(spark)
-    return _bucketed_upserts(spark, sf_dir, 0)
+    return _bucketed_upserts(spark, sf_dir, 3)
 
 
 CURRENT_CONTRACT = {
@@ -413,8 +420,9 @@ def current_state_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = CurrentStateTable(new_scratch_path(spark, "current"), key="user_id", num_buckets=8,
                                tiebreak=["event_id"])
     view = "quayside_current_" + os.path.basename(target.path).replace("-", "_")
-    assert build_current_state(spark, history, contract, target, reload=True, view=view).ok
-    assert build_current_state(spark, history, contract, target, view=view).ok
+    for reload in (True, False):
+        run = build_current_state(spark, history, contract, target, reload=reload, view=view)
+        _require(run.ok, run)
     return spark.table(view).select("user_id", "event_id", "amount", _ntz("event_time"), "ingestion_date")
 
 
@@ -428,9 +436,10 @@ def current_state_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = CurrentStateTable(new_scratch_path(spark, "current-daily"), key="user_id", num_buckets=8,
                                tiebreak=["event_id"])
     rebuild = [f"202401{d:02d}" for d in range(1, 29)]
-    assert build_current_state(spark, history, contract, target, reload=True, dates=rebuild).ok
+    first = build_current_state(spark, history, contract, target, reload=True, dates=rebuild)
+    _require(first.ok, first)
     daily = build_current_state(spark, history, contract, target, dates=sorted(window_of("20240130")))
-    assert daily.ok, daily
+    _require(daily.ok, daily)
     return target.read(spark).select("user_id", "event_id", "amount", _ntz("event_time"), "ingestion_date")
 
 
@@ -440,14 +449,17 @@ def current_state_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     feed = landed_events(spark, sf_dir)
     history = HistoryTable(new_scratch_path(spark, "history-changed"))
-    assert ingest_history(spark, feed, history, ",".join(f"202401{d:02d}" for d in range(1, 29))).ok
+    result = ingest_history(spark, feed, history, ",".join(f"202401{d:02d}" for d in range(1, 29)))
+    _require(result.ok, result)
     contract = Contract.from_dict(CURRENT_CONTRACT)
     target = CurrentStateTable(new_scratch_path(spark, "current-changed"), key="user_id", num_buckets=8,
                                tiebreak=["event_id"])
-    assert build_current_state(spark, history, contract, target, changed_only=True).ok  # no mark: full read
-    assert ingest_history(spark, feed, history, "20240130").ok
+    run = build_current_state(spark, history, contract, target, changed_only=True)  # no mark: full read
+    _require(run.ok, run)
+    result = ingest_history(spark, feed, history, "20240130")
+    _require(result.ok, result)
     run = build_current_state(spark, history, contract, target, changed_only=True)
-    assert run.ok and run.metrics["history_dates"] == ["20240129", "20240130"], run
+    _require(run.ok and run.metrics["history_dates"] == ["20240129", "20240130"], run)
     return target.read(spark).select("user_id", "event_id", "amount", _ntz("event_time"), "ingestion_date")
 
 
@@ -475,10 +487,151 @@ def arrival_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     query = ingest_arrivals(spark, feed, history, checkpoint=new_scratch_path(spark, "arrivals-ckpt"),
                             on_result=lambda days, result: outcomes.append(result.outcome))
     query.awaitTermination()
-    assert outcomes and all(o is Outcome.SUCCESS for o in outcomes), outcomes
+    _require(bool(outcomes) and all(o is Outcome.SUCCESS for o in outcomes), outcomes)
     return _history_view(history.read(spark))
 
 
+def latest_file_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The day of the newest landing file, however the day was split into files."""
+    return latest_file(spark, sf_dir).select("ingestion_date").distinct()
+
+
+def missing_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requested days without a folder, or with an empty one, are skipped: no event has 31 Dec or
+    31 Jan, and the folder of 31 Jan is made but empty."""
+    configure(spark)
+    source = landed_events(spark, sf_dir)
+    feed = LandingFeed(new_scratch_path(spark, "gaps"), DATASET)
+    events = _table(spark, sf_dir, "events")
+    write_deliveries(landing_records(events), feed, F.to_date("ts"))
+    fs.make_dir(spark, feed.folder("20240131"))
+    _require(source.path != feed.path, "a feed of its own")
+    history = HistoryTable(new_scratch_path(spark, "gaps-history"))
+    days = ",".join(["20231231", *(f"202401{d:02d}" for d in range(1, 32))])
+    result = ingest_history(spark, feed, history, days)
+    _require(result.ok and result.metrics["folders"] == 30, result)
+    return history.read(spark).select("id", "ingestion_date")
+
+
+def starting_from(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the days of 9 to 12 Jan are requested, the run starts from 11 Jan; the window of the
+    remaining days reaches back to 10 Jan."""
+    configure(spark)
+    history = HistoryTable(new_scratch_path(spark, "starting-from"))
+    result = ingest_history(spark, landed_events(spark, sf_dir), history, "20240109,20240110,20240111,20240112",
+                            starting_from="20240111")
+    _require(result.ok, result)
+    return history.read(spark).select("id", "ingestion_date")
+
+
+def struct_like_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Structs and arrays of structs become JSON text, arrays of scalars stay arrays."""
+    configure(spark)
+    rows = _table(spark, sf_dir, "events").select(
+        "event_id", F.from_json("props", "k int").alias("props"), F.array("event_type").alias("tags"),
+        F.array(F.struct(col("event_id").alias("n"))).alias("lines"))
+    out = nested_to_json(rows, is_struct_like)
+    return out.select("event_id", "props", F.element_at("tags", 1).alias("tag"), "lines")
+
+
+def run_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One stamp for a whole run, whatever the rows: rows and distinct stamps."""
+    configure(spark)
+    at = dt.datetime(2024, 2, 1, 12, 30, tzinfo=dt.timezone.utc)
+    rows = stamp_run(_table(spark, sf_dir, "events"), at)
+    return rows.groupBy(_ntz("processing_time")).agg(F.count("*").alias("n"))
+
+
+def project_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5: a projection to names, one of which the rows do not have."""
+    configure(spark)
+    return select_columns(_table(spark, sf_dir, "events"), ["event_id", "not_there", "event_type"])
+
+
+def all_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every data column as text, the lineage column with its type."""
+    configure(spark)
+    rows = _table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "props",
+                                                  F.to_date("ts").alias("ingestion_date"))
+    return all_as_text(rows)
+
+
+def guards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How runs and contracts that cannot go on end, beside the rows of a history that
+    each of them leaves as it was."""
+    configure(spark)
+    feed, root = landed_events(spark, sf_dir), new_scratch_path(spark, "guards")
+    history = HistoryTable(f"{root}/history")
+    result = ingest_history(spark, feed, history, "all")
+    _require(result.ok, result)
+    odd = LandingFeed(f"{root}/landing", "odd")
+    fs.write_text(spark, f"{odd.folder('20240105')}/a.json", "{}")
+    with_schema = infer_envelope_schema(spark, [feed.folder("20240105")])
+    contract = Contract.from_dict(CURRENT_CONTRACT)
+    target = CurrentStateTable(f"{root}/current", key="user_id")
+    nothing = history.read(spark).where("false")
+    outcomes = {
+        "no folder": ingest_history(spark, feed, history, "20301231").outcome.value,
+        "no envelope": ingest_history(spark, odd, history, "20240105").outcome.value,
+        "no envelope, given schema": ingest_history(spark, odd, history, "all", schema=with_schema).outcome.value,
+        "empty upsert": _outcome(lambda: target.upsert(spark, current_frame(nothing, contract))),
+        "empty reload": _outcome(lambda: target.reload(spark, current_frame(nothing, contract))),
+        "unsupported type": _outcome(lambda: apply_contract(nothing, [
+            {"name": "m", "source_name": "id", "type": "map<string,string>"}])),
+        "bad timezone kind": _outcome(lambda: apply_contract(nothing, [_ts_rule("t", "ts", {"type": "other"})])),
+    }
+    rows = spark.createDataFrame(list(outcomes.items()), "guard string, outcome string")
+    left = history.read(spark).agg(F.count("*").alias("history_rows"))
+    return rows.join(left, how="cross")  # one row on the right
+
+
+def _outcome(f: Callable[[], object]) -> str:
+    try:
+        f()
+    except NoNewData:
+        return Outcome.NO_NEW_DATA.value
+    except ContractError:
+        return "CONTRACT_ERROR"
+    return Outcome.SUCCESS.value
+
+
+def full_replace_nothing_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: a rebuild without a usable row is refused and leaves the table as it was."""
+    configure(spark)
+    events = _table(spark, sf_dir, "events").select(
+        col("event_id").alias("id"), F.to_date("ts").alias("ingestion_date"), "value")
+    history = HistoryTable(new_scratch_path(spark, "refused"))
+    history.replace_all(events)
+    undated = events.withColumn("ingestion_date", F.lit(None).cast("date"))
+    _require(_outcome(lambda: history.replace_all(undated)) == Outcome.NO_NEW_DATA.value, "refusal")
+    return history.read(spark)
+
+
+def window_replace_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 K7: an empty batch through the rebalanced layout empties the dates of its window."""
+    configure(spark)
+    events = _table(spark, sf_dir, "events").select(
+        col("event_id").alias("id"), F.to_date("ts").alias("ingestion_date"), "value")
+    history = HistoryTable(new_scratch_path(spark, "emptied"))
+    history.replace_all(events)
+    history.replace_window(events.where("false"), ["20240110", "20240111"], rebalance=True)
+    return history.read(spark)
+
+
+def persistent_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K8 over an evolved table: a view in the catalog has every column the table has had."""
+    configure(spark)
+    first, second = _split_batches(spark, sf_dir)
+    history = HistoryTable(new_scratch_path(spark, "viewed"))
+    history.replace_all(first)
+    days = [r[0].strftime("%Y%m%d") for r in second.select("ingestion_date").distinct().collect()]
+    history.replace_window(second, days)
+    name = view_name("bronze", "raw", os.path.basename(history.path).replace("-", "_"), DATASET)
+    publish_view(spark, name, history.path, persistent=True, schema=history.schema(spark),
+                 partitions=[history.partition_column])
+    return spark.table(name).select(*EVOLVED_COLUMNS)
+
+
 SCENARIOS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feed_ingest": feed_ingest,
     "feed_ingest_rebalanced": feed_ingest_rebalanced,
@@ -506,4 +659,15 @@ SCENARIOS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "recursive_scan": recursive_scan,
     "arrival_ingest": arrival_ingest,
     "hot_key_upsert": hot_key_upsert,
+    "latest_file_day": latest_file_day,
+    "missing_folders": missing_folders,
+    "starting_from": starting_from,
+    "struct_like_text": struct_like_text,
+    "run_stamp": run_stamp,
+    "project_names": project_names,
+    "all_text": all_text,
+    "guards": guards,
+    "full_replace_nothing_new": full_replace_nothing_new,
+    "window_replace_empty": window_replace_empty,
+    "persistent_view": persistent_view,
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -41,7 +42,7 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    if not str(sc.master).startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", str(sc.master)):  # local-cluster has executors of its own
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach "
                            "(staging tables and stream checkpoints are written there)")
     local = tempfile.mkdtemp(prefix="quayside-ckpt-")

@@ -2,25 +2,27 @@
 
 Layout::
 
-    <path>/_CURRENT                      -> name of the live generation
-    <path>/gen-000001/key_bucket=<b>/    -> parquet, b = pmod(xxhash64(key), N)
-    <path>/gen-000001/_LAYOUT            -> key and N the generation was written with
-    <path>/gen-000001/_SOURCE_MARK       -> history change records absorbed (incremental runs)
-
-* Upsert (K4) rewrites only the buckets the updates touch. The deduplicated
-  updates are staged once in the shared folder; the touched bucket numbers
-  (at most N small integers) are observed on that write and prune the target
-  scan; the merge is :func:`quayside.operators.upsert.upsert`; the result is
-  written back with dynamic partition overwrite, one shuffle by bucket so each
-  bucket is written by few tasks. The staged files' size is measured (one
-  listing; the row count is observed): up to ``broadcast_update_bytes`` and
-  ``broadcast_update_rows`` the updates are broadcast and the target rows are
-  shuffled only for the write. Above that the merge is a full-outer join of
-  both sides hash-partitioned by (bucket, writer spread); the write reuses
-  that partitioning, so the target is shuffled once in either plan.
-* Reload (K5) writes the deduplicated updates as a new generation, then
-  flips ``_CURRENT``; readers of the old generation are not disturbed.
+    <path>/_CURRENT                              -> JSON: the live table (see below)
+    <path>/gen=<g>/key_bucket=<b>/*.parquet      -> rows of bucket b, b = pmod(xxhash64(key), N)
+    <path>/_SOURCE_MARK                          -> history change records absorbed (incremental runs)
+
+``_CURRENT`` names, for each bucket, the generation that holds its live rows
+(at most N small numbers), the key, N and the table's schema. Files of a
+generation are never changed once written:
+
+* Upsert (K4) rewrites only the buckets the updates touch, into a new
+  generation, and then replaces ``_CURRENT`` in one rename. A failure before
+  that leaves the table as it was; readers and views keep the files they opened
+  until ``vacuum``. The deduplicated updates are staged once in the shared
+  folder; the touched bucket numbers (at most N) come from the staged rows.
+  Both sides of the merge are partitioned by (bucket, writer spread) and the
+  write reuses that partitioning, so the target is shuffled once.
+* Reload (K5) and the first build write all buckets as a new generation, with
+  as many writers for a bucket as its bytes call for (adaptive rebalance).
 * The first run creates the table (K6: the target does not need to pre-exist).
+
+How much an upsert rewrites follows from N: a few hundred changed keys touch at
+most as many buckets. ``num_buckets=0`` derives N from the size of the reload.
 """
 
 from __future__ import annotations
@@ -30,25 +32,32 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructType
 
 from quayside.errors import ContractError, NoNewData
 from quayside.functions.names import col
-from quayside.operators.latest import ROW_HASH, latest_per_key
-from quayside.operators.upsert import upsert
+from quayside.operators.latest import ROW_HASH, latest_per_key, row_hash
+from quayside.operators.profile import metrics_of
+from quayside.operators.upsert import NULL_KEY_POLICIES, union_schema, upsert
 from quayside.session import new_scratch_path, session_conf
 from quayside.sources import fs
 
 BUCKET = "key_bucket"
+GENERATION = "gen"
 POINTER = "_CURRENT"
-LAYOUT = "_LAYOUT"  # per generation: key and bucket count it was written with
-SOURCE_MARK = "_SOURCE_MARK"  # per generation: newest history change record absorbed
-# Lets the shuffled merge join on rows hash-partitioned by (bucket, spread) alone;
+SOURCE_MARK = "_SOURCE_MARK"  # history change records absorbed
+BUCKET_RULE = "pmod(xxhash64(key), num_buckets)"
+# Lets the merge join on rows hash-partitioned by (bucket, spread) alone;
 # buckets hold one row per key, so that partitioning is not skewed.
 COPARTITIONED_JOIN = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
+BUCKET_BYTES = 1 << 30  # what a bucket should hold where N is derived
+BUCKETS_AT_MOST = 16_384  # _CURRENT has a number for each
 
 
-def bucket_of(key: Column, num_buckets: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(num_buckets)).cast("int")
+def bucket_of(key: Column, num_buckets: int, if_null: Column | None = None) -> Column:
+    """Bucket of a key. Null keys never match each other; ``if_null`` (a row hash) spreads them."""
+    hashed = F.xxhash64(key) if if_null is None else F.when(key.isNull(), if_null).otherwise(F.xxhash64(key))
+    return F.pmod(hashed, F.lit(num_buckets)).cast("int")
 
 
 @dataclass(frozen=True)
@@ -56,217 +65,236 @@ class CurrentStateTable:
     path: str
     key: str = "id"
     order: str = "ingestion_date"
-    num_buckets: int = 64
+    num_buckets: int = 64  # 0: from the estimated size of the rows at each reload
     tiebreak: object = ROW_HASH
     files_per_bucket: int = 1
     max_records_per_file: int | None = None
     target_file_bytes: int = 512 * 1024 * 1024
-    # Staged (deduplicated, parquet) update size up to which the merge broadcasts
-    # the updates instead of shuffling the target for the join; 0 disables it.
-    broadcast_update_bytes: int = 64 * 1024 * 1024
-    # ... and staged row count up to which it may (narrow rows compress well on disk,
-    # while a broadcast hash relation is bounded in rows as well as bytes).
-    broadcast_update_rows: int = 20_000_000
+    on_null_key: str = "keep"  # or "drop", "fail"
+
+    # -- the live table ----------------------------------------------------------
+    def _root(self) -> str:
+        return self.path.rstrip("/")
+
+    def _live(self, spark: SparkSession) -> dict | None:
+        """What ``_CURRENT`` says; None for a table that was never built."""
+        text = fs.read_text(spark, f"{self._root()}/{POINTER}")
+        if text:
+            return json.loads(text)
+        if self._generations(spark):
+            raise ContractError(f"{self.path} holds generations but no {POINTER}: the live table is unknown. "
+                                "Reload it into an empty folder, or restore the file")
+        return None
+
+    def _generations(self, spark: SparkSession) -> list[int]:
+        prefix = f"{GENERATION}="
+        return sorted(int(e.name[len(prefix):]) for e in fs.list_dir(spark, self.path)
+                      if e.is_dir and e.name.startswith(prefix))
 
-    # -- locations -------------------------------------------------------------
-    def _pointer(self) -> str:
-        return f"{self.path.rstrip('/')}/{POINTER}"
+    def exists(self, spark: SparkSession) -> bool:
+        return self._live(spark) is not None
 
     def generation(self, spark: SparkSession) -> str | None:
-        text = fs.read_text(spark, self._pointer())
-        return text.strip() if text else None
-
-    def location(self, spark: SparkSession) -> str | None:
-        gen = self.generation(spark)
-        return f"{self.path.rstrip('/')}/{gen}" if gen else None
+        """Name of the newest live generation."""
+        live = self._live(spark)
+        return f"{GENERATION}={live['generation']:06d}" if live else None
 
-    def exists(self, spark: SparkSession) -> bool:
-        return self.generation(spark) is not None
-
-    def _next_generation(self, spark: SparkSession) -> str:
-        gens = [e.name for e in fs.list_dir(spark, self.path) if e.is_dir and e.name.startswith("gen-")]
-        last = max((int(g.split("-")[1]) for g in gens), default=0)
-        return f"gen-{last + 1:06d}"
+    def folders(self, spark: SparkSession, buckets: list[int] | None = None) -> list[str]:
+        """Live bucket folders, of all or the given buckets."""
+        live = self._live(spark) or {"buckets": {}}
+        return [f"{self._root()}/{GENERATION}={g:06d}/{BUCKET}={b}" for b, g in live["buckets"].items()
+                if buckets is None or int(b) in set(buckets)]
 
     # -- reads -----------------------------------------------------------------
-    def read(self, spark: SparkSession, with_bucket: bool = False) -> DataFrame:
-        loc = self.location(spark)
-        if loc is None:
+    def schema(self, spark: SparkSession) -> StructType:
+        """The table's columns, as stored: no file is opened to find them."""
+        live = self._live(spark)
+        if live is None:
             raise FileNotFoundError(f"no current-state table at {self.path}")
-        df = spark.read.option("mergeSchema", True).parquet(loc)
+        return StructType.fromJson(live["schema"])
+
+    def read(self, spark: SparkSession, with_bucket: bool = False) -> DataFrame:
+        df = self._open(spark, self.schema(spark), self.folders(spark))
         return df if with_bucket else df.drop(BUCKET)
 
+    def _open(self, spark: SparkSession, schema: StructType, folders: list[str]) -> DataFrame:
+        wide = StructType([*schema.fields]).add(GENERATION, IntegerType()).add(BUCKET, IntegerType())
+        if not folders:
+            return spark.createDataFrame([], wide).drop(GENERATION)
+        return spark.read.schema(wide).option("basePath", self.path).parquet(*folders).drop(GENERATION)
+
     # -- writes ----------------------------------------------------------------
-    def _bucketed(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(BUCKET, bucket_of(col(self.key), self.num_buckets))
+    def _deduped(self, updates: DataFrame, num_buckets: int) -> DataFrame:
+        """Latest row per key with its bucket; null keys by the table's rule."""
+        if self.on_null_key not in NULL_KEY_POLICIES:
+            raise ValueError(f"on_null_key must be one of {NULL_KEY_POLICIES}")
+        k = col(self.key)
+        if self.on_null_key == "drop":
+            updates = updates.where(k.isNotNull())
+        elif self.on_null_key == "fail":
+            updates = updates.withColumn(
+                self.key, F.when(k.isNull(), F.raise_error(F.lit(f"null {self.key} in updates"))).otherwise(k))
+        rows = latest_per_key(updates, [self.key], [self.order], self.tiebreak)
+        return rows.withColumn(BUCKET, bucket_of(k, num_buckets, row_hash(rows)))
+
+    def _write(self, df: DataFrame, location: str) -> None:
+        w = df.write.partitionBy(BUCKET)
+        if self.max_records_per_file:
+            w = w.option("maxRecordsPerFile", self.max_records_per_file)
+        w.mode("overwrite").option("partitionOverwriteMode", "static").parquet(location)
 
-    def writers_per_bucket(self, spark: SparkSession, touched: list[int]) -> int:
-        """Writers per rewritten bucket: enough that a file stays near ``target_file_bytes``.
+    def _written_buckets(self, spark: SparkSession, location: str) -> list[int]:
+        """Buckets a generation holds, from one listing of its folder."""
+        prefix = f"{BUCKET}="
+        return [int(e.name[len(prefix):]) for e in fs.list_dir(spark, location)
+                if e.is_dir and e.name.startswith(prefix)]
 
-        Sized from the current files of the touched buckets (one recursive
-        metadata listing); never below ``files_per_bucket``.
-        """
-        loc = self.location(spark)
-        wanted = {f"{BUCKET}={b}" for b in touched}
-        sizes: dict[str, int] = {}
-        for e in fs.list_files_recursive(spark, loc):
-            parent = e.path.rsplit("/", 2)[-2]
-            if parent in wanted:
-                sizes[parent] = sizes.get(parent, 0) + e.length
-        largest = max(sizes.values(), default=0)
-        return max(self.files_per_bucket, -(-largest // self.target_file_bytes))
+    def _publish(self, spark: SparkSession, generation: int, built: int, buckets: dict[str, int],
+                 schema: StructType, num_buckets: int) -> None:
+        """Make ``buckets`` live. ``built``: the generation of the last full build."""
+        fs.write_text(spark, f"{self._root()}/{POINTER}", json.dumps(
+            {"generation": generation, "built": built, "key": self.key, "num_buckets": num_buckets,
+             "bucket": BUCKET_RULE, "buckets": buckets, "schema": schema.jsonValue()}, sort_keys=True))
 
-    def _write(self, df: DataFrame, location: str, dynamic: bool, writers: int | None = None,
-               copartitioned: bool = False) -> None:
-        # One shuffle by bucket, so a bucket's files come from few tasks; a large
-        # bucket is spread over several writers by a second hash of the key.
-        # ``copartitioned`` rows already arrive grouped that way (see merge_frame).
-        writers = writers or self.files_per_bucket
-        spread = [col(BUCKET)]
-        if writers > 1:
-            spread.append(F.pmod(F.hash(col(self.key)), F.lit(writers)))
-        w = (df if copartitioned else df.repartition(*spread)).write.partitionBy(BUCKET)
-        if self.max_records_per_file:
-            w = w.option("maxRecordsPerFile", self.max_records_per_file)
-        w.mode("overwrite").option("partitionOverwriteMode", "dynamic" if dynamic else "static").parquet(location)
+    def _next(self, spark: SparkSession) -> tuple[int, str]:
+        g = max(self._generations(spark), default=0) + 1
+        return g, f"{self._root()}/{GENERATION}={g:06d}"
+
+    def writers_per_bucket(self, spark: SparkSession, touched: list[int]) -> int:
+        """Writers per rewritten bucket: enough that a file stays near ``target_file_bytes``, never below
+        ``files_per_bucket``. Only the touched folders are listed."""
+        largest = max((sum(e.length for e in fs.list_dir(spark, f)) for f in self.folders(spark, touched)), default=0)
+        return max(self.files_per_bucket, -(-largest // self.target_file_bytes))
 
     def upsert(self, spark: SparkSession, updates: DataFrame) -> dict:
         """Merge ``updates`` (K4 rules); creates the table on first use.
 
-        The updates are scanned once: deduplicated rows are written to a
-        staging table in the shared folder, and the touched bucket numbers
-        (at most ``num_buckets`` integers) are observed on that write. The
-        merge then reads only the staging table and the touched buckets; a
-        lost executor recomputes from staging, not from the update source.
+        The updates are scanned once: deduplicated rows go to a staging table
+        in the shared folder, one folder per bucket, which also says what
+        buckets are touched. The merge reads only the staging table and those
+        buckets; a lost executor recomputes from staging, not from the update
+        source. Raises :class:`NoNewData` without update rows.
         """
-        if not self.exists(spark):
+        live = self._live(spark)
+        if live is None:
             return {"created": True, **self._publish_generation(spark, updates)}
-        self._check_layout(spark)
-        deduped = self._bucketed(latest_per_key(updates, [self.key], [self.order], self.tiebreak))
-        staged = Observation("current_staging")
+        self._check_layout(live)
+        n = live["num_buckets"]
+        old = StructType.fromJson(live["schema"])
+        case_sensitive = str(spark.conf.get("spark.sql.caseSensitive", "false")).lower() == "true"
+        deduped = self._deduped(updates, n)
         staging = new_scratch_path(spark, "current-staging")
         try:
-            (deduped.observe(staged, F.count(F.lit(1)).alias("rows_staged"),
-                             F.collect_set(col(BUCKET)).alias("buckets"))
-             .write.mode("overwrite").parquet(staging))
-            touched = sorted(staged.get["buckets"] or [])
+            staging_rows, merged_rows = Observation("current_staging"), Observation("current_upsert")
+            # a few files per bucket: one shuffle, sized by AQE
+            (deduped.observe(staging_rows, F.count(F.lit(1)).alias("n")).hint("rebalance", BUCKET)
+             .write.partitionBy(BUCKET).parquet(staging))
+            touched = sorted(self._written_buckets(spark, staging))
             if not touched:
                 raise NoNewData("no update rows")
-            loc = self.location(spark)
             writers = self.writers_per_bucket(spark, touched)
-            staged_bytes = sum(e.length for e in fs.list_files_recursive(spark, staging)
-                               if not e.name.startswith(("_", ".")))
-            small = (staged_bytes <= self.broadcast_update_bytes
-                     and staged.get["rows_staged"] <= self.broadcast_update_rows)
-            strategy = "broadcast" if small else "shuffle"
-            obs = Observation("current_upsert")
             # the staged schema is known: no footer-reading job to infer it
-            out = self.merge_frame(spark, spark.read.schema(deduped.schema).parquet(staging), touched, strategy,
-                                   writers)
-            out = out.observe(obs, F.count(F.lit(1)).alias("rows_written"))
-            if strategy == "shuffle":
-                # The join's (bucket, spread) partitioning is the write's: one shuffle.
+            staged = spark.read.schema(deduped.schema).parquet(staging)
+            generation, location = self._next(spark)
+            try:
                 with session_conf(spark, COPARTITIONED_JOIN):
-                    self._write(out, loc, dynamic=True, writers=writers, copartitioned=True)
-            else:
-                self._write(out, loc, dynamic=True, writers=writers)
+                    merged = self.merge_frame(spark, staged, touched, writers)
+                    self._write(merged.observe(merged_rows, F.count(F.lit(1)).alias("n")), location)
+            except BaseException:
+                fs.delete(spark, location)  # not live yet
+                raise
+            schema = union_schema(old, deduped.drop(BUCKET).schema, case_sensitive)
+            written = self._written_buckets(spark, location)
+            self._publish(spark, generation, live["built"],
+                          {**live["buckets"], **{str(b): generation for b in written}}, schema, n)
         finally:
             fs.delete(spark, staging)
-        return {"created": False, "buckets_touched": len(touched), "rows_staged": staged.get["rows_staged"],
-                "staged_bytes": staged_bytes, "merge": strategy, "writers_per_bucket": writers, **obs.get}
+        return {"created": False, "buckets_touched": len(touched), "writers_per_bucket": writers,
+                "rows_staged": metrics_of(staging_rows, n=0)["n"], "rows_written": metrics_of(merged_rows, n=0)["n"]}
 
-    def merge_frame(self, spark: SparkSession, staged: DataFrame, touched: list[int],
-                    strategy: str = "shuffle", writers: int = 1) -> DataFrame:
+    def merge_frame(self, spark: SparkSession, staged: DataFrame, touched: list[int], writers: int = 1) -> DataFrame:
         """New rows of the ``touched`` buckets: their target rows merged with ``staged``.
 
         ``staged`` holds deduplicated updates with their bucket column. Only
-        the touched buckets of the live generation are scanned.
-        ``strategy="broadcast"`` is for a staged set whose size was checked.
-        With ``strategy="shuffle"`` both sides are partitioned by (bucket,
-        writer spread) for the join, so the bucketed write can reuse that
-        partitioning (under :data:`COPARTITIONED_JOIN`). Buckets
-        rewritten after a contract gained a column carry it and others do
-        not, so file schemas are merged (old rows read the new column as null).
+        the live folders of the touched buckets are opened. Both sides are
+        partitioned by (bucket, writer spread) for the join, so the bucketed
+        write can reuse that partitioning (under :data:`COPARTITIONED_JOIN`).
         """
-        target = self._read_buckets(spark, touched).drop(BUCKET)
+        target = self._open(spark, self.schema(spark), self.folders(spark, touched)).where(col(BUCKET).isin(touched))
+
         def copartition(k: Column, salt: Column) -> list[Column]:
             # null keys never match: spread them by their salt instead of one writer
-            return [bucket_of(k, self.num_buckets),
-                    F.when(k.isNull(), salt).otherwise(F.pmod(F.hash(k), F.lit(max(1, writers))))]
-
-        merged = upsert(target, staged.drop(BUCKET), self.key, self.order, dedupe=False, strategy=strategy,
-                        copartition=copartition if strategy == "shuffle" else None)
-        return self._bucketed(merged)
-
-    def _read_buckets(self, spark: SparkSession, buckets: list[int]) -> DataFrame:
-        """Rows of the given buckets of the live generation.
-
-        Only the existing folders of those buckets are opened (one listing of
-        the generation finds them; ``basePath`` keeps ``key_bucket`` a
-        partition column), so file listing and the schema merge scale with
-        the touched buckets, not the table. When none of them exists yet the
-        whole generation is opened instead, so column types still come from
-        the table. The bucket predicate stays as a partition filter.
-        """
-        loc = self.location(spark)
-        wanted = {f"{BUCKET}={b}" for b in buckets}
-        present = [e.path for e in fs.list_dir(spark, loc) if e.is_dir and e.name in wanted]
-        reader = spark.read.option("mergeSchema", True)
-        df = reader.option("basePath", loc).parquet(*present) if present else reader.parquet(loc)
-        return df.where(col(BUCKET).isin(buckets))
+            return [col(BUCKET), F.when(k.isNull(), salt).otherwise(F.pmod(F.hash(k), F.lit(max(1, writers))))]
+
+        return upsert(target, staged, self.key, self.order, dedupe=False, copartition=copartition)
 
     def _publish_generation(self, spark: SparkSession, updates: DataFrame) -> dict:
         """Write the deduplicated ``updates`` as a new generation and make it live."""
-        gen = self._next_generation(spark)
-        obs = Observation("current_generation")
-        out = self._bucketed(latest_per_key(updates, [self.key], [self.order], self.tiebreak))
-        out = out.observe(obs, F.count(F.lit(1)).alias("rows_written"))
-        location = f"{self.path.rstrip('/')}/{gen}"
+        n = self.num_buckets or self._derived_buckets(updates)
+        generation, location = self._next(spark)
+        rows = self._deduped(updates, n)
+        counted = Observation("current_generation")
         try:
-            self._write(out, location, dynamic=False)
-            if obs.get["rows_written"] == 0:
+            # AQE splits large buckets over several writers and lets a task write several small ones
+            self._write(rows.observe(counted, F.count(F.lit(1)).alias("n")).hint("rebalance", BUCKET), location)
+            written = self._written_buckets(spark, location)
+            if not written:
                 raise NoNewData("no update rows")
         except BaseException:
             fs.delete(spark, location)  # never live: readers still see the previous generation
             raise
-        fs.write_text(spark, f"{location}/{LAYOUT}", json.dumps(self._layout(), sort_keys=True))
-        fs.write_text(spark, self._pointer(), gen)
-        return {"generation": gen, **obs.get}
+        self._publish(spark, generation, generation, {str(b): generation for b in written},
+                      rows.drop(BUCKET).schema, n)
+        return {"generation": f"{GENERATION}={generation:06d}", "num_buckets": n,
+                "rows_written": metrics_of(counted, n=0)["n"]}
+
+    def _derived_buckets(self, updates: DataFrame) -> int:
+        """Buckets of about ``BUCKET_BYTES``, by the planner's estimate of the rows (no job runs)."""
+        estimate = int(str(updates._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        return max(64, min(BUCKETS_AT_MOST, -(-estimate // BUCKET_BYTES)))
 
     # -- history change mark (incremental runs) -------------------------------
     def source_mark(self, spark: SparkSession) -> str | None:
-        """Newest history change record the live generation has absorbed (None: unknown)."""
-        loc = self.location(spark)
-        text = fs.read_text(spark, f"{loc}/{SOURCE_MARK}") if loc else None
-        return text.strip() if text else None
+        """History change records the live table has absorbed (None: unknown)."""
+        text = fs.read_text(spark, f"{self._root()}/{SOURCE_MARK}")
+        live = self._live(spark)
+        if not text or live is None:
+            return None
+        mark = json.loads(text)
+        return mark["mark"] if mark["built"] == live["built"] else None  # else of an earlier full build
 
     def set_source_mark(self, spark: SparkSession, mark: str) -> None:
-        """Record ``mark`` on the live generation; call only after the run's data committed."""
-        fs.write_text(spark, f"{self.location(spark)}/{SOURCE_MARK}", mark)
-
-    def _layout(self) -> dict:
-        return {"key": self.key, "num_buckets": self.num_buckets, "bucket": "pmod(xxhash64(key), num_buckets)"}
-
-    def _check_layout(self, spark: SparkSession) -> None:
-        """Refuse to merge into a generation bucketed another way (keys would land in the
-        wrong buckets and duplicate). Generations without a layout file are not checked."""
-        text = fs.read_text(spark, f"{self.location(spark)}/{LAYOUT}")
-        if text is None:
-            return
-        written = json.loads(text)
-        if written != self._layout():
-            raise ContractError(f"current-state table {self.path} is laid out as {written}, not "
-                                f"{self._layout()}; reload it to change the key or the bucket count")
+        """Record ``mark``; call only after the run's data committed."""
+        built = self._live(spark)["built"]
+        fs.write_text(spark, f"{self._root()}/{SOURCE_MARK}", json.dumps({"mark": mark, "built": built}))
+
+    def _check_layout(self, live: dict) -> None:
+        """Refuse to merge into a table bucketed another way (keys would land in the wrong buckets and
+        duplicate)."""
+        if live["key"] != self.key or self.num_buckets not in (0, live["num_buckets"]) or live["bucket"] != BUCKET_RULE:
+            raise ContractError(f"current-state table {self.path} is laid out by key {live['key']!r} in "
+                                f"{live['num_buckets']} buckets, not by {self.key!r} in {self.num_buckets}; "
+                                "reload it to change the key or the bucket count")
 
     def reload(self, spark: SparkSession, updates: DataFrame) -> dict:
         """Publish the deduplicated ``updates`` as the whole table (new generation)."""
+        self._live(spark)  # refuse where the live table is unknown
         return self._publish_generation(spark, updates)
 
     def vacuum(self, spark: SparkSession, keep: int = 2) -> list[str]:
-        """Delete generations older than the newest ``keep`` (never the live one)."""
-        live = self.generation(spark)
-        gens = sorted(e.name for e in fs.list_dir(spark, self.path) if e.is_dir and e.name.startswith("gen-"))
-        doomed = [g for g in gens[:-keep] if g != live] if keep > 0 else []
-        for g in doomed:
-            fs.delete(spark, f"{self.path.rstrip('/')}/{g}")
+        """Delete bucket folders that are not live, of generations older than the newest ``keep``."""
+        live = set(self.folders(spark))
+        if keep <= 0 or not live:
+            return []
+        doomed = []
+        for g in self._generations(spark)[:-keep]:
+            location = f"{self._root()}/{GENERATION}={g:06d}"
+            dead = [b for b in self._written_buckets(spark, location) if f"{location}/{BUCKET}={b}" not in live]
+            kept = len(self._written_buckets(spark, location)) - len(dead)
+            for b in dead if kept else []:
+                fs.delete(spark, f"{location}/{BUCKET}={b}")
+            if not kept:
+                fs.delete(spark, location)
+            if dead or not kept:
+                doomed.append(f"{GENERATION}={g:06d}")
         return doomed

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.functions.names import quote
+from quayside.functions.names import quote, resolve
 from quayside.operators.upsert import align
 
 
 def add_missing_columns(spark: SparkSession, table: str, df: DataFrame) -> list[str]:
     """``ALTER TABLE ... ADD COLUMNS`` for every column of ``df`` the table lacks."""
-    existing = {c.lower() for c in spark.table(table).columns}
-    new = [f for f in df.schema.fields if f.name.lower() not in existing]
+    case_sensitive = str(spark.conf.get("spark.sql.caseSensitive", "false")).lower() == "true"
+    existing = spark.table(table).columns
+    new = [f for f in df.schema.fields if resolve(f.name, existing, case_sensitive) is None]
     if new:
         cols = ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in new)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({cols})")

@@ -6,14 +6,18 @@
   Rows outside the window are rejected before the write.
 * Full replace (K2): dynamic overwrite of every produced date, then the
   dates not produced are dropped; a failed rebuild leaves the old table.
-* Schema evolution (K3): parquet files carry their own schema; the table is
-  read with ``mergeSchema`` so new columns appear and old rows read as null.
+* Schema evolution (K3): ``_SCHEMA`` at the root holds all columns the table
+  has had, so a read opens no footer to find them and old rows read new
+  columns as null. It is replaced before the rows are written; a change of a
+  column's type is refused then, with the table as it was.
 * Layout (K7): no ``coalesce(1)``. Each scan task writes its own files, one
   per date among the delivery files it read, with no shuffle. Spark packs
   files into tasks by size, so a task can hold several dates: the table has
   at most as many files per date as the landing. ``rebalance=True`` adds one
   AQE-sized shuffle by date for feeds of many small documents;
   ``max_records_per_file`` caps file size.
+* No decision to delete hangs on a counter: dates written are those whose
+  folders hold files they did not hold before the job.
 * Change log: each committed write appends ``_changes/<epoch ms>-<id>.json``
   with the dates it wrote; :meth:`HistoryTable.changes_since` lets a
   current-state run read only those dates.
@@ -30,16 +34,19 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quayside.errors import NoNewData
 from quayside.functions.dates import in_dates, to_date_values
-from quayside.functions.names import col
+from quayside.functions.names import col, resolve
 from quayside.operators.lineage import INGESTION_DATE
+from quayside.operators.profile import metrics_of
+from quayside.operators.upsert import align, union_schema
 from quayside.sources import fs
 
 
 CHANGES = "_changes"
-CHANGE_GRACE_MS = 60 * 60 * 1000  # clock skew tolerated between the drivers of the two runs
+SCHEMA = "_SCHEMA"
 
 
 @dataclass(frozen=True)
@@ -60,18 +67,18 @@ class HistoryTable:
         """All history (default), or only ``dates`` (yyyyMMdd).
 
         With ``dates`` only those dates' partition folders are opened (with
-        ``basePath``, so ``ingestion_date`` stays a typed partition column):
-        file listing and the schema merge touch the window, not the whole
-        table, and the date predicate is kept as a partition filter. Columns
-        that only older partitions have are then absent from the frame (the
-        contract projection fills declared ones with typed nulls).
+        ``basePath``, so ``ingestion_date`` stays a typed partition column),
+        and the date predicate is kept as a partition filter. Columns come
+        from the stored schema; a table without one (written by other means)
+        is read with ``mergeSchema``, which opens every footer.
 
         Raises :class:`NoNewData` when the table, or every requested date, has no partition.
         """
         names = self._partition_names(spark)  # also answers which requested dates exist
         if not names:
             raise NoNewData(f"history table {self.path} is empty")
-        reader = spark.read.option("mergeSchema", True)
+        schema = self.schema(spark)
+        reader = spark.read.option("mergeSchema", True) if schema is None else spark.read.schema(schema)
         if dates is None:
             return reader.parquet(self.path)
         dates = set(dates)
@@ -81,6 +88,45 @@ class HistoryTable:
             raise NoNewData(f"history table {self.path} has no partition for {sorted(dates)}")
         return reader.option("basePath", self.path).parquet(*present).where(in_dates(self.partition_column, dates))
 
+    def schema(self, spark: SparkSession) -> StructType | None:
+        text = fs.read_text(spark, f"{self.path.rstrip('/')}/{SCHEMA}")
+        return StructType.fromJson(json.loads(text)) if text else None
+
+    def _evolve(self, df: DataFrame, replace: bool) -> tuple[DataFrame, StructType]:
+        """``df`` with the table's column names and types where it has them, and the table's schema
+        from now on. Raises :class:`ContractError` for a column whose type changed."""
+        spark = df.sparkSession
+        old = None if replace else self.schema(spark)
+        if old is None:
+            old = spark.read.option("mergeSchema", True).parquet(self.path).schema \
+                if not replace and self._partition_names(spark) else StructType()
+        sensitive = str(spark.conf.get("spark.sql.caseSensitive", "false")).lower() == "true"
+        whole = union_schema(old, df.schema, sensitive)
+        mine = StructType([f for f in whole.fields if resolve(f.name, df.columns, sensitive) is not None])
+        part = [f for f in whole.fields if f.name == self.partition_column]
+        return align(df, mine), StructType([f for f in whole.fields if f.name != self.partition_column] + part)
+
+    def _store_schema(self, spark: SparkSession, schema: StructType) -> None:
+        if schema != self.schema(spark):
+            fs.write_text(spark, f"{self.path.rstrip('/')}/{SCHEMA}", schema.json())
+
+    def _files(self, spark: SparkSession, names: Iterable[str]) -> dict[str, set[str]]:
+        """Files of each of the partition folders ``names``."""
+        return {n: {e.name for e in fs.list_dir(spark, f"{self.path.rstrip('/')}/{n}")} for n in names}
+
+    def _swap(self, batch: DataFrame, names: Iterable[str] | None, schema: StructType, writer_options: tuple) -> set[str]:
+        """Write the batch by dynamic overwrite; the partition folders that got new files. ``names``:
+        the folders that may, all by default."""
+        spark = batch.sparkSession
+        before = self._files(spark, self._partition_names(spark) if names is None else names)
+        (self._writer(batch, *writer_options).mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").parquet(self.path))
+        after = self._files(spark, self._partition_names(spark) if names is None else names)
+        written = {n for n, files in after.items() if files - before.get(n, set())}
+        if written:
+            self._store_schema(spark, schema)
+        return written
+
     def partition_dir(self, day: dt.date) -> str:
         return f"{self.path.rstrip('/')}/{self.partition_column}={day.isoformat()}"
 
@@ -100,35 +146,37 @@ class HistoryTable:
 
     # -- K1 --------------------------------------------------------------------
     def replace_window(self, df: DataFrame, window: Iterable[str], *, max_records_per_file: int | None = None,
-                       single_file: bool = False, rebalance: bool = False) -> dict:
+                       single_file: bool = False, rebalance: bool = False, refuse_empty: bool = False) -> dict:
         """Make the window dates hold exactly ``df``'s rows for those dates.
 
+        ``refuse_empty``: raise :class:`NoNewData`, with the table as it was,
+        if ``df`` has no rows at all.
+
         Returns metrics: rows written, rows rejected (outside the window or
         with no date), dates written and dates emptied. Safe to replay: the
         same input gives the same table. Not atomic for concurrent readers.
         """
         window = set(window)
         days = to_date_values(window)
-        part = col(self.partition_column)
-        inside = in_dates(part, window)
-        seen = Observation("history_batch")
+        df, schema = self._evolve(df, replace=False)
+        spark, part, prefix = df.sparkSession, col(self.partition_column), f"{self.partition_column}="
+        inside = in_dates(self.partition_column, window)
+        seen, kept = Observation("history_batch"), Observation("history_window")
         batch = df.observe(seen, F.count(F.lit(1)).alias("rows_in"),
                            F.count_if(part.isNull() | ~inside).alias("rows_rejected"))
-        batch = batch.where(inside)
-        kept = Observation("history_window")
-        # collect_set is bounded: at most len(window) dates survive the filter.
-        batch = batch.observe(kept, F.count(F.lit(1)).alias("rows"), F.collect_set(part).alias("dates"))
-        (self._writer(batch, max_records_per_file, single_file, rebalance)
-         .mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.path))
-        written = set(kept.get["dates"] or [])
-        emptied = [d for d in days if d not in written]
+        batch = batch.where(inside).observe(kept, F.count(F.lit(1)).alias("rows"))
+        names = [f"{prefix}{d.isoformat()}" for d in days]
+        written = sorted(n[len(prefix):] for n in self._swap(
+            batch, names, schema, (max_records_per_file, single_file, rebalance)))
+        rows_in = metrics_of(seen, rows_in=0, rows_rejected=0)
+        if refuse_empty and not written and not rows_in["rows_in"]:
+            raise NoNewData("no row for the window")
+        emptied = [d.isoformat() for d in days if d.isoformat() not in written]
         for d in emptied:
-            fs.delete(batch.sparkSession, self.partition_dir(d))
-        self._record_change(batch.sparkSession, sorted(d.isoformat() for d in written))
-        return {"rows": kept.get["rows"], "rows_in": seen.get["rows_in"],
-                "rows_rejected": seen.get["rows_rejected"],
-                "dates_written": sorted(d.isoformat() for d in written),
-                "dates_emptied": [d.isoformat() for d in emptied]}
+            fs.delete(spark, f"{self.path.rstrip('/')}/{prefix}{d}")
+        self._record_change(spark, written)
+        return {**metrics_of(kept, rows=0), **rows_in,
+                "dates_written": written, "dates_emptied": emptied}
 
     # -- K2 --------------------------------------------------------------------
     def replace_all(self, df: DataFrame, *, max_records_per_file: int | None = None,
@@ -138,33 +186,25 @@ class HistoryTable:
         Written as a dynamic partition overwrite, which changes nothing until
         the job commits, so a rebuild that fails half-way leaves the old
         table intact (a static overwrite deletes it first). Partitions the
-        rebuild did not produce are dropped afterwards; their dates are
-        observed on the write (one per delivery day, metadata-sized).
+        rebuild did not produce are dropped afterwards:
+        those whose folders got no new file. Raises :class:`NoNewData`, with
+        the table as it was, when no row has a date.
         """
-        part = col(self.partition_column)
+        df, schema = self._evolve(df, replace=True)
+        spark, part, prefix = df.sparkSession, col(self.partition_column), f"{self.partition_column}="
         seen = Observation("history_full")
-        batch = df.observe(seen, F.count(F.lit(1)).alias("rows_in"),
-                           F.count_if(part.isNull()).alias("rows_rejected"))
-        batch = batch.where(part.isNotNull())
-        kept = Observation("history_full_dates")
-        batch = batch.observe(kept, F.collect_set(part).alias("dates"))
-        (self._writer(batch, max_records_per_file, single_file, rebalance)
-         .mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.path))
-        written = {d.isoformat() for d in (kept.get["dates"] or [])}
-        prefix = f"{self.partition_column}="
-        dropped = sorted(e.name[len(prefix):] for e in fs.list_dir(df.sparkSession, self.path)
-                         if e.is_dir and e.name.startswith(prefix) and e.name[len(prefix):] not in written)
-        for d in dropped:
-            fs.delete(df.sparkSession, f"{self.path.rstrip('/')}/{prefix}{d}")
-        self._record_change(df.sparkSession, sorted(written))
-        m = seen.get
-        return {"rows": m["rows_in"] - m["rows_rejected"], **m, "dates_written": sorted(written),
-                "dates_dropped": dropped}
-
-    def append(self, df: DataFrame) -> None:
-        df.write.mode("append").partitionBy(self.partition_column).parquet(self.path)
-        days = sorted(str(r[0]) for r in df.select(self.partition_column).distinct().collect() if r[0])
-        self._record_change(df.sparkSession, days)
+        batch = df.observe(seen, F.count(F.lit(1)).alias("rows_in"), F.count_if(part.isNull()).alias("rows_rejected"))
+        folders = self._swap(batch.where(part.isNotNull()), None, schema, (max_records_per_file, single_file, rebalance))
+        if not folders:  # nothing was deleted yet
+            raise NoNewData(f"no row with a date to replace {self.path} with")
+        dropped = sorted(self._partition_names(spark) - folders)
+        for n in dropped:
+            fs.delete(spark, f"{self.path.rstrip('/')}/{n}")
+        written = sorted(n[len(prefix):] for n in folders)
+        self._record_change(spark, written)
+        m = metrics_of(seen, rows_in=0, rows_rejected=0)
+        return {"rows": m["rows_in"] - m["rows_rejected"], **m, "dates_written": written,
+                "dates_dropped": [n[len(prefix):] for n in dropped]}
 
     # -- change log (for incremental current-state runs) -----------------------
     def _record_change(self, spark: SparkSession, dates_written: list[str]) -> None:
@@ -176,43 +216,33 @@ class HistoryTable:
         name = f"{int(time.time() * 1000):013d}-{uuid.uuid4().hex[:8]}.json"
         fs.write_text(spark, f"{self.path.rstrip('/')}/{CHANGES}/{name}", json.dumps({"dates_written": dates_written}))
 
-    def changes_since(self, spark: SparkSession, mark: str | None,
-                      grace_ms: int = CHANGE_GRACE_MS) -> tuple[set[str] | None, str | None]:
+    def changes_since(self, spark: SparkSession, mark: str | None) -> tuple[set[str] | None, str | None]:
         """Dates (``yyyyMMdd``) written by runs recorded since ``mark``, and the new mark.
 
-        The mark (opaque text) names the newest record absorbed and every record
-        within ``grace_ms`` before it. Records from that window that were not
-        absorbed yet still count, so a record stamped by a driver whose clock
-        runs behind is not skipped. The dates are ``None`` when a full read is
-        needed: no mark yet, or a table without a change log.
+        The mark (opaque text) names every record absorbed; whatever is not
+        among them counts, whenever its writer's clock said it was made. The
+        dates are ``None`` when a full read is needed: no mark yet, or a table
+        without a change log.
         """
         records = sorted(e.name for e in fs.list_dir(spark, f"{self.path.rstrip('/')}/{CHANGES}")
                          if e.name.endswith(".json"))
         if not records:
             return None, None
-        newest = records[-1]
-        new_mark = json.dumps({"newest": newest,
-                               "seen": [n for n in records if _stamp(n) >= _stamp(newest) - grace_ms]})
+        new_mark = json.dumps({"seen": records})
         try:
-            previous = json.loads(mark) if mark else None
-            cutoff = _stamp(previous["newest"]) - grace_ms
+            seen = set(json.loads(mark)["seen"]) if mark else None
         except (ValueError, TypeError, KeyError):
-            previous = None  # no usable mark: the caller reads everything
-        if previous is None:
+            seen = None  # no usable mark: the caller reads everything
+        if seen is None:
             return None, new_mark
-        seen = set(previous.get("seen", []))
         dates: set[str] = set()
         for name in records:
-            if _stamp(name) >= cutoff and name not in seen:
+            if name not in seen:
                 record = json.loads(fs.read_text(spark, f"{self.path.rstrip('/')}/{CHANGES}/{name}") or "{}")
                 dates |= {d.replace("-", "") for d in record.get("dates_written", [])}
         return dates, new_mark
 
 
-def _stamp(record_name: str) -> int:
-    return int(record_name.split("-")[0])
-
-
 def replace_window_frame(history: DataFrame, batch: DataFrame, window: Iterable[str],
                          partition_column: str = INGESTION_DATE) -> DataFrame:
     """DataFrame form of K1: history outside the window, plus batch rows inside it.

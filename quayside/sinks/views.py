@@ -3,8 +3,16 @@
 from __future__ import annotations
 
 import re
+import uuid
+from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
+from pyspark.sql.types import IntegerType, StructType
+
+from quayside.functions.names import quote
+from quayside.sinks.current import BUCKET, GENERATION, CurrentStateTable
+from quayside.sources import fs
 
 
 def view_location(container: str, root_folder: str, folder_name: str) -> tuple[str, str]:
@@ -25,19 +33,57 @@ def view_name(container: str, root_folder: str, folder_name: str, dataset: str)
     return re.sub(r"[^0-9A-Za-z_]", "_", raw)
 
 
-def publish_view(spark: SparkSession, name: str, path: str, *, fmt: str = "parquet",
-                 persistent: bool = False, merge_schema: bool = True) -> str:
-    """Create or replace a view over the table at ``path``; readers switch atomically.
+def publish_view(spark: SparkSession, name: str, path: str, *, persistent: bool = False,
+                 schema: StructType | None = None, partitions: Sequence[str] = ()) -> str:
+    """Create or replace a view over the parquet table at ``path``; readers switch atomically.
 
-    Temporary views (default) resolve the table when they are created, so
-    call this after every publication. ``persistent=True`` issues
-    ``CREATE OR REPLACE VIEW`` in the session catalog instead.
+    The view has the columns of ``schema``, by default of all files. Temporary
+    views (default) resolve the table when they are created, so call this
+    after every publication. ``persistent=True`` keeps the view in the session
+    catalog; ``partitions`` then names the table's partition columns.
     """
-    if persistent:
-        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {fmt}.`{path}`")
-    else:
-        reader = spark.read.format(fmt)
-        if merge_schema and fmt == "parquet":
-            reader = reader.option("mergeSchema", True)
-        reader.load(path).createOrReplaceTempView(name)
+    reader = spark.read.option("mergeSchema", True) if schema is None else spark.read.schema(schema)
+    df = reader.parquet(path)
+    if not persistent:
+        df.createOrReplaceTempView(name)
+        return name
+    root = path.rstrip("/")
+    folders = [root]
+    for p in partitions:
+        folders = [e.path for f in folders for e in fs.list_dir(spark, f) if e.is_dir and e.name.startswith(f"{p}=")]
+    return _publish_files(spark, name, root, df.schema, list(partitions), folders if partitions else [], df.columns)
+
+
+def publish_current(spark: SparkSession, name: str, table: CurrentStateTable, *, persistent: bool = False) -> str:
+    """A view over the live rows of a current-state table, without its bucket column. It shows the rows
+    that were live when it was published; their files stay until the table's ``vacuum``."""
+    df = table.read(spark)
+    if not persistent:
+        df.createOrReplaceTempView(name)
+        return name
+    schema = StructType([*df.schema.fields]).add(GENERATION, IntegerType()).add(BUCKET, IntegerType())
+    return _publish_files(spark, name, table.path, schema, [GENERATION, BUCKET], table.folders(spark), df.columns)
+
+
+def _publish_files(spark: SparkSession, name: str, root: str, schema: StructType, partitions: list[str],
+                   folders: list[str], columns: list[str]) -> str:
+    """A view over a catalog table that has a schema of its own and lists just these folders. The view
+    is replaced in one step; the table behind the old one is dropped then (its files are not)."""
+    behind = f"{name}__files_{uuid.uuid4().hex[:8]}"
+    fields = ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+    by = f"PARTITIONED BY ({', '.join(quote(p) for p in partitions)})" if partitions else ""
+    spark.sql(f"CREATE TABLE {behind} ({fields}) USING parquet {by} LOCATION '{root}'")
+    for at in range(0, len(folders), 200):
+        parts = []
+        for f in folders[at : at + 200]:
+            values = dict(x.split("=", 1) for x in f.rsplit("/", len(partitions))[1:])
+            spec = ", ".join(f"{quote(p)}='{unquote(values[p])}'" for p in partitions)
+            parts.append(f"PARTITION ({spec}) LOCATION '{f}'")
+        spark.sql(f"ALTER TABLE {behind} ADD {' '.join(parts)}")
+    old = [r["tableName"] for r in spark.sql("SHOW TABLES").collect()
+           if re.fullmatch(re.escape(name.split(".")[-1]) + "__files_[0-9a-f]{8}", r["tableName"])]
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {', '.join(quote(c) for c in columns)} FROM {behind}")
+    for t in old:
+        if t != behind.split(".")[-1]:
+            spark.sql(f"DROP TABLE {t}")
     return name

@@ -7,6 +7,7 @@ abfss, gs, ...).
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -67,6 +68,18 @@ def list_files_recursive(spark: SparkSession, path: str) -> list[Entry]:
     return sorted(out, key=lambda e: e.path)
 
 
+def fingerprint(spark: SparkSession, path: str) -> str:
+    """Names, sizes and times of the files of a small folder, or of one file."""
+    fs, hpath = _fs(spark, path)
+    found = [f"{s.getPath()}|{s.getLen()}|{s.getModificationTime()}" for s in fs.listStatus(hpath)]
+    return "\n".join(sorted(found))
+
+
+def make_dir(spark: SparkSession, path: str) -> None:
+    fs, hpath = _fs(spark, path)
+    fs.mkdirs(hpath)
+
+
 def rename(spark: SparkSession, src: str, dst: str) -> None:
     fs, hsrc = _fs(spark, src)
     _, hdst = _fs(spark, dst)
@@ -83,18 +96,22 @@ def delete(spark: SparkSession, path: str) -> bool:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small marker/pointer file atomically (temp file + rename)."""
+    """Write a small marker/pointer file: a temporary file, then one rename that replaces the old
+    file, so that a reader or a crash finds the old text or the new one, never neither."""
     fs, hpath = _fs(spark, path)
-    _, tmp = _fs(spark, f"{path}.tmp-writing")
+    _, tmp = _fs(spark, f"{path}.tmp-{uuid.uuid4().hex[:8]}")
     out = fs.create(tmp, True)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    if fs.exists(hpath):
-        fs.delete(hpath, False)
-    if not fs.rename(tmp, hpath):
-        raise OSError(f"could not publish {path}")
+    jvm = spark.sparkContext._jvm
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(
+        fs.makeQualified(tmp), fs.makeQualified(hpath), how)
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:

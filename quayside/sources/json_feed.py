@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from quayside.errors import ContractError, NoNewData
+from quayside.session import session_conf
+from quayside.sources import fs
 
 CORRUPT_COLUMN = "corrupt_record"
 SOURCE_PATH = "source_path"
@@ -45,13 +47,11 @@ def _reader(spark: SparkSession, corrupt_column: str, recursive: bool, mode: str
 
 
 def infer_envelope_schema(spark: SparkSession, paths: Sequence[str], *, corrupt_column: str = CORRUPT_COLUMN,
-                          recursive: bool = False, sampling_ratio: float | None = None) -> StructType:
+                          recursive: bool = False) -> StructType:
     """Document schema inferred over the files, every scalar leaf as text (one pass)."""
-    reader = _reader(spark, corrupt_column, recursive)
-    if sampling_ratio is not None:
-        reader = reader.option("samplingRatio", sampling_ratio)
     try:
-        return reader.json(list(paths)).schema
+        with session_conf(spark, unsplit_files(spark, paths, recursive)):
+            return _reader(spark, corrupt_column, recursive).json(list(paths)).schema
     except AnalysisException as exc:
         if "UNABLE_TO_INFER_SCHEMA" in str(exc):  # the folders hold no file at all
             raise NoNewData("no delivery file in the requested folders") from exc
@@ -60,7 +60,7 @@ def infer_envelope_schema(spark: SparkSession, paths: Sequence[str], *, corrupt_
 
 def read_envelopes(spark: SparkSession, paths: Sequence[str], *, schema: StructType | None = None,
                    corrupt_column: str = CORRUPT_COLUMN, recursive: bool = False,
-                   sampling_ratio: float | None = None, envelope: str | None = None,
+                   envelope: str | None = None,
                    on_corrupt: str = "count") -> DataFrame:
     """Scan JSON documents, one file = one document or one top-level array of documents.
 
@@ -79,8 +79,7 @@ def read_envelopes(spark: SparkSession, paths: Sequence[str], *, schema: StructT
     if not paths:
         raise NoNewData("no landing folder to read")
     if schema is None:
-        schema = infer_envelope_schema(spark, paths, corrupt_column=corrupt_column, recursive=recursive,
-                                       sampling_ratio=sampling_ratio)
+        schema = infer_envelope_schema(spark, paths, corrupt_column=corrupt_column, recursive=recursive)
     if envelope is not None and envelope not in schema.fieldNames():
         raise NoNewData(f"no '{envelope}' envelope in the delivery")
     if on_corrupt == "fail":
@@ -95,6 +94,31 @@ def read_envelopes(spark: SparkSession, paths: Sequence[str], *, schema: StructT
                       F.col("_metadata.file_path").alias(SOURCE_PATH))
 
 
+def unsplit_files(spark: SparkSession, paths: Sequence[str], recursive: bool = False) -> dict[str, str]:
+    """Session settings under which no task reads a part of a file.
+
+    A file is one record, so a task that begins inside one reads on to its end
+    for a separator that never comes. Where the largest file is larger than
+    Spark's split size, the split size is raised above it; tasks stay as many
+    as the bytes then call for. One listing of the folders; empty when no file
+    would be split.
+    """
+    list_files = fs.list_files_recursive if recursive else fs.list_dir
+    lengths = [e.length for p in paths for e in list_files(spark, p) if not e.is_dir]
+    largest, total = max(lengths, default=0), sum(lengths)
+    open_cost = _conf_bytes(spark, "spark.sql.files.openCostInBytes")
+    most = _conf_bytes(spark, "spark.sql.files.maxPartitionBytes")
+    tasks = spark.conf.get("spark.sql.files.minPartitionNum", None) or spark.sparkContext.defaultParallelism
+    if largest <= min(most, max(open_cost, (total + len(lengths) * open_cost) // int(tasks))):
+        return {}
+    return {"spark.sql.files.maxPartitionBytes": str(largest + 1),
+            "spark.sql.files.minPartitionNum": str(max(1, total // (largest + 1)))}
+
+
+def _conf_bytes(spark: SparkSession, key: str) -> int:
+    return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key)))
+
+
 def envelope_records_type(df: DataFrame, field: str) -> StructType | None:
     """Element struct of the envelope array; ``None`` when no record shape is known.
 

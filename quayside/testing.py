@@ -18,8 +18,6 @@ from quayside.session import new_scratch_path
 from quayside.sources import fs
 from quayside.sources.landing import LandingFeed
 
-MAX_BROADCAST_DAYS = 100_000
-
 
 def write_deliveries(df: DataFrame, feed: LandingFeed, day: Column, *, rows_per_document: int = 2000,
                      envelope: str = "Data", meta: str = "delivery") -> list[str]:
@@ -35,11 +33,6 @@ def write_deliveries(df: DataFrame, feed: LandingFeed, day: Column, *, rows_per_
     per_day = (rows.groupBy("__day").agg(F.count(F.lit(1)).alias("__n"))
                .select("__day", F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(rows_per_document)))
                        .alias("__docs")))
-    days = per_day.count()
-    if not days:
-        return []
-    # One row per delivery day: broadcast it when that is small, else a shuffled join.
-    per_day = F.broadcast(per_day) if days <= MAX_BROADCAST_DAYS else per_day
     docs = (rows.join(per_day, "__day")
             .select("__day", F.pmod(F.col("__hash"), F.col("__docs")).alias("__doc"), "__rec")
             .groupBy("__day", "__doc")

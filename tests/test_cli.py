@@ -25,10 +25,10 @@ def test_history_then_current(spark, landing, tmp_path):
     assert res.ok and sorted((r.id, r.v) for r in spark.table("cli_cur").collect()) == [(1, "c"), (2, "b")]
     res = run(["current", "--history", history, "--contract", str(contract), "--target", target,
                "--dates", "20240102"], spark)
-    assert res.ok and res.metrics["rows_staged"] == 2 and res.metrics["merge"] == "broadcast"
+    assert res.ok and res.metrics["rows_staged"] == 2 and res.metrics["rows_written"] == 2
     res = run(["current", "--history", history, "--contract", str(contract), "--target", target,
-               "--dates", "20240102", "--broadcast-update-mb", "0", "--view", "cli_cur"], spark)
-    assert res.ok and res.metrics["merge"] == "shuffle"
+               "--dates", "20240102", "--view", "cli_cur", "--distribution-column", "v"], spark)
+    assert res.ok and sorted((d["v"], d["count"]) for d in res.metrics["distribution"]) == [("b", 1), ("c", 1)]
     assert sorted((r.id, r.v) for r in spark.table("cli_cur").collect()) == [(1, "c"), (2, "b")]
     res = run(["history", "--landing-root", root, "--dataset", "feed", "--dates", "20240301", "--history", history],
               spark)
@@ -109,8 +109,8 @@ def test_keep_generations_after_reloads(spark, landing, tmp_path):
                    "--dates", "all", "--keep-generations", "1"], spark)
         assert res.ok
     import os
-    assert sorted(d for d in os.listdir(target) if d.startswith("gen-")) == ["gen-000003"]
-    assert res.metrics["generations_deleted"] == ["gen-000002"]
+    assert sorted(d for d in os.listdir(target) if d.startswith("gen=")) == ["gen=000003"]
+    assert res.metrics["generations_deleted"] == ["gen=000002"]
 
 
 def test_main_prints_outcomes_and_raises_on_errors(spark, landing, tmp_path, capsys):

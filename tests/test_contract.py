@@ -222,3 +222,59 @@ def test_zone_in_text_respected_on_request(spark, text, expected):
     rule["metadata"]["timestamp_definition"]["respect_zone_in_text"] = True
     df = spark.createDataFrame([(text,)], "v string")
     assert df.select(field_column(rule, df.schema)).first().t == expected
+
+
+NESTED_SCHEMA = {"type": "struct", "fields": [
+    {"name": "id", "type": "string"}, {"name": "s", "type": {"type": "struct", "fields": [{"name": "k", "type": "integer"}]}},
+    {"name": "a", "type": {"type": "array", "containsNull": True, "elementType": {
+        "type": "struct", "fields": [{"name": "q", "type": "integer"}]}}}]}
+
+
+def test_nested_losses_are_counted_and_strict_runs_fail(spark):
+    from quayside.operators.project import LOST_PREFIX, apply_contract, conform_to_schema
+    contract = Contract.from_dict({"origin_conf": NESTED_SCHEMA, "fields": [
+        {"name": "id", "source_name": "id", "type": "long"},
+        {"name": "s", "source_name": "s", "type": NESTED_SCHEMA["fields"][1]["type"]},
+        {"name": "n", "source_name": "a", "type": {"type": "array", "containsNull": True, "elementType": {
+            "type": "struct", "fields": [{"name": "q", "type": "integer", "nullable": True, "metadata": {}}]}}}]})
+    rows = spark.createDataFrame([("1", '{"k":"5"}', '[{"q":"1"}]'), ("2", '{"k":"abc"}', '[{"q":"x"}]'),
+                                  ("3", "not json", "[]"), ("4", None, None)], "id string, s string, a string")
+    conformed = conform_to_schema(rows, contract.origin_schema, loss_flags=True)
+    out = {r.id: r for r in apply_contract(conformed, contract.fields, loss_flags=True).collect()}
+    assert out[1].s.k == 5 and out[1].n[0].q == 1 and out[2].s.k is None and out[3].s is None
+    assert [out[i][LOST_PREFIX + "s"] for i in (1, 2, 3, 4)] == [False, True, True, False]
+    assert [out[i][LOST_PREFIX + "n"] for i in (1, 2, 3, 4)] == [False, True, False, False]
+    for bad in ("2", "3"):
+        with pytest.raises(Exception):
+            conform_to_schema(rows.where(f"id = '{bad}'"), contract.origin_schema, strict=True).collect()
+    assert conform_to_schema(rows.where("id IN ('1', '4')"), contract.origin_schema, strict=True).count() == 2
+
+
+def test_strict_reaches_nested_casts_of_the_contract(spark):
+    from quayside.operators.project import apply_contract
+    rows = spark.createDataFrame([('["x","1"]',)], "a string")
+    rule = [{"name": "a", "source_name": "a", "type": "array<int>"}]
+    assert apply_contract(rows, rule, keep=(), loss_flags=True).first().asDict() == {"a": [None, 1], "__lost_a": True}
+    with pytest.raises(Exception):
+        apply_contract(rows, rule, keep=(), strict=True).collect()
+
+
+def test_an_unknown_zone_loses_its_value_only(spark):
+    from quayside.operators.project import apply_contract
+    rows = spark.createDataFrame([("2024-01-01 12:00:00", "Europe/Paris"), ("2024-01-01 12:00:00", "Nowhere/Here"),
+                                  ("2024-01-01 12:00:00", "+02:00"), ("2024-01-01 12:00:00", None)], "t string, z string")
+    rule = [{"name": "u", "source_name": "t", "type": "timestamp", "metadata": {"timestamp_definition": {
+        "source_format": {"type": "string"}, "timezone": {"type": "field", "value": "z"}}}}]
+    got = [(str(r.u)[11:16] if r.u else None, r["__lost_u"])
+           for r in apply_contract(rows, rule, keep=(), loss_flags=True).collect()]
+    assert got == [("11:00", False), (None, True), ("10:00", False), (None, True)]
+    with pytest.raises(Exception):
+        apply_contract(rows, rule, keep=(), strict=True).collect()
+
+
+def test_contracts_are_read_through_the_file_system_layer(spark, tmp_path):
+    import json
+    (tmp_path / "c.json").write_text(json.dumps({"origin_conf": NESTED_SCHEMA, "fields": []}))
+    assert Contract.load(f"file:{tmp_path}/c.json", spark).origin_schema.fieldNames() == ["id", "s", "a"]
+    with pytest.raises(FileNotFoundError):
+        Contract.load(f"file:{tmp_path}/none.json", spark)

@@ -1,6 +1,6 @@
 import pytest
 
-from quayside.functions.dates import apply_lower_bound, lookback_window, lookback_window_frame, parse_date_list
+from quayside.functions.dates import apply_lower_bound, lookback_window, parse_date_list
 
 
 def test_window_adds_previous_days():
@@ -34,5 +34,6 @@ def test_lower_bound_is_text_comparison():
 def test_window_frame_matches_driver_form(spark):
     import datetime as dt
     df = spark.createDataFrame([(dt.date(2024, 1, 10),), (dt.date(2024, 1, 15),), (dt.date(2024, 1, 11),)], "d date")
-    got = {r.d.strftime("%Y%m%d") for r in lookback_window_frame(df).collect()}
+    frame = df.union(df.selectExpr("date_sub(d, 1)")).distinct()
+    got = {r.d.strftime("%Y%m%d") for r in frame.collect()}
     assert got == lookback_window("20240110,20240115,20240111")

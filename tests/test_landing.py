@@ -250,3 +250,46 @@ def test_latest_file_descent_matches_the_full_listing(spark, tmp_path):
     every = [e.path for e in fs.list_files_recursive(spark, feed.path)]
     assert feed.latest_file(spark) == [max(every)] and max(every).endswith("/feed/20240102/sub/z.json")
     assert LandingFeed(str(root), "missing").latest_file(spark) == []
+
+
+def test_lineage_names_clash_in_any_case(spark, landing):
+    from quayside.errors import ContractError
+    from quayside.plans.history_ingest import history_frame
+    for name in ("ingestion_date", "processing_time", "Source_Path", "INGESTION_DATE"):
+        root = landing({"20240101/a.json": {"Data": [{"id": 1, name: "x"}]}}, dataset=name)
+        with pytest.raises(ContractError, match="collide"):
+            history_frame(spark, [f"{root}/{name}/20240101"])
+
+
+def test_no_envelope_is_no_new_data_with_a_given_schema(spark, landing, tmp_path):
+    from pyspark.sql.types import StructType
+
+    from quayside.errors import Outcome
+    from quayside.plans.history_ingest import ingest_history
+    from quayside.sinks.history import HistoryTable
+    root = landing({"20240101/a.json": {"Data": [{"id": 1}]}})
+    history = HistoryTable(str(tmp_path / "h"))
+    schema = StructType.fromDDL("Data array<struct<id:string>>")
+    assert ingest_history(spark, LandingFeed(root, "feed"), history, "all", schema=schema).ok
+    odd = landing({"20240101/a.json": {}, "20240101/b.json": '{"Data":[{"id":1'}, dataset="odd")
+    for dates in ("all", "20240101"):
+        run = ingest_history(spark, LandingFeed(odd, "odd"), history, dates, schema=schema)
+        assert run.outcome is Outcome.NO_NEW_DATA and run.metrics["corrupt_documents"] == 1
+    assert [r.id for r in history.read(spark).collect()] == ["1"]
+    lost = landing({"notadate/a.json": {"Data": [{"id": 2}]}, "2024-01-01/a.json": {"Data": [{"id": 3}]}}, dataset="lost")
+    assert ingest_history(spark, LandingFeed(lost, "lost"), history, "all", schema=schema).outcome is Outcome.NO_NEW_DATA
+    assert [r.id for r in history.read(spark).collect()] == ["1"]
+
+
+def test_no_task_reads_a_part_of_a_document(spark, landing):
+    from quayside.session import session_conf
+    from quayside.sources.json_feed import infer_envelope_schema, read_envelopes, unsplit_files
+    root = landing({"20240101/a.json": {"Data": [{"id": i, "v": "x" * 200} for i in range(4000)]},
+                    "20240101/b.json": {"Data": [{"id": -1, "v": "y"}]}})
+    paths = [f"{root}/feed/20240101"]
+    with session_conf(spark, {"spark.sql.files.maxPartitionBytes": "64k"}):
+        schema = infer_envelope_schema(spark, paths)
+        assert read_envelopes(spark, paths, schema=schema).rdd.getNumPartitions() > 4
+        with session_conf(spark, unsplit_files(spark, paths)):
+            assert read_envelopes(spark, paths, schema=schema).rdd.getNumPartitions() <= 2
+    assert unsplit_files(spark, [f"{root}/none"]) == {}

@@ -2,7 +2,9 @@
 
 import datetime as dt
 
-from quayside.errors import Outcome
+import pytest
+
+from quayside.errors import NoNewData, Outcome
 from quayside.plans.contract import Contract
 from quayside.plans.current_state import build_current_state
 from quayside.plans.history_ingest import ingest_history
@@ -53,7 +55,8 @@ def test_no_new_data_outcomes(spark, landing, tmp_path):
     history = HistoryTable(str(tmp_path / "history"))
     assert ingest_history(spark, LandingFeed(root, "feed"), history, "20240101").outcome is Outcome.NO_NEW_DATA
     assert ingest_history(spark, LandingFeed(root, "nothing"), history, "all").outcome is Outcome.NO_NEW_DATA
-    history.replace_all(spark.createDataFrame([], "id string, v string, ingestion_date date"))
+    with pytest.raises(NoNewData):
+        history.replace_all(spark.createDataFrame([], "id string, v string, ingestion_date date"))
     target = CurrentStateTable(str(tmp_path / "current"))
     assert build_current_state(spark, history, CONTRACT, target).outcome is Outcome.NO_NEW_DATA
 

@@ -8,7 +8,7 @@ import pytest
 from quayside.errors import NoNewData
 from quayside.sinks.current import BUCKET, CurrentStateTable
 from quayside.sinks.history import HistoryTable, replace_window_frame
-from quayside.sinks.views import publish_view, view_location, view_name
+from quayside.sinks.views import publish_current, publish_view, view_location, view_name
 
 D = dt.date
 
@@ -54,7 +54,7 @@ def test_history_read_opens_only_the_window_partitions(spark, tmp_path):
     df = h.read(spark, dates=["20240103", "20240109"])  # 9 Jan has no partition
     assert all("ingestion_date=2024-01-03" in f for f in df.inputFiles()) and df.inputFiles()
     assert [(r.id, r.ingestion_date) for r in df.collect()] == [("3", D(2024, 1, 3))]
-    assert "gone" not in df.columns and dict(df.dtypes)["ingestion_date"] == "date"
+    assert "gone" in df.columns and dict(df.dtypes)["ingestion_date"] == "date"  # the stored schema has it
     assert "gone" in h.read(spark).columns
     with pytest.raises(NoNewData):
         h.read(spark, dates=["20240109"])
@@ -76,14 +76,9 @@ def test_bucketed_upsert_rewrites_only_touched_buckets(spark, tmp_path):
     rows = [(i, D(2024, 1, 1), "a") for i in range(200)]
     m = t.upsert(spark, spark.createDataFrame(rows, "id long, ingestion_date date, v string"))
     assert m["created"] and m["rows_written"] == 200
-    loc = t.location(spark)
 
     def snapshot():
-        out = {}
-        for b in os.listdir(loc):
-            if b.startswith(BUCKET):
-                out[b] = sorted(f for f in os.listdir(os.path.join(loc, b)) if f.endswith(".parquet"))
-        return out
+        return {os.path.basename(f): f for f in t.folders(spark)}
     before = snapshot()
     upd = spark.createDataFrame([(7, D(2024, 1, 2), "b"), (500, D(2024, 1, 2), "new")],
                                 "id long, ingestion_date date, v string")
@@ -97,29 +92,22 @@ def test_bucketed_upsert_rewrites_only_touched_buckets(spark, tmp_path):
     assert BUCKET not in t.read(spark).columns
 
 
-def test_upsert_merge_strategy_follows_staged_size(spark, tmp_path):
+def test_bucketed_upsert_against_brute_force(spark, tmp_path):
     schema = "id long, ingestion_date date, v string"
     base_rows = [(i, D(2024, 1, 1 + i % 3), "a") for i in range(300)]
     upd_rows = [(i, D(2024, 1, 2), "b") for i in range(0, 400, 7)]
-    base = spark.createDataFrame(base_rows + [(None, D(2024, 1, 1), "n")], schema)
-    upd = spark.createDataFrame(upd_rows + [(None, D(2024, 1, 4), "m")], schema)
-    states = {}
-    for limit, rows, expected in ((1 << 30, 10**6, "broadcast"), (0, 10**6, "shuffle"), (1 << 30, 10, "by_rows")):
-        t = CurrentStateTable(str(tmp_path / expected), key="id", num_buckets=8, tiebreak=["v"],
-                              broadcast_update_bytes=limit, broadcast_update_rows=rows)
-        t.upsert(spark, base)
-        m = t.upsert(spark, upd)
-        assert m["merge"] == ("shuffle" if expected == "by_rows" else expected) and m["staged_bytes"] > 0
-        states[expected] = sorted(((r.id is None, r.id or 0), r.ingestion_date, r.v) for r in t.read(spark).collect())
-    assert states["broadcast"] == states["shuffle"] == states["by_rows"]
-    # brute force on the driver over the tiny fixture: equal or newer update wins, new keys are inserted
+    t = CurrentStateTable(str(tmp_path / "cur"), key="id", num_buckets=8, tiebreak=["v"])
+    t.upsert(spark, spark.createDataFrame(base_rows + [(None, D(2024, 1, 1), "n")], schema))
+    m = t.upsert(spark, spark.createDataFrame(upd_rows + [(None, D(2024, 1, 4), "m")], schema))
+    assert m["rows_staged"] == len(upd_rows) + 1
+    # equal or newer update wins, new keys are inserted
     want = {k: (d, v) for k, d, v in base_rows}
     for k, d, v in upd_rows:
         if k not in want or d >= want[k][0]:
             want[k] = (d, v)
-    got = {k[1]: (d, v) for k, d, v in states["broadcast"] if not k[0]}
-    assert got == want
-    assert sorted(v for k, _, v in states["broadcast"] if k[0]) == ["m", "n"]  # null keys never match
+    rows = t.read(spark).collect()
+    assert {r.id: (r.ingestion_date, r.v) for r in rows if r.id is not None} == want
+    assert sorted(r.v for r in rows if r.id is None) == ["m", "n"]  # null keys never match
 
 
 def test_shuffled_merge_with_several_writers_per_bucket(spark, tmp_path):
@@ -127,10 +115,10 @@ def test_shuffled_merge_with_several_writers_per_bucket(spark, tmp_path):
     base = [(i, D(2024, 1, 1), "a") for i in range(400)]
     upd = [(i, D(2024, 1, 2), "b") for i in range(200, 600)]
     t = CurrentStateTable(str(tmp_path / "cur"), key="id", num_buckets=4, tiebreak=["v"],
-                          broadcast_update_bytes=0, files_per_bucket=3)
+                          files_per_bucket=3)
     t.upsert(spark, spark.createDataFrame(base + [(None, D(2024, 1, 1), "n")], schema))
     m = t.upsert(spark, spark.createDataFrame(upd + [(None, D(2024, 1, 3), "m")], schema))
-    assert m["merge"] == "shuffle" and m["writers_per_bucket"] == 3
+    assert m["writers_per_bucket"] == 3
     rows = t.read(spark).collect()
     got = {r.id: r.v for r in rows if r.id is not None}
     assert got == {**{i: "a" for i in range(200)}, **{i: "b" for i in range(200, 600)}}
@@ -168,7 +156,7 @@ def test_failed_reload_keeps_the_live_generation_and_leaves_no_folder(spark, tmp
     with pytest.raises(Exception, match="boom"):
         t.reload(spark, bad)
     assert t.generation(spark) == live and [(r.id, r.v) for r in t.read(spark).collect()] == [(1, "a")]
-    assert sorted(d for d in os.listdir(t.path) if d.startswith("gen-")) == [live]
+    assert sorted(d for d in os.listdir(t.path) if d.startswith("gen=")) == [live]
 
 
 def test_upsert_refuses_a_table_bucketed_another_way(spark, tmp_path):
@@ -265,9 +253,7 @@ def test_writers_per_bucket_follow_bucket_size(spark, tmp_path):
     finally:
         spark.conf.set(key, before)
     assert m["writers_per_bucket"] > 1
-    loc = t.location(spark)
-    files = [f for b in os.listdir(loc) if b.startswith(BUCKET) for f in os.listdir(os.path.join(loc, b))
-             if f.endswith(".parquet")]
+    files = [f for b in t.folders(spark) for f in os.listdir(b) if f.endswith(".parquet")]
     assert len(files) > 2
     state = {r.id: r.v for r in t.read(spark).collect()}
     assert len(state) == 400 and state[7] == "y" and state[8] == "x" * 50
@@ -284,3 +270,152 @@ def test_change_log_marks(spark, tmp_path):
     dates, newer = h.changes_since(spark, mark)
     assert dates == {"20240103"} and newer != mark  # 2 Jan was emptied, not written
     assert h.changes_since(spark, "not a mark")[0] is None  # unreadable mark: full read
+
+
+def test_change_records_of_slow_clocks_still_count(spark, tmp_path):
+    h = HistoryTable(str(tmp_path / "h"))
+    h.replace_all(history_rows(spark, [("1", "a", D(2024, 1, 1))]))
+    _, mark = h.changes_since(spark, None)
+    changes = tmp_path / "h" / "_changes"
+    (changes / "0000000000001-cafe.json").write_text('{"dates_written": ["2024-01-07"]}')  # decades behind
+    assert h.changes_since(spark, mark)[0] == {"20240107"}
+
+
+def test_full_replace_without_usable_rows_is_refused(spark, tmp_path):
+    h = HistoryTable(str(tmp_path / "h"))
+    h.replace_all(history_rows(spark, [("1", "a", D(2024, 1, 1))]))
+    for rows in ([], [("2", "b", None)]):
+        for rebalance in (False, True):
+            with pytest.raises(NoNewData):
+                h.replace_all(history_rows(spark, rows), rebalance=rebalance)
+    assert [r.id for r in h.read(spark).collect()] == ["1"]
+
+
+def test_an_empty_window_is_emptied_in_either_layout(spark, tmp_path):
+    for rebalance in (False, True):
+        h = HistoryTable(str(tmp_path / f"h{rebalance}"))
+        h.replace_all(history_rows(spark, [(str(i), "a", D(2024, 1, i)) for i in (1, 2)]))
+        m = h.replace_window(history_rows(spark, []), {"20240102"}, rebalance=rebalance)
+        assert m["dates_emptied"] == ["2024-01-02"] and m["rows"] == 0
+        assert [r.id for r in h.read(spark).collect()] == ["1"]
+
+
+def test_history_refuses_a_changed_type_and_finds_columns_in_any_case(spark, tmp_path):
+    from quayside.errors import ContractError
+    h = HistoryTable(str(tmp_path / "h"))
+    h.replace_all(history_rows(spark, [("1", "a", D(2024, 1, 1))]))
+    with pytest.raises(ContractError, match="'v'"):
+        h.replace_window(spark.createDataFrame([("2", 5, D(2024, 1, 2))], "id string, v int, ingestion_date date"),
+                         {"20240102"})
+    h.replace_window(spark.createDataFrame([("2", "b", D(2024, 1, 2))], "ID string, V string, ingestion_date date"),
+                     {"20240102"})
+    assert sorted((r.id, r.v) for r in h.read(spark).collect()) == [("1", "a"), ("2", "b")]
+
+
+def test_history_read_runs_no_job_for_its_schema(spark, tmp_path):
+    h = HistoryTable(str(tmp_path / "h"))
+    h.replace_all(history_rows(spark, [(str(i), "a", D(2024, 1, i)) for i in range(1, 6)]))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("schema-read", "")
+    h.read(spark)
+    assert not tracker.getJobIdsForGroup("schema-read")
+    spark.sparkContext.setJobGroup("other", "")
+
+
+def test_insert_evolving_finds_columns_in_any_case(spark, tmp_path):
+    from quayside.sinks.evolve import insert_evolving
+    name = "evolve_case_" + tmp_path.name.replace("-", "_")
+    spark.createDataFrame([], "id int, Value string").write.option("path", str(tmp_path / "t")).saveAsTable(name)
+    assert insert_evolving(spark, name, spark.createDataFrame([(1, "x")], "id int, value string")) == []
+    assert [tuple(r) for r in spark.table(name).collect()] == [(1, "x")]
+    spark.sql(f"DROP TABLE {name}")
+
+
+SCHEMA = "id long, ingestion_date date, v string"
+
+
+def test_a_lost_pointer_is_an_error_not_an_empty_table(spark, tmp_path):
+    from quayside.errors import ContractError
+    t = CurrentStateTable(str(tmp_path / "cur"), key="id", num_buckets=4)
+    t.upsert(spark, spark.createDataFrame([(i, D(2024, 1, 1), "a") for i in range(50)], SCHEMA))
+    pointer = tmp_path / "cur" / "_CURRENT"
+    text = pointer.read_text()
+    pointer.unlink()
+    for action in (t.read, lambda s: t.upsert(s, spark.createDataFrame([(1, D(2024, 1, 2), "b")], SCHEMA))):
+        with pytest.raises(ContractError, match="_CURRENT"):
+            action(spark)
+    pointer.write_text(text)
+    (tmp_path / "cur" / "._CURRENT.crc").unlink(missing_ok=True)
+    assert t.read(spark).count() == 50
+
+
+def test_the_pointer_is_replaced_in_one_rename(spark, tmp_path):
+    from quayside.sources import fs
+    path = f"{tmp_path}/p/_CURRENT"
+    for text in ("one", "two", "three"):
+        fs.write_text(spark, path, text)
+        assert fs.read_text(spark, path) == text
+    assert [f for f in os.listdir(tmp_path / "p") if not f.startswith(".")] == ["_CURRENT"]
+
+
+def test_a_small_upsert_leaves_most_files_and_older_readers_alone(spark, tmp_path):
+    t = CurrentStateTable(str(tmp_path / "cur"), key="id", num_buckets=64)
+    t.upsert(spark, spark.createDataFrame([(i, D(2024, 1, 1), "a") for i in range(2000)], SCHEMA))
+    publish_current(spark, "older_state", t)
+    before = set(t.folders(spark))
+    t.upsert(spark, spark.createDataFrame([(i, D(2024, 1, 2), "b") for i in range(20)], SCHEMA))
+    assert len(before & set(t.folders(spark))) >= 44
+    assert spark.table("older_state").where("v = 'b'").count() == 0  # still the files it was made on
+    assert t.read(spark).where("v = 'b'").count() == 20 and t.read(spark).count() == 2000
+
+
+def test_a_reload_spreads_a_large_bucket_over_several_files(spark, tmp_path):
+    t = CurrentStateTable(str(tmp_path / "cur"), key="id", num_buckets=2)
+    rows = spark.range(20000).selectExpr("id", "DATE'2024-01-01' AS ingestion_date", "repeat(uuid(), 4) AS v")
+    keys = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor": "0.2"}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        t.reload(spark, rows)
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
+    for folder in t.folders(spark):
+        assert len([f for f in os.listdir(folder) if f.endswith(".parquet")]) > 1
+    assert t.read(spark).count() == 20000
+
+
+def test_null_key_rules_and_derived_bucket_counts(spark, tmp_path):
+    rows = spark.createDataFrame([(None, D(2024, 1, 1), "n"), (1, D(2024, 1, 1), "a")], SCHEMA)
+    for rule, left in (("keep", 2), ("drop", 1)):
+        t = CurrentStateTable(str(tmp_path / rule), key="id", on_null_key=rule, num_buckets=0)
+        t.upsert(spark, rows)
+        assert t.read(spark).count() == left
+        t.upsert(spark, rows.where("id = 1"))  # N comes from the table
+    with pytest.raises(Exception, match="null id"):
+        CurrentStateTable(str(tmp_path / "fail"), key="id", on_null_key="fail").upsert(spark, rows)
+
+
+def test_persistent_views_have_all_columns_and_no_bucket(spark, tmp_path):
+    h = HistoryTable(str(tmp_path / "h"))
+    h.replace_all(history_rows(spark, [("1", "a", D(2024, 1, 1))]))
+    h.replace_window(spark.createDataFrame([("2", "n", D(2024, 1, 2))], "id string, w string, ingestion_date date"),
+                     {"20240102"})
+    for _ in range(2):
+        publish_view(spark, "kept_history", h.path, persistent=True, schema=h.schema(spark), partitions=["ingestion_date"])
+    assert sorted((r.id, r.v, r.w) for r in spark.table("kept_history").collect()) == [("1", "a", None), ("2", None, "n")]
+    t = CurrentStateTable(str(tmp_path / "cur"), key="id", num_buckets=4)
+    t.upsert(spark, spark.createDataFrame([(i, D(2024, 1, 1), "a") for i in range(20)], SCHEMA))
+    publish_current(spark, "kept_state", t, persistent=True)
+    t.upsert(spark, spark.createDataFrame([(3, D(2024, 1, 2), "b", 7)], SCHEMA + ", w int"))
+    assert spark.table("kept_state").columns == ["id", "ingestion_date", "v"]
+    assert spark.table("kept_state").where("v = 'b'").count() == 0
+    publish_current(spark, "kept_state", t, persistent=True)
+    assert spark.table("kept_state").columns == ["id", "ingestion_date", "v", "w"]
+    assert [(r.id, r.w) for r in spark.table("kept_state").where("v = 'b'").collect()] == [(3, 7)]
+    for v in ("kept_history", "kept_state"):
+        behind = [r.tableName for r in spark.sql("SHOW TABLES").collect() if r.tableName.startswith(f"{v}__files_")]
+        assert len(behind) == 1
+        spark.sql(f"DROP VIEW {v}")
+        spark.sql(f"DROP TABLE {behind[0]}")

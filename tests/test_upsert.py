@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from quayside.operators.latest import latest_per_key
-from quayside.operators.upsert import STRATEGIES, upsert
+from quayside.operators.upsert import upsert
 
 SCHEMA = "id long, ingestion_date date, v string"
 D = dt.date
@@ -31,32 +31,28 @@ def state(df):
     ([(3, D(2024, 1, 2), "a")], [], [(3, D(2024, 1, 2), "a")]),
     ([(3, None, "a")], [(3, D(2024, 1, 3), "b")], [(3, None, "a")]),
 ])
-@pytest.mark.parametrize("strategy", STRATEGIES)
-def test_upsert_rules(spark, target, updates, expected, strategy):
-    assert state(upsert(frame(spark, target), frame(spark, updates), strategy=strategy)) == expected
+def test_upsert_rules(spark, target, updates, expected):
+    assert state(upsert(frame(spark, target), frame(spark, updates))) == expected
 
 
-@pytest.mark.parametrize("strategy", STRATEGIES)
-def test_null_keys_never_match(spark, strategy):
+def test_null_keys_never_match(spark):
     out = upsert(frame(spark, [(None, D(2024, 1, 1), "a")]),
-                 frame(spark, [(None, D(2024, 1, 2), "b"), (None, D(2024, 1, 3), "c")]), strategy=strategy)
+                 frame(spark, [(None, D(2024, 1, 2), "b"), (None, D(2024, 1, 3), "c")]))
     assert sorted(r.v for r in out.collect()) == ["a", "c"]
     dropped = upsert(frame(spark, [(None, D(2024, 1, 1), "a"), (1, D(2024, 1, 1), "x")]),
-                     frame(spark, [(None, D(2024, 1, 2), "b")]), on_null_key="drop", strategy=strategy)
+                     frame(spark, [(None, D(2024, 1, 2), "b")]), on_null_key="drop")
     assert state(dropped) == [(1, D(2024, 1, 1), "x")]
     with pytest.raises(Exception):
-        upsert(frame(spark, []), frame(spark, [(None, D(2024, 1, 2), "b")]), on_null_key="fail",
-               strategy=strategy).collect()
+        upsert(frame(spark, []), frame(spark, [(None, D(2024, 1, 2), "b")]), on_null_key="fail").collect()
     kept = upsert(frame(spark, [(None, D(2024, 1, 1), "a")]), frame(spark, [(1, D(2024, 1, 2), "b")]),
-                  on_null_key="fail", strategy=strategy)
+                  on_null_key="fail")
     assert state(kept) == [(None, D(2024, 1, 1), "a"), (1, D(2024, 1, 2), "b")]
 
 
-@pytest.mark.parametrize("strategy", STRATEGIES)
-def test_new_update_columns_evolve_the_target(spark, strategy):
+def test_new_update_columns_evolve_the_target(spark):
     target = frame(spark, [(1, D(2024, 1, 1), "a"), (2, D(2024, 1, 1), "b")])
     updates = spark.createDataFrame([(1, D(2024, 1, 2), "c", 9)], "id long, ingestion_date date, v string, w int")
-    out = sorted(tuple(r) for r in upsert(target, updates, strategy=strategy).collect())
+    out = sorted(tuple(r) for r in upsert(target, updates).collect())
     assert out == [(1, D(2024, 1, 2), "c", 9), (2, D(2024, 1, 1), "b", None)]
 
 
@@ -86,7 +82,6 @@ def test_upsert_matches_brute_force_and_is_idempotent(spark, target, updates):
     t = latest_per_key(frame(spark, rows(target)), ["id"], tiebreak=["v"])
     u = frame(spark, rows(updates))
     once = upsert(t, u, tiebreak=["v"])
-    assert state(upsert(t, u, tiebreak=["v"], strategy="broadcast")) == state(once)
     # brute force on the driver over the tiny fixture
     cur = {r.id: (r.ingestion_date, r.v) for r in t.collect()}
     newest = {}
@@ -107,3 +102,22 @@ def test_row_hash_tiebreak_ignores_the_run_stamp(spark):
     winners = {latest_per_key(base.withColumn("processing_time", F.lit(ts).cast("timestamp")), ["id"]).first().v
                for ts in ("2024-01-01 00:00:00", "2025-06-30 12:34:56", "2026-12-02 08:00:00")}
     assert len(winners) == 1
+
+
+def test_a_changed_type_is_refused_and_a_wider_number_is_kept(spark):
+    from quayside.errors import ContractError
+    target = spark.createDataFrame([(1, D(2024, 1, 1), 2)], "id long, ingestion_date date, n int")
+    for odd in ("decimal(6,2)", "bigint", "string"):
+        updates = spark.createDataFrame([(1, D(2024, 1, 2), 5)], "id long, ingestion_date date, n int")
+        with pytest.raises(ContractError, match="'n'"):
+            upsert(target, updates.withColumn("n", updates.n.cast(odd)))
+    wide = spark.createDataFrame([(1, D(2024, 1, 1), 2)], "id long, ingestion_date date, n bigint")
+    narrow = spark.createDataFrame([(2, D(2024, 1, 2), 5)], "id int, ingestion_date date, N int")
+    assert sorted((r.id, r.n) for r in upsert(wide, narrow).collect()) == [(1, 2), (2, 5)]  # N is n
+
+
+def test_ties_between_rows_with_maps_inside_structs(spark):
+    df = spark.sql("SELECT 1 AS id, DATE'2024-01-01' AS ingestion_date, named_struct('m', map('a', x)) AS s, x AS v "
+                   "FROM VALUES (1), (2) AS t(x)")
+    assert latest_per_key(df, ["id"]).count() == 1
+    assert upsert(df.where("v = 1"), df.where("v = 2")).count() == 1

@@ -51,13 +51,13 @@ def collapse_snapshots(turns: DataFrame) -> DataFrame:
 
     ``turns``: conv_id, turn, role, text and any others, which are not read. Turns are ordered by turn,
     then role, then text, nulls first; ties and repeated rows are turns of their own. Rows without a
-    conv_id form one conversation, whose id is null (it counts as the smallest only beside itself). A
+    conv_id form one conversation, whose id is null; among equal conversations an id comes before none. A
     null role renders as an empty one, a null text likewise. Empty tables give no rows.
     """
     kept = maximal_conversations(turns).withColumnRenamed("conv_id", "kept_id")
     piece = F.concat(F.lit("<|"), F.coalesce("role", F.lit("")), F.lit("|>\n"), F.coalesce("text", F.lit("")),
                      F.lit("<|end|>\n"))
-    rows = turns.join(kept, F.col("conv_id").eqNullSafe(F.col("kept_id")))
+    rows = turns.select("conv_id", "turn", "role", "text").join(kept, F.col("conv_id").eqNullSafe(F.col("kept_id")))
     said = rows.groupBy("kept_id", "n_turns", "n_copies").agg(
         F.array_sort(F.collect_list(F.struct("turn", "role", "text", piece.alias("piece"))), _by_turn).alias("said"))
     return said.select(F.col("kept_id").alias("conv_id"), F.col("n_turns").cast("long").alias("n_turns"),

@@ -243,7 +243,8 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", back: bool =
     n_addresses, n_cards, n_taxes, n_phones (long): values replaced.
 
     ``back``: undo pseudonyms made with the same key. A null text stays null and counts 0, an empty one
-    stays empty. Values that fail validation (check digits, octets, calendar days from 1900 to 2099,
+    stays empty. A date keeps its notation, but for leading zeros of day and month where the source
+    has none. Values that fail validation (check digits, octets, calendar days from 1900 to 2099,
     number plans) stay as they are. Texts of any length are read whole; repeated rows, null and repeated
     ids are treated row by row; an empty table gives no rows. An input column with the name of a result
     column (in any case) is replaced by it.

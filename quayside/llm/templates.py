@@ -113,12 +113,19 @@ def _values(words: list[str]) -> np.ndarray:
 _NUMBERS, _UNITS = _values(NUMBER_WORDS), _values(UNITS)
 
 
-def template_windows(column: pa.Array, size: int, wanted=None, short: bool = False) -> tuple:
-    """text, place, hash, values of the placeholders of every window of ``size`` tokens, PLAIN of them
-    plain words, whose hash is wanted. ``short``: texts with fewer tokens are a window as a whole."""
+def template_windows(column: pa.Array, size: int, wanted=None, short: bool = False) -> list[tuple]:
+    """text, place, hash, values of the placeholders, size of every window of ``size`` tokens, PLAIN of
+    them plain words, whose hash is wanted. ``short``: texts with fewer tokens are a window as a whole.
+    Twice: with names as placeholders, and with names as plain words, which finds texts that were put
+    in lower or upper case."""
     t = Tokens(column)
-    plain = np.concatenate([[0], np.cumsum(t.kind == _PLAIN)])
-    h, at = windows(t.hash, size, size), inside(t.first, size)
+    cased = np.where(t.kind == _NAME, _PLAIN, t.kind), np.where(t.kind == _NAME, t.value, t.hash)
+    return [_windows(t, kind, h, size, form, wanted, short) for form, (kind, h) in enumerate([(t.kind, t.hash), cased])]
+
+
+def _windows(t: Tokens, kind: np.ndarray, token: np.ndarray, size: int, form: int, wanted, short: bool) -> tuple:
+    plain = np.concatenate([[0], np.cumsum(kind == _PLAIN)])
+    h, at = windows(token, size, 2 * size + form), inside(t.first, size)
     at = at[plain[at + size] - plain[at] >= PLAIN]
     h = h[at]
     if wanted is not None:
@@ -129,10 +136,12 @@ def template_windows(column: pa.Array, size: int, wanted=None, short: bool = Fal
         count = np.diff(t.first)
         for i in np.flatnonzero((count >= PLAIN) & (count < size)):
             a, b = t.first[i], t.first[i + 1]
+            if plain[b] - plain[a] < PLAIN:
+                continue
             at, ends = np.append(at, a), np.append(ends, b)
-            h = np.append(h, windows(t.hash[a:b], int(b - a), int(b - a)))
+            h = np.append(h, windows(token[a:b], int(b - a), 2 * int(b - a) + form))
     text = np.searchsorted(t.first, at, side="right") - 1
-    slots = np.flatnonzero(t.kind != _PLAIN)
+    slots = np.flatnonzero(kind != _PLAIN)
     lo, hi = np.searchsorted(slots, at), np.searchsorted(slots, ends)
     values = [t.value[slots[i:j]].view(np.int64) for i, j in zip(lo, hi)]
     return text, at - t.first[text], h, values, ends - at
@@ -155,7 +164,8 @@ def benchmark_windows(items: DataFrame, size: int = WINDOW) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                yield _rows(part.column("key"), template_windows(part.column("text"), size, short=True))
+                for found in template_windows(part.column("text"), size, short=True):
+                    yield _rows(part.column("key"), found)
 
     rows = written(items.select(F.col("item_id").cast("long").alias("key"), F.coalesce("text", F.lit("")).alias("text"))
                    .filter("key is not null").mapInArrow(run, _ROWS).distinct())
@@ -196,7 +206,8 @@ def contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW, coverage
         for batch in batches:
             for part in slices(batch, "text"):
                 for n in sizes:
-                    yield _rows(part.column("key"), template_windows(part.column("text"), n, wanted))
+                    for found in template_windows(part.column("text"), n, wanted):
+                        yield _rows(part.column("key"), found)
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.select(F.xxhash64(F.col(id_col), text).alias("key"), text.alias("text"))

@@ -413,5 +413,6 @@ def extract_main_text(pages: DataFrame, url_col: str = "url", html_col: str = "h
     rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns if c != html_col]).alias("row"),
                         F.col(f"`{html_col}`").alias("page"), _host(F.col(f"`{url_col}`")).alias("host"))
     done = with_columns_of(rows.join(known, "host").select("row", "page", "rules"), "page", "text string", extract)
-    done = done.select(F.struct("row.*", F.col("page").alias(html_col)).alias("row"), "text")
+    whole = [F.col("page").alias(c) if c == html_col else F.col(f"row.`{c}`") for c in pages.columns]
+    done = done.select(F.struct(*whole).alias("row"), "text")
     return replace_columns(done.withColumn("n_chars", F.length("text").cast("long")), "row", ["text", "n_chars"])

@@ -1,0 +1,76 @@
+"""Plain single-machine versions of the operators, for comparison on small tables."""
+
+import collections
+import re
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def words(text):
+    return WORD.findall(text or "")
+
+
+def base(text, size=5):
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed."""
+    text = text or ""
+    w = words(text)
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    windows = [tuple(w[i:i + size]) for i in range(len(w) - size + 1)]
+    seen = collections.Counter(windows)
+    covered = {j for i, x in enumerate(windows) if seen[x] > 1 for j in range(i, i + size)}
+    return (len(w), sum(map(len, w)), sum(text.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(covered),
+            len(w) < 10 or 100 * len(covered) > 20 * len(w))
+
+
+def repeats(rows, size=13):
+    """(id, kept text, n_words, n_removed) of each row, by the contract of substring dedup."""
+    order = [2**63 - 1 if i is None else i for i, _ in rows]
+    texts = [words(t) for _, t in rows]
+    first = {}
+    for i, w in zip(order, texts):
+        for k in range(len(w) - size + 1):
+            x = tuple(w[k:k + size])
+            first[x] = min(first.get(x, i), i)
+    out = []
+    for (name, _), i, w in zip(rows, order, texts):
+        gone = {j for k in range(len(w) - size + 1) if first[tuple(w[k:k + size])] < i for j in range(k, k + size)}
+        out.append((name, " ".join(x for j, x in enumerate(w) if j not in gone), len(w), len(gone)))
+    return out
+
+
+def similar(rows, similarity=0.8, size=5):
+    """(class id, links, class size) of each row: all pairs of shingle sets."""
+    sets = []
+    for _, t in rows:
+        w = words(t)
+        sets.append({tuple(w[i:i + size]) for i in range(len(w) - size + 1)} or ({tuple(w)} if w else set()))
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    links = [0] * len(rows)
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and both >= similarity * (len(sets[i]) + len(sets[j]) - both) - 1e-9:
+                links[i], links[j] = links[i] + 1, links[j] + 1
+                root[find(i)] = find(j)
+    members = collections.defaultdict(list)
+    for i in range(len(rows)):
+        members[find(i)].append(rows[i][0])
+    return [(min((x for x in members[find(i)] if x is not None), default=None), links[i], len(members[find(i)]))
+            for i in range(len(rows))]
+
+
+SECRETS = (("assign", re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII), 2, 6),
+           ("access", re.compile(r"AKIA[A-Z0-9]+"), 0, 20), ("hex", re.compile(r"[0-9a-f]+"), 0, 24))
+
+
+def secrets(text):
+    """Base spans by start, then kind."""
+    found = [(m.start(), place, m.end(), kind) for place, (kind, p, group, least) in enumerate(SECRETS)
+             for m in p.finditer(text or "") if len(m.group(group)) >= least]
+    return [f"{kind}:{a}:{b}" for a, _, b, kind in sorted(found)]

@@ -1,0 +1,47 @@
+from pyspark.sql import functions as F
+
+from quayside.llm import chats
+from quayside.llm.queries import ORACLE_SQL, QUERIES
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def brute(rows):
+    convs = {}
+    key = lambda r: tuple((x is not None, x if x is not None else 0 if k == 1 else "") for k, x in enumerate(r) if k)
+    for r in sorted(rows, key=key):
+        convs.setdefault(r[0], []).append((r[2], r[3]))
+    out = {}
+    for c, said in convs.items():
+        if any(len(other) > len(said) and other[: len(said)] == said for other in convs.values()):
+            continue
+        same = [x for x in convs if convs[x] == said]
+        first = min((x for x in same if x is not None), default=None)
+        text = "".join(f"<|{r or ''}|>\n{t or ''}<|end|>\n" for r, t in said)
+        out[first] = (len(said), len(same), text)
+    return out
+
+
+def check(spark, rows):
+    got = chats.collapse_snapshots(spark.createDataFrame(rows, SCHEMA).withColumn("n_turns", F.lit("clash")))
+    assert {r.conv_id: (r.n_turns, r.n_copies, r.rendered) for r in got.collect()} == brute(rows)
+
+
+def test_prefixes_copies_and_odd_rows(spark):
+    talk = [(t, "user" if t % 2 else "bot", f"line {t}") for t in range(1, 7)]
+    rows = [(c, *t) for c, n in ((1, 2), (2, 4), (3, 6), (4, 6)) for t in talk[:n]]  # snapshots, and a copy
+    rows += [(5, t, r, x if t < 4 else "else") for t, r, x in talk[:5]]  # parts after three turns
+    rows += [(6, 10, "user", "line 1"), (6, 20, "bot", "line 2"), (6, 30, "user", "new")]  # gaps in numbers
+    rows += [(7, 1, None, None), (7, None, "user", ""), (7, 1, None, ""), (8, 1, "user", "a"), (8, 1, "user", "a")]
+    rows += [(None, 1, "user", "no id"), (None, 2, "bot", "x" * 200_000), (9, 1, "user", "no id")]
+    check(spark, rows)
+    check(spark, [(i, 1, "user", "hot") for i in range(300)] + [(300, 1, "user", "hot"), (300, 2, "bot", "y")])
+
+
+def test_empty_table_and_native_plan(spark, small):
+    assert chats.collapse_snapshots(spark.createDataFrame([], SCHEMA)).count() == 0
+    df = QUERIES["op4_chat_snapshots"](spark, small)
+    assert not any(x in df._jdf.queryExecution().executedPlan().toString() for x in ("Python", "Pandas", "Arrow"))
+    rows = [tuple(r) for r in spark.read.parquet(f"{small}/conversations.parquet").collect()]
+    assert {r.conv_id: (r.n_turns, r.n_copies, r.rendered) for r in df.collect()} == brute(rows)
+    assert "op4_chat_snapshots" in ORACLE_SQL

@@ -1,0 +1,88 @@
+import html
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from quayside.llm import wrappers as W
+from quayside.llm.queries import QUERIES
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var t="</p><p>no</p>";</script></head>
+<body class="has-sidebar"><header><h1>Site name</h1></header><nav><ul><li><a href="/a">A</a><li><a href="/b">B</a></ul></nav>
+<div class="cookie-notice">We use cookies</div>{main}
+<aside>More</aside><div id="comments"><article class="comment"><p>First!</p></article></div>
+<form><label>Mail</label><input name=m><button>Go</button></form><div class="ad-box">Buy {i}</div><!-- <p>gone</p> -->
+<footer>&copy; host</footer></body></html>"""
+
+
+def pages(spark, rows):
+    return spark.createDataFrame(rows, "page_id long, url string, html string")
+
+
+def texts(spark, rows):
+    return {r.page_id: r.text for r in W.extract_main_text(pages(spark, rows)).collect()}
+
+
+@pytest.mark.parametrize("main,text", [
+    ("<article><h1>Head &amp; tail</h1><p>One\n  two&nbsp;three<br>four</p><p>Five <b>six</b>.</article>", "Head & tail\nOne two three four\nFive six."),
+    ("<main><h2>H</h2><ul><li>a<li>b</ul><table><tr><td>c<td>d</table></main>", "H\na\nb\nc\nd"),
+    ('<div class="post-content"><p>x &lt;y&gt; "z"<p><i>open <b>tags<div>in block</div></div>', 'x <y> "z"\nopen tags\nin block'),
+    ("<article><p>a<script>b</script>c</p><div class='share'>no</div><div hidden>no</div><section><p>d</section></article>", "ac\nd"),
+    ("<article></article>", ""),
+])
+def test_one_page_of_each_kind(spark, main, text):
+    got = texts(spark, [(i, "http://h.example/x", PAGE.format(main=main, i=i)) for i in range(3)])
+    assert got == dict.fromkeys(range(3), text)
+
+
+def test_without_main_elements_what_never_changes_is_furniture(spark):
+    rows = [(i, "http://h.example/x", f"<body><div><p>Our motto</p></div><table><tr><td>Story {i}<td>More {i}</table></body>")
+            for i in range(5)]
+    assert texts(spark, rows) == {i: f"Story {i}\nMore {i}" for i in range(5)}
+
+
+def test_wrappers_fold_repeats_and_relax_what_is_missing():
+    a = W.skeleton(W.parse("<ul><li>a<li>b<li>c</ul><p>x</p>"))
+    assert a[3][0][0] == "ul" and a[3][0][3] == [["li", "+", -1, []]] and a[3][1][:2] == ["p", "1"]
+    b = W.skeleton(W.parse("<ul><li>a</ul><h2>y</h2><p>x</p>"))
+    w = W.align(a, b)
+    assert [c[:2] for c in w[3]] == [["ul", "1"], ["h2", "?"], ["p", "1"]]
+    assert w[3][0][3][0][1] == "+" and w[3][2][2] == a[3][1][2]
+    dl = W.skeleton(W.parse("<dl><dt>a<dd>1<dt>b<dd>2<dt>c<dd>3</dl>"))
+    assert [c[:2] for c in dl[3][0][3]] == [["dt", "+"], ["dd", "+"]]
+
+
+def test_alignment_does_not_depend_on_how_pages_are_grouped():
+    skeletons = [W.skeleton(W.parse(f"<div><p>{i}</p>{'<h2>x</h2>' * (i % 3)}{'<ul><li>q</ul>' * (i % 2)}</div>")) for i in range(12)]
+    one = skeletons[0]
+    for s in skeletons[1:]:
+        one = W.align(one, s)
+    two = [skeletons[0], skeletons[6]]
+    for k in range(2):
+        for s in skeletons[6 * k + 1 : 6 * k + 6]:
+            two[k] = W.align(two[k], s)
+    assert W.align(*two) == one
+
+
+def test_query_against_brute_force(spark, small):
+    got = {r.page_id: (r.text, r.n_chars) for r in QUERIES["op10_html_wrappers"](spark, small).collect()}
+    rows = spark.read.parquet(f"{small}/pages.parquet").collect()
+    assert len(got) == len(rows)
+    for r in rows:
+        body = re.search(r"<article>(.*?)(?:</article>|\Z)", r.html, re.S)
+        parts = re.split(r"</?(?:p|h1)[^>]*>", body.group(1))
+        flat = [re.sub(r"\s+", " ", html.unescape(re.sub(r"<[^>]*>", " ", x))).strip() for x in parts]
+        want = "\n".join(x for x in flat if x)
+        assert got[r.page_id] == (want, len(want))
+
+
+def test_odd_pages_and_clashes(spark):
+    rows = [(1, None, None), (2, "not a url", ""), (3, "http://[bad", "<p>x"), (None, "http://h/", "plain text"), (4, "http://h/", "<"),
+            (4, "http://h/", "<"), (5, "http://k/", "<article>" + "<p>word</p>" * 50_000), (6, "http://k/", "<div " * 2000),
+            (7, "http://k/", "a < b & c &notit; &#65; &#x1F600;"), (8, "http://k/", "<article>" + "<div>" * 600 + "deep")]
+    out = W.extract_main_text(pages(spark, rows).withColumn("Text", F.lit("x")).withColumn("extra", F.lit(1)))
+    assert out.columns == ["page_id", "url", "html", "extra", "text", "n_chars"]
+    got = {r.page_id: r.text for r in out.collect()}
+    assert out.count() == 10 and got[1] == "" and got[2] == "" and got[4] == "<" and got[None] == "plain text"
+    assert got[5] == "\n".join(["word"] * 50_000) and got[8] == "deep"
+    assert W.extract_main_text(pages(spark, [])).count() == 0

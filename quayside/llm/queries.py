@@ -95,6 +95,27 @@ QUERIES = {
 
 #: DuckDB SQL for the same rows, where SQL can express them.
 ORACLE_SQL: dict[str, str] = {
+    "op5_jaccard_join": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+            FROM documents),
+        s AS (SELECT DISTINCT doc_id, unnest(CASE
+                  WHEN len(w) >= 5 THEN [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]
+                  WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM d),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+              FROM s AS a JOIN s AS b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+        l AS (SELECT x, y, c = nx.n AND c = ny.n AS same FROM p
+              JOIN n AS nx ON x = nx.doc_id JOIN n AS ny ON y = ny.doc_id
+              WHERE c >= 0.8 * (nx.n + ny.n - c) - 1e-9),
+        r(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.a, l.y FROM r JOIN l ON r.b = l.x),
+        f AS (SELECT d.doc_id, least(d.doc_id, min(l.y)) AS first_copy
+              FROM d LEFT JOIN l ON d.doc_id = l.x AND l.same GROUP BY d.doc_id),
+        k AS (SELECT x, count(*) AS n_links, count(DISTINCT CASE WHEN NOT same THEN first_copy END) AS n_text_links
+              FROM l JOIN f ON l.y = f.doc_id GROUP BY x)
+        SELECT a AS doc_id, min(b) AS class_id, coalesce(any_value(n_links), 0) AS n_links,
+               coalesce(any_value(n_text_links), 0) AS n_text_links, count(*) AS class_size
+        FROM r LEFT JOIN k ON r.a = k.x GROUP BY a""",
     "op8_substring_dedup": r"""
         WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
                    FROM documents),

@@ -21,8 +21,11 @@ BUCKETS = 10_000
 TRUSTED_LIMIT = 20_000
 #: Mean log-likelihood ratio below which a document is rejected.
 THRESHOLD = -0.05
-#: Added to each count.
+#: Added to each count of the corpus.
 SMOOTHING = 1.0
+#: N-grams' worth of the corpus multinomial that the trusted one starts from: what few trusted documents
+#: have not shown yet counts neither for nor against a text.
+PRIOR = 100_000.0
 SYMBOLS = "#*$%&|<>"
 
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -86,10 +89,13 @@ def fit_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> D
            .select("b", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("k", F.lit(0)).alias("k"))
            .agg(F.sum("n").alias("n_all"), F.sum("k").alias("k_all"),
                 F.array_sort(F.collect_list(F.struct("b", "n", "k"))).alias("c")))
-    whole = SMOOTHING * buckets
-    return one.select(F.transform("c", lambda c: F.when(F.col("k_all") == 0, F.lit(0.0)).otherwise(
-        F.log((c["k"] + SMOOTHING) / (F.col("k_all") + whole))
-        - F.log((c["n"] + SMOOTHING) / (F.col("n_all") + whole)))).alias("ratios"))
+
+    def ratio(c: Column) -> Column:
+        corpus = (c["n"] + SMOOTHING) / (F.col("n_all") + SMOOTHING * buckets)
+        trusted_ = (c["k"] + PRIOR * corpus) / (F.col("k_all") + PRIOR)
+        return F.log(trusted_) - F.log(corpus)
+
+    return one.select(F.transform("c", ratio).alias("ratios"))
 
 
 def score_quality(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD,

@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: White space that parts words: space, tab, line feed, vertical tab, form feed, carriage return.
 WHITE = " \t\n\x0b\f\r"
@@ -100,8 +101,7 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 2 << 20) -> Iterator[
 def with_columns_of(df: DataFrame, column: str, fields: str, f: Callable[[pa.RecordBatch], list[pa.Array]]) -> DataFrame:
     """``df`` and further columns, named and typed by ``fields`` (a DDL string), that ``f`` makes of each
     slice of rows."""
-    schema = df.limit(0).schema
-    more = df.sparkSession.createDataFrame([], fields).schema
+    more = StructType.fromDDL(fields)
     names = [*df.columns, *more.names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,4 +109,4 @@ def with_columns_of(df: DataFrame, column: str, fields: str, f: Callable[[pa.Rec
             for part in slices(batch, column):
                 yield pa.RecordBatch.from_arrays([*part.columns, *f(part)], names=names)
 
-    return df.mapInArrow(run, type(schema)([*schema.fields, *more.fields]))
+    return df.mapInArrow(run, StructType([*df.schema.fields, *more.fields]))

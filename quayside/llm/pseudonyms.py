@@ -109,9 +109,7 @@ def _card(p: Permutation, s: str, back: bool) -> str | None:
 def _phone(p: Permutation, s: str, back: bool) -> str | None:
     d = _only_digits(s)
     if len(d) == 10 or len(d) == 11 and d[0] == "1":
-        n = d[-10:]
-        if n[0] in "01" or n[3] in "01":
-            return None
+        n = d[-10:]  # numbers of the numbering plan stay in it, others outside
         new = p.permute("phone", 10**10, int(n), back, lambda x: x // 10**9 > 1 and x // 10**6 % 10 > 1)
         return _refill(s, d[:-10] + str(new).zfill(10))
     if not 8 <= len(d) <= 15:
@@ -245,7 +243,7 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", back: bool =
     ``back``: undo pseudonyms made with the same key. A null text stays null and counts 0, an empty one
     stays empty. A date keeps its notation, but for leading zeros of day and month where the source
     has none. Values that fail validation (check digits, octets, calendar days from 1900 to 2099,
-    number plans) stay as they are. Texts of any length are read whole; repeated rows, null and repeated
+    lengths) stay as they are. Texts of any length are read whole; repeated rows, null and repeated
     ids are treated row by row; an empty table gives no rows. An input column with the name of a result
     column (in any case) is replaced by it.
     """

@@ -21,6 +21,7 @@ def view_location(container: str, root_folder: str, folder_name: str) -> tuple[s
     Master data in the current-state zone is published at the top of its own
     space; everything else goes to ``<container>`` under ``<root_folder>/<folder>``.
     """
+    # The folder and the container of the rule's first branch.
     if root_folder == "master" and container == "silver":
         return root_folder, folder_name
     return container, f"{root_folder}/{folder_name}"

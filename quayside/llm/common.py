@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from quayside.session import new_scratch_path
+
 #: White space that parts words: space, tab, line feed, vertical tab, form feed, carriage return.
 WHITE = " \t\n\x0b\f\r"
 
@@ -46,26 +48,7 @@ def replace_columns(df: DataFrame, row: str, results: list[str]) -> DataFrame:
 
 def shared_dir(spark: SparkSession) -> str:
     """A new folder under spark.checkpoint.dir, which all executors share."""
-    import uuid
-
-    return f"{checkpoint_root(spark)}/quayside-llm/{uuid.uuid4().hex}"
-
-
-def checkpoint_root(spark: SparkSession) -> str:
-    """The checkpoint folder that the cluster names. Only where it names none, in local tests, a
-    folder under the warehouse is set."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
-        spark.conf.set("spark.checkpoint.dir", named)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(named)
-    return named
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint()
+    return new_scratch_path(spark, "llm")
 
 
 def written(df: DataFrame) -> DataFrame:

@@ -119,15 +119,19 @@ def score_quality(docs: DataFrame, trusted: DataFrame, threshold: float = THRESH
     fours = _pairs(F.col("pairs"), F.col("pairs"), 2)
     stage = stage.withColumn("windows", _pairs(fours, F.col("h"), 4))
     unique = F.size(F.array_distinct("windows")) == F.size("windows")
-    scored = stage.select(
-        "row", F.size("h").cast("long").alias("n_words"),
+    scored = stage.select("row", F.struct(
+        F.size("h").cast("long").alias("n_words"),
         (F.length(text) - count_chars(text, WHITE)).cast("long").alias("word_chars"),
         count_chars(text, SYMBOLS).alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.when(unique, F.lit(0).cast("long")).otherwise(_covered(F.col("windows"), 5)).alias("n_repeat_words"),
         F.when(F.size("h") > 0, F.aggregate(
             _buckets(F.col("h"), F.col("pairs"), buckets), F.lit(0.0),
-            lambda a, x: a + F.get(model, x)) / (F.size("h") + F.size("pairs"))).alias("score"))
+            lambda a, x: a + F.get(model, x)) / (F.size("h") + F.size("pairs"))).alias("score"),
+        # not deterministic, so no filter on a result moves below this select, where it would make
+        # every array anew for each place that it is used in
+        F.spark_partition_id().alias("here")).alias("r"))
+    scored = scored.select("row", *[F.col(f"r.{c}") for c in (*BASE, "score")])
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     scored = scored.withColumn("base_failed", failed).withColumn(
         "kept", ~F.col("base_failed") & (F.col("score") >= threshold))

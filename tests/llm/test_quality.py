@@ -74,3 +74,12 @@ def test_empty_tables_and_native_plan(spark, no_docs, small):
     assert quality.trusted_ids(spark.createDataFrame([], "doc_id long, quality int, toxic int")).count() == 0
     plan = QUERIES["op1_quality_rules"](spark, small)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_a_filter_on_a_result_stays_above_the_arrays(spark, small):
+    """Pushed below, it would make every array again for each place that its condition uses it in."""
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    kept = quality.score_quality(docs, quality.trusted_ids(spark.read.parquet(f"{small}/labels.parquet"))).filter("kept")
+    plan = kept._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    filters = [line for line in plan if "Filter" in line and "Relation" not in line]
+    assert len(filters) == 1 and "transform" not in filters[0]

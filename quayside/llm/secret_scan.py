@@ -15,7 +15,7 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm.common import replace_columns, shared_dir
+from quayside.llm.common import replace_columns, shared_dir, written
 
 
 @dataclass(frozen=True)
@@ -131,8 +131,10 @@ def scan_secrets(versions: DataFrame, ledger: str | None = None, rules: tuple[Ru
     spark = versions.sparkSession
     ledger = ledger or shared_dir(spark)
     update_ledger(versions, ledger, rules, id_col, text_col)
-    found = (open_ledger(spark, ledger).filter(F.col("rules") == rules_version(rules))
-             .groupBy("blob").agg(F.first("spans").alias("secrets")))
+    # written, so that no aggregate stands between the join and its shuffle: then a blob that many
+    # paths carry can be split
+    found = written(open_ledger(spark, ledger).filter(F.col("rules") == rules_version(rules))
+                    .groupBy("blob").agg(F.first("spans").alias("secrets")))
     rows = versions.select(F.struct(*[F.col(f"`{c}`") for c in versions.columns]).alias("row"),
                            F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("blob"))
     joined = rows.join(found, "blob", "left")

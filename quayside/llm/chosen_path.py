@@ -163,7 +163,9 @@ def leaves(sets: DataFrame, runs: int, bucket: int = BUCKET, depth: int = DEPTH)
     out = None
     for level in range(1, depth + 1):
         rows = written(_split(nodes))
-        sizes = rows.groupBy("bucket").agg(F.count("*").alias("size"), F.sum("n").alias("weight")).filter("size > 1")
+        # written, so that no aggregate stands between the join and its shuffle: a hot bucket can be split
+        sizes = written(rows.groupBy("bucket").agg(F.count("*").alias("size"), F.sum("n").alias("weight"))
+                        .filter("size > 1"))
         shared = written(rows.join(sizes, "bucket"))
         leaf = shared if level == depth else shared.filter(F.col("size") <= bucket)
         out = leaf if out is None else out.unionByName(leaf)

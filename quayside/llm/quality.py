@@ -4,28 +4,32 @@ the whole corpus.
 Every word and every pair of neighbouring words falls into one of ``buckets`` counters. Two
 multinomials are counted, one over all documents and one over a bounded set of trusted documents;
 a document's score is the mean over its n-grams of log(p_trusted / p_corpus). A document is kept if
-its base rules hold and its score reaches ``threshold``. Only built-in functions run.
+its base rules hold and its score reaches its language's cut: ``threshold``, or less where trusted
+documents, scored without their own counts, reach less. Only built-in functions run.
 """
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import WHITE, count_chars, replace_columns, words
+from quayside.llm.common import WHITE, count_chars, replace_columns, words, written
 
 #: Counters of the hashed multinomials. It bounds the model: one number each.
 BUCKETS = 10_000
 #: At most so many trusted documents, those with the smallest hash of their id, give the target counts.
 TRUSTED_LIMIT = 20_000
-#: Mean log-likelihood ratio below which a document is rejected.
+#: Mean log-likelihood ratio below which a document is rejected, unless clean documents score as low.
 THRESHOLD = -0.05
 #: Added to each count of the corpus.
 SMOOTHING = 1.0
 #: N-grams' worth of the corpus multinomial that the trusted one starts from: what few trusted documents
 #: have not shown yet counts neither for nor against a text.
 PRIOR = 100_000.0
+#: Parts of the trusted documents, by hashed id; each is scored by the counts of the others.
+FOLDS = 5
+#: The cut is at most this quantile of a language's held-out scores, and so many deviations below their mean.
+LOW, DEVIATIONS = 0.01, 3.0
 SYMBOLS = "#*$%&|<>"
 
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -57,6 +61,11 @@ def _with(value: Column, f) -> Column:
     return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
+def _numbers(values: list[float]) -> Column:
+    """The numbers as one literal; an expression for each would keep the planner busy."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
+
+
 def _hashed(text: Column) -> Column:
     return F.transform(words(text), lambda w: F.xxhash64(w))
 
@@ -74,28 +83,73 @@ def trusted_ids(labels: DataFrame, limit: int = TRUSTED_LIMIT) -> DataFrame:
             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit))
 
 
+def _fold(doc_id: Column) -> Column:
+    return F.pmod(F.xxhash64(doc_id, F.lit("fold")), F.lit(FOLDS)).cast("int")
+
+
 def fit_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """One row, one array ``ratios``: log(p_trusted / p_corpus) of each counter. All documents count.
-    ``trusted`` must be bounded, as :func:`trusted_ids` makes it: it is broadcast. It has no more than
-    the id column. Without a trusted document every ratio is 0."""
+    """One row: array ``ratios``, log(p_trusted / p_corpus) of each counter, and array ``held_out``, the
+    same without the trusted documents of each fold. All documents count. ``trusted`` must be bounded,
+    as :func:`trusted_ids` makes it: it is broadcast. It has no more than the id column. Without a
+    trusted document every ratio is 0."""
     flagged = (docs.select("doc_id", "text")
                .join(F.broadcast(trusted.select(F.col("doc_id").alias("trusted_id"))),
                      F.col("doc_id") == F.col("trusted_id"), "left"))
-    grams = (flagged.select(F.col("trusted_id").isNotNull().alias("t"), _hashed(F.col("text")).alias("h"))
-             .select("t", F.explode(_buckets(F.col("h"), _pairs(F.col("h"), F.col("h"), 1), buckets)).alias("b")))
-    counts = grams.groupBy("b").agg(F.count("*").alias("n"), F.count_if("t").alias("k"))
+    grams = (flagged.select(F.when(F.col("trusted_id").isNotNull(), _fold(F.col("doc_id"))).alias("f"),
+                            _hashed(F.col("text")).alias("h"))
+             .select("f", F.explode(_buckets(F.col("h"), _pairs(F.col("h"), F.col("h"), 1), buckets)).alias("b")))
+    counts = grams.groupBy("b").agg(F.count("*").alias("n"), F.count("f").alias("k"),
+                                    F.array(*[F.count_if(F.col("f") == f) for f in range(FOLDS)]).alias("own"))
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("b"))
+    none = F.array(*[F.lit(0).cast("long")] * FOLDS)
     one = (every.join(counts, "b", "left")
-           .select("b", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("k", F.lit(0)).alias("k"))
+           .select("b", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("k", F.lit(0)).alias("k"),
+                   F.coalesce("own", none).alias("own"))
            .agg(F.sum("n").alias("n_all"), F.sum("k").alias("k_all"),
-                F.array_sort(F.collect_list(F.struct("b", "n", "k"))).alias("c")))
-
-    def ratio(c: Column) -> Column:
-        corpus = (c["n"] + SMOOTHING) / (F.col("n_all") + SMOOTHING * buckets)
-        trusted_ = (c["k"] + PRIOR * corpus) / (F.col("k_all") + PRIOR)
-        return F.log(trusted_) - F.log(corpus)
-
-    return one.select(F.transform("c", ratio).alias("ratios"))
+                F.array(*[F.sum(F.get("own", F.lit(f))) for f in range(FOLDS)]).alias("own_all"),
+                F.array_sort(F.collect_list(F.struct("b", "n", "k", "own"))).alias("c")))
+
+    def ratios(fold: int | None) -> Column:
+        def ratio(c: Column) -> Column:
+            k, k_all = c["k"], F.col("k_all")
+            if fold is not None:
+                k, k_all = k - F.get(c["own"], F.lit(fold)), k_all - F.get("own_all", F.lit(fold))
+            corpus = (c["n"] + SMOOTHING) / (F.col("n_all") + SMOOTHING * buckets)
+            trusted_ = (k + PRIOR * corpus) / (k_all + PRIOR)
+            return F.log(trusted_) - F.log(corpus)
+
+        return F.transform("c", ratio)
+
+    return one.select(ratios(None).alias("ratios"), F.array(*[ratios(f) for f in range(FOLDS)]).alias("held_out"))
+
+
+def held_out_scores(docs: DataFrame, trusted: DataFrame, held_out: list[list[float]]) -> DataFrame:
+    """The trusted documents that pass the base rules and have a score: all columns of ``docs`` in the
+    struct ``row``, and ``score`` without their own fold's counts."""
+    own = docs.join(F.broadcast(trusted.select(F.col("doc_id").alias("__trusted"))), F.col("doc_id") == F.col("__trusted"))
+    buckets = len(held_out[0])
+    return _measured(own.select(*[F.col(f"`{c}`") for c in docs.columns]), _numbers(sum(held_out, [])), buckets,
+                     _fold(F.col("row.doc_id")) * buckets).filter(~F.col("base_failed") & F.col("score").isNotNull())
+
+
+def _cut(held_out: DataFrame, threshold: float) -> Column:
+    """The score from which a row is kept, by its language (column ``lang``, if there is one). In a
+    language without a trusted document the score says nothing, so it rejects none; a row without
+    language takes the lowest cut of all."""
+    lang = F.col("row.lang").cast("string") if "lang" in held_out.schema["row"].dataType.names else F.lit("")
+    # at most as many languages as trusted documents
+    seen = held_out.groupBy(F.coalesce(lang, F.lit("")).alias("lang")).agg(
+        F.count("*").alias("n"), F.avg("score").alias("mean"), F.coalesce(F.var_samp("score"), F.lit(0.0)).alias("var"),
+        F.percentile("score", LOW).alias("low")).collect()
+    free = max(1, sum(r["n"] - 1 for r in seen))
+    spread = sum((r["n"] - 1) * r["var"] for r in seen) / free  # where a language has few, that of all
+    cuts = {r["lang"]: round(min(threshold, r["low"], r["mean"] - DEVIATIONS * (max(spread, r["var"]) * (1 + 1 / r["n"])) ** 0.5), 9)
+            for r in seen}
+    if not cuts:
+        return F.lit(float("-inf"))
+    known = F.create_map(*[F.lit(x) for pair in cuts.items() for x in pair])
+    return (F.when(F.coalesce(lang, F.lit("")) == "", F.lit(min(cuts.values())))
+            .otherwise(F.coalesce(F.try_element_at(known, lang), F.lit(float("-inf")))))
 
 
 def score_quality(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD,
@@ -105,11 +159,20 @@ def score_quality(docs: DataFrame, trusted: DataFrame, threshold: float = THRESH
 
     A null text counts as an empty one: no words, base_failed true, score null. Texts of any length
     are read whole. Repeated rows and repeated or null ids are judged row by row; they all count in
-    the corpus counts. Empty tables give no rows. An input column with the name of a result column
+    the corpus counts. Empty tables give no rows. ``threshold`` is the highest cut: see :func:`_cut`. An input column with the name of a result column
     (in any case) is replaced by it. Equal inputs give equal scores on every run: the counts are whole
     numbers, and a document's ratios are added in the order of its text.
     """
-    model = F.lit(np.array(fit_ratios(docs, trusted, buckets).first()["ratios"]))
+    fitted = fit_ratios(docs, trusted, buckets).first()
+    scored = _measured(docs, _numbers(fitted["ratios"]), buckets, F.lit(0))
+    cut = _cut(written(held_out_scores(docs, trusted, fitted["held_out"])), threshold)
+    scored = scored.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= cut))
+    return replace_columns(scored, "row", [*BASE, "base_failed", "score", "kept"])
+
+
+def _measured(docs: DataFrame, model: Column, buckets: int, first: Column) -> DataFrame:
+    """The rows of ``docs`` as the struct ``row``, what the base rules count, base_failed and score.
+    A row's ratios begin in ``model`` at ``first``."""
     text = F.coalesce(F.col("row.text"), F.lit(""))
     # Each array is used more than once after the select that makes it, so it is made once.
     stage = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
@@ -127,12 +190,10 @@ def score_quality(docs: DataFrame, trusted: DataFrame, threshold: float = THRESH
         F.when(unique, F.lit(0).cast("long")).otherwise(_covered(F.col("windows"), 5)).alias("n_repeat_words"),
         F.when(F.size("h") > 0, F.aggregate(
             _buckets(F.col("h"), F.col("pairs"), buckets), F.lit(0.0),
-            lambda a, x: a + F.get(model, x)) / (F.size("h") + F.size("pairs"))).alias("score"),
+            lambda a, x: a + F.get(model, first + x)) / (F.size("h") + F.size("pairs"))).alias("score"),
         # not deterministic, so no filter on a result moves below this select, where it would make
         # every array anew for each place that it is used in
         F.spark_partition_id().alias("here")).alias("r"))
     scored = scored.select("row", *[F.col(f"r.{c}") for c in (*BASE, "score")])
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    scored = scored.withColumn("base_failed", failed).withColumn(
-        "kept", ~F.col("base_failed") & (F.col("score") >= threshold))
-    return replace_columns(scored, "row", [*BASE, "base_failed", "score", "kept"])
+    return scored.withColumn("base_failed", failed)

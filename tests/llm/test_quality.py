@@ -83,3 +83,25 @@ def test_a_filter_on_a_result_stays_above_the_arrays(spark, small):
     plan = kept._jdf.queryExecution().optimizedPlan().toString().split("\n")
     filters = [line for line in plan if "Filter" in line and "Relation" not in line]
     assert len(filters) == 1 and "transform" not in filters[0]
+
+
+@pytest.mark.parametrize("size,folds", [("sf0.001", 5), ("sf0.01", 2), ("sf0.1", 1)])
+def test_clean_documents_outside_the_trusted_set_stay(spark, size, folds):
+    sf = f"/root/testdata/{size}"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    clean = labels.filter("quality = 1 and coalesce(toxic, 0) = 0")
+    kept = n = 0
+    for f in range(folds):
+        out = F.crc32(F.col("doc_id").cast("string")) % 5 == f
+        got = quality.score_quality(docs, quality.trusted_ids(clean.filter(~out))).filter("not base_failed")
+        r = got.join(clean.filter(out), "doc_id", "left_semi").agg(F.count_if("kept").alias("k"), F.count("*").alias("n")).first()
+        kept, n = kept + r.k, n + r.n
+    assert n >= 50 and kept >= 0.98 * n
+
+
+def test_a_language_without_trusted_documents_is_not_rejected(spark, small):
+    docs, labels = (spark.read.parquet(f"{small}/{t}.parquet") for t in ("documents", "labels"))
+    english = docs.filter("lang = 'en'").select("doc_id")
+    got = quality.score_quality(docs, quality.trusted_ids(labels.join(english, "doc_id", "left_semi")))
+    assert got.filter("lang <> 'en' and not base_failed and not kept").count() == 0
+    assert got.filter("lang = 'en' and not base_failed and not kept").count() > 0

@@ -3,7 +3,7 @@
 Texts become templates: numbers, names and units turn into typed placeholders, other words lose case and
 punctuation. Windows of template tokens are hash-joined with those of the benchmark; along each
 alignment of a document with an item the placeholders' values must be consistent, each value of the item
-standing against one value of the document. That finds items word for word and items whose numbers or
+standing against one value of the document; windows that contradict the most frequent value do not count. That finds items word for word and items whose numbers or
 names were changed throughout, but not texts that merely share a turn of phrase.
 """
 
@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm.common import mix, replace_columns, slices, written
@@ -24,6 +24,8 @@ WINDOW = 8
 PLAIN = 4
 #: Share of an item's windows that a document must hold.
 COVERAGE = 0.5
+#: Or so many consecutive tokens of an item, whatever share of it they are.
+RUN = 13
 #: Bits of the filter that tells workers which windows the benchmark has. It bounds what is broadcast.
 FILTER_BITS = 22
 
@@ -187,6 +189,37 @@ def _filter_words(bench: DataFrame) -> np.ndarray:
     return np.unpackbits(out.view(np.uint8), bitorder="little").astype(bool)
 
 
+def _consistent(windows: Column) -> Column:
+    """The windows of an alignment but for those that contradict it: where a value of the item stands
+    against several of the document, the most frequent one holds (of equally frequent ones the smallest)."""
+
+    def most(pairs: Column) -> Column:
+        votes = F.transform(F.array_distinct(pairs), lambda p: F.struct(
+            (-F.size(F.filter(pairs, lambda q: q == p))).alias("n"), p.alias("pair")))
+        # ascending, so the first of an item's value is its most frequent one
+        return F.aggregate(F.array_sort(votes), F.array_distinct(F.slice(pairs, F.lit(1), F.lit(0))), lambda best, v: F.when(
+            F.exists(best, lambda b: b["item_slots"] == v["pair"]["item_slots"]), best).otherwise(F.array_append(best, v["pair"])))
+
+    pairs = F.flatten(F.transform(windows, lambda w: w["pairs"]))
+    distinct = F.array_distinct(pairs)
+    clear = F.size(distinct) == F.size(F.array_distinct(F.transform(distinct, lambda p: p["item_slots"])))
+    kept = F.get(F.transform(F.array(most(pairs)), lambda best: F.filter(
+        windows, lambda w: F.forall(w["pairs"], lambda p: F.array_contains(best, p)))), F.lit(0))
+    return F.when(clear, windows).otherwise(kept)
+
+
+def _longest(windows: Column) -> Column:
+    """Tokens in the longest stretch of the item that the windows hold without a gap."""
+    zero = F.lit(0)
+    spans = F.array_sort(F.transform(windows, lambda w: F.struct(w["item_place"].alias("a"), (w["item_place"] + w["size"]).alias("b"))))
+
+    def step(s: Column, w: Column) -> Column:
+        start = F.when(w["a"] <= s["b"], s["a"]).otherwise(w["a"])
+        return F.struct(start.alias("a"), w["b"].alias("b"), F.greatest(s["n"], w["b"] - start).alias("n"))
+
+    return F.aggregate(spans, F.struct(zero.alias("a"), F.lit(-1).alias("b"), zero.alias("n")), step, lambda s: s["n"])
+
+
 def contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW, coverage: float = COVERAGE,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """key (hash of id and text), items (array of item ids, ascending), covered (largest share of an
@@ -214,12 +247,13 @@ def contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW, coverage
     found = keyed.mapInArrow(run, _ROWS).join(bench, ["hash", "size"])
     # an alignment: one item, one document, one distance between their places
     lines = found.groupBy("key", "item_id", "n_windows", (F.col("place") - F.col("item_place")).alias("shift")).agg(
-        F.collect_set("item_place").alias("places"),
-        F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("item_slots", "slots")))).alias("pairs"))
-    consistent = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["item_slots"])))
-    held = (lines.filter(consistent).groupBy("key", "item_id", "n_windows")
-            .agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("n"))
-            .filter(F.col("n") >= coverage * F.col("n_windows")))
+        F.collect_set(F.struct("item_place", "size", F.arrays_zip("item_slots", "slots").alias("pairs"))).alias("windows"))
+    kept = lines.withColumn("windows", _consistent(F.col("windows"))).filter(F.size("windows") > 0)
+    held = (kept.select("key", "item_id", "n_windows", F.transform("windows", lambda w: w["item_place"]).alias("places"),
+                        _longest(F.col("windows")).alias("run"))
+            .groupBy("key", "item_id", "n_windows")
+            .agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("n"), F.max("run").alias("run"))
+            .filter((F.col("n") >= coverage * F.col("n_windows")) | (F.col("run") >= RUN)))
     return held.groupBy("key").agg(F.array_sort(F.collect_set("item_id")).alias("items"),
                                    F.max(F.col("n") / F.col("n_windows")).alias("covered"))
 
@@ -230,8 +264,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = WINDOW, coverag
     clean documents), covered (double).
 
     ``items``: item_id, text and any others. A document is contaminated by an item if at least
-    ``coverage`` of the item's template windows stand in it along alignments whose placeholder values
-    are consistent. An item with fewer tokens than a window is one window; one with fewer than PLAIN
+    ``coverage`` of the item's template windows, or RUN consecutive tokens of it, stand in it. Along an
+    alignment only windows count whose placeholder values agree with its most frequent ones. An item with fewer tokens than a window is one window; one with fewer than PLAIN
     plain words cannot be found. Null texts and empty ones are clean; rows of ``items`` without id are
     left out. Texts of any length are read whole; repeated rows, null and repeated ids are judged row by
     row; an empty table gives no rows, an empty benchmark finds nothing. An input column with the name of

@@ -62,3 +62,22 @@ def test_query_against_brute_force(spark):
     got = {r.doc_id: r["items"] for r in QUERIES["op7_template_decontamination"](spark, sf).collect()}
     assert got == {i: sorted(k for k, x in items.items() if x in t) for i, t in docs.items()}
     assert sum(map(bool, got.values())) > 10
+
+
+HOURS = ("A baker needs 2 apples for every small cake that is sold at the old market in town, and after that the same baker "
+         "walks home for 2 hours along the quiet river before the evening meal is ready.")
+
+
+@pytest.mark.parametrize("text,item", [
+    # one value in two roles, re-parameterised to two values
+    (HOURS.replace("2 apples", "3 apples").replace("2 hours", "5 hours"), HOURS),
+    # one name of a copied item changed in its last sentence, after more than half of it
+    (ITEM.replace("neighbour. ", "neighbour. " + "She put the rest in a wide basket by the door of the old house and went to bed. ")
+     .replace("Anna keep", "Otto keep"),
+     ITEM.replace("neighbour. ", "neighbour. " + "She put the rest in a wide basket by the door of the old house and went to bed. ")),
+    # a passage of a long item
+    (" ".join(f"tok{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(100, 200)),
+     " ".join(f"tok{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(250))),
+])
+def test_partial_contamination_is_found(spark, text, item):
+    assert found(spark, [text], [(1, item)]) == {0: [1]}

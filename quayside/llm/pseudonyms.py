@@ -44,6 +44,16 @@ def _pattern() -> re.Pattern[str]:
     return re.compile(joined.replace("\x01", "").replace(r"\x01", f"\\{before + 2}").replace(r"\x02", f"\\{before + 3}"))
 
 
+#: Characters of an account number by country.
+IBAN_LENGTHS = {k: int(n) for n, ks in (x.split(":") for x in """15:NO 16:BE 18:DK,FI,FO,GL,NL,SD 19:MK,SI
+20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,HR,LI,LV 22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA 23:AE,GI,IL,IQ,OM,SO,TL
+24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:LY,PT,ST 26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM
+28:AL,AZ,BY,CY,DO,GT,HU,LB,NI,PL,SV 29:BR,EG,PS,QA,UA 30:JO,KW,MU,YE 31:MT,SC 32:LC 33:RU""".split()) for k in ks.split(",")}
+#: Digits of a phone number, at the most, by country code.
+PHONE_DIGITS = {"1": 11, "7": 11, "30": 12, "31": 11, "32": 11, "33": 11, "34": 11, "351": 12, "353": 12, "41": 11,
+                "44": 12, "45": 10, "46": 11, "47": 10, "48": 11, "61": 11, "86": 13, "91": 12}
+
+
 class Permutation:
     """Keyed permutations of the numbers below any bound (a balanced-digit Feistel network, and further
     steps along the cycle while a result falls outside)."""
@@ -106,15 +116,26 @@ def _card(p: Permutation, s: str, back: bool) -> str | None:
     return _refill(s, body + str(luhn(body)))
 
 
+def _country(digits: str) -> str:
+    """The country code that a number begins with, if it is among those of known length."""
+    return next((c for c in PHONE_DIGITS if digits.startswith(c)), "")
+
+
 def _phone(p: Permutation, s: str, back: bool) -> str | None:
     d = _only_digits(s)
-    if len(d) == 10 or len(d) == 11 and d[0] == "1":
+    if len(d) == 10 and s[0] != "+" or len(d) == 11 and d[0] == "1":
         n = d[-10:]  # numbers of the numbering plan stay in it, others outside
         new = p.permute("phone", 10**10, int(n), back, lambda x: x // 10**9 > 1 and x // 10**6 % 10 > 1)
         return _refill(s, d[:-10] + str(new).zfill(10))
     if not 8 <= len(d) <= 15:
         return None
-    return _refill(s, d[0] + str(p.permute(f"phone{len(d)}{d[0]}", 10 ** (len(d) - 1), int(d[1:]), back)).zfill(len(d) - 1))
+    # the country code says where the number ends, so a known one stays and others stay unknown
+    code = _country(d)
+    kept = code or d[0]
+    n = len(d) - len(kept)
+    new = p.permute(f"phone{len(d)}{kept}", 10**n, int(d[len(kept) :]), back,
+                    None if code else lambda x: not _country(kept + str(x).zfill(n)))
+    return _refill(s, kept + str(new).zfill(n))
 
 
 def _address(p: Permutation, s: str, back: bool) -> str | None:
@@ -225,15 +246,38 @@ class Pseudonymiser:
         if not text or not self.any.search(text):
             return text, counts
 
-        def one(m: re.Match[str]) -> str:
-            kind, s = m.lastgroup, m.group()
-            new = _HOW[kind](self.permutation, s, self.back)
-            if new is None:
-                return s
-            counts[kind] += 1
-            return new
-
-        return self.pattern.sub(one, text), counts
+        out: list[str] = []
+        at = 0  # what lies before is in out
+        scan = 0
+        while m := self.pattern.search(text, scan):
+            kind = m.lastgroup
+            scan = m.end()
+            for end in self._ends(kind, m):
+                new = _HOW[kind](self.permutation, text[m.start() : end], self.back)
+                if new is not None:
+                    counts[kind] += 1
+                    out += text[at : m.start()], new
+                    at = scan = end
+                    break
+        out.append(text[at:])
+        return "".join(out), counts
+
+    @staticmethod
+    def _ends(kind: str, m: re.Match[str]) -> list[int]:
+        """Where a value may end: the match's end, or a border of groups inside it, as a match takes what
+        follows the value along. An account of a known country has the length it has there."""
+        s = m.group()
+        if kind not in ("account", "phone"):
+            return [m.end()]
+        if kind == "phone" and not s.startswith("+"):
+            return [m.end()]
+        borders = [len(s), *(b.start() for b in reversed(list(re.finditer(r"[ .-]\(?" if kind == "phone" else " ", s))))]
+        if kind == "account":
+            if size := IBAN_LENGTHS.get(s[:2]):
+                borders = [i for i in borders if len(s[:i].replace(" ", "")) == size]
+        elif size := PHONE_DIGITS.get(_country(_only_digits(s))):
+            borders = [i for i in borders if len(_only_digits(s[:i])) <= size] or borders
+        return [m.start() + i for i in borders]
 
 
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", back: bool = False) -> DataFrame:

@@ -81,3 +81,31 @@ def test_query_and_odd_rows(spark, small, odd, no_docs):
     texts = sorted((r.text for r in odd.collect()), key=repr)
     assert sorted((r.text for r in out.collect()), key=repr) == texts  # nothing personal in them
     assert P.pseudonymise(no_docs, "k").count() == 0
+
+
+@pytest.mark.parametrize("account", ["BE68 5390 0754 7034", "AT61 1904 3002 3457 3201", "ES91 2100 0418 4502 0005 1332",
+                                     "PL61 1090 1014 0000 0712 1981 2874", "DE89 3704 0044 0532 0130 00"])
+@pytest.mark.parametrize("after", ["", " BIC GEBABEBB", " 2024", " UND mehr", ", then", " A1B2 C3 4111 1111 1111 1111"])
+def test_accounts_followed_by_other_tokens(account, after):
+    text = f"IBAN {account}{after}"
+    out, counts = WHO.replace(text)
+    alone = WHO.replace(f"IBAN {account}")[0]
+    assert counts["account"] == 1 and account not in out and out.startswith(alone)
+    assert counts["card"] == after.count("4111 1111 1111 1111")
+    assert BACK.replace(out)[0] == text
+
+
+def test_phones_followed_by_other_digits():
+    alone = WHO.replace("+44 20 7946 0958")[0]
+    for after in (" 4000", " 2024", " 4000 5000"):
+        out, counts = WHO.replace("+44 20 7946 0958" + after)
+        assert counts["phone"] == 1 and out == alone + after and BACK.replace(out)[0] == "+44 20 7946 0958" + after
+
+
+def test_phones_of_any_country_round_trip_before_other_digits():
+    r = random.Random(7)
+    for _ in range(300):
+        number = f"+{r.randint(2, 999)} {r.randint(10, 99)} {r.randint(1000, 9999)} {r.randint(100, 9999)}"
+        for text in (number, f"{number} 2024", f"{number} 4000 50"):
+            out, counts = WHO.replace(text)
+            assert counts["phone"] == 1 and BACK.replace(out)[0] == text

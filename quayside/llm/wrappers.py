@@ -28,6 +28,9 @@ from quayside.llm.common import replace_columns, slices, with_columns_of, writte
 #: Groups in which a host's skeletons are aligned before their wrappers are.
 SALTS = 32
 
+#: Elements nested deeper are flattened; inline ones without marking words earlier, as they are often left open.
+DEPTH, INLINE_DEPTH = 400, 64
+
 #: Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
@@ -148,17 +151,35 @@ def _marks(attributes: str) -> tuple[str, ...]:
 
 
 def parse(page: str) -> Element:
-    """The page's elements, with the end tags that HTML lets authors leave out."""
+    """The page's elements, with the end tags that HTML lets authors leave out. What nests deeper than
+    DEPTH, or an inline element deeper than INLINE_DEPTH, is flattened: its text goes to the last element
+    above it, apart from its neighbours if it is a block, and away if it never holds main text."""
     root = Element("#page")
     stack = [root]
+    # for each open element: where its content goes (nowhere if none), and how deep that is
+    into: list[tuple[Element | None, int]] = [(root, 0)]
+    opened: dict[str, int] = {}  # how many of a tag are open
+
+    def end(i: int) -> None:
+        for e in stack[i:]:
+            opened[e.tag] -= 1
+        for k in range(len(stack) - 1, i - 1, -1):
+            holder = into[k][0]
+            if holder is not None and holder is not stack[k] and stack[k].tag in BLOCKS:
+                holder.children.append(Element(stack[k].tag))
+        del stack[i:], into[i:]
 
     for what, name, attributes in tokens(page):
+        holder, depth = into[-1]
         if what == "text":
-            stack[-1].children.append(name)
+            if holder is not None:
+                holder.children.append(name)
         elif what == "close":
+            if not opened.get(name):  # nothing to end, whatever is open
+                continue
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == name:
-                    del stack[i:]
+                    end(i)
                     break
                 if stack[i].tag in ("td", "th", "table") and name not in ("table", "tr", "tbody", "body", "html"):
                     break
@@ -167,17 +188,29 @@ def parse(page: str) -> Element:
                 ends, within = rule
                 through = LEFT_OPEN | {"div"} if name in ENDS["li"][0] | ENDS["dd"][0] else LEFT_OPEN
                 last = None
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i].tag in ends:
-                        last = i
-                    elif stack[i].tag in within or stack[i].tag not in through:
-                        break
+                if any(opened.get(x) for x in ends):
+                    for i in range(len(stack) - 1, 0, -1):
+                        if stack[i].tag in ends:
+                            last = i
+                        elif stack[i].tag in within or stack[i].tag not in through:
+                            break
                 if last is not None:
-                    del stack[last:]
+                    end(last)
+                    holder, depth = into[-1]
             e = Element(name, _marks(attributes))
-            stack[-1].children.append(e)
+            boiler, main = is_boiler(e.kind), is_main(e.kind)
+            most = DEPTH + 100 if boiler or main else INLINE_DEPTH if e.kind in LEFT_OPEN else DEPTH
+            if holder is not None and (depth < most or name in VOID):
+                holder.children.append(e)
+                holder, depth = e, depth + 1
+            elif boiler:
+                holder = None
+            elif holder is not None and name in BLOCKS:
+                holder.children.append(Element(name))
             if name not in VOID:
                 stack.append(e)
+                into.append((holder, depth))
+                opened[name] = opened.get(name, 0) + 1
     return root
 
 

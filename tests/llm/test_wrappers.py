@@ -86,3 +86,13 @@ def test_odd_pages_and_clashes(spark):
     assert out.count() == 10 and got[1] == "" and got[2] == "" and got[4] == "<" and got[None] == "plain text"
     assert got[5] == "\n".join(["word"] * 50_000) and got[8] == "deep"
     assert W.extract_main_text(pages(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("tag", ["font", "span", 'a name="x"', "div", "section"])
+def test_deep_nesting_keeps_the_text(spark, tag):
+    deep = "".join(f"<{tag}>t{i} " for i in range(5000))
+    got = texts(spark, [(1, "http://h/", f"<body><article><p>first</p>{deep}<script>no</script><nav>no</nav><b>last</b></article>"),
+                        (2, "http://h/", f"<body>{deep}<article>inner</article>"), (3, "http://h/", "<article>x</article>")])
+    assert got[1].split() == ["first", *(f"t{i}" for i in range(5000)), "last"]
+    assert got[2] == "inner" and got[3] == "x"
+    assert ("t1\nt2" in got[1]) == (tag in ("div", "section"))

@@ -39,7 +39,7 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with their ids, and the text that the ids decode to."""
-    encoded = pieces.encode_pieces(docs, piece_model())
+    encoded = pieces.encode_pieces(docs, piece_model(), check=True)
     return encoded.select(*DOCUMENT_COLUMNS, "ids", F.size("ids").cast("long").alias("n_tokens"),
                           F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -70,7 +70,7 @@ def piece_model() -> str:
 
 
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = pieces.encode_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"), piece_model())
+    encoded = pieces.encode_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"), piece_model(), check=True)
     return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                           F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
                           F.sha2("decoded", 256).alias("decoded_sha256"))

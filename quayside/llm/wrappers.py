@@ -70,6 +70,9 @@ toc toolbar topbar widget widgets""".split())
 #: Words with which an article element is not the page's article.
 NO_ARTICLE = frozenset("""ad ads advert advertisement comment comments hidden promo promoted recommended related
 reply replies sponsor sponsored""".split())
+#: Words of a class or id that says how an element is, or where it is filed, not what it is.
+STATE_WORDS = frozenset("""no not non without has have with is category cat tagged format open opened closed enabled
+disabled allowed active inactive on off""".split())
 #: Words that outweigh BOILER_WORDS beside them.
 SURE_WORDS = frozenset("articlebody postbody entrycontent maincontent bodytext".split())
 #: Words that mark the main text, and elements that do.
@@ -136,7 +139,9 @@ def _marks(attributes: str) -> tuple[str, ...]:
     """The marking words among an element's classes, id and role; "hidden" if it isn't shown."""
     if "=" not in attributes and "hidden" not in attributes:
         return ()
-    out = set()
+    out: set[str] = set()
+    named: set[str] = set()
+    part: set[str] = set()
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), html.unescape(value.strip("\"'"))
         if name == "hidden" or name == "aria-hidden" and value == "true":
@@ -145,9 +150,14 @@ def _marks(attributes: str) -> tuple[str, ...]:
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
                 out.add("hidden")
         elif name in ("class", "id", "role"):
-            words = [w.lower() for w in _WORD.findall(value)] + [w.lower() for w in re.split(r"[^A-Za-z0-9]+", value)]
-            out.update(w for w in words if w in BOILER_WORDS or w in MAIN_WORDS)
-    return tuple(sorted(out))
+            for token in value.split():
+                words = {w.lower() for w in _WORD.findall(token)} | {w.lower() for w in re.split(r"[^A-Za-z0-9]+", token)}
+                out.update(words & MAIN_WORDS)
+                if not words & STATE_WORDS:  # else it says how the element is, not what
+                    boiler = words & BOILER_WORDS
+                    (named if boiler and (token.lower() in boiler or words & MAIN_WORDS) else part).update(boiler)
+    # a main word in a token of its own outweighs words that are only part of another token
+    return tuple(sorted(out | named | (set() if out & MAIN_WORDS else part)))
 
 
 def parse(page: str) -> Element:

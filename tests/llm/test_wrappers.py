@@ -96,3 +96,12 @@ def test_deep_nesting_keeps_the_text(spark, tag):
     assert got[1].split() == ["first", *(f"t{i}" for i in range(5000)), "last"]
     assert got[2] == "inner" and got[3] == "x"
     assert ("t1\nt2" in got[1]) == (tag in ("div", "section"))
+
+
+@pytest.mark.parametrize("around", ['div class="content no-sidebar"', 'div id="content" class="has-sidebar"', 'div class="post share-enabled"',
+                                    'article class="post category-ads"', 'article class="hentry comments-open"', 'div class="entry with-toc-box"'])
+def test_words_that_do_not_name_the_element_keep_the_article(spark, around):
+    tag = around.split()[0]
+    rows = [(i, "http://h/", f'<body><div class="post-comments">no</div><div class="share-box">no</div><{around}><p>Story {i}</p>'
+                             f'<div class="related">no</div><div class="ad-box">no</div></{tag}></body>') for i in range(4)]
+    assert texts(spark, rows) == {i: f"Story {i}" for i in range(4)}

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import (chats, chosen_path, pieces, pseudonyms, quality, repeats, secret_scan, sharding,
-                          templates, wrappers)
+from quayside.llm import (bktree, chats, chosen_path, collocations, negatives, pieces, pseudonyms, quality, repeats,
+                          secret_scan, sharding, templates, wrappers)
 from quayside.llm.common import table
 
 
@@ -80,6 +80,22 @@ def op10_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.extract_main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+def op11_four_russians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ident, label = F.col("vec_id"), F.col("label")
+    vectors = table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(ident % 7 == 0, (label + 1) % 10).otherwise(label))
+    return negatives.hard_negatives(vectors)
+
+
+def op12_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bktree.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_misra_gries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents")).select(
+        "lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_hilbert_shards": op2_hilbert_shards,
@@ -91,6 +107,9 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_html_wrappers": op10_html_wrappers,
+    "op11_four_russians": op11_four_russians,
+    "op12_bk_trees": op12_bk_trees,
+    "op13_misra_gries": op13_misra_gries,
 }
 
 #: DuckDB SQL for the same rows, where SQL can express them.
@@ -141,4 +160,41 @@ ORACLE_SQL: dict[str, str] = {
                string_agg('<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '') || '<|end|>' || chr(10), ''
                           ORDER BY place) AS rendered
         FROM m JOIN t USING (conv_id) GROUP BY conv_id""",
+    "op11_four_russians": """
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+                   FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+                   AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+             s AS (SELECT a.vec_id AS anchor_id, a.label AS anchor_label, c.vec_id, c.label,
+                          list_dot_product(a.e, c.e)::BIGINT AS score
+                   FROM v AS a JOIN v AS c ON a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0),
+             p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE label = anchor_label
+                   QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_id, positive_id
+                   ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s ON p.anchor_id = s.anchor_id AND label <> anchor_label
+                     AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+        QUALIFY rank <= 3""",
+    "op13_misra_gries": r"""
+        WITH w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM (
+                       SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+                           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+                       FROM documents)),
+             t AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+             f AS (SELECT lang, m, phrase, count(*) AS f FROM (
+                       SELECT lang, m, unnest([array_to_string(w[i:i + m - 1], ' ') FOR i IN range(1, len(w) - m + 2)]) AS phrase
+                       FROM w, (VALUES (1), (2), (3)) AS s(m)) GROUP BY ALL HAVING count(*) >= 10),
+             c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, m)) AS k FROM f WHERE m > 1),
+             s AS (SELECT c.lang, c.m, c.phrase, a, k, l.f AS l, r.f AS r,
+                          ((1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f))::BIGINT AS score
+                   FROM c JOIN f AS l ON l.lang = c.lang AND l.phrase = array_to_string(w[:k], ' ')
+                          JOIN f AS r ON r.lang = c.lang AND r.phrase = array_to_string(w[k + 1:], ' ')
+                   QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, k) = 1),
+             o AS (SELECT lang, phrase, max(a) AS longer FROM (
+                       SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase
+                       FROM c WHERE m = 3 AND k = 1) GROUP BY ALL)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::INTEGER AS rank, phrase, a, l, r, n, score
+        FROM s LEFT JOIN o USING (lang, phrase) JOIN t USING (lang)
+        WHERE longer IS NULL OR 100 * longer < 50 * a
+        QUALIFY rank <= 2000""",
 }

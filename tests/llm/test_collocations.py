@@ -68,7 +68,7 @@ def test_random_texts_against_brute_force(spark):
 def test_summaries_lose_no_frequent_key(least):
     r = np.random.default_rng(least)
     parts = [(np.unique(k, return_counts=True)) for k in np.array_split(np.concatenate(
-        [r.permutation(5000), r.zipf(1.4, 20000) % 3000]), 40)]
+        [r.permutation(20000), r.zipf(1.4, 20000) % 3000]), 40)]
     summary = C.Summary(sum(int(c.sum()) for _, c in parts) // least + 1)
     exact = Counter()
     for k, c in parts:

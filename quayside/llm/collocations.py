@@ -33,7 +33,7 @@ TOP = 2000
 NO_LANG = "und"
 #: Text bytes of a block, at least and at most; blocks grow with the root of the text, so that what a
 #: block sends to a partition does not shrink to single numbers.
-BLOCK_BYTES = (16 << 20, 128 << 20)
+BLOCK_BYTES = (8 << 20, 128 << 20)
 #: N-gram occurrences for each hash partition.
 PART_MASS = 4 << 20
 #: N-grams that are written out at once.
@@ -161,10 +161,11 @@ class _Block:
         """Shortened hashes of all n-grams; the size and place of each."""
         at = [self.places(m) for m in range(1, self.most + 1)]
         number = np.concatenate([self.hashes(m, x) >> _U(64 - bits) for m, x in enumerate(at, 1)])
-        return number, np.repeat(np.arange(1, self.most + 1), [len(x) for x in at]), np.concatenate(at)
+        return number, np.repeat(np.arange(1, self.most + 1, dtype=np.uint8), [len(x) for x in at]), np.concatenate(at).astype(np.int32)
 
     def messages(self, block: int, bits: int, part_bits: int) -> Iterator[tuple]:
-        number = np.sort(self.numbers(bits)[0])
+        number = self.numbers(bits)[0]
+        number.sort()
         head = _runs(number)
         count = np.diff(np.append(head, len(number)))
         number = number[head].astype(np.int64)

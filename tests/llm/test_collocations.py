@@ -103,4 +103,5 @@ def test_query_against_brute_force_with_one_text_shuffle(spark, small):
     df = QUERIES["op13_misra_gries"](spark, small)
     assert sorted(tuple(r) for r in df.collect()) == brute(rows) and "op13_misra_gries" in ORACLE_SQL
     found = C.frequent_phrases(spark.read.parquet(f"{small}/documents.parquet"))
+    found.collect()  # the plan that ran
     assert "ReusedExchange" in found._jdf.queryExecution().executedPlan().toString()

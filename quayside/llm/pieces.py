@@ -4,30 +4,35 @@ An agenda holds the adjacent symbol pairs of a text that some piece joins; the p
 best (leftmost among equals) is merged first, which puts its new neighbours on the agenda. No piece of
 such a vocabulary has a space mark after another character, so a text falls into units (space marks
 and what follows up to the next ones) that cannot merge with each other; equal units are encoded once.
-Short units go through their agendas side by side in numpy arrays, long ones through a heap.
+Units are cut and told apart in Arrow buffers, and ids stay numbers of 32 bits from the agenda to the
+result. Short units go through their agendas side by side in numpy arrays, long ones through a heap.
 """
 
 from __future__ import annotations
 
 import heapq
 import os
-import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm.common import with_columns_of
+from quayside.llm.wordscan import buffers
 
 SPACE = "▁"
-#: Units longer than this go through the heap.
+#: Units longer than this go through the heap, and are not remembered.
 LONG = 40
-#: Units whose ids a worker remembers in each of two generations. It bounds memory only: units that
-#: drop out unused are encoded again.
-REMEMBERED = 100_000
+#: Bytes of units and ids that a worker remembers in each of two generations. It bounds memory only:
+#: units that drop out unused are encoded again.
+REMEMBERED = 48 << 20
+#: What a remembered unit takes besides its characters and ids.
+OVERHEAD = 200
 _NEVER = np.int32(2**31 - 1)
 
 
@@ -65,10 +70,10 @@ class MergeVocabulary:
         self.key_rank = np.array([rank[i] for i in joins.values()], np.int32)[order]
         self.key_piece = np.array(list(joins.values()), np.int64)[order]
         inner = {c for p in self.ids if len(p) > 1 for c in p}
-        apart = "" if "\n" in inner else "\n"  # a line feed that no piece holds parts units, too
-        self.units = re.compile(f"{SPACE}*[^{SPACE}{apart}]+|{SPACE}+" + ("|\n" if apart else ""))
-        self.known: dict[str, list[int]] = {}
-        self.older: dict[str, list[int]] = {}
+        self.apart = "\n" not in inner  # a line feed that no piece holds parts units, too
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.held = 0
 
     _wide = 1 << 22
 
@@ -123,8 +128,8 @@ class MergeVocabulary:
         hit = (self.keys[at] == key) & (left >= 0) & (right >= 0)
         return np.where(hit, self.key_rank[at], _NEVER), self.key_piece[at]
 
-    def encode_short(self, units: list[str]) -> list[list[int]]:
-        """Units of like length, one step of each agenda at a time."""
+    def encode_short(self, units: list[str]) -> list[bytes]:
+        """Ids of units of like length, as the bytes of 32-bit numbers; one step of each agenda at a time."""
         size = max(map(len, units))
         n = len(units)
         codes = np.frombuffer("".join(u.ljust(size, "\0") for u in units).encode("utf-32-le"), np.uint32)
@@ -163,49 +168,91 @@ class MergeVocabulary:
                 rank[live, left], piece[live, left] = r, p
             symbol = wide[:, :-1]
         kept = symbol >= 0
-        flat, counts = symbol[kept], kept.sum(axis=1)
+        flat, counts = symbol[kept].astype(np.int32), kept.sum(axis=1)
         ends = np.cumsum(counts).tolist()
         odd = (np.where(kept, symbol, 0) >= self.n).any(axis=1).tolist()
-        flat = flat.tolist()
+        data = flat.tobytes()
         out, start = [], 0
         for end, o in zip(ends, odd):
-            ids = flat[start:end]
-            out.append(self._final(ids) if o else ids)
+            out.append(_blob(self._final(flat[start:end].tolist())) if o else data[4 * start : 4 * end])
             start = end
         return out
 
-    def encode_units(self, units: list[str]) -> dict[str, list[int]]:
-        """Ids of distinct units."""
+    def _encode_units(self, units: Iterable[str]) -> dict[str, bytes]:
         out = {}
         by_length: dict[int, list[str]] = {}
         for u in units:
             if len(u) > LONG:
-                out[u] = self.encode_long(u)
+                out[u] = _blob(self.encode_long(u))
             else:
                 by_length.setdefault((len(u) + 1) // 2, []).append(u)
         for same in by_length.values():
             out.update(zip(same, self.encode_short(same)))
         return out
 
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
-        """The ids of each text, as the library's encode(text) gives them."""
-        split = [self.units.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known, self.older = {}, self.known
+    def encode_units(self, units: list[str]) -> dict[str, list[int]]:
+        """Ids of distinct units."""
+        return {u: np.frombuffer(x, np.int32).tolist() for u, x in self._encode_units(units).items()}
+
+    def _cut(self, text: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The units of all texts, with spaces for space marks, and at which unit each text begins."""
+        if pc.any(pc.match_substring(text, SPACE)).as_py():
+            text = pc.replace_substring(text, SPACE, " ")
+        data, at = buffers(text)
+        full = np.diff(at) > 0
+        data = np.insert(data, at[:-1][full], ord(" "))  # a text begins with a space mark
+        at = at + np.concatenate([[0], np.cumsum(full)])
+        space = data == ord(" ")
+        begins = space.copy()
+        begins[1:] &= ~space[:-1]
+        if self.apart:
+            line = data == ord("\n")
+            begins |= line
+            begins[1:] |= line[:-1]
+        begins[at[:-1][full]] = True
+        start = np.flatnonzero(begins)
+        wide = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(np.append(start, len(data)).astype(np.int64)), pa.py_buffer(data))
+        return wide, np.searchsorted(start, at)
+
+    def _ids_of(self, units: list[str]) -> list[bytes]:
+        """Ids of distinct units, remembered ones among them."""
+        if self.held > REMEMBERED:
+            self.known, self.older, self.held = {}, self.known, 0
         known, older = self.known, self.older
-        new = {u for units in split for u in units if u not in known}
-        known.update((u, older[u]) for u in new if u in older)
-        known.update(self.encode_units([u for u in new if u not in older]))
-        out = []
-        for units in split:
-            ids: list[int] = []
-            for u in units:
-                ids += known[u]
-            out.append(ids)
+        out = list(map(known.get, units))
+        missing = [i for i, x in enumerate(out) if x is None]
+        marked = {units[i]: units[i].replace(" ", SPACE) for i in missing if units[i] not in older}
+        new = self._encode_units(marked.values())
+        for i in missing:
+            u = units[i]
+            out[i] = new[marked[u]] if u in marked else older[u]
+            if len(u) <= LONG:
+                known[u] = out[i]
+                self.held += OVERHEAD + len(u) + len(out[i])
         return out
 
+    def encode_arrow(self, text: pa.Array) -> pa.ListArray:
+        """The ids of each text, as the library's encode(text) gives them; none of a null text."""
+        units, first = self._cut(text)
+        coded = units.dictionary_encode()
+        blobs = self._ids_of(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        flat = np.frombuffer(b"".join(blobs), np.int32)
+        size = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
+        of = coded.indices.to_numpy()
+        count, start = size[of], (np.cumsum(size) - size)[of]
+        end = np.concatenate([[0], np.cumsum(count)])
+        ids = flat[np.repeat(start - end[:-1], count) + np.arange(end[-1])]
+        return pa.ListArray.from_arrays(pa.array(end[first].astype(np.int32)), pa.array(ids))
+
+    def encode(self, texts: list[str | None]) -> list[list[int]]:
+        return self.encode_arrow(pa.array(texts, pa.string())).to_pylist()
+
     def decode(self, ids: list[list[int]]) -> list[str]:
-        return [self.library.decode(x) for x in ids]
+        return self.library.decode(ids, num_threads=1) if ids else []
+
+
+def _blob(ids: list[int]) -> bytes:
+    return np.array(ids, np.int32).tobytes()
 
 
 _VOCABULARIES: dict[str, MergeVocabulary] = {}
@@ -219,6 +266,26 @@ def vocabulary(model: str) -> MergeVocabulary:
     return _VOCABULARIES[model]
 
 
+def encoder(model: str, text_col: str, check: bool) -> Callable[[pa.RecordBatch], list[pa.Array]]:
+    """ids and decoded text of the rows of an Arrow batch."""
+
+    def run(part: pa.RecordBatch) -> list[pa.Array]:
+        v = vocabulary(model)
+        ids = v.encode_arrow(part.column(text_col))
+        if check:
+            lists = v.library.encode([t or "" for t in part.column(text_col).to_pylist()], num_threads=1)
+            ends = np.cumsum([0, *map(len, lists)])
+            same = np.array_equal(ends, ids.offsets.to_numpy()) and np.array_equal(
+                np.fromiter(chain.from_iterable(lists), np.int32, ends[-1]), ids.values.to_numpy())
+            if not same:
+                raise ValueError("ids differ from the library's")
+        else:
+            lists = ids.to_pylist()
+        return [ids, pa.array(v.decode(lists), pa.string())]
+
+    return run
+
+
 def encode_pieces(docs: DataFrame, model: str, text_col: str = "text", check: bool = False) -> DataFrame:
     """All columns of ``docs`` and ids (array of int), decoded (string: the library's decode of ids).
 
@@ -229,13 +296,5 @@ def encode_pieces(docs: DataFrame, model: str, text_col: str = "text", check: bo
     ``check``: hold every Arrow batch against the library's own encode, and fail where they differ.
     """
 
-    def run(part: pa.RecordBatch) -> list[pa.Array]:
-        v = vocabulary(model)
-        texts = part.column(text_col).to_pylist()
-        ids = v.encode(texts)
-        if check and ids != v.library.encode([t or "" for t in texts], num_threads=1):
-            raise ValueError("ids differ from the library's")
-        return [pa.array(ids, pa.list_(pa.int32())), pa.array(v.decode(ids), pa.string())]
-
     rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("ids", "decoded")])
-    return with_columns_of(rows, text_col, "ids array<int>, decoded string", run)
+    return with_columns_of(rows, text_col, "ids array<int>, decoded string", encoder(model, text_col, check))

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -35,6 +36,35 @@ def test_forgotten_units_are_encoded_again(vocabulary, monkeypatch):
         assert vocabulary.encode([t]) == [vocabulary.library.encode(t)]
 
 
+def test_memory_of_units_is_bounded_in_bytes(vocabulary, monkeypatch):
+    monkeypatch.setattr(pieces, "REMEMBERED", 100_000)
+    vocabulary.known, vocabulary.older, vocabulary.held = {}, {}, 0
+    r = random.Random(6)
+    word = lambda n: "".join(r.choice("abcdefghijklmnop0123456789+/") for _ in range(n))
+    for _ in range(30):
+        texts = [" ".join(word(r.choice([3, 9, 5000])) for _ in range(40)) for _ in range(10)]
+        assert vocabulary.encode(texts) == vocabulary.library.encode(texts)
+        held = [u for side in (vocabulary.known, vocabulary.older) for u in side]
+        assert max(map(len, held)) <= pieces.LONG and len(held) * pieces.OVERHEAD < 4 * pieces.REMEMBERED
+
+
+def test_a_difference_from_the_library_fails_the_batch(spark, monkeypatch, vocabulary):
+    class Other:
+        def __init__(self):
+            self.library = vocabulary.library
+
+        def encode_arrow(self, text):
+            return vocabulary.encode_arrow(text.slice(0, len(text) - 1))
+
+    batch = pa.record_batch({"text": pa.array(["one text", "another"])})
+    run = pieces.encoder("model", "text", True)
+    monkeypatch.setattr(pieces, "vocabulary", lambda model: vocabulary)
+    assert run(batch)[0].to_pylist() == vocabulary.library.encode(["one text", "another"])
+    monkeypatch.setattr(pieces, "vocabulary", lambda model: Other())
+    with pytest.raises(ValueError):
+        run(batch)
+
+
 def test_query_against_the_library_and_odd_rows(spark, small, odd, no_docs, vocabulary):
     docs = {d.doc_id: d.text for d in spark.read.parquet(f"{small}/documents.parquet").collect()}
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()

@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 from quayside.llm.common import with_columns_of
 
 ROUNDS = 10
+#: Characters of a mail name that are permuted as one number; a longer name is permuted in pieces of this
+#: many, each keyed by the pseudonym of the one before.
+NAME = 64
 KINDS = ("mail", "account", "date", "address", "card", "tax", "phone")
 
 #: Shapes of what is looked for, tried in this order at each place.
@@ -41,7 +44,7 @@ def _pattern() -> re.Pattern[str]:
     joined = "|".join(shapes)
     # the two separators inside the card shape are groups of the joined pattern
     before = re.compile("|".join(shapes[: list(SHAPES).index("card")])).groups
-    return re.compile(joined.replace("\x01", "").replace(r"\x01", f"\\{before + 2}").replace(r"\x02", f"\\{before + 3}"))
+    return re.compile(joined.replace("\x01", "").replace(r"\x01", f"\\{before + 2}").replace(r"\x02", f"\\{before + 3}"), re.ASCII)
 
 
 #: Characters of an account number by country.
@@ -62,8 +65,12 @@ class Permutation:
         self.key = hashlib.blake2b(key, digest_size=32).digest()
 
     def _round(self, kind: str, width: int, i: int, half: int) -> int:
-        data = f"{kind}|{width}|{i}|{half}".encode()
-        return int.from_bytes(hashlib.blake2b(data, key=self.key, digest_size=16 + width // 2).digest(), "big")
+        data, size = f"{kind}|{width}|{i}|{half}".encode(), 16 + width // 2
+        out = b""
+        while len(out) < size:  # a digest has 64 bytes at the most; further ones are numbered
+            more = f"|{len(out)}".encode() if out else b""
+            out += hashlib.blake2b(data + more, key=self.key, digest_size=min(64, size - len(out))).digest()
+        return int.from_bytes(out, "big")
 
     def _digits(self, kind: str, width: int, x: int, back: bool) -> int:
         """A permutation of the numbers of ``width`` >= 2 decimal digits."""
@@ -209,26 +216,39 @@ def _date(p: Permutation, s: str, back: bool) -> str | None:
     return mark.join(out)
 
 
-def _mail(p: Permutation, s: str, back: bool) -> str | None:
-    name, at, host = s.rpartition("@")
-    sets = ["abcdefghijklmnopqrstuvwxyz" if c.islower() else "ABCDEFGHIJKLMNOPQRSTUVWXYZ" if c.isupper()
-            else "0123456789" if c.isdigit() else "" for c in name]
-    if not any(sets):
-        return None
-    bound = x = 0
-    bound = 1
-    for c, own in zip(name, sets):
+_LETTERS = {"a": "abcdefghijklmnopqrstuvwxyz", "A": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0": "0123456789"}
+
+
+def _name(p: Permutation, kind: str, s: str, back: bool) -> str:
+    """Letters and digits of a piece of a mail name to others; its other characters stay."""
+    shape = "".join("a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else c for c in s)
+    sets = [_LETTERS.get(c, "") for c in shape]
+    bound, x = 1, 0
+    for c, own in zip(s, sets):
         if own:
             bound, x = bound * len(own), x * len(own) + own.index(c)
-    shape = "".join(own[0] if own else c for c, own in zip(name, sets))
-    x = p.permute(f"mail{shape}", bound, x, back)
+    if bound == 1:
+        return s
+    x = p.permute(f"{kind}{shape}", bound, x, back)
     out = []
-    for c, own in zip(reversed(name), reversed(sets)):
+    for c, own in zip(reversed(s), reversed(sets)):
         if own:
             x, r = divmod(x, len(own))
             c = own[r]
         out.append(c)
-    return "".join(reversed(out)) + at + host
+    return "".join(reversed(out))
+
+
+def _mail(p: Permutation, s: str, back: bool) -> str | None:
+    name, at, host = s.rpartition("@")
+    if not any(c.isalnum() for c in name):
+        return None
+    kind, out = "mail", []
+    for i in range(0, len(name), NAME):
+        piece = name[i : i + NAME]
+        out.append(_name(p, kind, piece, back))
+        kind = f"mail{i}|{piece if back else out[-1]}|"
+    return "".join(out) + at + host
 
 
 _HOW = {"mail": _mail, "account": _account, "date": _date, "address": _address, "card": _card, "tax": _tax,
@@ -287,7 +307,7 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", back: bool =
     ``back``: undo pseudonyms made with the same key. A null text stays null and counts 0, an empty one
     stays empty. A date keeps its notation, but for leading zeros of day and month where the source
     has none. Values that fail validation (check digits, octets, calendar days from 1900 to 2099,
-    lengths) stay as they are. Texts of any length are read whole; repeated rows, null and repeated
+    lengths) or are written in other than ASCII digits stay as they are. Texts of any length are read whole; repeated rows, null and repeated
     ids are treated row by row; an empty table gives no rows. An input column with the name of a result
     column (in any case) is replaced by it.
     """

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from collections.abc import Callable
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,15 +40,20 @@ RULES = (
     Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6,
          probe=r"(?i:password|passwd|secret|token|api_?key)"),
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20, hints=("AKIA",)),
-    Rule("hex", r"[0-9a-f]{24,}", 0, 24, probe=r"[0-9a-f]{24}"),
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----[\s\S]*?-----END [A-Z ]*PRIVATE KEY-----", hints=("PRIVATE KEY",)),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", hints=("eyJ",)),
-    Rule("forge", r"gh[pousr]_[A-Za-z0-9]{36,}", hints=("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
-    Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}", hints=("xox",)),
+    Rule("hex", r"[0-9a-f]{24,}+", 0, 24, probe=r"[0-9a-f]{24}"),
+    # further kinds: each place of a text is read a bounded number of times, whatever the text
+    Rule("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[^-]*+(?:-(?!----)[^-]*+){0,64}-----END [A-Z ]{0,40}PRIVATE KEY-----",
+         hints=("PRIVATE KEY",)),
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+", hints=("eyJ",)),
+    Rule("forge", r"gh[pousr]_[A-Za-z0-9]{36,}+", hints=("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
+    Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}+", hints=("xox",)),
     Rule("cloud", r"AIza[A-Za-z0-9_-]{35}", hints=("AIza",)),
-    Rule("login", r"[a-z][a-z0-9+.-]*://[^\s:/@]+:[^\s:/@]+@[^\s/]+", hints=("://",)),
+    Rule("login", r"(?<![a-z0-9+.-])[a-z][a-z0-9+.-]{0,31}+://[^\s:/@]++:[^\s:/@]++@[^\s/]++", hints=("://",)),
 )
 
+#: Matches of a rule whose places are added up in one go.
+STRETCH = 512
+
 _SPAN = "struct<start:int,place:int,end:int,kind:string>"
 
 
@@ -56,6 +62,11 @@ def rules_version(rules: tuple[Rule, ...] = RULES) -> str:
     return hashlib.sha256(json.dumps([asdict(r) for r in rules]).encode()).hexdigest()[:16]
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _spans(text: Column, rule: Rule, place: int) -> Column:
     """Spans of one rule, in code points, end exclusive."""
     found = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
@@ -64,6 +75,8 @@ def _spans(text: Column, rule: Rule, place: int) -> Column:
     pieces = F.arrays_zip(F.transform(F.slice(between, F.lit(1), F.size(found)), F.length).alias("gap"),
                           F.transform(found, F.length).alias("long"), F.transform(judged, F.length).alias("judged"))
 
+    none = F.array().cast(f"array<{_SPAN}>")
+
     def step(acc: Column, p: Column) -> Column:
         start = acc["at"] + p["gap"]
         span = F.struct(start.alias("start"), F.lit(place).alias("place"), (start + p["long"]).alias("end"),
@@ -72,8 +85,20 @@ def _spans(text: Column, rule: Rule, place: int) -> Column:
                         F.when(p["judged"] >= rule.least, F.concat(acc["spans"], F.array(span)))
                         .otherwise(acc["spans"]).alias("spans"))
 
-    none = F.array().cast(f"array<{_SPAN}>")
-    spans = F.aggregate(pieces, F.struct(F.lit(0).alias("at"), none.alias("spans")), step, lambda a: a["spans"])
+    def begin(acc: Column, stretch: Column) -> Column:
+        covered = F.aggregate(stretch, F.lit(0), lambda n, p: n + p["gap"] + p["long"])
+        return F.struct((acc["at"] + covered).alias("at"), F.concat(acc["begins"], F.array(acc["at"])).alias("begins"))
+
+    def in_order(stretches: Column) -> Column:
+        begins = F.aggregate(stretches, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("begins")),
+                             begin, lambda a: a["begins"])
+        return F.flatten(F.zip_with(stretches, begins, lambda x, at: F.aggregate(
+            x, F.struct(at.alias("at"), none.alias("spans")), step, lambda a: a["spans"])))
+
+    # growing an array copies it, so matches are added up in stretches: a text may hold very many
+    firsts = lambda n: F.when(n > 0, F.sequence(F.lit(1), n, F.lit(STRETCH))).otherwise(F.array().cast("array<int>"))
+    stretches = _let(pieces, lambda p: F.transform(firsts(F.size(p)), lambda i: F.slice(p, i, F.lit(STRETCH))))
+    spans = _let(stretches, in_order)
     likely = text.rlike(rule.probe) if rule.probe else F.lit(False)
     for hint in rule.hints:
         likely = likely | text.contains(hint)

@@ -1,4 +1,5 @@
 import hashlib
+import time
 
 from pyspark.sql import functions as F
 
@@ -55,3 +56,37 @@ def test_query_odd_rows_and_native_plan(spark, small, odd, no_docs):
     assert out.columns == [*odd.columns, "blob", "secrets"]
     assert sorted((r.text or "" for r in out.collect())) == sorted(r.text or "" for r in odd.collect())
     assert S.scan_secrets(no_docs).count() == 0
+
+
+MB = 1 << 20
+ADVERSE = {
+    "assign": ["token" * (MB // 5), "token" + " " * MB, "token = " * (MB // 8), "token=abcdef " * (MB // 13)],
+    "access": ["AKIA" * (MB // 4), "AKIAB " * (MB // 6)],
+    "hex": ["://" + "0123456789abcdef" * (MB // 16), ("a" * 23 + "g") * (MB // 24), ("a" * 24 + "g") * (MB // 25)],
+    "pem": ["-----BEGIN RSA PRIVATE KEY-----\n" * (MB // 32), "-----BEGIN PRIVATE KEY-----" + "-a" * (MB // 2),
+            "-----BEGIN " + "A " * (MB // 2) + "PRIVATE KEY"],
+    "jwt": ["eyJ" * (MB // 3), ("eyJ" + "a" * 9 + ".") * (MB // 13)],
+    "forge": ["ghp_" * (MB // 4), "ghp_" + "a" * MB], "chat": ["xoxb-" * (MB // 5), "xox" * (MB // 3)], "cloud": ["AIza" * (MB // 4)],
+    "login": ["http://" + "a" * MB, "a://" * (MB // 4), ("x" * 31 + "://") * (MB // 34), "http://u:" + "p" * MB],
+}
+
+
+def test_long_adverse_texts_take_seconds(spark):
+    assert set(ADVERSE) == {r.kind for r in S.RULES}
+    spark.range(1).select(S.find_secrets(F.lit("token=abcdefgh"))).collect()  # code is compiled
+    for kind, texts in ADVERSE.items():
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+        began = time.time()
+        rows = docs.select("text", S.find_secrets(F.col("text")).alias("s")).collect()
+        assert time.time() - began < 8 * len(texts), kind
+        for r in rows:
+            assert [f"{s.kind}:{s.start}:{s.end}" for s in r.s if s.kind in S.BASE_KINDS] == brute.secrets(r.text)
+            assert all(0 <= s.start < s.end <= len(r.text) for s in r.s)
+
+
+def test_places_of_more_matches_than_a_stretch(spark, monkeypatch):
+    monkeypatch.setattr(S, "STRETCH", 7)
+    texts = ["é token=abcdefg " * n + "x" for n in (0, 1, 6, 7, 8, 14, 50)]
+    for r in spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").select(
+            "text", S.find_secrets(F.col("text")).alias("s")).collect():
+        assert [f"{s.kind}:{s.start}:{s.end}" for s in r.s] == brute.secrets(r.text)

@@ -22,6 +22,11 @@ from quayside.llm.wordscan import _BYTE, borders, buffers, inside, powers, segme
 WINDOW = 8
 #: Of a window's tokens, so many must be plain words.
 PLAIN = 4
+#: An item without such a window is taken whole (or by all its windows, where it is longer than one): as a
+#: template with at least so many plain words, otherwise word for word. So a table of numbers is no template.
+LOOSE = 3
+#: Bytes that an item shorter than a window must have to be looked for word for word.
+LEAST_BYTES = 12
 #: Share of an item's windows that a document must hold.
 COVERAGE = 0.5
 #: Or so many consecutive tokens of an item, whatever share of it they are.
@@ -29,14 +34,27 @@ RUN = 13
 #: Bits of the filter that tells workers which windows the benchmark has. It bounds what is broadcast.
 FILTER_BITS = 22
 
-#: Units of measure, a unit only behind a number, and number words.
+#: Units of measure, a unit only behind a number, and number words, in English, German,
+#: French and Spanish. Words that are articles, too, are none of them.
 UNITS = """mm cm dm m km in inch inches ft foot feet yd yards mi mile miles meter meters metre metres
 mg g kg t lb lbs oz gram grams kilogram kilograms ton tons ml cl l liter liters litre litres
 s sec second seconds min minute minutes h hr hour hours day days week weeks month months year years
-kmh mph hz khz mhz ghz w kw v a k c f percent dollar dollars cent cents euro euros pound pounds""".split()
+kmh mph hz khz mhz ghz w kw v a k c f percent dollar dollars cent cents euro euros pound pounds
+kilometer zentimeter millimeter meile meilen gramm kilogramm tonne tonnen
+sekunde sekunden minuten stunde stunden tag tage tagen woche wochen monat monate monaten jahr jahre jahren prozent pfund
+mètre mètres kilomètre kilomètres centimètre centimètres gramme grammes kilogramme kilogrammes kilo kilos tonnes
+seconde secondes heure heures jour jours semaine semaines mois ans année années centime centimes livre livres
+metro metros kilómetro kilómetros centímetro centímetros gramo gramos kilogramo kilogramos tonelada toneladas litro litros
+segundo segundos minuto minutos hora horas día días semana semanas mes meses año años dólar dólares céntimo céntimos libra libras""".split()
 NUMBER_WORDS = """zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen
 fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety
-hundred thousand million billion""".split()
+hundred thousand million billion
+null zwei drei vier fünf sechs sieben acht neun zehn elf zwölf dreizehn vierzehn fünfzehn sechzehn siebzehn achtzehn
+neunzehn zwanzig dreißig vierzig fünfzig sechzig siebzig achtzig neunzig hundert tausend dutzend hälfte viertel drittel
+zéro deux trois quatre cinq sept huit neuf dix onze douze treize quatorze quinze seize vingt trente quarante
+cinquante soixante mille douzaine moitié tiers
+cero dos tres cuatro cinco seis siete ocho nueve diez doce trece catorce quince dieciséis diecisiete dieciocho
+diecinueve veinte treinta cuarenta cincuenta sesenta setenta ochenta noventa ciento mil docena mitad tercio""".split()
 
 _U = np.uint64
 _PLAIN, _NUMBER, _NAME, _UNIT = range(4)
@@ -115,65 +133,76 @@ def _values(words: list[str]) -> np.ndarray:
 _NUMBERS, _UNITS = _values(NUMBER_WORDS), _values(UNITS)
 
 
-def template_windows(column: pa.Array, size: int, wanted=None, short: bool = False) -> list[tuple]:
-    """text, place, hash, values of the placeholders, size of every window of ``size`` tokens, PLAIN of
-    them plain words, whose hash is wanted. ``short``: texts with fewer tokens are a window as a whole.
-    Twice: with names as placeholders, and with names as plain words, which finds texts that were put
-    in lower or upper case."""
-    t = Tokens(column)
-    cased = np.where(t.kind == _NAME, _PLAIN, t.kind), np.where(t.kind == _NAME, t.value, t.hash)
-    return [_windows(t, kind, h, size, form, wanted, short) for form, (kind, h) in enumerate([(t.kind, t.hash), cased])]
+def _form(t: Tokens, form: int) -> tuple[np.ndarray, np.ndarray]:
+    """Kinds and hashes of the tokens with names as placeholders (0), with names as plain words, which
+    finds texts that were put in lower or upper case (1), and with all tokens as words (2)."""
+    if form == 0:
+        return t.kind, t.hash
+    if form == 1:
+        return np.where(t.kind == _NAME, _PLAIN, t.kind), np.where(t.kind == _NAME, t.value, t.hash)
+    return np.zeros(len(t.kind), np.int64), t.value
 
 
-def _windows(t: Tokens, kind: np.ndarray, token: np.ndarray, size: int, form: int, wanted, short: bool) -> tuple:
-    plain = np.concatenate([[0], np.cumsum(kind == _PLAIN)])
-    h, at = windows(token, size, 2 * size + form), inside(t.first, size)
-    at = at[plain[at + size] - plain[at] >= PLAIN]
-    h = h[at]
+def _rows_of(t: Tokens, form: int, at: np.ndarray, size: int, wanted=None) -> tuple:
+    """text, place, hash, values of the placeholders, size, form of the windows of ``size`` tokens at some
+    places, if their hash is wanted."""
+    kind, token = _form(t, form)
+    h = windows(token, size, 4 * size + form)[at]
     if wanted is not None:
         hit = wanted(h)
         at, h = at[hit], h[hit]
-    ends = at + size
-    if short:
-        count = np.diff(t.first)
-        for i in np.flatnonzero((count >= PLAIN) & (count < size)):
-            a, b = t.first[i], t.first[i + 1]
-            if plain[b] - plain[a] < PLAIN:
-                continue
-            at, ends = np.append(at, a), np.append(ends, b)
-            h = np.append(h, windows(token[a:b], int(b - a), 2 * int(b - a) + form))
     text = np.searchsorted(t.first, at, side="right") - 1
     slots = np.flatnonzero(kind != _PLAIN)
-    lo, hi = np.searchsorted(slots, at), np.searchsorted(slots, ends)
+    lo, hi = np.searchsorted(slots, at), np.searchsorted(slots, at + size)
     values = [t.value[slots[i:j]].view(np.int64) for i, j in zip(lo, hi)]
-    return text, at - t.first[text], h, values, ends - at
+    return text, at - t.first[text], h, values, np.full(len(at), size), np.full(len(at), form)
+
+
+def item_windows(column: pa.Array, size: int) -> Iterator[tuple]:
+    """Windows of the benchmark's texts; a text with fewer tokens than a window is one as a whole."""
+    t = Tokens(column)
+    plain = [np.concatenate([[0], np.cumsum(_form(t, form)[0] == _PLAIN)]) for form in (0, 1)]
+    bytes_ = np.diff(buffers(column)[1])
+    count = np.diff(t.first)
+    at = np.concatenate([inside(t.first, size), t.first[:-1][(count > 0) & (count < size)]])
+    text = np.searchsorted(t.first, at, side="right") - 1
+    length = np.minimum(count[text], size)
+    words = [p[at + length] - p[at] for p in plain]
+    has = np.zeros(len(count), bool)
+    has[text[(words[0] >= PLAIN) | (words[1] >= PLAIN)]] = True
+    loose = ~has[text] & (words[0] >= LOOSE)
+    exact = ~has[text] & ~loose & ((length == size) | (bytes_[text] >= LEAST_BYTES))
+    for form, on in enumerate([(words[0] >= PLAIN) | loose, (words[1] >= PLAIN) | loose, exact]):
+        for n in np.unique(length[on]).tolist():
+            yield _rows_of(t, form, at[on & (length == n)], n)
 
 
-_ROWS = "key long, place int, hash long, size int, slots array<long>"
+_ROWS = "key long, place int, hash long, size int, slots array<long>, form int"
 
 
 def _rows(keys: pa.Array, found: tuple) -> pa.RecordBatch:
-    text, place, h, values, size = found
+    text, place, h, values, size, form = found
     slots = pa.array(values, pa.list_(pa.int64())) if len(values) else pa.array([], pa.list_(pa.int64()))
     return pa.RecordBatch.from_arrays(
         [keys.take(pa.array(text, pa.int64())), pa.array(place.astype(np.int32)), pa.array(h.view(np.int64)),
-         pa.array(size.astype(np.int32)), slots], names=["key", "place", "hash", "size", "slots"])
+         pa.array(size.astype(np.int32)), slots, pa.array(form.astype(np.int32))],
+        names=["key", "place", "hash", "size", "slots", "form"])
 
 
 def benchmark_windows(items: DataFrame, size: int = WINDOW) -> DataFrame:
-    """Windows of the items: item_id, item_place, hash, size, item_slots, n_windows (distinct places)."""
+    """Windows of the items: item_id, item_place, hash, size, form, item_slots, n_windows (distinct places)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                for found in template_windows(part.column("text"), size, short=True):
+                for found in item_windows(part.column("text"), size):
                     yield _rows(part.column("key"), found)
 
     rows = written(items.select(F.col("item_id").cast("long").alias("key"), F.coalesce("text", F.lit("")).alias("text"))
                    .filter("key is not null").mapInArrow(run, _ROWS).distinct())
     total = rows.groupBy("key").agg(F.countDistinct("place").alias("n_windows"))
     return written(rows.join(total, "key").select(F.col("key").alias("item_id"), F.col("place").alias("item_place"),
-                                                  "hash", "size", F.col("slots").alias("item_slots"), "n_windows"))
+                                                  "hash", "size", "form", F.col("slots").alias("item_slots"), "n_windows"))
 
 
 def _filter_words(bench: DataFrame) -> np.ndarray:
@@ -226,7 +255,8 @@ def contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW, coverage
     item's windows found) of the documents that hold an item. See :func:`decontaminate`."""
     bench = benchmark_windows(items, size)
     bits = _filter_words(bench)
-    sizes = sorted(r["size"] for r in bench.select("size").distinct().collect())  # at most ``size`` numbers
+    # at most three forms of at most ``size`` sizes
+    kinds = sorted((r["form"], r["size"]) for r in bench.select("form", "size").distinct().collect())
     mask = _U((1 << FILTER_BITS) - 1)
     packed = docs.sparkSession.sparkContext.broadcast(np.packbits(bits))
 
@@ -238,13 +268,13 @@ def contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW, coverage
 
         for batch in batches:
             for part in slices(batch, "text"):
-                for n in sizes:
-                    for found in template_windows(part.column("text"), n, wanted):
-                        yield _rows(part.column("key"), found)
+                t = Tokens(part.column("text"))
+                for form, n in kinds:
+                    yield _rows(part.column("key"), _rows_of(t, form, inside(t.first, n), n, wanted))
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.select(F.xxhash64(F.col(id_col), text).alias("key"), text.alias("text"))
-    found = keyed.mapInArrow(run, _ROWS).join(bench, ["hash", "size"])
+    found = keyed.mapInArrow(run, _ROWS).join(bench, ["hash", "size", "form"])
     # an alignment: one item, one document, one distance between their places
     lines = found.groupBy("key", "item_id", "n_windows", (F.col("place") - F.col("item_place")).alias("shift")).agg(
         F.collect_set(F.struct("item_place", "size", F.arrays_zip("item_slots", "slots").alias("pairs"))).alias("windows"))
@@ -265,8 +295,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = WINDOW, coverag
 
     ``items``: item_id, text and any others. A document is contaminated by an item if at least
     ``coverage`` of the item's template windows, or RUN consecutive tokens of it, stand in it. Along an
-    alignment only windows count whose placeholder values agree with its most frequent ones. An item with fewer tokens than a window is one window; one with fewer than PLAIN
-    plain words cannot be found. Null texts and empty ones are clean; rows of ``items`` without id are
+    alignment only windows count whose placeholder values agree with its most frequent ones. An item with
+    fewer tokens than a window is one window. An item none of whose windows has PLAIN plain words is found
+    by windows with fewer: with LOOSE plain words as templates, below that word for word, and below
+    LEAST_BYTES not at all. Tokens are parted by white space, in any script. Null texts and empty ones are clean; rows of ``items`` without id are
     left out. Texts of any length are read whole; repeated rows, null and repeated ids are judged row by
     row; an empty table gives no rows, an empty benchmark finds nothing. An input column with the name of
     a result column (in any case) is replaced by it.

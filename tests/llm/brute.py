@@ -1,7 +1,9 @@
 """Plain single-machine versions of the operators, for comparison on small tables."""
 
 import collections
+import math
 import re
+import statistics
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -74,3 +76,109 @@ def secrets(text):
     found = [(m.start(), place, m.end(), kind) for place, (kind, p, group, least) in enumerate(SECRETS)
              for m in p.finditer(text or "") if len(m.group(group)) >= least]
     return [f"{kind}:{a}:{b}" for a, _, b, kind in sorted(found)]
+
+
+def quality_cuts(grams, langs, folds, failed, buckets, threshold, prior):
+    """score of each document, and the cut of each language: ``grams`` are counter numbers of each document,
+    ``folds`` the fold of each trusted one."""
+    n, own = collections.Counter(), [collections.Counter() for _ in range(5)]
+    for i, g in grams.items():
+        n.update(g)
+        if i in folds:
+            own[folds[i]].update(g)
+    every = sum(own, collections.Counter())
+    corpus = {b: (c + 1) / (sum(n.values()) + buckets) for b, c in n.items()}
+
+    def score(g, without=None):
+        k = every if without is None else every - own[without]
+        total = sum(k.values())
+        return sum(math.log((k[b] + prior * corpus[b]) / (total + prior)) - math.log(corpus[b]) for b in g) / len(g) if g else None
+
+    held = collections.defaultdict(list)
+    for i, f in folds.items():
+        if i in grams and not failed[i] and grams[i]:
+            held[langs[i] or ""].append(score(grams[i], f))
+    var = {x: statistics.variance(v) if len(v) > 1 else 0.0 for x, v in held.items()}
+    spread = sum((len(v) - 1) * var[x] for x, v in held.items()) / max(1, sum(len(v) - 1 for v in held.values()))
+
+    def quantile(v, q):
+        v, at = sorted(v), q * (len(v) - 1)
+        low = int(at)
+        return v[low] + (at - low) * (v[min(low + 1, len(v) - 1)] - v[low])
+
+    cuts = {x: min(threshold, quantile(v, 0.01), statistics.mean(v) - 3 * math.sqrt(max(spread, var[x]) * (1 + 1 / len(v))))
+            for x, v in held.items()}
+    return {i: score(g) for i, g in grams.items()}, cuts
+
+
+def template(text, numbers, units):
+    """(kind, value) of each token: 0 plain, 1 number, 2 name, 3 unit."""
+    out, before, opens = [], None, True
+    for m in re.finditer(r"[^\x20\x09-\x0D]+", text or ""):
+        opens = opens or "\n" in text[(before or m).end() if before else 0 : m.start()]
+        raw = m.group()
+        word = "".join(c for c in raw if ord(c) > 127 or c.isalnum())
+        if word:
+            value = "".join(c.lower() if c.isascii() or "À" <= c <= "Þ" and c != "×" else c for c in word)
+            capital = [c.isascii() and c.isupper() or "À" <= c <= "Þ" and c != "×" for c in word]
+            first = not out
+            if word[0].isascii() and word[0].isdigit() or value in numbers:
+                kind = 1
+            elif out and out[-1][0] == 1 and value in units:
+                kind = 3
+            else:
+                kind = 2 if capital[0] and not (opens or first) and not (all(capital) and len(word) > 1) else 0
+            out.append((kind, value))
+        opens = raw[-1] in ".!?:"
+        before = m
+    return out
+
+
+def template_windows(tokens, form, size, plain):
+    """place: (key, slots) of the windows with enough plain words."""
+    kinds = [0 if form and k == 2 else k for k, _ in tokens]
+    out = {}
+    size = min(size, len(tokens))
+    for i in range(len(tokens) - size + 1):
+        if size and kinds[i:i + size].count(0) >= plain:
+            out[i] = (form, tuple(v if k == 0 else k for k, (_, v) in zip(kinds[i:i + size], tokens[i:i + size])),
+                      [v for k, (_, v) in zip(kinds[i:i + size], tokens[i:i + size]) if k])
+    return out
+
+
+def holds_item(doc, item, size=8, plain=4, coverage=0.5, run=13):
+    """Whether enough of the item's windows stand in the document without contradicting one another."""
+    lines, places = collections.defaultdict(list), set()
+    short = min(size, len(item))
+    for form in (0, 1):
+        mine = template_windows(item, form, size, plain)
+        places |= set(mine)
+        theirs = collections.defaultdict(list)
+        for j in range(len(doc) - short + 1):
+            got = template_windows(doc[j:j + short], form, size, plain)
+            if got:
+                theirs[got[0][:2]].append((j, got[0][2]))
+        for i, (f, key, slots) in mine.items():
+            for j, others in theirs.get((f, key), ()):
+                lines[j - i].append((i, tuple(zip(slots, others))))
+    found, longest = set(), 0
+    for windows in lines.values():
+        windows = set(windows)
+        votes = collections.Counter(p for _, pairs in windows for p in pairs)
+        best = {}
+        for pair, n in votes.items():
+            best.setdefault(pair[0], []).append((-n, pair[1]))
+        tied = any(len(v) > 1 and sorted(v)[0][0] == sorted(v)[1][0] for v in best.values())
+        kept = sorted(i for i, pairs in windows if all(sorted(best[a])[0][1] == b for a, b in pairs))
+        if tied:
+            kept = None
+        if kept is None:
+            return None  # equally frequent values: which one holds is a matter of hashes
+        found |= set(kept)
+        begin = end = None
+        for i in kept:
+            if end is None or i > end:
+                begin = i
+            end = max(end or 0, i + short)
+            longest = max(longest, end - begin)
+    return bool(places) and (len(found) >= coverage * len(places) or longest >= run) and bool(found)

@@ -41,8 +41,8 @@ def test_memory_of_units_is_bounded_in_bytes(vocabulary, monkeypatch):
     vocabulary.known, vocabulary.older, vocabulary.held = {}, {}, 0
     r = random.Random(6)
     word = lambda n: "".join(r.choice("abcdefghijklmnop0123456789+/") for _ in range(n))
-    for _ in range(30):
-        texts = [" ".join(word(r.choice([3, 9, 5000])) for _ in range(40)) for _ in range(10)]
+    for _ in range(15):
+        texts = [" ".join(word(r.choice([3, 9, 400])) for _ in range(40)) for _ in range(10)]
         assert vocabulary.encode(texts) == vocabulary.library.encode(texts)
         held = [u for side in (vocabulary.known, vocabulary.older) for u in side]
         assert max(map(len, held)) <= pieces.LONG and len(held) * pieces.OVERHEAD < 4 * pieces.REMEMBERED

@@ -10,10 +10,16 @@ from . import brute
 def test_run_against_stages_by_brute_force(spark, small):
     docs = {d.doc_id: d for d in spark.read.parquet(f"{small}/documents.parquet").collect()}
     got = {r.doc_id: r for r in P.run(spark, small).collect()}
-    scored = quality.score_quality(spark.read.parquet(f"{small}/documents.parquet"),
-                                   quality.trusted_ids(spark.read.parquet(f"{small}/labels.parquet")))
-    scores = {r.doc_id: r.score for r in scored.select("doc_id", "score").collect()}
-    kept = [i for i, d in docs.items() if not brute.base(d.text)[5] and scores[i] >= quality.THRESHOLD]
+    failed = {i: brute.base(d.text)[5] for i, d in docs.items()}
+    h = quality._hashed(F.col("text"))
+    grams = {r.doc_id: r.b for r in spark.read.parquet(f"{small}/documents.parquet").select(
+        "doc_id", quality._buckets(h, quality._pairs(h, h, 1), quality.BUCKETS).alias("b")).collect()}
+    folds = {r.doc_id: r.f for r in spark.read.parquet(f"{small}/labels.parquet").filter("quality = 1 and coalesce(toxic, 0) = 0")
+             .select("doc_id", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(5)).alias("f")).collect()}
+    scores, cuts = brute.quality_cuts(grams, {i: d.lang for i, d in docs.items()}, folds, failed,
+                                      quality.BUCKETS, quality.THRESHOLD, quality.PRIOR)
+    assert set(cuts) == {d.lang for d in docs.values()} and min(cuts.values()) < quality.THRESHOLD
+    kept = [i for i, d in docs.items() if not failed[i] and scores[i] >= cuts[d.lang] - 1e-9]
     rows = [(i, docs[i].text) for i in kept]
     kept = [i for (i, _), (first, _, _) in zip(rows, brute.similar(rows)) if i == first]
     flat = lambda t: " ".join(t.lower().split())

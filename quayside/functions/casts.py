@@ -93,8 +93,11 @@ def check_date_pattern(pattern: str) -> str:
 
 def is_zone(zone: Column) -> Column:
     """Whether a zone id is one that Spark's zone functions accept; null for null."""
-    ids = [*SparkSession.active()._jvm.java.time.ZoneId.getAvailableZoneIds(), *sorted(JAVA_SHORT_ZONE_IDS)]
-    return zone.isin(ids) | zone.rlike(_OFFSET_ZONE.pattern)
+    ids = SparkSession.active()._jvm.java.time.ZoneId
+    known = SparkSession.active()._jvm.java.util.HashSet(ids.getAvailableZoneIds())
+    known.addAll(ids.SHORT_IDS.keySet())
+    # the set stays in the JVM: hundreds of literals made one by one take a second
+    return type(zone)(zone._jc.isInCollection(known)) | zone.rlike(_OFFSET_ZONE.pattern)
 
 
 def _definition(rule: dict[str, Any], key: str) -> dict[str, Any]:

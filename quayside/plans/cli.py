@@ -63,7 +63,8 @@ def parser() -> argparse.ArgumentParser:
     c = sub.add_parser("current", help="history table -> current-state table")
     c.add_argument("--history", required=True)
     c.add_argument("--contract", required=True, help="contract JSON file")
-    c.add_argument("--target", required=True, help="current-state table path")
+    c.add_argument("--target", required=True, help="catalog name of the current state (a view over its live build)")
+    c.add_argument("--target-location", default=None, help="folder for its files (default: the catalog's warehouse)")
     c.add_argument("--key", default="id")
     c.add_argument("--order", default="ingestion_date")
     c.add_argument("--tiebreak", default=None,
@@ -78,13 +79,13 @@ def parser() -> argparse.ArgumentParser:
                    help="upsert from the dates' look-back window of the history only (partition-pruned read)")
     c.add_argument("--full-scan", action="store_true", help="upsert from all history (the default; kept for scripts)")
     c.add_argument("--changed-only", action="store_true",
-                   help="upsert from the history dates written since the last run (change log); "
-                        "same state as a full read, falls back to one when no mark exists")
+                   help="upsert from the history dates whose files changed since the last run; "
+                        "same state as a full read, falls back to one at first")
     c.add_argument("--strict", action="store_true", help="plain casts: bad values fail the run")
     c.add_argument("--keep-generations", type=int, default=None,
-                   help="after a successful run, delete all but the newest N generations (never the live one)")
+                   help="builds that stay after a successful run, the live one among them (default 2)")
     c.add_argument("--freshness-column", default=None)
-    c.add_argument("--view", default=None, help="view to (re)publish over the live generation")
+    c.add_argument("--view", default=None, help="further view over the current state")
     _view_kind(c)
     return p
 
@@ -115,7 +116,8 @@ def run(argv: list[str], spark: SparkSession | None = None) -> RunResult:
     window = sorted(lookback_window(dates)) if args.window_only and not reload and not args.full_scan else None
     tiebreak = [c.strip() for c in args.tiebreak.split(",") if c.strip()] if args.tiebreak else ROW_HASH
     target = CurrentStateTable(args.target, key=args.key, order=args.order, num_buckets=args.buckets, tiebreak=tiebreak,
-                               on_null_key=args.on_null_key)
+                               on_null_key=args.on_null_key, location=args.target_location,
+                               keep=1 if args.keep_generations is None else max(0, args.keep_generations - 1))
     result = build_current_state(spark, HistoryTable(args.history), Contract.load(args.contract, spark), target,
                                reload=reload, dates=window, view=args.view, persistent_view=not args.temporary_view,
                                changed_only=args.changed_only and window is None,
@@ -124,8 +126,6 @@ def run(argv: list[str], spark: SparkSession | None = None) -> RunResult:
                                distribution_column=args.distribution_column)
     if result.ok and args.distribution_column:  # as many rows as the column has values: asked for by the user
         result.metrics["distribution"] = [r.asDict() for r in result.metrics["distribution"].collect()]
-    if result.ok and args.keep_generations is not None:
-        result.metrics["generations_deleted"] = target.vacuum(spark, keep=args.keep_generations)
     return result
 
 

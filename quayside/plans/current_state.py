@@ -40,23 +40,23 @@ def build_current_state(spark: SparkSession, history: HistoryTable, contract: Co
                         persistent_view: bool = False, changed_only: bool = False,
                         strict: bool = False, freshness_column: str | None = None,
                         distribution_column: str | None = None) -> RunResult:
-    """One current-state run. Metrics: rows written, buckets touched, and the
+    """One current-state run. Metrics: rows written, and the
     profile of the incoming rows (``volume`` counts every version, before the
     latest-per-key step; ``freshness`` is the max of ``freshness_column``;
     ``cast_nulls_<field>`` counts values a lenient cast or pattern turned into
     null; ``distribution_column`` adds ``distribution``, a DataFrame of the state's rows per value of it), observed on the run's own jobs rather than by another scan.
 
     History read: all of it by default (the source semantics); ``dates`` reads
-    only those dates; ``changed_only`` reads only the dates history runs wrote
-    since the target last absorbed the history's change log. For the upsert
+    only those dates; ``changed_only`` reads only the dates whose files differ
+    from those that the target's live build has absorbed. For the upsert
     that gives the state a full read gives (a key's newest row can only change
     where its dates changed; upserts never delete), except that untouched rows
     keep their ``processing_time``. (Exact for the default order column, the
     history date; with another order column, a target row removed from
     history can lose a tie to an unchanged row only in a full read.) It falls
-    back to a full read when the target has no mark yet or the history has no
-    change log. Full and change-driven runs record the newest change record
-    they started from, after their data committed.
+    back to a full read when it is not known what the target has absorbed. Full
+    and change-driven runs note the dates' versions as they were before the
+    read; a run over explicit dates leaves them as they are.
     """
     with session_conf(spark, PIPELINE_CONF):
         return _build(spark, history, contract, target, reload, dates, view, persistent_view, changed_only, strict,
@@ -73,27 +73,25 @@ def _build(spark: SparkSession, history: HistoryTable, contract: Contract, targe
             and freshness_column != "ingestion_date":
         freshness_column = None  # the contract has no such column: report volume only
     incremental = changed_only and not reload and target.exists(spark)
-    changed, newest = history.changes_since(spark, target.source_mark(spark) if incremental else None)
-    if incremental and changed is not None:
-        if not changed:
-            return RunResult(Outcome.NO_NEW_DATA, "no history change since the last run",
-                             {"history_dates": []})
-        dates = sorted(changed)
-    mark = newest if dates is None or incremental else None  # explicit dates never advance the mark
+    known = target.absorbed(spark) if incremental or dates is not None and not reload else None
+    versions = history.versions(spark) if dates is None else known  # before the read; explicit dates advance nothing
+    if incremental and known is not None:
+        dates = sorted(d for d, v in versions.items() if known.get(d) != v)
+        if not dates:
+            return RunResult(Outcome.NO_NEW_DATA, "no history change since the last run", {"history_dates": []})
     try:
-        typed = current_frame(history.read(spark, dates), contract, strict, loss_flags=True)
+        found = history.read(spark, dates)
+        if found.isEmpty():
+            raise NoNewData("no history rows")
+        typed = current_frame(found, contract, strict, loss_flags=True)
         lost = [c for c in typed.columns if c.startswith(LOST_PREFIX)]
         rows, profile = observed(typed, "current_state_input", freshness_column,
                                  extra=[F.count_if(F.col(c)).alias("cast_nulls_" + c[len(LOST_PREFIX):])
                                         for c in lost])
         rows = rows.drop(*lost)
-        metrics = target.reload(spark, rows) if reload else target.upsert(spark, rows)
+        metrics = (target.reload if reload else target.upsert)(spark, rows, versions)
     except NoNewData as exc:
-        if incremental and mark is not None and target.exists(spark):
-            target.set_source_mark(spark, mark)  # the changed dates hold nothing to absorb
         return RunResult(Outcome.NO_NEW_DATA, str(exc))
-    if mark is not None:
-        target.set_source_mark(spark, mark)
     metrics.update(metrics_of(profile, volume=0))
     metrics["history_dates"] = "all" if dates is None else sorted(dates)
     if view:

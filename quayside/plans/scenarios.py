@@ -18,6 +18,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import os
+from dataclasses import replace
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -351,15 +352,14 @@ def full_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reload_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stale state is discarded by a reload; the view follows the new generation."""
+    """A stale state is discarded by a reload; the view follows the new build."""
     configure(spark)
     rows = _user_state(_table(spark, sf_dir, "events")).drop("event_type")
-    table = CurrentStateTable(new_scratch_path(spark, "reload"), key="user_id", num_buckets=8,
-                              tiebreak=["event_id"])
+    table = _current(spark, "reload")
     table.upsert(spark, rows.withColumn("value", -col("value")))
     table.reload(spark, rows)
-    name = view_name("silver", "standardized", os.path.basename(table.path).replace("-", "_"), DATASET)
-    publish_current(spark, name, table)
+    name = view_name("silver", "standardized", table.name, DATASET)
+    publish_current(spark, name, table, persistent=True)
     return spark.table(name)
 
 
@@ -377,26 +377,32 @@ def conform_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
                        first_line.getField("absent").alias("line_absent"))
 
 
-def _bucketed_upserts(spark: SparkSession, sf_dir: str, files_per_bucket: int) -> DataFrame:
+def _current(spark: SparkSession, label: str, **options) -> CurrentStateTable:
+    """A new current state by user, its files in the scratch folder."""
+    location = new_scratch_path(spark, label)
+    name = "quayside_" + os.path.basename(location).replace("-", "_")
+    return CurrentStateTable(name, key="user_id", tiebreak=["event_id"], location=location, **{"num_buckets": 8, **options})
+
+
+def _bucketed_upserts(spark: SparkSession, sf_dir: str, then_buckets: int) -> DataFrame:
     first, second = _feeds(spark, sf_dir)
-    table = CurrentStateTable(new_scratch_path(spark, "bucketed"), key="user_id", num_buckets=8,
-                              tiebreak=["event_id"], files_per_bucket=files_per_bucket)
+    table = _current(spark, "bucketed")
     table.upsert(spark, first)
     for _ in range(2):
-        table.upsert(spark, second)
+        replace(table, num_buckets=then_buckets).upsert(spark, second)
     return table.read(spark)
 
 
 def upsert_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K4 K6 on the bucketed table: create from one feed, merge the other twice (replay)."""
+    """K4 K6 on a bucketed catalog table: create from one feed, merge the other twice (replay)."""
     configure(spark)
-    return _bucketed_upserts(spark, sf_dir, 1)
+    return _bucketed_upserts(spark, sf_dir, 8)
 
 
 def upsert_bucketed_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K4 K6 as ``upsert_bucketed``, each rewritten bucket spread over three writers."""
+    """K4 K6 as ``upsert_bucketed``, merged into another number of buckets, which shuffles the target once."""
     configure(spark)
-    return _bucketed_upserts(spark, sf_dir, 3)
+    return _bucketed_upserts(spark, sf_dir, 12)
 
 
 CURRENT_CONTRACT = {
@@ -417,9 +423,8 @@ def current_state_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     history = ingested_history(spark, sf_dir)
     contract = Contract.from_dict(CURRENT_CONTRACT)
-    target = CurrentStateTable(new_scratch_path(spark, "current"), key="user_id", num_buckets=8,
-                               tiebreak=["event_id"])
-    view = "quayside_current_" + os.path.basename(target.path).replace("-", "_")
+    target = _current(spark, "current")
+    view = target.name + "_shown"
     for reload in (True, False):
         run = build_current_state(spark, history, contract, target, reload=reload, view=view)
         _require(run.ok, run)
@@ -433,8 +438,7 @@ def current_state_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     history = ingested_history(spark, sf_dir)
     contract = Contract.from_dict(CURRENT_CONTRACT)
-    target = CurrentStateTable(new_scratch_path(spark, "current-daily"), key="user_id", num_buckets=8,
-                               tiebreak=["event_id"])
+    target = _current(spark, "current-daily")
     rebuild = [f"202401{d:02d}" for d in range(1, 29)]
     first = build_current_state(spark, history, contract, target, reload=True, dates=rebuild)
     _require(first.ok, first)
@@ -444,7 +448,7 @@ def current_state_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def current_state_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S6 K4 with the history change log: a history of 1-28 Jan and its current state, then the
+    """S6 K4 from changed dates: a history of 1-28 Jan and its current state, then the
     30 Jan delivery (window 29-30 Jan) and a change-driven run that reads only those dates."""
     configure(spark)
     feed = landed_events(spark, sf_dir)
@@ -452,9 +456,8 @@ def current_state_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = ingest_history(spark, feed, history, ",".join(f"202401{d:02d}" for d in range(1, 29)))
     _require(result.ok, result)
     contract = Contract.from_dict(CURRENT_CONTRACT)
-    target = CurrentStateTable(new_scratch_path(spark, "current-changed"), key="user_id", num_buckets=8,
-                               tiebreak=["event_id"])
-    run = build_current_state(spark, history, contract, target, changed_only=True)  # no mark: full read
+    target = _current(spark, "current-changed")
+    run = build_current_state(spark, history, contract, target, changed_only=True)  # nothing absorbed yet: full read
     _require(run.ok, run)
     result = ingest_history(spark, feed, history, "20240130")
     _require(result.ok, result)
@@ -568,7 +571,7 @@ def guards(spark: SparkSession, sf_dir: str) -> DataFrame:
     fs.write_text(spark, f"{odd.folder('20240105')}/a.json", "{}")
     with_schema = infer_envelope_schema(spark, [feed.folder("20240105")])
     contract = Contract.from_dict(CURRENT_CONTRACT)
-    target = CurrentStateTable(f"{root}/current", key="user_id")
+    target = _current(spark, "guards-current", num_buckets=4)
     nothing = history.read(spark).where("false")
     outcomes = {
         "no folder": ingest_history(spark, feed, history, "20301231").outcome.value,

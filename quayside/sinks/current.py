@@ -1,131 +1,114 @@
-"""Current-state table: one row per key, stored in hash buckets (K4, K5, K6).
-
-Layout::
-
-    <path>/_CURRENT                              -> JSON: the live table (see below)
-    <path>/gen=<g>/key_bucket=<b>/*.parquet      -> rows of bucket b, b = pmod(xxhash64(key), N)
-    <path>/_SOURCE_MARK                          -> history change records absorbed (incremental runs)
-
-``_CURRENT`` names, for each bucket, the generation that holds its live rows
-(at most N small numbers), the key, N and the table's schema. Files of a
-generation are never changed once written:
-
-* Upsert (K4) rewrites only the buckets the updates touch, into a new
-  generation, and then replaces ``_CURRENT`` in one rename. A failure before
-  that leaves the table as it was; readers and views keep the files they opened
-  until ``vacuum``. The deduplicated updates are staged once in the shared
-  folder; the touched bucket numbers (at most N) come from the staged rows.
-  Both sides of the merge are partitioned by (bucket, writer spread) and the
-  write reuses that partitioning, so the target is shuffled once.
-* Reload (K5) and the first build write all buckets as a new generation, with
-  as many writers for a bucket as its bytes call for (adaptive rebalance).
-* The first run creates the table (K6: the target does not need to pre-exist).
-
-How much an upsert rewrites follows from N: a few hundred changed keys touch at
-most as many buckets. ``num_buckets=0`` derives N from the size of the reload.
+"""Current-state table: one row per key, as a view over bucketed catalog tables (K4, K5, K6).
+
+Each build is a catalog table of its own, ``<view>__build_<number>``, bucketed by the key with Spark's
+``bucketBy``. The view is replaced to point at a build when it is complete, which is the only commit: a
+build that fails leaves the view, and what it shows, as they were. Readers that opened the view before
+keep the build that they opened; the ``keep`` builds before the live one stay for them.
+
+* Upsert (K4): the live build is the merge's target. Its bucketing is the join's partitioning and that of
+  the new build, so target rows are never shuffled: only the deduplicated updates are, once, and each
+  task merges and writes one bucket.
+* Reload (K5) and the first run (K6: the target need not exist) write the deduplicated updates alone.
+* Which history dates a build has absorbed is a small table beside it, ``<build>_dates``.
+
+The catalog must outlive the session where runs are separate processes (a metastore); within one session
+Spark's own suffices. Runs on one table must not overlap.
 """
 
 from __future__ import annotations
 
-import json
+import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructType
+from pyspark.sql.types import StructType
 
 from quayside.errors import ContractError, NoNewData
-from quayside.functions.names import col
-from quayside.operators.latest import ROW_HASH, latest_per_key, row_hash
+from quayside.functions.names import col, quote
+from quayside.operators.latest import ROW_HASH, latest_per_key
 from quayside.operators.profile import metrics_of
-from quayside.operators.upsert import NULL_KEY_POLICIES, union_schema, upsert
-from quayside.session import new_scratch_path, session_conf
+from quayside.operators.upsert import NULL_KEY_POLICIES, upsert
+from quayside.session import session_conf
+from quayside.sinks.views import create_view, owned_table, split_name
 from quayside.sources import fs
 
-BUCKET = "key_bucket"
-GENERATION = "gen"
-POINTER = "_CURRENT"
-SOURCE_MARK = "_SOURCE_MARK"  # history change records absorbed
-BUCKET_RULE = "pmod(xxhash64(key), num_buckets)"
-# Lets the merge join on rows hash-partitioned by (bucket, spread) alone;
-# buckets hold one row per key, so that partitioning is not skewed.
-COPARTITIONED_JOIN = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
-BUCKET_BYTES = 1 << 30  # what a bucket should hold where N is derived
-BUCKETS_AT_MOST = 16_384  # _CURRENT has a number for each
+BUCKET_BYTES = 1 << 30  # what a bucket should hold where their number is derived
+BUCKETS_AT_MOST = 65_536
+DATES = "_dates"
+_KEY, _BUCKETS = "quayside.key", "quayside.buckets"
 
 
-def bucket_of(key: Column, num_buckets: int, if_null: Column | None = None) -> Column:
-    """Bucket of a key. Null keys never match each other; ``if_null`` (a row hash) spreads them."""
-    hashed = F.xxhash64(key) if if_null is None else F.when(key.isNull(), if_null).otherwise(F.xxhash64(key))
-    return F.pmod(hashed, F.lit(num_buckets)).cast("int")
+@dataclass(frozen=True)
+class Build:
+    """A catalog table that a view shows."""
+
+    table: str
+    number: int
+    key: str
+    buckets: int
 
 
 @dataclass(frozen=True)
 class CurrentStateTable:
-    path: str
+    """``name``: the view, with or without its database. ``location``: folder for the builds' files, by
+    default the catalog's warehouse."""
+
+    name: str
     key: str = "id"
     order: str = "ingestion_date"
-    num_buckets: int = 64  # 0: from the estimated size of the rows at each reload
+    num_buckets: int = 64  # 0: of the live build; at a reload, from the estimated size of the rows
     tiebreak: object = ROW_HASH
-    files_per_bucket: int = 1
+    location: str | None = None
     max_records_per_file: int | None = None
-    target_file_bytes: int = 512 * 1024 * 1024
     on_null_key: str = "keep"  # or "drop", "fail"
+    keep: int = 1  # builds before the live one that stay
 
-    # -- the live table ----------------------------------------------------------
-    def _root(self) -> str:
-        return self.path.rstrip("/")
-
-    def _live(self, spark: SparkSession) -> dict | None:
-        """What ``_CURRENT`` says; None for a table that was never built."""
-        text = fs.read_text(spark, f"{self._root()}/{POINTER}")
-        if text:
-            return json.loads(text)
-        if self._generations(spark):
-            raise ContractError(f"{self.path} holds generations but no {POINTER}: the live table is unknown. "
-                                "Reload it into an empty folder, or restore the file")
-        return None
-
-    def _generations(self, spark: SparkSession) -> list[int]:
-        prefix = f"{GENERATION}="
-        return sorted(int(e.name[len(prefix):]) for e in fs.list_dir(spark, self.path)
-                      if e.is_dir and e.name.startswith(prefix))
+    # -- the live build -----------------------------------------------------------
+    def live(self, spark: SparkSession) -> Build | None:
+        """The build that the view shows; None without a view."""
+        owned = owned_table(spark, self.name)
+        if owned is None:
+            return None
+        table, properties = owned
+        number = re.search(r"__build_(\d+)`?$", table)
+        if number is None or _KEY not in properties:
+            raise ContractError(f"{self.name} is a view of another kind, no current state")
+        return Build(table, int(number.group(1)), properties[_KEY], int(properties[_BUCKETS]))
 
     def exists(self, spark: SparkSession) -> bool:
-        return self._live(spark) is not None
+        return self.live(spark) is not None
 
-    def generation(self, spark: SparkSession) -> str | None:
-        """Name of the newest live generation."""
-        live = self._live(spark)
-        return f"{GENERATION}={live['generation']:06d}" if live else None
+    def read(self, spark: SparkSession) -> DataFrame:
+        return spark.table(self._opened(spark).table)
 
-    def folders(self, spark: SparkSession, buckets: list[int] | None = None) -> list[str]:
-        """Live bucket folders, of all or the given buckets."""
-        live = self._live(spark) or {"buckets": {}}
-        return [f"{self._root()}/{GENERATION}={g:06d}/{BUCKET}={b}" for b, g in live["buckets"].items()
-                if buckets is None or int(b) in set(buckets)]
-
-    # -- reads -----------------------------------------------------------------
     def schema(self, spark: SparkSession) -> StructType:
-        """The table's columns, as stored: no file is opened to find them."""
-        live = self._live(spark)
+        return self.read(spark).schema
+
+    def _opened(self, spark: SparkSession) -> Build:
+        live = self.live(spark)
         if live is None:
-            raise FileNotFoundError(f"no current-state table at {self.path}")
-        return StructType.fromJson(live["schema"])
-
-    def read(self, spark: SparkSession, with_bucket: bool = False) -> DataFrame:
-        df = self._open(spark, self.schema(spark), self.folders(spark))
-        return df if with_bucket else df.drop(BUCKET)
-
-    def _open(self, spark: SparkSession, schema: StructType, folders: list[str]) -> DataFrame:
-        wide = StructType([*schema.fields]).add(GENERATION, IntegerType()).add(BUCKET, IntegerType())
-        if not folders:
-            return spark.createDataFrame([], wide).drop(GENERATION)
-        return spark.read.schema(wide).option("basePath", self.path).parquet(*folders).drop(GENERATION)
-
-    # -- writes ----------------------------------------------------------------
-    def _deduped(self, updates: DataFrame, num_buckets: int) -> DataFrame:
-        """Latest row per key with its bucket; null keys by the table's rule."""
+            raise FileNotFoundError(f"no current state named {self.name}")
+        return live
+
+    def builds(self, spark: SparkSession) -> dict[int, str]:
+        """Number and table of every build that the catalog has, the live one among them."""
+        db, view = split_name(spark, self.name)
+        rows = spark.sql(f"SHOW TABLES IN {db} LIKE '{view}__build_*'").collect()
+        found = [(re.fullmatch(re.escape(view) + r"__build_(\d+)", r["tableName"], re.I), r["tableName"]) for r in rows]
+        return {int(m.group(1)): f"{db}.{quote(t)}" for m, t in found if m}
+
+    def absorbed(self, spark: SparkSession) -> dict[str, str] | None:
+        """Version of each history date that the live build holds; None if that is not known."""
+        live = self.live(spark)
+        table = _beside(live.table) if live else None
+        if table is None or not spark.catalog.tableExists(table):
+            return None
+        return {r["date"]: r["version"] for r in spark.table(table).collect()}  # a row for each date
+
+    # -- writes -------------------------------------------------------------------
+    def deduped(self, updates: DataFrame) -> DataFrame:
+        """Latest row per key; null keys, which are one group here, by the table's rule."""
         if self.on_null_key not in NULL_KEY_POLICIES:
             raise ValueError(f"on_null_key must be one of {NULL_KEY_POLICIES}")
         k = col(self.key)
@@ -134,167 +117,100 @@ class CurrentStateTable:
         elif self.on_null_key == "fail":
             updates = updates.withColumn(
                 self.key, F.when(k.isNull(), F.raise_error(F.lit(f"null {self.key} in updates"))).otherwise(k))
-        rows = latest_per_key(updates, [self.key], [self.order], self.tiebreak)
-        return rows.withColumn(BUCKET, bucket_of(k, num_buckets, row_hash(rows)))
-
-    def _write(self, df: DataFrame, location: str) -> None:
-        w = df.write.partitionBy(BUCKET)
-        if self.max_records_per_file:
-            w = w.option("maxRecordsPerFile", self.max_records_per_file)
-        w.mode("overwrite").option("partitionOverwriteMode", "static").parquet(location)
-
-    def _written_buckets(self, spark: SparkSession, location: str) -> list[int]:
-        """Buckets a generation holds, from one listing of its folder."""
-        prefix = f"{BUCKET}="
-        return [int(e.name[len(prefix):]) for e in fs.list_dir(spark, location)
-                if e.is_dir and e.name.startswith(prefix)]
-
-    def _publish(self, spark: SparkSession, generation: int, built: int, buckets: dict[str, int],
-                 schema: StructType, num_buckets: int) -> None:
-        """Make ``buckets`` live. ``built``: the generation of the last full build."""
-        fs.write_text(spark, f"{self._root()}/{POINTER}", json.dumps(
-            {"generation": generation, "built": built, "key": self.key, "num_buckets": num_buckets,
-             "bucket": BUCKET_RULE, "buckets": buckets, "schema": schema.jsonValue()}, sort_keys=True))
-
-    def _next(self, spark: SparkSession) -> tuple[int, str]:
-        g = max(self._generations(spark), default=0) + 1
-        return g, f"{self._root()}/{GENERATION}={g:06d}"
-
-    def writers_per_bucket(self, spark: SparkSession, touched: list[int]) -> int:
-        """Writers per rewritten bucket: enough that a file stays near ``target_file_bytes``, never below
-        ``files_per_bucket``. Only the touched folders are listed."""
-        largest = max((sum(e.length for e in fs.list_dir(spark, f)) for f in self.folders(spark, touched)), default=0)
-        return max(self.files_per_bucket, -(-largest // self.target_file_bytes))
-
-    def upsert(self, spark: SparkSession, updates: DataFrame) -> dict:
-        """Merge ``updates`` (K4 rules); creates the table on first use.
-
-        The updates are scanned once: deduplicated rows go to a staging table
-        in the shared folder, one folder per bucket, which also says what
-        buckets are touched. The merge reads only the staging table and those
-        buckets; a lost executor recomputes from staging, not from the update
-        source. Raises :class:`NoNewData` without update rows.
-        """
-        live = self._live(spark)
+        return latest_per_key(updates, [self.key], [self.order], self.tiebreak)
+
+    @staticmethod
+    def settings(buckets: int) -> dict[str, str]:
+        """Under these the shuffle that deduplicates updates deals them as the buckets are dealt, and a
+        join on key and null-key salt takes rows that are dealt by the key alone. Null keys, which would
+        meet in one bucket, come once a run."""
+        return {"spark.sql.shuffle.partitions": str(buckets), "spark.sql.requireAllClusterKeysForCoPartition": "false"}
+
+    def merge_frame(self, spark: SparkSession, deduped: DataFrame) -> DataFrame:
+        """The rows of the live build merged with ``deduped`` updates (K4 rules)."""
+        return upsert(spark.table(self._opened(spark).table), deduped, self.key, self.order, dedupe=False)
+
+    def upsert(self, spark: SparkSession, updates: DataFrame, absorbed: dict[str, str] | None = None) -> dict:
+        """Merge ``updates`` into the state; creates it on first use. ``absorbed``: the history dates that
+        the new build holds. Raises :class:`NoNewData` without update rows, with the state as it was.
+
+        With ``on_null_key="keep"`` each run with a null-key row inserts it, also when it is run again: null
+        keys match nothing."""
+        live = self.live(spark)
         if live is None:
-            return {"created": True, **self._publish_generation(spark, updates)}
-        self._check_layout(live)
-        n = live["num_buckets"]
-        old = StructType.fromJson(live["schema"])
-        case_sensitive = str(spark.conf.get("spark.sql.caseSensitive", "false")).lower() == "true"
-        deduped = self._deduped(updates, n)
-        staging = new_scratch_path(spark, "current-staging")
+            return {"created": True, **self.reload(spark, updates, absorbed)}
+        if live.key != self.key:
+            raise ContractError(f"{self.name} is kept by key {live.key!r}, not {self.key!r}; reload it to change the key")
+        buckets = self.num_buckets or live.buckets
+        with session_conf(spark, self.settings(buckets)):
+            staged = Observation("current_updates")
+            rows = self.deduped(updates).observe(staged, F.count(F.lit(1)).alias("n"))
+            metrics = self._build(spark, self.merge_frame(spark, rows), live, buckets, absorbed, staged)
+        return {"created": False, **metrics}
+
+    def reload(self, spark: SparkSession, updates: DataFrame, absorbed: dict[str, str] | None = None) -> dict:
+        """Publish the deduplicated ``updates`` as the whole state; key and number of buckets may change."""
+        live = self.live(spark)
+        buckets = self.num_buckets or _derived_buckets(updates)
+        with session_conf(spark, self.settings(buckets)):
+            staged = Observation("current_updates")
+            rows = self.deduped(updates).observe(staged, F.count(F.lit(1)).alias("n"))
+            return self._build(spark, rows, live, buckets, absorbed, staged)
+
+    def _build(self, spark: SparkSession, rows: DataFrame, live: Build | None, buckets: int,
+               absorbed: dict[str, str] | None, staged: Observation) -> dict:
+        """Write ``rows`` as the next build and let the view show it."""
+        db, view = split_name(spark, self.name)
+        number = max([0, *self.builds(spark)]) + 1
+        build = Build(f"{db}.{quote(f'{view}__build_{number:06d}')}", number, self.key, buckets)
+        written = Observation("current_build")
+        counted = rows.observe(written, F.count(F.lit(1)).alias("n"))
         try:
-            staging_rows, merged_rows = Observation("current_staging"), Observation("current_upsert")
-            # a few files per bucket: one shuffle, sized by AQE
-            (deduped.observe(staging_rows, F.count(F.lit(1)).alias("n")).hint("rebalance", BUCKET)
-             .write.partitionBy(BUCKET).parquet(staging))
-            touched = sorted(self._written_buckets(spark, staging))
-            if not touched:
-                raise NoNewData("no update rows")
-            writers = self.writers_per_bucket(spark, touched)
-            # the staged schema is known: no footer-reading job to infer it
-            staged = spark.read.schema(deduped.schema).parquet(staging)
-            generation, location = self._next(spark)
-            try:
-                with session_conf(spark, COPARTITIONED_JOIN):
-                    merged = self.merge_frame(spark, staged, touched, writers)
-                    self._write(merged.observe(merged_rows, F.count(F.lit(1)).alias("n")), location)
-            except BaseException:
-                fs.delete(spark, location)  # not live yet
-                raise
-            schema = union_schema(old, deduped.drop(BUCKET).schema, case_sensitive)
-            written = self._written_buckets(spark, location)
-            self._publish(spark, generation, live["built"],
-                          {**live["buckets"], **{str(b): generation for b in written}}, schema, n)
-        finally:
-            fs.delete(spark, staging)
-        return {"created": False, "buckets_touched": len(touched), "writers_per_bucket": writers,
-                "rows_staged": metrics_of(staging_rows, n=0)["n"], "rows_written": metrics_of(merged_rows, n=0)["n"]}
-
-    def merge_frame(self, spark: SparkSession, staged: DataFrame, touched: list[int], writers: int = 1) -> DataFrame:
-        """New rows of the ``touched`` buckets: their target rows merged with ``staged``.
-
-        ``staged`` holds deduplicated updates with their bucket column. Only
-        the live folders of the touched buckets are opened. Both sides are
-        partitioned by (bucket, writer spread) for the join, so the bucketed
-        write can reuse that partitioning (under :data:`COPARTITIONED_JOIN`).
-        """
-        target = self._open(spark, self.schema(spark), self.folders(spark, touched)).where(col(BUCKET).isin(touched))
-
-        def copartition(k: Column, salt: Column) -> list[Column]:
-            # null keys never match: spread them by their salt instead of one writer
-            return [col(BUCKET), F.when(k.isNull(), salt).otherwise(F.pmod(F.hash(k), F.lit(max(1, writers))))]
-
-        return upsert(target, staged, self.key, self.order, dedupe=False, copartition=copartition)
-
-    def _publish_generation(self, spark: SparkSession, updates: DataFrame) -> dict:
-        """Write the deduplicated ``updates`` as a new generation and make it live."""
-        n = self.num_buckets or self._derived_buckets(updates)
-        generation, location = self._next(spark)
-        rows = self._deduped(updates, n)
-        counted = Observation("current_generation")
-        try:
-            # AQE splits large buckets over several writers and lets a task write several small ones
-            self._write(rows.observe(counted, F.count(F.lit(1)).alias("n")).hint("rebalance", BUCKET), location)
-            written = self._written_buckets(spark, location)
-            if not written:
+            self._save(counted, build.table, buckets)
+            updates = metrics_of(staged, n=0)["n"]
+            if not updates:
                 raise NoNewData("no update rows")
+            if absorbed is not None:
+                self._save(spark.createDataFrame(sorted(absorbed.items()), "date string, version string").coalesce(1),
+                           _beside(build.table))
+            columns = ", ".join(quote(c) for c in rows.columns)
+            create_view(spark, self.name, f"SELECT {columns} FROM {build.table}", build.table,
+                        {_KEY: self.key, _BUCKETS: str(buckets)})
         except BaseException:
-            fs.delete(spark, location)  # never live: readers still see the previous generation
+            self._drop(spark, build.table)  # the view never showed it
             raise
-        self._publish(spark, generation, generation, {str(b): generation for b in written},
-                      rows.drop(BUCKET).schema, n)
-        return {"generation": f"{GENERATION}={generation:06d}", "num_buckets": n,
-                "rows_written": metrics_of(counted, n=0)["n"]}
-
-    def _derived_buckets(self, updates: DataFrame) -> int:
-        """Buckets of about ``BUCKET_BYTES``, by the planner's estimate of the rows (no job runs)."""
-        estimate = int(str(updates._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        return max(64, min(BUCKETS_AT_MOST, -(-estimate // BUCKET_BYTES)))
-
-    # -- history change mark (incremental runs) -------------------------------
-    def source_mark(self, spark: SparkSession) -> str | None:
-        """History change records the live table has absorbed (None: unknown)."""
-        text = fs.read_text(spark, f"{self._root()}/{SOURCE_MARK}")
-        live = self._live(spark)
-        if not text or live is None:
-            return None
-        mark = json.loads(text)
-        return mark["mark"] if mark["built"] == live["built"] else None  # else of an earlier full build
-
-    def set_source_mark(self, spark: SparkSession, mark: str) -> None:
-        """Record ``mark``; call only after the run's data committed."""
-        built = self._live(spark)["built"]
-        fs.write_text(spark, f"{self._root()}/{SOURCE_MARK}", json.dumps({"mark": mark, "built": built}))
-
-    def _check_layout(self, live: dict) -> None:
-        """Refuse to merge into a table bucketed another way (keys would land in the wrong buckets and
-        duplicate)."""
-        if live["key"] != self.key or self.num_buckets not in (0, live["num_buckets"]) or live["bucket"] != BUCKET_RULE:
-            raise ContractError(f"current-state table {self.path} is laid out by key {live['key']!r} in "
-                                f"{live['num_buckets']} buckets, not by {self.key!r} in {self.num_buckets}; "
-                                "reload it to change the key or the bucket count")
-
-    def reload(self, spark: SparkSession, updates: DataFrame) -> dict:
-        """Publish the deduplicated ``updates`` as the whole table (new generation)."""
-        self._live(spark)  # refuse where the live table is unknown
-        return self._publish_generation(spark, updates)
-
-    def vacuum(self, spark: SparkSession, keep: int = 2) -> list[str]:
-        """Delete bucket folders that are not live, of generations older than the newest ``keep``."""
-        live = set(self.folders(spark))
-        if keep <= 0 or not live:
-            return []
-        doomed = []
-        for g in self._generations(spark)[:-keep]:
-            location = f"{self._root()}/{GENERATION}={g:06d}"
-            dead = [b for b in self._written_buckets(spark, location) if f"{location}/{BUCKET}={b}" not in live]
-            kept = len(self._written_buckets(spark, location)) - len(dead)
-            for b in dead if kept else []:
-                fs.delete(spark, f"{location}/{BUCKET}={b}")
-            if not kept:
-                fs.delete(spark, location)
-            if dead or not kept:
-                doomed.append(f"{GENERATION}={g:06d}")
-        return doomed
+        shown = sorted(n for n in self.builds(spark) if n < number)
+        for old in shown[: len(shown) - self.keep]:
+            self._drop(spark, f"{db}.{quote(f'{view}__build_{old:06d}')}")
+        return {"build": number, "num_buckets": buckets, "rows_updates": updates, "rows_written": metrics_of(written, n=0)["n"]}
+
+    def _files(self, table: str) -> str | None:
+        name = table.rsplit(".", 1)[-1].strip("`")
+        return f"{self.location.rstrip('/')}/{name}" if self.location else None
+
+    def _save(self, rows: DataFrame, table: str, buckets: int | None = None) -> None:
+        w = rows.write.format("parquet").mode("overwrite")
+        if self.location:
+            w = w.option("path", self._files(table))
+        if buckets:
+            w = w.bucketBy(buckets, self.key)
+            if self.max_records_per_file:
+                w = w.option("maxRecordsPerFile", self.max_records_per_file)
+        w.saveAsTable(table)
+
+    def _drop(self, spark: SparkSession, table: str) -> None:
+        for t in (table, _beside(table)):
+            spark.sql(f"DROP TABLE IF EXISTS {t}")
+            if self.location:
+                fs.delete(spark, self._files(t))
+
+
+def _beside(table: str) -> str:
+    """The table of absorbed dates beside a build."""
+    return f"{table[:-1]}{DATES}`" if table.endswith("`") else f"{table}{DATES}"
+
+
+def _derived_buckets(updates: DataFrame) -> int:
+    """Buckets of about ``BUCKET_BYTES``, by the planner's estimate of the rows (no job runs)."""
+    estimate = int(str(updates._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(64, min(BUCKETS_AT_MOST, -(-estimate // BUCKET_BYTES)))

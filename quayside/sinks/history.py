@@ -18,17 +18,14 @@
   ``max_records_per_file`` caps file size.
 * No decision to delete hangs on a counter: dates written are those whose
   folders hold files they did not hold before the job.
-* Change log: each committed write appends ``_changes/<epoch ms>-<id>.json``
-  with the dates it wrote; :meth:`HistoryTable.changes_since` lets a
-  current-state run read only those dates.
+* Changed dates: :meth:`HistoryTable.versions` tells from the files themselves
+  which dates were written since, so a current-state run can read only those.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
-import time
-import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -42,10 +39,10 @@ from quayside.functions.names import col, resolve
 from quayside.operators.lineage import INGESTION_DATE
 from quayside.operators.profile import metrics_of
 from quayside.operators.upsert import align, union_schema
+from quayside.session import session_conf
 from quayside.sources import fs
 
 
-CHANGES = "_changes"
 SCHEMA = "_SCHEMA"
 
 
@@ -110,18 +107,25 @@ class HistoryTable:
         if schema != self.schema(spark):
             fs.write_text(spark, f"{self.path.rstrip('/')}/{SCHEMA}", schema.json())
 
-    def _files(self, spark: SparkSession, names: Iterable[str]) -> dict[str, set[str]]:
-        """Files of each of the partition folders ``names``."""
-        return {n: {e.name for e in fs.list_dir(spark, f"{self.path.rstrip('/')}/{n}")} for n in names}
+    def _files(self, spark: SparkSession, names: Iterable[str] | None) -> dict[str, set[str]]:
+        """Files of the partition folders ``names``, by one listing each; of all of them, by one listing in all."""
+        if names is not None:
+            return {n: {e.name for e in fs.list_dir(spark, f"{self.path.rstrip('/')}/{n}")} for n in names}
+        found: dict[str, set[str]] = {}
+        for e in fs.list_files_recursive(spark, self.path):
+            folder, name = e.path.rsplit("/", 2)[-2:]
+            if folder.startswith(f"{self.partition_column}="):
+                found.setdefault(folder, set()).add(name)
+        return found
 
     def _swap(self, batch: DataFrame, names: Iterable[str] | None, schema: StructType, writer_options: tuple) -> set[str]:
         """Write the batch by dynamic overwrite; the partition folders that got new files. ``names``:
         the folders that may, all by default."""
         spark = batch.sparkSession
-        before = self._files(spark, self._partition_names(spark) if names is None else names)
+        before = self._files(spark, names)
         (self._writer(batch, *writer_options).mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").parquet(self.path))
-        after = self._files(spark, self._partition_names(spark) if names is None else names)
+        after = self._files(spark, names)
         written = {n for n, files in after.items() if files - before.get(n, set())}
         if written:
             self._store_schema(spark, schema)
@@ -174,7 +178,6 @@ class HistoryTable:
         emptied = [d.isoformat() for d in days if d.isoformat() not in written]
         for d in emptied:
             fs.delete(spark, f"{self.path.rstrip('/')}/{prefix}{d}")
-        self._record_change(spark, written)
         return {**metrics_of(kept, rows=0), **rows_in,
                 "dates_written": written, "dates_emptied": emptied}
 
@@ -201,46 +204,24 @@ class HistoryTable:
         for n in dropped:
             fs.delete(spark, f"{self.path.rstrip('/')}/{n}")
         written = sorted(n[len(prefix):] for n in folders)
-        self._record_change(spark, written)
         m = metrics_of(seen, rows_in=0, rows_rejected=0)
         return {"rows": m["rows_in"] - m["rows_rejected"], **m, "dates_written": written,
                 "dates_dropped": [n[len(prefix):] for n in dropped]}
 
-    # -- change log (for incremental current-state runs) -----------------------
-    def _record_change(self, spark: SparkSession, dates_written: list[str]) -> None:
-        """Note which dates a committed run wrote: ``_changes/<epoch ms>-<id>.json``.
-
-        Written after the data commit, so every record stands for committed
-        data. Readers skip the folder (its name starts with ``_``).
-        """
-        name = f"{int(time.time() * 1000):013d}-{uuid.uuid4().hex[:8]}.json"
-        fs.write_text(spark, f"{self.path.rstrip('/')}/{CHANGES}/{name}", json.dumps({"dates_written": dates_written}))
-
-    def changes_since(self, spark: SparkSession, mark: str | None) -> tuple[set[str] | None, str | None]:
-        """Dates (``yyyyMMdd``) written by runs recorded since ``mark``, and the new mark.
-
-        The mark (opaque text) names every record absorbed; whatever is not
-        among them counts, whenever its writer's clock said it was made. The
-        dates are ``None`` when a full read is needed: no mark yet, or a table
-        without a change log.
-        """
-        records = sorted(e.name for e in fs.list_dir(spark, f"{self.path.rstrip('/')}/{CHANGES}")
-                         if e.name.endswith(".json"))
-        if not records:
-            return None, None
-        new_mark = json.dumps({"seen": records})
-        try:
-            seen = set(json.loads(mark)["seen"]) if mark else None
-        except (ValueError, TypeError, KeyError):
-            seen = None  # no usable mark: the caller reads everything
-        if seen is None:
-            return None, new_mark
-        dates: set[str] = set()
-        for name in records:
-            if name not in seen:
-                record = json.loads(fs.read_text(spark, f"{self.path.rstrip('/')}/{CHANGES}/{name}") or "{}")
-                dates |= {d.replace("-", "") for d in record.get("dates_written", [])}
-        return dates, new_mark
+    # -- versions of dates (for incremental current-state runs) -------------------
+    def versions(self, spark: SparkSession) -> dict[str, str]:
+        """What tells whether a date (``yyyyMMdd``) was written again: a digest of the names, lengths and
+        times of its files. One row for each date comes to the driver.
+
+        Spark's listing gives the files, and no file is opened: only metadata columns are asked for."""
+        if not self._partition_names(spark):
+            return {}
+        files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(self.path)
+                 .select(col(self.partition_column).cast("date").alias("d"), F.xxhash64("path", "length", "modificationTime").alias("h")))
+        digests = files.where("d is not null").groupBy("d").agg(F.count("*").alias("n"), F.bit_xor("h").alias("h"))
+        with session_conf(spark, {"spark.sql.files.maxPartitionBytes": str(1 << 50)}):  # tasks by cores, not by bytes
+            rows = digests.collect()
+        return {f"{r['d']:%Y%m%d}": f"{r['n']}:{r['h']}" for r in rows}
 
 
 def replace_window_frame(history: DataFrame, batch: DataFrame, window: Iterable[str],

@@ -8,12 +8,14 @@ from collections.abc import Sequence
 from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
-from pyspark.sql.types import IntegerType, StructType
+from pyspark.sql.types import StructType
 
 from quayside.functions.names import quote
-from quayside.sinks.current import BUCKET, GENERATION, CurrentStateTable
 from quayside.sources import fs
 
+#: View property that names the one table made for the view, with its database.
+OWNED = "quayside.table"
+
 
 def view_location(container: str, root_folder: str, folder_name: str) -> tuple[str, str]:
     """(space, path) where a dataset's view is published.
@@ -55,22 +57,48 @@ def publish_view(spark: SparkSession, name: str, path: str, *, persistent: bool
     return _publish_files(spark, name, root, df.schema, list(partitions), folders if partitions else [], df.columns)
 
 
-def publish_current(spark: SparkSession, name: str, table: CurrentStateTable, *, persistent: bool = False) -> str:
-    """A view over the live rows of a current-state table, without its bucket column. It shows the rows
-    that were live when it was published; their files stay until the table's ``vacuum``."""
-    df = table.read(spark)
+def publish_current(spark: SparkSession, name: str, table, *, persistent: bool = False) -> str:
+    """A further view over a current state. A temporary view shows the build that was live when it was made;
+    a persistent one is a view over the state's own view, and so follows it."""
     if not persistent:
-        df.createOrReplaceTempView(name)
+        table.read(spark).createOrReplaceTempView(name)
         return name
-    schema = StructType([*df.schema.fields]).add(GENERATION, IntegerType()).add(BUCKET, IntegerType())
-    return _publish_files(spark, name, table.path, schema, [GENERATION, BUCKET], table.folders(spark), df.columns)
+    spark.sql(f"CREATE OR REPLACE VIEW {'.'.join(map(quote, name.split('.')))} AS SELECT * FROM {'.'.join(split_quoted(spark, table.name))}")
+    return name
+
+
+def split_name(spark: SparkSession, name: str) -> tuple[str, str]:
+    """Database (quoted) and bare name of a table or view; without a database, the session's current one."""
+    *db, last = name.split(".")
+    return ".".join(map(quote, db or [spark.catalog.currentDatabase()])), last
+
+
+def split_quoted(spark: SparkSession, name: str) -> tuple[str, str]:
+    db, last = split_name(spark, name)
+    return db, quote(last)
+
+
+def owned_table(spark: SparkSession, name: str) -> tuple[str, dict[str, str]] | None:
+    """The table that was made for a catalog view, and the view's properties; None without such a view."""
+    full = ".".join(split_quoted(spark, name))
+    if not spark.catalog.tableExists(full):
+        return None
+    properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {full}").collect()}
+    return properties.get(OWNED, ""), properties
+
+
+def create_view(spark: SparkSession, name: str, query: str, owned: str, properties: dict[str, str]) -> None:
+    """Create or replace a catalog view in one step. ``owned``: the table made for it."""
+    listed = ", ".join(f"'{k}' = '{v}'" for k, v in {OWNED: owned, **properties}.items())
+    spark.sql(f"CREATE OR REPLACE VIEW {'.'.join(split_quoted(spark, name))} TBLPROPERTIES ({listed}) AS {query}")
 
 
 def _publish_files(spark: SparkSession, name: str, root: str, schema: StructType, partitions: list[str],
                    folders: list[str], columns: list[str]) -> str:
     """A view over a catalog table that has a schema of its own and lists just these folders. The view
-    is replaced in one step; the table behind the old one is dropped then (its files are not)."""
-    behind = f"{name}__files_{uuid.uuid4().hex[:8]}"
+    is replaced in one step; the table that it names as its own is dropped then (its files are not)."""
+    db, last = split_name(spark, name)
+    behind = f"{db}.{quote(f'{last}__files_{uuid.uuid4().hex[:8]}')}"
     fields = ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
     by = f"PARTITIONED BY ({', '.join(quote(p) for p in partitions)})" if partitions else ""
     spark.sql(f"CREATE TABLE {behind} ({fields}) USING parquet {by} LOCATION '{root}'")
@@ -81,10 +109,8 @@ def _publish_files(spark: SparkSession, name: str, root: str, schema: StructType
             spec = ", ".join(f"{quote(p)}='{unquote(values[p])}'" for p in partitions)
             parts.append(f"PARTITION ({spec}) LOCATION '{f}'")
         spark.sql(f"ALTER TABLE {behind} ADD {' '.join(parts)}")
-    old = [r["tableName"] for r in spark.sql("SHOW TABLES").collect()
-           if re.fullmatch(re.escape(name.split(".")[-1]) + "__files_[0-9a-f]{8}", r["tableName"])]
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {', '.join(quote(c) for c in columns)} FROM {behind}")
-    for t in old:
-        if t != behind.split(".")[-1]:
-            spark.sql(f"DROP TABLE {t}")
+    old = owned_table(spark, name)
+    create_view(spark, name, f"SELECT {', '.join(quote(c) for c in columns)} FROM {behind}", behind, {})
+    if old and old[0] and "__files_" in old[0]:  # exactly the table that the view had before
+        spark.sql(f"DROP TABLE IF EXISTS {old[0]}")
     return name

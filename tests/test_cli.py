@@ -10,7 +10,7 @@ from quayside.plans.cli import run
 def test_history_then_current(spark, landing, tmp_path):
     root = landing({"20240101/a.json": {"Data": [{"id": 1, "v": "a"}, {"id": 2, "v": "b"}]},
                     "20240102/a.json": {"Data": [{"id": 1, "v": "c"}]}})
-    history, target = str(tmp_path / "h"), str(tmp_path / "t")
+    history, target = str(tmp_path / "h"), f"cli_{tmp_path.name}"
     contract = tmp_path / "c.json"
     contract.write_text(json.dumps({
         "origin_conf": {"type": "struct", "fields": [{"name": "id", "type": "string"},
@@ -20,13 +20,13 @@ def test_history_then_current(spark, landing, tmp_path):
     res = run(["history", "--landing-root", root, "--dataset", "feed", "--dates", "ALL", "--history", history,
                "--view", "cli_hist"], spark)
     assert res.ok and spark.table("cli_hist").count() == 3
-    res = run(["current", "--history", history, "--contract", str(contract), "--target", target,
+    res = run(["current", "--history", history, "--contract", str(contract), "--target", target, "--target-location", str(tmp_path / "t"),
                "--dates", "all", "--view", "cli_cur"], spark)
     assert res.ok and sorted((r.id, r.v) for r in spark.table("cli_cur").collect()) == [(1, "c"), (2, "b")]
-    res = run(["current", "--history", history, "--contract", str(contract), "--target", target,
+    res = run(["current", "--history", history, "--contract", str(contract), "--target", target, "--target-location", str(tmp_path / "t"),
                "--dates", "20240102"], spark)
-    assert res.ok and res.metrics["rows_staged"] == 2 and res.metrics["rows_written"] == 2
-    res = run(["current", "--history", history, "--contract", str(contract), "--target", target,
+    assert res.ok and res.metrics["rows_updates"] == 2 and res.metrics["rows_written"] == 2
+    res = run(["current", "--history", history, "--contract", str(contract), "--target", target, "--target-location", str(tmp_path / "t"),
                "--dates", "20240102", "--view", "cli_cur", "--distribution-column", "v"], spark)
     assert res.ok and sorted((d["v"], d["count"]) for d in res.metrics["distribution"]) == [("b", 1), ("c", 1)]
     assert sorted((r.id, r.v) for r in spark.table("cli_cur").collect()) == [(1, "c"), (2, "b")]
@@ -78,8 +78,8 @@ def test_current_reads_all_history_unless_window_only(spark, landing, tmp_path):
     assert run(["history", "--landing-root", root, "--dataset", "feed", "--dates", "all", "--history", history],
                spark).ok
     base = ["current", "--history", history, "--contract", str(contract), "--dates", "20240105"]
-    full = run(base + ["--target", str(tmp_path / "t1")], spark)
-    window = run(base + ["--target", str(tmp_path / "t2"), "--window-only"], spark)
+    full = run(base + ["--target", f"cli_{tmp_path.name}_t1", "--target-location", str(tmp_path / "t1")], spark)
+    window = run(base + ["--target", f"cli_{tmp_path.name}_t2", "--target-location", str(tmp_path / "t2"), "--window-only"], spark)
     assert full.metrics["rows_written"] == 3 and window.metrics["rows_written"] == 1
 
 
@@ -96,7 +96,7 @@ def test_persistent_views_outlive_temporary_ones(spark, landing, tmp_path):
 
 def test_keep_generations_after_reloads(spark, landing, tmp_path):
     root = landing({"20240101/a.json": {"Data": [{"id": 1, "v": "a"}]}})
-    history, target, contract = str(tmp_path / "h"), str(tmp_path / "t"), tmp_path / "c.json"
+    history, target, contract = str(tmp_path / "h"), f"cli_{tmp_path.name}", tmp_path / "c.json"
     contract.write_text(json.dumps({
         "origin_conf": {"type": "struct", "fields": [{"name": "id", "type": "string"},
                                                      {"name": "v", "type": "string"}]},
@@ -105,12 +105,11 @@ def test_keep_generations_after_reloads(spark, landing, tmp_path):
     assert run(["history", "--landing-root", root, "--dataset", "feed", "--dates", "all", "--history", history],
                spark).ok
     for _ in range(3):
-        res = run(["current", "--history", history, "--contract", str(contract), "--target", target,
+        res = run(["current", "--history", history, "--contract", str(contract), "--target", target, "--target-location", str(tmp_path / "t"),
                    "--dates", "all", "--keep-generations", "1"], spark)
         assert res.ok
-    import os
-    assert sorted(d for d in os.listdir(target) if d.startswith("gen=")) == ["gen=000003"]
-    assert res.metrics["generations_deleted"] == ["gen=000002"]
+    builds = [r.tableName for r in spark.sql("SHOW TABLES").collect() if r.tableName.startswith(f"{target}__build_")]
+    assert [b for b in builds if not b.endswith("_dates")] == [f"{target}__build_000003"] and res.metrics["build"] == 3
 
 
 def test_main_prints_outcomes_and_raises_on_errors(spark, landing, tmp_path, capsys):
@@ -139,21 +138,21 @@ def test_tiebreak_columns_pick_the_row_of_a_key_and_date(spark, landing, tmp_pat
                    {"name": "seq", "source_name": "seq", "type": "integer"}]}))
     assert run(["history", "--landing-root", root, "--dataset", "feed", "--dates", "all", "--history", history],
                spark).ok
-    assert run(["current", "--history", history, "--contract", str(contract), "--target", str(tmp_path / "t"),
+    assert run(["current", "--history", history, "--contract", str(contract), "--target", f"cli_{tmp_path.name}", "--target-location", str(tmp_path / "t"),
                 "--dates", "all", "--tiebreak", "seq", "--view", "cli_tiebreak"], spark).ok
     assert [(r.id, r.v) for r in spark.table("cli_tiebreak").collect()] == [(1, "b")]
 
 
 def test_changed_only_flag(spark, landing, tmp_path):
     root = landing({"20240101/a.json": {"Data": [{"id": 1, "v": "a"}]}})
-    history, target, contract = str(tmp_path / "h"), str(tmp_path / "t"), tmp_path / "c.json"
+    history, target, contract = str(tmp_path / "h"), f"cli_{tmp_path.name}", tmp_path / "c.json"
     contract.write_text(json.dumps({
         "origin_conf": {"type": "struct", "fields": [{"name": "id", "type": "string"},
                                                      {"name": "v", "type": "string"}]},
         "fields": [{"name": "id", "source_name": "id", "type": "long"},
                    {"name": "v", "source_name": "v", "type": "string"}]}))
     hist = ["history", "--landing-root", root, "--dataset", "feed", "--history", history]
-    cur = ["current", "--history", history, "--contract", str(contract), "--target", target, "--changed-only"]
+    cur = ["current", "--history", history, "--contract", str(contract), "--target", target, "--target-location", str(tmp_path / "t"), "--changed-only"]
     assert run(hist + ["--dates", "all"], spark).ok
     assert run(cur + ["--dates", "20240101"], spark).metrics["history_dates"] == "all"  # first run: full read
     assert run(cur + ["--dates", "20240101"], spark).outcome is Outcome.NO_NEW_DATA

@@ -8,7 +8,6 @@ from quayside.functions.dates import in_dates
 from quayside.operators.latest import latest_per_key
 from quayside.operators.upsert import upsert
 from quayside.plans.history_ingest import history_frame
-from quayside.sinks.current import BUCKET, CurrentStateTable
 
 D = dt.date
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF")
@@ -26,44 +25,6 @@ def test_history_batch_needs_no_shuffle(spark, landing):
     assert "Exchange" not in p and "Generate" in p
 
 
-def test_upsert_merge_scans_only_touched_buckets(spark, tmp_path):
-    t = CurrentStateTable(str(tmp_path / "cur"), key="id", num_buckets=16)
-    schema = "id long, ingestion_date date, v string"
-    t.upsert(spark, spark.createDataFrame([(i, D(2024, 1, 1), "a") for i in range(100)], schema))
-    staged = t._deduped(spark.createDataFrame([(5, D(2024, 1, 2), "b")], schema), 16)
-    touched = [r[0] for r in staged.select(BUCKET).collect()]
-    p = plan(t.merge_frame(spark, staged, touched))
-    assert re.search(rf"PartitionFilters: \[[^\]]*{BUCKET}#\d+ (IN \(|= ){touched[0]}", p)
-    assert "FullOuter" in p
-
-
-def test_upsert_merge_opens_only_touched_bucket_folders(spark, tmp_path):
-    t = CurrentStateTable(str(tmp_path / "cur"), key="id", num_buckets=16)
-    schema = "id long, ingestion_date date, v string"
-    t.upsert(spark, spark.createDataFrame([(i, D(2024, 1, 1), "a") for i in range(100)], schema))
-    staged = t._deduped(spark.createDataFrame([(5, D(2024, 1, 2), "b")], schema), 16)
-    touched = [r[0] for r in staged.select(BUCKET).collect()]
-    files = [f for f in t.merge_frame(spark, staged, touched).inputFiles() if "/gen=" in f]
-    assert files and all(f"/{BUCKET}={touched[0]}/" in f for f in files)
-
-
-def test_shuffled_merge_reuses_one_partitioning_for_join_and_write(spark, tmp_path):
-    from quayside.session import session_conf
-    from quayside.sinks.current import COPARTITIONED_JOIN, bucket_of
-    t = CurrentStateTable(str(tmp_path / "cur"), key="id", num_buckets=16)
-    schema = "id long, ingestion_date date, v string"
-    t.upsert(spark, spark.createDataFrame([(i, D(2024, 1, 1), "a") for i in range(100)], schema))
-    updates = spark.createDataFrame([(5, D(2024, 1, 2), "b"), (500, D(2024, 1, 2), "c")], schema)
-    staged = updates.withColumn(BUCKET, bucket_of(updates.id, 16))
-    touched = sorted({r[0] for r in staged.select(BUCKET).collect()})
-    with session_conf(spark, COPARTITIONED_JOIN):
-        p = plan(t.merge_frame(spark, staged, touched, writers=2))
-    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", p)
-    assert len(exchanges) == 2 and all("__p0" in e and "__p1" in e and "__k" not in e for e in exchanges)
-    assert "FullOuter" in p or "SortMergeJoin" in p
-    assert spark.conf.get(next(iter(COPARTITIONED_JOIN))) != "false"  # restored after the block
-
-
 def test_upsert_dedupes_updates_map_side_and_joins_on_salted_key(spark):
     schema = "id long, ingestion_date date, v string"
     t = spark.createDataFrame([(1, D(2024, 1, 1), "a")], schema)

@@ -1,4 +1,4 @@
-"""History table (K1 K2 K3), bucketed current-state table (K4 K5 K6) and views (K8)."""
+"""History table (K1 K2 K3) and views (K8)."""
 
 import datetime as dt
 import os
@@ -6,9 +6,8 @@ import os
 import pytest
 
 from quayside.errors import NoNewData
-from quayside.sinks.current import BUCKET, CurrentStateTable
 from quayside.sinks.history import HistoryTable, replace_window_frame
-from quayside.sinks.views import publish_current, publish_view, view_location, view_name
+from quayside.sinks.views import publish_view, view_location, view_name
 
 D = dt.date
 
@@ -71,125 +70,6 @@ def test_full_replace_and_schema_evolution(spark, tmp_path):
     assert [r.id for r in h.read(spark).collect()] == ["3"]
 
 
-def test_bucketed_upsert_rewrites_only_touched_buckets(spark, tmp_path):
-    t = CurrentStateTable(str(tmp_path / "cur"), key="id", num_buckets=16, tiebreak=["v"])
-    rows = [(i, D(2024, 1, 1), "a") for i in range(200)]
-    m = t.upsert(spark, spark.createDataFrame(rows, "id long, ingestion_date date, v string"))
-    assert m["created"] and m["rows_written"] == 200
-
-    def snapshot():
-        return {os.path.basename(f): f for f in t.folders(spark)}
-    before = snapshot()
-    upd = spark.createDataFrame([(7, D(2024, 1, 2), "b"), (500, D(2024, 1, 2), "new")],
-                                "id long, ingestion_date date, v string")
-    m = t.upsert(spark, upd)
-    assert m["buckets_touched"] <= 2
-    after = snapshot()
-    changed = {b for b in after if after[b] != before.get(b)}
-    assert 1 <= len(changed) <= 2
-    state = {r.id: r.v for r in t.read(spark).collect()}
-    assert len(state) == 201 and state[7] == "b" and state[500] == "new" and state[8] == "a"
-    assert BUCKET not in t.read(spark).columns
-
-
-def test_bucketed_upsert_against_brute_force(spark, tmp_path):
-    schema = "id long, ingestion_date date, v string"
-    base_rows = [(i, D(2024, 1, 1 + i % 3), "a") for i in range(300)]
-    upd_rows = [(i, D(2024, 1, 2), "b") for i in range(0, 400, 7)]
-    t = CurrentStateTable(str(tmp_path / "cur"), key="id", num_buckets=8, tiebreak=["v"])
-    t.upsert(spark, spark.createDataFrame(base_rows + [(None, D(2024, 1, 1), "n")], schema))
-    m = t.upsert(spark, spark.createDataFrame(upd_rows + [(None, D(2024, 1, 4), "m")], schema))
-    assert m["rows_staged"] == len(upd_rows) + 1
-    # equal or newer update wins, new keys are inserted
-    want = {k: (d, v) for k, d, v in base_rows}
-    for k, d, v in upd_rows:
-        if k not in want or d >= want[k][0]:
-            want[k] = (d, v)
-    rows = t.read(spark).collect()
-    assert {r.id: (r.ingestion_date, r.v) for r in rows if r.id is not None} == want
-    assert sorted(r.v for r in rows if r.id is None) == ["m", "n"]  # null keys never match
-
-
-def test_shuffled_merge_with_several_writers_per_bucket(spark, tmp_path):
-    schema = "id long, ingestion_date date, v string"
-    base = [(i, D(2024, 1, 1), "a") for i in range(400)]
-    upd = [(i, D(2024, 1, 2), "b") for i in range(200, 600)]
-    t = CurrentStateTable(str(tmp_path / "cur"), key="id", num_buckets=4, tiebreak=["v"],
-                          files_per_bucket=3)
-    t.upsert(spark, spark.createDataFrame(base + [(None, D(2024, 1, 1), "n")], schema))
-    m = t.upsert(spark, spark.createDataFrame(upd + [(None, D(2024, 1, 3), "m")], schema))
-    assert m["writers_per_bucket"] == 3
-    rows = t.read(spark).collect()
-    got = {r.id: r.v for r in rows if r.id is not None}
-    assert got == {**{i: "a" for i in range(200)}, **{i: "b" for i in range(200, 600)}}
-    assert sorted(r.v for r in rows if r.id is None) == ["m", "n"]
-
-
-def test_failed_upsert_leaves_the_table_and_no_staging(spark, tmp_path):
-    from pyspark.sql import functions as F
-
-    from quayside.session import shared_dir
-    schema = "id long, ingestion_date date, v string"
-    t = CurrentStateTable(str(tmp_path / "cur"), key="id", num_buckets=4)
-    t.upsert(spark, spark.createDataFrame([(i, D(2024, 1, 1), "a") for i in range(50)], schema))
-    before = sorted(tuple(r) for r in t.read(spark).collect())
-    staging_root = os.path.join(shared_dir(spark).replace("file:", ""), "quayside", "runs")
-    staged_before = {d for d in os.listdir(staging_root) if d.startswith("current-staging")} \
-        if os.path.isdir(staging_root) else set()
-    bad = spark.createDataFrame([(i, D(2024, 1, 2), "b") for i in range(40, 60)], schema) \
-        .withColumn("v", F.when(F.col("id") == 55, F.raise_error(F.lit("boom"))).otherwise(F.col("v")))
-    with pytest.raises(Exception, match="boom"):
-        t.upsert(spark, bad)
-    assert sorted(tuple(r) for r in t.read(spark).collect()) == before
-    staged_after = {d for d in os.listdir(staging_root) if d.startswith("current-staging")} \
-        if os.path.isdir(staging_root) else set()
-    assert staged_after <= staged_before  # the failed run's staging folder was removed
-
-
-def test_failed_reload_keeps_the_live_generation_and_leaves_no_folder(spark, tmp_path):
-    from pyspark.sql import functions as F
-    schema = "id long, ingestion_date date, v string"
-    t = CurrentStateTable(str(tmp_path / "cur"), key="id", num_buckets=4)
-    t.upsert(spark, spark.createDataFrame([(1, D(2024, 1, 1), "a")], schema))
-    live = t.generation(spark)
-    bad = spark.createDataFrame([(2, D(2024, 1, 2), "b")], schema).withColumn("v", F.raise_error(F.lit("boom")))
-    with pytest.raises(Exception, match="boom"):
-        t.reload(spark, bad)
-    assert t.generation(spark) == live and [(r.id, r.v) for r in t.read(spark).collect()] == [(1, "a")]
-    assert sorted(d for d in os.listdir(t.path) if d.startswith("gen=")) == [live]
-
-
-def test_upsert_refuses_a_table_bucketed_another_way(spark, tmp_path):
-    from quayside.errors import ContractError
-    schema = "id long, ingestion_date date, v string"
-    rows = spark.createDataFrame([(i, D(2024, 1, 1), "a") for i in range(40)], schema)
-    newer = spark.createDataFrame([(i, D(2024, 1, 2), "b") for i in range(0, 40, 3)], schema)
-    CurrentStateTable(str(tmp_path / "cur"), key="id", num_buckets=4).upsert(spark, rows)
-    regrown = CurrentStateTable(str(tmp_path / "cur"), key="id", num_buckets=8)
-    with pytest.raises(ContractError, match="bucket"):
-        regrown.upsert(spark, newer)
-    regrown.reload(spark, rows)  # a reload rewrites every bucket, so it may change the layout
-    regrown.upsert(spark, newer)
-    state = regrown.read(spark)
-    assert state.count() == 40 and state.where("v = 'b'").count() == 14
-
-
-def test_reload_flips_generation_and_vacuum(spark, tmp_path):
-    t = CurrentStateTable(str(tmp_path / "cur"), key="id", num_buckets=4)
-    schema = "id long, ingestion_date date, v string"
-    t.upsert(spark, spark.createDataFrame([(4, D(2024, 1, 2), "a")], schema))
-    first = t.generation(spark)
-    m = t.reload(spark, spark.createDataFrame([(5, D(2024, 1, 1), "b")], schema))
-    assert m["generation"] != first
-    assert [(r.id, r.v) for r in t.read(spark).collect()] == [(5, "b")]
-    with pytest.raises(NoNewData):
-        t.reload(spark, spark.createDataFrame([], schema))
-    assert t.generation(spark) == m["generation"]
-    assert t.vacuum(spark, keep=1) == [first]
-    with pytest.raises(NoNewData):
-        t.upsert(spark, spark.createDataFrame([], schema))
-
-
 def test_views(spark, tmp_path):
     assert view_location("silver", "master", "f") == ("master", "f")
     assert view_location("bronze", "history", "f") == ("bronze", "history/f")
@@ -201,18 +81,6 @@ def test_views(spark, tmp_path):
     assert spark.table(name).count() == 1
 
 
-def test_current_state_schema_evolves_per_bucket(spark, tmp_path):
-    t = CurrentStateTable(str(tmp_path / "cur"), key="id", num_buckets=8, files_per_bucket=2)
-    t.upsert(spark, spark.createDataFrame([(i, D(2024, 1, 1), "a") for i in range(50)],
-                                          "id long, ingestion_date date, v string"))
-    t.upsert(spark, spark.createDataFrame([(3, D(2024, 1, 2), "b", 7)], "id long, ingestion_date date, v string, w int"))
-    state = {r.id: (r.v, r.w) for r in t.read(spark).collect()}
-    assert len(state) == 50 and state[3] == ("b", 7) and state[4] == ("a", None)
-    t.upsert(spark, spark.createDataFrame([(4, D(2024, 1, 3), "c")], "id long, ingestion_date date, v string"))
-    state = {r.id: (r.v, r.w) for r in t.read(spark).collect()}
-    assert state[3] == ("b", 7) and state[4] == ("c", None) and len(state) == 50
-
-
 def test_upsert_join_spreads_null_keys(spark):
     from quayside.operators.upsert import upsert
     t = history_rows(spark, [(None, "a", D(2024, 1, 1))] * 3 + [("1", "x", D(2024, 1, 1))])
@@ -238,49 +106,6 @@ def test_full_replace_drops_dates_not_rebuilt_and_survives_a_failed_job(spark, t
     assert sorted((r.id, r.v) for r in h.read(spark).collect()) == [("3", "new"), ("5", "new")]
 
 
-def test_writers_per_bucket_follow_bucket_size(spark, tmp_path):
-    schema = "id long, ingestion_date date, v string"
-    rows = [(i, D(2024, 1, 1), "x" * 50) for i in range(400)]
-    t = CurrentStateTable(str(tmp_path / "cur"), key="id", num_buckets=2, target_file_bytes=2048)
-    t.upsert(spark, spark.createDataFrame(rows, schema))
-    # AQE would merge these tiny shuffle partitions; at real sizes it keeps partitions
-    # above the advisory size apart, which is what the writer count relies on.
-    key = "spark.sql.adaptive.coalescePartitions.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
-        m = t.upsert(spark, spark.createDataFrame([(i, D(2024, 1, 2), "y") for i in range(0, 400, 7)], schema))
-    finally:
-        spark.conf.set(key, before)
-    assert m["writers_per_bucket"] > 1
-    files = [f for b in t.folders(spark) for f in os.listdir(b) if f.endswith(".parquet")]
-    assert len(files) > 2
-    state = {r.id: r.v for r in t.read(spark).collect()}
-    assert len(state) == 400 and state[7] == "y" and state[8] == "x" * 50
-
-
-def test_change_log_marks(spark, tmp_path):
-    h = HistoryTable(str(tmp_path / "h"))
-    assert h.changes_since(spark, None) == (None, None)  # no log yet
-    h.replace_all(history_rows(spark, [("1", "a", D(2024, 1, 1)), ("2", "b", D(2024, 1, 2))]))
-    dates, mark = h.changes_since(spark, None)
-    assert dates is None and mark  # no mark: a full read
-    assert h.changes_since(spark, mark)[0] == set()  # nothing new since
-    h.replace_window(history_rows(spark, [("3", "c", D(2024, 1, 3))]), {"20240102", "20240103"})
-    dates, newer = h.changes_since(spark, mark)
-    assert dates == {"20240103"} and newer != mark  # 2 Jan was emptied, not written
-    assert h.changes_since(spark, "not a mark")[0] is None  # unreadable mark: full read
-
-
-def test_change_records_of_slow_clocks_still_count(spark, tmp_path):
-    h = HistoryTable(str(tmp_path / "h"))
-    h.replace_all(history_rows(spark, [("1", "a", D(2024, 1, 1))]))
-    _, mark = h.changes_since(spark, None)
-    changes = tmp_path / "h" / "_changes"
-    (changes / "0000000000001-cafe.json").write_text('{"dates_written": ["2024-01-07"]}')  # decades behind
-    assert h.changes_since(spark, mark)[0] == {"20240107"}
-
-
 def test_full_replace_without_usable_rows_is_refused(spark, tmp_path):
     h = HistoryTable(str(tmp_path / "h"))
     h.replace_all(history_rows(spark, [("1", "a", D(2024, 1, 1))]))
@@ -334,21 +159,6 @@ def test_insert_evolving_finds_columns_in_any_case(spark, tmp_path):
 SCHEMA = "id long, ingestion_date date, v string"
 
 
-def test_a_lost_pointer_is_an_error_not_an_empty_table(spark, tmp_path):
-    from quayside.errors import ContractError
-    t = CurrentStateTable(str(tmp_path / "cur"), key="id", num_buckets=4)
-    t.upsert(spark, spark.createDataFrame([(i, D(2024, 1, 1), "a") for i in range(50)], SCHEMA))
-    pointer = tmp_path / "cur" / "_CURRENT"
-    text = pointer.read_text()
-    pointer.unlink()
-    for action in (t.read, lambda s: t.upsert(s, spark.createDataFrame([(1, D(2024, 1, 2), "b")], SCHEMA))):
-        with pytest.raises(ContractError, match="_CURRENT"):
-            action(spark)
-    pointer.write_text(text)
-    (tmp_path / "cur" / "._CURRENT.crc").unlink(missing_ok=True)
-    assert t.read(spark).count() == 50
-
-
 def test_the_pointer_is_replaced_in_one_rename(spark, tmp_path):
     from quayside.sources import fs
     path = f"{tmp_path}/p/_CURRENT"
@@ -358,64 +168,48 @@ def test_the_pointer_is_replaced_in_one_rename(spark, tmp_path):
     assert [f for f in os.listdir(tmp_path / "p") if not f.startswith(".")] == ["_CURRENT"]
 
 
-def test_a_small_upsert_leaves_most_files_and_older_readers_alone(spark, tmp_path):
-    t = CurrentStateTable(str(tmp_path / "cur"), key="id", num_buckets=64)
-    t.upsert(spark, spark.createDataFrame([(i, D(2024, 1, 1), "a") for i in range(2000)], SCHEMA))
-    publish_current(spark, "older_state", t)
-    before = set(t.folders(spark))
-    t.upsert(spark, spark.createDataFrame([(i, D(2024, 1, 2), "b") for i in range(20)], SCHEMA))
-    assert len(before & set(t.folders(spark))) >= 44
-    assert spark.table("older_state").where("v = 'b'").count() == 0  # still the files it was made on
-    assert t.read(spark).where("v = 'b'").count() == 20 and t.read(spark).count() == 2000
-
-
-def test_a_reload_spreads_a_large_bucket_over_several_files(spark, tmp_path):
-    t = CurrentStateTable(str(tmp_path / "cur"), key="id", num_buckets=2)
-    rows = spark.range(20000).selectExpr("id", "DATE'2024-01-01' AS ingestion_date", "repeat(uuid(), 4) AS v")
-    keys = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
-            "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor": "0.2"}
-    for k, v in keys.items():
-        spark.conf.set(k, v)
-    try:
-        t.reload(spark, rows)
-    finally:
-        for k in keys:
-            spark.conf.unset(k)
-    for folder in t.folders(spark):
-        assert len([f for f in os.listdir(folder) if f.endswith(".parquet")]) > 1
-    assert t.read(spark).count() == 20000
-
-
-def test_null_key_rules_and_derived_bucket_counts(spark, tmp_path):
-    rows = spark.createDataFrame([(None, D(2024, 1, 1), "n"), (1, D(2024, 1, 1), "a")], SCHEMA)
-    for rule, left in (("keep", 2), ("drop", 1)):
-        t = CurrentStateTable(str(tmp_path / rule), key="id", on_null_key=rule, num_buckets=0)
-        t.upsert(spark, rows)
-        assert t.read(spark).count() == left
-        t.upsert(spark, rows.where("id = 1"))  # N comes from the table
-    with pytest.raises(Exception, match="null id"):
-        CurrentStateTable(str(tmp_path / "fail"), key="id", on_null_key="fail").upsert(spark, rows)
-
-
-def test_persistent_views_have_all_columns_and_no_bucket(spark, tmp_path):
+def test_versions_tell_which_dates_were_written(spark, tmp_path):
+    h = HistoryTable(str(tmp_path / "h"))
+    assert h.versions(spark) == {}
+    h.replace_all(history_rows(spark, [("1", "a", D(2024, 1, 1)), ("2", "b", D(2024, 1, 2))]))
+    before = h.versions(spark)
+    assert sorted(before) == ["20240101", "20240102"] and h.versions(spark) == before
+    h.replace_window(history_rows(spark, [("3", "c", D(2024, 1, 3))]), {"20240102", "20240103"})
+    after = h.versions(spark)
+    assert sorted(after) == ["20240101", "20240103"] and after["20240101"] == before["20240101"]  # 2 Jan was emptied
+    h.replace_window(history_rows(spark, [("3", "c", D(2024, 1, 3))]), {"20240103"})  # the same rows, written again
+    assert h.versions(spark)["20240103"] != after["20240103"]
+    assert not [f for f in os.listdir(h.path) if f.startswith("_changes")]
+
+
+def test_persistent_views_of_two_databases_leave_each_other_alone(spark, tmp_path):
     h = HistoryTable(str(tmp_path / "h"))
     h.replace_all(history_rows(spark, [("1", "a", D(2024, 1, 1))]))
-    h.replace_window(spark.createDataFrame([("2", "n", D(2024, 1, 2))], "id string, w string, ingestion_date date"),
-                     {"20240102"})
-    for _ in range(2):
-        publish_view(spark, "kept_history", h.path, persistent=True, schema=h.schema(spark), partitions=["ingestion_date"])
-    assert sorted((r.id, r.v, r.w) for r in spark.table("kept_history").collect()) == [("1", "a", None), ("2", None, "n")]
-    t = CurrentStateTable(str(tmp_path / "cur"), key="id", num_buckets=4)
-    t.upsert(spark, spark.createDataFrame([(i, D(2024, 1, 1), "a") for i in range(20)], SCHEMA))
-    publish_current(spark, "kept_state", t, persistent=True)
-    t.upsert(spark, spark.createDataFrame([(3, D(2024, 1, 2), "b", 7)], SCHEMA + ", w int"))
-    assert spark.table("kept_state").columns == ["id", "ingestion_date", "v"]
-    assert spark.table("kept_state").where("v = 'b'").count() == 0
-    publish_current(spark, "kept_state", t, persistent=True)
-    assert spark.table("kept_state").columns == ["id", "ingestion_date", "v", "w"]
-    assert [(r.id, r.w) for r in spark.table("kept_state").where("v = 'b'").collect()] == [(3, 7)]
-    for v in ("kept_history", "kept_state"):
-        behind = [r.tableName for r in spark.sql("SHOW TABLES").collect() if r.tableName.startswith(f"{v}__files_")]
-        assert len(behind) == 1
-        spark.sql(f"DROP VIEW {v}")
-        spark.sql(f"DROP TABLE {behind[0]}")
+    h.replace_window(spark.createDataFrame([("2", "n", D(2024, 1, 2))], "id string, w string, ingestion_date date"), {"20240102"})
+    spark.sql(f"CREATE DATABASE other LOCATION '{tmp_path}/db'")
+
+    def behind(db):
+        return [r.tableName for r in spark.sql(f"SHOW TABLES IN {db}").collect() if r.tableName.startswith("kept_history__files_")]
+
+    publish = lambda name: publish_view(spark, name, h.path, persistent=True, schema=h.schema(spark),
+                                        partitions=["ingestion_date"])
+    for name in ("kept_history", "other.kept_history", "kept_history", "other.kept_history", "default.kept_history"):
+        publish(name)
+        for v in ("kept_history", "other.kept_history") if name != "kept_history" else ("kept_history",):
+            assert sorted((r.id, r.v, r.w) for r in spark.table(v).collect()) == [("1", "a", None), ("2", None, "n")]
+    assert len(behind("default")) == len(behind("other")) == 1
+    spark.sql("DROP VIEW kept_history")
+    spark.sql(f"DROP TABLE {behind('default')[0]}")
+    spark.sql("DROP DATABASE other CASCADE")
+
+
+def test_a_full_replace_lists_the_table_in_a_few_calls(spark, tmp_path, monkeypatch):
+    from quayside.sources import fs
+    h = HistoryTable(str(tmp_path / "h"))
+    rows = spark.range(40).selectExpr("string(id) AS id", "'a' AS v", "date_add(DATE'2024-01-01', int(id)) AS ingestion_date")
+    h.replace_all(rows)
+    calls = []
+    listing = fs.list_dir
+    monkeypatch.setattr(fs, "list_dir", lambda *a: calls.append(a) or listing(*a))
+    m = h.replace_all(rows.where("id < 30"))
+    assert len(m["dates_written"]) == 30 and len(m["dates_dropped"]) == 10 and len(calls) <= 4

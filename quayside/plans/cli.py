@@ -16,8 +16,10 @@ import json
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from quayside.functions.names import quote
 from quayside.errors import Outcome, RunResult
 from quayside.functions.dates import lookback_window
 from quayside.operators.latest import ROW_HASH
@@ -25,9 +27,11 @@ from quayside.operators.upsert import NULL_KEY_POLICIES
 from quayside.plans.contract import Contract
 from quayside.plans.current_state import build_current_state
 from quayside.plans.history_ingest import ingest_history
+from quayside.session import new_scratch_path
 from quayside.sinks.current import CurrentStateTable
 from quayside.sinks.history import HistoryTable
-from quayside.sinks.views import publish_view
+from quayside.sinks.history_catalog import CatalogHistoryTable
+from quayside.sinks.views import publish_over, publish_view
 from quayside.sources import fs
 from quayside.sources.landing import LandingFeed
 
@@ -46,7 +50,12 @@ def parser() -> argparse.ArgumentParser:
     h.add_argument("--dataset", required=True)
     h.add_argument("--dates", required=True, help="'all' or comma list of yyyyMMdd")
     h.add_argument("--history", required=True, help="history table path")
+    h.add_argument("--history-table", default=None,
+                   help="catalog name of the history: dates are then switched in the catalog, files lie in --history")
     h.add_argument("--envelope", default="Data")
+    h.add_argument("--freshness-column", default=None)
+    h.add_argument("--distribution-column", default=None, help="report the written dates' rows per value of this column")
+    h.add_argument("--distribution-output", default=None, help="folder for the whole distribution")
     h.add_argument("--starting-from", default=None)
     h.add_argument("--as-text", action="store_true", help="cast every data column to string")
     h.add_argument("--nested", choices=["all", "struct_like"], default="all",
@@ -62,6 +71,8 @@ def parser() -> argparse.ArgumentParser:
                    help="file with the Spark schema JSON of a delivery document; skips the inference pass")
     c = sub.add_parser("current", help="history table -> current-state table")
     c.add_argument("--history", required=True)
+    c.add_argument("--history-table", default=None, help="catalog name of the history")
+    c.add_argument("--distribution-output", default=None, help="folder for the whole distribution")
     c.add_argument("--contract", required=True, help="contract JSON file")
     c.add_argument("--target", required=True, help="catalog name of the current state (a view over its live build)")
     c.add_argument("--target-location", default=None, help="folder for its files (default: the catalog's warehouse)")
@@ -90,12 +101,34 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
+#: Values that the printed result lists; all of them are in the distribution's folder.
+LISTED = 100
+
+
+def _history(args: argparse.Namespace) -> HistoryTable | CatalogHistoryTable:
+    return CatalogHistoryTable(args.history_table, args.history) if args.history_table else HistoryTable(args.history)
+
+
+def _report(spark: SparkSession, args: argparse.Namespace, result: RunResult) -> RunResult:
+    """The distribution as the most frequent values; all values go to a folder."""
+    found = result.metrics.get("distribution")
+    if found is not None:
+        where = args.distribution_output or new_scratch_path(spark, "distribution")
+        found.write.mode("overwrite").parquet(where)
+        written = spark.read.schema(found.schema).parquet(where)
+        value = found.columns[0]
+        result.metrics["distribution"] = [r.asDict() for r in written.orderBy(F.desc("count"), F.asc(quote(value))).limit(LISTED).collect()]
+        result.metrics["distribution_values"] = written.count()
+        result.metrics["distribution_output"] = where
+    return result
+
+
 def run(argv: list[str], spark: SparkSession | None = None) -> RunResult:
     args = parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"quayside-{args.command}").getOrCreate()
     if args.command == "history":
         dates = args.dates.strip().lower()
-        history = HistoryTable(args.history)
+        history = _history(args)
         schema = None
         if args.envelope_schema:
             text = fs.read_text(spark, args.envelope_schema)
@@ -106,11 +139,14 @@ def run(argv: list[str], spark: SparkSession | None = None) -> RunResult:
                                 envelope=args.envelope, starting_from=args.starting_from, as_text=args.as_text,
                                 max_records_per_file=args.max_records_per_file, schema=schema,
                                 rebalance=args.rebalance, nested=args.nested,
-                                on_corrupt="fail" if args.fail_on_corrupt else "count")
-        if result.ok and args.view:
+                                on_corrupt="fail" if args.fail_on_corrupt else "count",
+                                freshness_column=args.freshness_column, distribution_column=args.distribution_column)
+        if result.ok and args.view and args.history_table:
+            publish_over(spark, args.view, args.history_table, persistent=not args.temporary_view)
+        elif result.ok and args.view:
             publish_view(spark, args.view, history.path, persistent=not args.temporary_view,
                          schema=history.schema(spark), partitions=[history.partition_column])
-        return result
+        return _report(spark, args, result)
     dates = args.dates.strip().lower()
     reload = dates == "all"
     window = sorted(lookback_window(dates)) if args.window_only and not reload and not args.full_scan else None
@@ -118,15 +154,13 @@ def run(argv: list[str], spark: SparkSession | None = None) -> RunResult:
     target = CurrentStateTable(args.target, key=args.key, order=args.order, num_buckets=args.buckets, tiebreak=tiebreak,
                                on_null_key=args.on_null_key, location=args.target_location,
                                keep=1 if args.keep_generations is None else max(0, args.keep_generations - 1))
-    result = build_current_state(spark, HistoryTable(args.history), Contract.load(args.contract, spark), target,
+    result = build_current_state(spark, _history(args), Contract.load(args.contract, spark), target,
                                reload=reload, dates=window, view=args.view, persistent_view=not args.temporary_view,
                                changed_only=args.changed_only and window is None,
                                strict=args.strict,
                                freshness_column=args.freshness_column,
                                distribution_column=args.distribution_column)
-    if result.ok and args.distribution_column:  # as many rows as the column has values: asked for by the user
-        result.metrics["distribution"] = [r.asDict() for r in result.metrics["distribution"].collect()]
-    return result
+    return _report(spark, args, result)
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -18,9 +18,10 @@ from quayside.functions.nested import is_nested, is_struct_like, nested_to_json
 from quayside.operators.flatten import flatten_envelope
 from quayside.operators.lineage import SOURCE_PATH, add_lineage
 from quayside.operators.project import all_as_text
-from quayside.operators.profile import metrics_of
+from quayside.operators.profile import distribution, metrics_of, observed
 from quayside.session import PIPELINE_CONF, session_conf
 from quayside.sinks.history import HistoryTable
+from quayside.sinks.history_catalog import CatalogHistoryTable
 from quayside.sources.json_feed import corrupt_count, corrupt_documents, read_envelopes, unsplit_files
 from quayside.sources.landing import LandingFeed, window_dates_for
 
@@ -48,13 +49,19 @@ def history_frame(spark: SparkSession, paths: Sequence[str], envelope: str = "Da
     return all_as_text(rows) if as_text else rows
 
 
-def ingest_history(spark: SparkSession, feed: LandingFeed, history: HistoryTable, dates: str, *,
+def ingest_history(spark: SparkSession, feed: LandingFeed, history: HistoryTable | CatalogHistoryTable, dates: str, *,
                    envelope: str = "Data", starting_from: str | None = None,
                    schema: StructType | None = None, as_text: bool = False,
                    max_records_per_file: int | None = None, single_file: bool = False,
-                   nested: str = "all", rebalance: bool = False, on_corrupt: str = "count") -> RunResult:
+                   nested: str = "all", rebalance: bool = False, on_corrupt: str = "count",
+                   freshness_column: str | None = None, distribution_column: str | None = None) -> RunResult:
     """Run one ingest. NO_NEW_DATA when nothing can be read; errors propagate.
 
+    Metrics: rows written and rejected, folders, corrupt documents, and the profile of the batch: ``volume``
+    (all its rows, also rejected ones) and with ``freshness_column`` its greatest value, both observed on the
+    write. ``distribution_column`` adds ``distribution``, a DataFrame of the written dates' rows per value.
+    A column that the batch does not have is left out.
+
     ``rebalance=True`` writes through one AQE-sized shuffle by date, so files
     per date follow its volume (for feeds of many small documents).
     ``on_corrupt="fail"`` fails the run on a malformed document instead of
@@ -62,12 +69,13 @@ def ingest_history(spark: SparkSession, feed: LandingFeed, history: HistoryTable
     """
     with session_conf(spark, PIPELINE_CONF):
         return _ingest(spark, feed, history, dates, envelope, starting_from, schema, as_text, max_records_per_file,
-                       single_file, nested, rebalance, on_corrupt)
+                       single_file, nested, rebalance, on_corrupt, freshness_column, distribution_column)
 
 
-def _ingest(spark: SparkSession, feed: LandingFeed, history: HistoryTable, dates: str, envelope: str,
+def _ingest(spark: SparkSession, feed: LandingFeed, history: HistoryTable | CatalogHistoryTable, dates: str, envelope: str,
             starting_from: str | None, schema: StructType | None, as_text: bool, max_records_per_file: int | None,
-            single_file: bool, nested: str, rebalance: bool, on_corrupt: str) -> RunResult:
+            single_file: bool, nested: str, rebalance: bool, on_corrupt: str, freshness_column: str | None,
+            distribution_column: str | None) -> RunResult:
     folders: list[str] = []
     try:
         folders = feed.date_folders(spark, dates, starting_from)
@@ -76,6 +84,7 @@ def _ingest(spark: SparkSession, feed: LandingFeed, history: HistoryTable, dates
         scanned = Observation("landing_scan")
         rows = history_frame(spark, folders, envelope, schema=schema, as_text=as_text, observation=scanned,
                              nested=nested, on_corrupt=on_corrupt)
+        rows, profile = observed(rows, "history_input", freshness_column if freshness_column in rows.columns else None)
         whole_files = unsplit_files(spark, folders)
         window = window_dates_for(dates, starting_from)
         layout = {"max_records_per_file": max_records_per_file, "single_file": single_file, "rebalance": rebalance}
@@ -88,5 +97,9 @@ def _ingest(spark: SparkSession, feed: LandingFeed, history: HistoryTable, dates
         corrupt = corrupt_documents(spark, folders).count() if folders else 0
         return RunResult(Outcome.NO_NEW_DATA, str(exc), {"folders": len(folders), "corrupt_documents": corrupt})
     metrics["folders"] = len(folders)
+    metrics.update(metrics_of(profile, volume=0))
+    if distribution_column in rows.columns and metrics["dates_written"]:
+        written = history.read(spark, [d.replace("-", "") for d in metrics["dates_written"]])
+        metrics["distribution"] = distribution(written, distribution_column)
     metrics["corrupt_documents"] = metrics_of(scanned, corrupt_documents=0)["corrupt_documents"]
     return RunResult(Outcome.SUCCESS, "", metrics)

@@ -40,7 +40,8 @@ from quayside.session import configure, new_scratch_path, scratch_path
 from quayside.sinks.current import CurrentStateTable
 from quayside.sinks.evolve import insert_evolving
 from quayside.sinks.history import HistoryTable, replace_window_frame
-from quayside.sinks.views import publish_current, publish_view, view_name
+from quayside.sinks.history_catalog import CatalogHistoryTable
+from quayside.sinks.views import publish_current, publish_over, publish_view, view_name
 from quayside.sources import fs
 from quayside.sources.json_feed import infer_envelope_schema
 from quayside.sources.landing import LandingFeed
@@ -216,10 +217,51 @@ def window_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 def window_replace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1 on the table, replayed twice: 3 Jan replaced, 2 Jan emptied, others untouched."""
     configure(spark)
+    return _window_replaced(spark, sf_dir, HistoryTable(new_scratch_path(spark, "window-table")))
+
+
+def window_replace_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 K8 as ``window_replace_table``, each date switched in the catalog; read through a view that was
+    made before the replacements."""
+    configure(spark)
+    history = _catalog_history(spark, "window-catalog")
+    _window_replaced(spark, sf_dir, history)
+    return spark.table(f"{history.name}_shown").select("id", "ingestion_date", col("value").cast("double").alias("value"))
+
+
+def _catalog_history(spark: SparkSession, label: str) -> CatalogHistoryTable:
+    location = new_scratch_path(spark, label)
+    return CatalogHistoryTable("quayside_" + os.path.basename(location).replace("-", "_"), location)
+
+
+def full_replace_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2 in the catalog: the second publication replaces every date of the first."""
+    configure(spark)
+    events = _table(spark, sf_dir, "events").select(
+        col("event_id").alias("id"), F.to_date("ts").alias("ingestion_date"), "value")
+    history = _catalog_history(spark, "full-catalog")
+    history.replace_all(events.withColumn("ingestion_date", F.date_add("ingestion_date", -1)))
+    history.replace_all(events.withColumn("value", col("value") * 2))
+    return history.read(spark).select("id", "ingestion_date", "value")
+
+
+def history_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 of a history run: volume and freshness observed on its write, and the distribution of its rows."""
+    configure(spark)
+    result = ingest_history(spark, landed_events(spark, sf_dir), HistoryTable(new_scratch_path(spark, "profiled")), "all",
+                            freshness_column="ts", distribution_column="event_type")
+    _require(result.ok, result)
+    m = result.metrics
+    return m["distribution"].select("event_type", col("count").alias("n"), F.lit(m["volume"]).cast("long").alias("volume"),
+                                    F.lit(m["freshness"]).alias("freshness"))
+
+
+def _window_replaced(spark: SparkSession, sf_dir: str, history: HistoryTable | CatalogHistoryTable) -> DataFrame:
     base = landed_events(spark, sf_dir)
-    history = HistoryTable(new_scratch_path(spark, "window-table"))
     result = ingest_history(spark, base, history, "all")
     _require(result.ok, result)
+    if isinstance(history, CatalogHistoryTable):
+        publish_over(spark, f"{history.name}_shown", history.name)
     events = _table(spark, sf_dir, "events")
     corrected = LandingFeed(new_scratch_path(spark, "landing-v2"), DATASET)
     day3 = events.where(F.to_date("ts") == F.lit("2024-01-03").cast("date")).withColumn("value", col("value") * 2)
@@ -643,6 +685,9 @@ SCENARIOS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_current": upsert_current,
     "window_replace": window_replace,
     "window_replace_table": window_replace_table,
+    "window_replace_catalog": window_replace_catalog,
+    "full_replace_catalog": full_replace_catalog,
+    "history_profile": history_profile,
     "contract_cast": contract_cast,
     "utc_literal": utc_literal,
     "utc_by_column": utc_by_column,

@@ -57,14 +57,23 @@ def publish_view(spark: SparkSession, name: str, path: str, *, persistent: bool
     return _publish_files(spark, name, root, df.schema, list(partitions), folders if partitions else [], df.columns)
 
 
+def publish_over(spark: SparkSession, name: str, source: str, *, persistent: bool = True) -> str:
+    """A view over a catalog table or view. A persistent one follows it, whatever becomes of its
+    partitions and files."""
+    if not persistent:
+        spark.table(source).createOrReplaceTempView(name)
+        return name
+    own, other = ('.'.join(split_quoted(spark, n)) for n in (name, source))
+    spark.sql(f"CREATE OR REPLACE VIEW {own} AS SELECT * FROM {other}")
+    return name
+
+
 def publish_current(spark: SparkSession, name: str, table, *, persistent: bool = False) -> str:
-    """A further view over a current state. A temporary view shows the build that was live when it was made;
-    a persistent one is a view over the state's own view, and so follows it."""
+    """A further view over a current state. A temporary view shows the build that was live when it was made."""
     if not persistent:
         table.read(spark).createOrReplaceTempView(name)
         return name
-    spark.sql(f"CREATE OR REPLACE VIEW {'.'.join(map(quote, name.split('.')))} AS SELECT * FROM {'.'.join(split_quoted(spark, table.name))}")
-    return name
+    return publish_over(spark, name, table.name)
 
 
 def split_name(spark: SparkSession, name: str) -> tuple[str, str]:

@@ -3,8 +3,9 @@
 A wrapper is a union-free regular expression over a page's elements: elements in order, each required,
 optional or repeated, with slots for text. It is inferred by aligning pages of one host one after the
 other: neighbours of one kind fold into a repeated group, what one side lacks becomes optional, text
-becomes a slot. Every slot keeps what is needed to judge it: its path, and whether its text ever
-changed. The judged slots then say of each page's text what is content.
+becomes a slot. A slot keeps a page's texts in their order, and whether two pages differed there. Each page
+is then matched against its host's wrapper, whose parts say which of the page's text is content: kinds of
+elements first, and where they leave it open, what no two pages differ in is furniture.
 
 Pages of a host are first reduced to their skeletons, and equal skeletons to one, so that a host with
 any number of pages has few; skeletons are aligned in salted groups, and the groups' wrappers again.
@@ -12,11 +13,12 @@ any number of pages has few; skeletons are aligned in salted groups, and the gro
 
 from __future__ import annotations
 
+import bisect
 import html
 import json
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
@@ -28,6 +30,15 @@ from quayside.llm.common import replace_columns, slices, with_columns_of, writte
 #: Groups in which a host's skeletons are aligned before their wrappers are.
 SALTS = 32
 
+#: Cells of an alignment's table at the most; longer lists of children are matched greedily, within SKIP places.
+CELLS, SKIP = 1 << 18, 64
+
+#: Neighbours of one kind that make a repeated group; fewer keep places of their own.
+REPEATS = 3
+
+#: Words that a page's changing text must have, or a block that takes its place.
+WORDS = 5
+
 #: Elements nested deeper are flattened; inline ones without marking words earlier, as they are often left open.
 DEPTH, INLINE_DEPTH = 400, 64
 
@@ -224,48 +235,66 @@ def parse(page: str) -> Element:
     return root
 
 
-# A wrapper's element: [kind, how often ("1", "?", "+", "*"), slot, children]. A slot is null, or the hash
-# of the text found there, or -1 once two pages had different texts there.
+# A wrapper's element: [kind, how often ("1", "?", "+", "*"), slot, children]. A slot is null or [text, pages]:
+# the hash of the texts found there in a page, in their order, or -1 once two pages had different ones; and the
+# numbers of two pages that had any, if there are two.
 
 
 def _often(a: str, b: str) -> str:
     return a if a == b else "*" if {a, b} & {"+", "*"} and {a, b} & {"?", "*"} else "+" if "+" in a + b else "?"
 
 
-def _slot(a: int | None, b: int | None) -> int | None:
-    return b if a is None else a if b is None or a == b else -1
+def _slot(a: list | None, b: list | None) -> list | None:
+    """Slots of two pages, or of parts of a host."""
+    if a is None or b is None:
+        return a or b
+    return [a[0] if a[0] == b[0] else -1, sorted({*a[1], *b[1]})[:2]]
 
 
-def skeleton(e: Element) -> list:
-    """The wrapper of one page: neighbours of one kind are folded, which repeats them."""
-    slot: int | None = None
+def _then(a: list | None, b: list | None) -> list | None:
+    """Texts of one page, one after the other."""
+    if a is None or b is None:
+        return a or b
+    return [zlib.crc32(f"{a[0]} {b[0]}".encode()), a[1]]
+
+
+def skeleton(e: Element, page: int = 0) -> list:
+    """The wrapper of one page: REPEATS or more neighbours of one kind fold into one that is repeated."""
+    slot: list | None = None
     children: list[list] = []
     for c in e.children:
         if isinstance(c, str):
             if t := _SPACE.sub(" ", c).strip():
-                slot = _slot(slot, zlib.crc32(t.encode("utf-8", "surrogatepass")))
-            continue
-        child = skeleton(c)
-        if children and children[-1][0] == child[0]:
-            children[-1] = align(children[-1], child)
-            children[-1][1] = "+"
+                slot = _then(slot, [zlib.crc32(t.encode("utf-8", "surrogatepass")), [page]])
         else:
-            children.append(child)
+            children.append(skeleton(c, page))
     return [e.kind, "1", slot, _fold(children)]
 
 
 def _fold(items: list[list]) -> list[list]:
-    """Runs of two or three kinds that repeat, such as term and description, fold into one run."""
-    for width in (2, 3):
+    """Runs of one kind, and then of two or three kinds such as term and description, that repeat fold into one
+    run, if the kinds of blocks inside agree, too."""
+    for width in (1, 2, 3):
+        out: list[list] = []
         i = 0
-        while i + 2 * width <= len(items):
-            if all(items[i + k][0] == items[i + width + k][0] for k in range(width)):
-                for k in range(width):
-                    items[i + k] = align(items[i + k], items[i + width + k])
-                    items[i + k][1] = "+"
-                del items[i + width : i + 2 * width]
-            else:
+        kinds = [(c[0], *dict.fromkeys(k[0] for k in c[3] if k[0].split(".")[0] in BLOCKS)) for c in items]
+        while i < len(items):
+            unit = kinds[i : i + width]
+            n = 1
+            while kinds[i + n * width : i + (n + 1) * width] == unit:
+                n += 1
+            if n < REPEATS or len(unit) < width:
+                out.append(items[i])
                 i += 1
+                continue
+            for k in range(width):
+                item = items[i + k]
+                for m in range(1, n):
+                    item = align(item, items[i + m * width + k], _then)
+                item[1] = "+"
+                out.append(item)
+            i += n * width
+        items = out
     return items
 
 
@@ -273,34 +302,60 @@ def _relax(item: list) -> list:
     return [item[0], _often(item[1], "?"), *item[2:]]
 
 
-def align(a: list, b: list) -> list:
+def _partners(x: list[str], y: list[str]) -> list[tuple[int, int]]:
+    """Places of a longest common subsequence. Lists whose table would pass CELLS are matched greedily: each of
+    ``y`` with the next of its kind, unless that skips more than SKIP of ``x``."""
+    pairs: list[tuple[int, int]] = []
+    if len(x) * len(y) > CELLS:
+        places: dict[str, list[int]] = {}
+        for i, kind in enumerate(x):
+            places.setdefault(kind, []).append(i)
+        at = 0
+        for j, kind in enumerate(y):
+            own = places.get(kind, [])
+            k = bisect.bisect_left(own, at)
+            if k < len(own) and own[k] - at <= SKIP:
+                pairs.append((own[k], j))
+                at = own[k] + 1
+        return pairs
+    best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+    for i in range(len(x) - 1, -1, -1):
+        for j in range(len(y) - 1, -1, -1):
+            best[i][j] = best[i + 1][j + 1] + 1 if x[i] == y[j] else max(best[i + 1][j], best[i][j + 1])
+    i = j = 0
+    while i < len(x) and j < len(y):
+        if x[i] == y[j]:
+            pairs.append((i, j))
+            i, j = i + 1, j + 1
+        elif best[i + 1][j] >= best[i][j + 1]:
+            i += 1
+        else:
+            j += 1
+    return pairs
+
+
+def align(a: list, b: list, slots: Callable = _slot) -> list:
     """The wrapper of what either wrapper matches. Children are aligned along a longest common
-    subsequence of kinds; a child without partner becomes optional; an optional child beside one of
-    its kind joins it as a repetition."""
+    subsequence of kinds; a child without partner becomes optional; a child beside a repeated one of
+    its kind joins it. ``slots``: how texts meet, of two pages or within one."""
     x, y = a[3], b[3]
-    if [c[0] for c in x] == [c[0] for c in y]:
-        children = [align(p, q) for p, q in zip(x, y)]
+    kinds = [c[0] for c in x], [c[0] for c in y]
+    if kinds[0] == kinds[1]:
+        children = [align(p, q, slots) for p, q in zip(x, y)]
     else:
-        best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-        for i in range(len(x) - 1, -1, -1):
-            for j in range(len(y) - 1, -1, -1):
-                best[i][j] = (best[i + 1][j + 1] + 1 if x[i][0] == y[j][0] else max(best[i + 1][j], best[i][j + 1]))
         children, i, j = [], 0, 0
-        while i < len(x) or j < len(y):
-            if i < len(x) and j < len(y) and x[i][0] == y[j][0]:
-                item = align(x[i], y[j])
-                i, j = i + 1, j + 1
-            elif j >= len(y) or i < len(x) and best[i + 1][j] >= best[i][j + 1]:
-                item, i = _relax(x[i]), i + 1
-            else:
-                item, j = _relax(y[j]), j + 1
-            if children and children[-1][0] == item[0]:
-                joined = align(children[-1], item)
-                joined[1] = "*" if children[-1][1] in "?*" and item[1] in "?*" else "+"
-                children[-1] = joined
-            else:
-                children.append(item)
-    return [a[0], _often(a[1], b[1]), _slot(a[2], b[2]), children]
+        for k, m in [*_partners(*kinds), (len(x), len(y))]:
+            items = [_relax(c) for c in x[i:k]] + [_relax(c) for c in y[j:m]]
+            items += [align(x[k], y[m], slots)] if k < len(x) else []
+            i, j = k + 1, m + 1
+            for item in items:
+                if children and children[-1][0] == item[0] and (children[-1][1] in "+*" or item[1] in "+*"):
+                    joined = align(children[-1], item, slots)
+                    joined[1] = "*" if children[-1][1] in "?*" and item[1] in "?*" else "+"
+                    children[-1] = joined
+                else:
+                    children.append(item)
+    return [a[0], _often(a[1], b[1]), slots(a[2], b[2]), children]
 
 
 def is_boiler(kind: str) -> bool:
@@ -320,34 +375,51 @@ def is_main(kind: str) -> bool:
 
 
 #: What a rule says of the text in an element.
-NOT, MAYBE, MAIN = 0, 1, 2
-
-
-def rules(wrapper: list, pages: int) -> dict[str, int]:
-    """What the slots of a host's wrapper are, by path: NOT content; MAIN, inside an element for main
-    text; MAYBE, elsewhere, if the text changes over the pages (more than two distinct ones)."""
-    out: dict[str, int] = {}
-    fixed: dict[str, int | None] = {}
-
-    def walk(w: list, path: str, boiler: bool, main: bool) -> None:
-        path = f"{path}/{w[0]}"
-        boiler, main = boiler or is_boiler(w[0]), main or is_main(w[0])
-        fixed[path] = _slot(fixed.get(path), w[2])
-        out[path] = NOT if boiler else MAIN if main else MAYBE
-        for c in w[3]:
-            walk(c, path, boiler, main)
-
-    walk(wrapper, "", False, False)
-    if pages > 2:
-        for path, slot in fixed.items():
-            if out[path] == MAYBE and slot not in (None, -1):
-                out[path] = NOT
-    return out
-
-
-def main_text(page: str | None, rule: dict[str, int]) -> str:
-    """The page's content by its host's rules: blocks in page order, one on a line. MAIN text if the
-    page has any, else MAYBE."""
+NOT, FIXED, MAYBE, MAIN = range(4)
+
+
+def _holds_main(w: list) -> bool:
+    return any(c[0].split(".")[0] in MAIN_TAGS and not is_boiler(c[0]) or _holds_main(c) for c in w[3])
+
+
+def rules(wrapper: list, boiler: bool = False, main: bool = False) -> list:
+    """[kind, rule, children, repeats] for each element of a host's wrapper. NOT: no content by its kind; MAIN: inside an
+    element for main text; elsewhere FIXED where two pages or more have one text and none has another,
+    else MAYBE. A form around the page's article is none."""
+    boiler = boiler or is_boiler(wrapper[0]) and not (wrapper[0].split(".")[0] == "form" and _holds_main(wrapper))
+    main = main or is_main(wrapper[0])
+    slot = wrapper[2]
+    fixed = slot is not None and slot[0] != -1 and len(slot[1]) > 1
+    rule = NOT if boiler else MAIN if main else FIXED if fixed else MAYBE
+    return [wrapper[0], rule, [rules(c, boiler, main) for c in wrapper[3]], int(wrapper[1] in "+*")]
+
+
+def _matched(children: list[Element], parts: list[list]) -> Iterator[list | None]:
+    """The part of the wrapper that each child stands for: of the parts of its kind from the last one on, the
+    first that has the blocks it holds, or else the first; a part that repeats stands for any number."""
+    places: dict[str, list[int]] = {}
+    for i, part in enumerate(parts):
+        places.setdefault(part[0], []).append(i)
+    inner = {i: {p[0] for p in parts[i][2]} for own in places.values() if len(own) > 1 for i in own}
+    at = 0
+    for c in children:
+        own = places.get(c.kind)
+        if own is None:
+            yield None
+            continue
+        k = bisect.bisect_left(own, at)
+        i = own[k] if k < len(own) else own[-1]
+        if len(own) > 1 and k < len(own):
+            holds = {x.kind for x in c.children if not isinstance(x, str) and x.tag in BLOCKS}
+            i = next((j for j in own[k : k + SKIP] if holds <= inner[j]), i)
+        at = i if parts[i][3] else i + 1
+        yield parts[i]
+
+
+def main_text(page: str | None, rule: list) -> str:
+    """The page's content by its host's wrapper: blocks in page order, one on a line. MAIN text if the
+    page has any, else what changes over the host's pages; if that is a few words only, such as a counter,
+    blocks of more words that do not."""
     blocks: list[tuple[int, str]] = []
     buffer: list[str] = []
     now = NOT
@@ -357,13 +429,13 @@ def main_text(page: str | None, rule: dict[str, int]) -> str:
             blocks.append((now, t))
         buffer.clear()
 
-    def walk(e: Element, path: str) -> None:
+    def walk(e: Element, part: list) -> None:
         nonlocal now
-        path = f"{path}/{e.kind}"
-        use = rule.get(path, NOT)
+        use = part[1]
         apart = e.tag in BLOCKS or e.tag == "#page"
         if apart:
             flush()
+        inner = iter(_matched([c for c in e.children if not isinstance(c, str)], part[2]))
         for c in e.children:
             if isinstance(c, str):
                 if use:
@@ -371,15 +443,21 @@ def main_text(page: str | None, rule: dict[str, int]) -> str:
                         flush()
                         now = use
                     buffer.append(html.unescape(c))
-            elif c.tag == "br":
+                continue
+            own = next(inner)
+            if c.tag == "br":
                 buffer.append(" ")
             else:
-                walk(c, path)
+                walk(c, own or rules([c.kind, "1", None, []], use == NOT, use == MAIN))
         if apart:
             flush()
 
-    walk(parse(page or ""), "")
+    walk(parse(page or ""), rule)
     best = max((use for use, _ in blocks), default=NOT)
+    if best == MAYBE and sum(len(t.split()) for use, t in blocks if use == best) < WORDS:
+        long = [t for use, t in blocks if use == FIXED and len(t.split()) >= WORDS]
+        if long:
+            return "\n".join(long)
     return "\n".join(t for use, t in blocks if use == best)
 
 
@@ -391,7 +469,7 @@ _SKELETON = "host string, shape string, wrapper string"
 
 
 def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """host, wrapper (JSON), pages (distinct ones) of every host."""
+    """host, wrapper (JSON) of every host."""
     rows = pages.select(_host(F.col(url_col)).alias("host"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -399,7 +477,7 @@ def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html
             found: dict[tuple[str, str], list] = {}
             for part in slices(batch, "html"):
                 for host, page in zip(part.column("host").to_pylist(), part.column("html").to_pylist()):
-                    w = skeleton(parse(page))
+                    w = skeleton(parse(page), zlib.crc32(page.encode("utf-8", "surrogatepass")))
                     key = host, json.dumps(_shape(w))
                     found[key] = align(found[key], w) if key in found else w
             yield pa.RecordBatch.from_arrays(
@@ -418,9 +496,7 @@ def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html
     skeletons = rows.mapInArrow(reduce, _SKELETON)
     salted = skeletons.withColumn("salt", F.pmod(F.xxhash64("shape"), F.lit(SALTS)))
     partial = salted.groupBy("host", "salt").applyInPandas(merge, "host string, wrapper string")
-    whole = partial.groupBy("host").applyInPandas(merge, "host string, wrapper string")
-    distinct = rows.select("host", F.xxhash64("html").alias("page")).distinct().groupBy("host").agg(F.count("*").alias("pages"))
-    return whole.join(distinct, "host")
+    return partial.groupBy("host").applyInPandas(merge, "host string, wrapper string")
 
 
 def _shape(w: list) -> list:
@@ -442,10 +518,10 @@ def extract_main_text(pages: DataFrame, url_col: str = "url", html_col: str = "h
     """
 
     @F.pandas_udf("string")
-    def judge(wrapper: pd.Series, n: pd.Series) -> pd.Series:
-        return pd.Series([json.dumps(rules(json.loads(w), k)) for w, k in zip(wrapper, n)], dtype=object)
+    def judge(wrapper: pd.Series) -> pd.Series:
+        return pd.Series([json.dumps(rules(json.loads(w))) for w in wrapper], dtype=object)
 
-    known = written(infer_wrappers(pages, url_col, html_col).select("host", judge("wrapper", "pages").alias("rules")))
+    known = written(infer_wrappers(pages, url_col, html_col).select("host", judge("wrapper").alias("rules")))
 
     def extract(part: pa.RecordBatch) -> list[pa.Array]:
         rule = part.column("rules").dictionary_encode()

@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -43,11 +44,14 @@ def test_without_main_elements_what_never_changes_is_furniture(spark):
 
 def test_wrappers_fold_repeats_and_relax_what_is_missing():
     a = W.skeleton(W.parse("<ul><li>a<li>b<li>c</ul><p>x</p>"))
-    assert a[3][0][0] == "ul" and a[3][0][3] == [["li", "+", -1, []]] and a[3][1][:2] == ["p", "1"]
+    (li,) = a[3][0][3]
+    assert a[3][0][0] == "ul" and li[:2] == ["li", "+"] and li[2][0] != -1 and li[3] == [] and a[3][1][:2] == ["p", "1"]
     b = W.skeleton(W.parse("<ul><li>a</ul><h2>y</h2><p>x</p>"))
     w = W.align(a, b)
     assert [c[:2] for c in w[3]] == [["ul", "1"], ["h2", "?"], ["p", "1"]]
-    assert w[3][0][3][0][1] == "+" and w[3][2][2] == a[3][1][2]
+    assert w[3][0][3][0][1] == "+" and w[3][0][3][0][2][0] == -1  # two pages differ
+    assert w[3][2][2][0] == a[3][1][2][0]
+    assert [c[2][0] != -1 for c in W.align(a, W.skeleton(W.parse("<ul><li>a<li>b<li>c</ul><p>y</p>"), 1))[3][0][3]] == [True]
     dl = W.skeleton(W.parse("<dl><dt>a<dd>1<dt>b<dd>2<dt>c<dd>3</dl>"))
     assert [c[:2] for c in dl[3][0][3]] == [["dt", "+"], ["dd", "+"]]
 
@@ -105,3 +109,52 @@ def test_words_that_do_not_name_the_element_keep_the_article(spark, around):
     rows = [(i, "http://h/", f'<body><div class="post-comments">no</div><div class="share-box">no</div><{around}><p>Story {i}</p>'
                              f'<div class="related">no</div><div class="ad-box">no</div></{tag}></body>') for i in range(4)]
     assert texts(spark, rows) == {i: f"Story {i}" for i in range(4)}
+
+
+def test_a_form_around_the_article(spark):
+    rows = [(i, "http://h/", f'<body><form id="aspnetForm"><div><input name=q><label>Find</label></div><article><p>Story {i}</p></article>'
+                             '<form><label>no</label></form></form></body>') for i in range(3)]
+    assert texts(spark, rows) == {i: f"Story {i}" for i in range(3)}
+
+
+@pytest.mark.parametrize("n", [2, 5])
+def test_what_no_two_pages_differ_in_is_furniture(spark, n):
+    """No element says what is content: only the host's other pages do."""
+    page = ("<body><div><ul><li>Home<li>About<li>Press</ul></div><div><span>Shop now at <a href=x>our store</a> and save a lot of money today</span></div>"
+            "<div><p>Text {i} of a story that has words of its own.</p><p>And {i} more.</p></div><div><p>All rights are reserved by us.</p></div></body>")
+    want = "Text {i} of a story that has words of its own.\nAnd {i} more."
+    assert texts(spark, [(i, "http://h/", page.format(i=i)) for i in range(n)]) == {i: want.format(i=i) for i in range(n)}
+    alone = texts(spark, [(1, "http://alone/", page.format(i=1))])[1]  # one page by itself shows no furniture
+    assert "Home" in alone and "Shop now" in alone and want.format(i=1) in alone
+    copies = texts(spark, [(i, "http://copies/", page.format(i=1)) for i in range(n)])  # nor do copies of one page
+    assert set(copies.values()) == {alone}
+
+
+def test_positions_tell_elements_of_one_kind_apart(spark):
+    """The same path three times: a motto above and a line below that never change, a story between them."""
+    page = "<body><div>Our motto stands here</div><hr><div>Story {i} is told in words</div><hr><div>Call us any time you like</div></body>"
+    rows = [(i, "http://h/", page.format(i=i)) for i in range(4)]
+    assert texts(spark, rows) == {i: f"Story {i} is told in words" for i in range(4)}
+
+
+def test_optional_parts_of_one_page_stay(spark):
+    page = "<body><ul><li>Home<li>About</ul><p>Story {i} is told in words</p>{more}</body>"
+    rows = [(i, "http://h/", page.format(i=i, more="<table><tr><td>Only here are these words</table>" if i == 2 else "")) for i in range(4)]
+    assert texts(spark, rows) == {i: f"Story {i} is told in words" + ("\nOnly here are these words" if i == 2 else "") for i in range(4)}
+
+
+def test_a_changing_counter_is_no_content(spark):
+    page = "<body><div><p>A real paragraph that four pages of this host share word for word.</p></div><div><span>Visits {i}</span></div></body>"
+    assert set(texts(spark, [(i, "http://h/", page.format(i=i)) for i in range(4)]).values()) == {
+        "A real paragraph that four pages of this host share word for word."}
+
+
+def test_pages_of_very_many_unlike_children(spark):
+    began = time.time()
+    rows = [(k, "http://h/", "<body>" + "".join(f'<div class="{x}{i}">t{k} {i}</div>' for i in range(20_000)) + "</body>")
+            for k, x in enumerate("ab")]
+    got = texts(spark, rows)
+    assert got == {k: "\n".join(f"t{k} {i}" for i in range(20_000)) for k in range(2)} and time.time() - began < 60
+    x, y = [f"k{i % 50}" for i in range(900)], [f"k{i % 45}" for i in range(900)]
+    pairs = W._partners(x, y)
+    assert pairs == sorted(pairs) and all(x[i] == y[j] for i, j in pairs) and len({i for i, _ in pairs}) == len(pairs) > 100

@@ -22,7 +22,7 @@ from quayside.operators.profile import distribution, metrics_of, observed
 from quayside.session import PIPELINE_CONF, session_conf
 from quayside.sinks.history import HistoryTable
 from quayside.sinks.history_catalog import CatalogHistoryTable
-from quayside.sources.json_feed import corrupt_count, corrupt_documents, read_envelopes, unsplit_files
+from quayside.sources.json_feed import corrupt_count, corrupt_documents, infer_envelope_schema, read_envelopes, unsplit_files
 from quayside.sources.landing import LandingFeed, window_dates_for
 
 
@@ -81,11 +81,13 @@ def _ingest(spark: SparkSession, feed: LandingFeed, history: HistoryTable | Cata
         folders = feed.date_folders(spark, dates, starting_from)
         if not folders:
             raise NoNewData(f"no delivery folder for {dates}")
+        whole_files = unsplit_files(spark, folders)
+        if schema is None:
+            schema = infer_envelope_schema(spark, folders, settings=whole_files)
         scanned = Observation("landing_scan")
         rows = history_frame(spark, folders, envelope, schema=schema, as_text=as_text, observation=scanned,
                              nested=nested, on_corrupt=on_corrupt)
         rows, profile = observed(rows, "history_input", freshness_column if freshness_column in rows.columns else None)
-        whole_files = unsplit_files(spark, folders)
         window = window_dates_for(dates, starting_from)
         layout = {"max_records_per_file": max_records_per_file, "single_file": single_file, "rebalance": rebalance}
         with session_conf(spark, whole_files):

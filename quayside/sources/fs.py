@@ -1,16 +1,21 @@
-"""Driver-side file-system metadata calls through Hadoop's FileSystem API.
+"""File-system metadata: Spark's own file listing, and calls of Hadoop's FileSystem API.
 
-Only listings, existence checks and renames happen here; no file content is
-read on the driver. Works for every Hadoop-supported scheme (file, hdfs, s3a,
+No file content is read here. Listings of many folders are Spark's, which
+lists them in parallel and keeps the rows on the executors; the driver's
+calls are for single folders. Works for every Hadoop-supported scheme (file, hdfs, s3a,
 abfss, gs, ...).
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quayside.session import session_conf
 
 
 @dataclass(frozen=True)
@@ -68,6 +73,28 @@ def list_files_recursive(spark: SparkSession, path: str) -> list[Entry]:
     return sorted(out, key=lambda e: e.path)
 
 
+def file_table(spark: SparkSession, paths: Sequence[str], recursive: bool = False) -> DataFrame:
+    """path, length, modificationTime of the files that a read of ``paths`` finds (names that begin with
+    ``_`` or ``.`` are not read). Spark lists the folders, in parallel where there are many, and opens no
+    file. A missing path is an ``AnalysisException``, as it is for the read."""
+    reader = spark.read.format("binaryFile")
+    if recursive:
+        reader = reader.option("recursiveFileLookup", True)
+    return reader.load(list(paths)).select("path", "length", "modificationTime")
+
+
+def sizes(spark: SparkSession, paths: Sequence[str], recursive: bool = False) -> tuple[int, int, int]:
+    """Number, total length and greatest length of the files in the folders. Few folders are listed by the
+    driver, as Spark does itself; more of them by :func:`file_table`, of which one row comes back."""
+    if len(paths) <= int(spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.threshold")) and not recursive:
+        lengths = [e.length for p in paths for e in list_dir(spark, p) if not e.is_dir]
+        return len(lengths), sum(lengths), max(lengths, default=0)
+    found = file_table(spark, paths, recursive).agg(
+        F.count("*"), F.coalesce(F.sum("length"), F.lit(0)), F.coalesce(F.max("length"), F.lit(0)))
+    with session_conf(spark, {"spark.sql.files.maxPartitionBytes": str(1 << 50)}):  # tasks by cores, not by bytes
+        return tuple(found.first())
+
+
 def fingerprint(spark: SparkSession, path: str) -> str:
     """Names, sizes and times of the files of a small folder, or of one file."""
     fs, hpath = _fs(spark, path)

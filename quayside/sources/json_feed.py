@@ -47,10 +47,11 @@ def _reader(spark: SparkSession, corrupt_column: str, recursive: bool, mode: str
 
 
 def infer_envelope_schema(spark: SparkSession, paths: Sequence[str], *, corrupt_column: str = CORRUPT_COLUMN,
-                          recursive: bool = False) -> StructType:
-    """Document schema inferred over the files, every scalar leaf as text (one pass)."""
+                          recursive: bool = False, settings: dict[str, str] | None = None) -> StructType:
+    """Document schema inferred over the files, every scalar leaf as text (one pass). ``settings``: what
+    :func:`unsplit_files` gave for these paths, where that is known already."""
     try:
-        with session_conf(spark, unsplit_files(spark, paths, recursive)):
+        with session_conf(spark, unsplit_files(spark, paths, recursive) if settings is None else settings):
             return _reader(spark, corrupt_column, recursive).json(list(paths)).schema
     except AnalysisException as exc:
         if "UNABLE_TO_INFER_SCHEMA" in str(exc):  # the folders hold no file at all
@@ -100,16 +101,14 @@ def unsplit_files(spark: SparkSession, paths: Sequence[str], recursive: bool = F
     A file is one record, so a task that begins inside one reads on to its end
     for a separator that never comes. Where the largest file is larger than
     Spark's split size, the split size is raised above it; tasks stay as many
-    as the bytes then call for. One listing of the folders; empty when no file
-    would be split.
+    as the bytes then call for. One listing of the folders, by Spark where they
+    are many; empty when no file would be split.
     """
-    list_files = fs.list_files_recursive if recursive else fs.list_dir
-    lengths = [e.length for p in paths for e in list_files(spark, p) if not e.is_dir]
-    largest, total = max(lengths, default=0), sum(lengths)
+    files, total, largest = fs.sizes(spark, paths, recursive)
     open_cost = _conf_bytes(spark, "spark.sql.files.openCostInBytes")
     most = _conf_bytes(spark, "spark.sql.files.maxPartitionBytes")
     tasks = spark.conf.get("spark.sql.files.minPartitionNum", None) or spark.sparkContext.defaultParallelism
-    if largest <= min(most, max(open_cost, (total + len(lengths) * open_cost) // int(tasks))):
+    if largest <= min(most, max(open_cost, (total + files * open_cost) // int(tasks))):
         return {}
     return {"spark.sql.files.maxPartitionBytes": str(largest + 1),
             "spark.sql.files.minPartitionNum": str(max(1, total // (largest + 1)))}

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from quayside.functions.dates import apply_lower_bound, lookback_window
 from quayside.sources import fs
@@ -50,8 +50,16 @@ class LandingFeed:
 
     # -- S7 / S8 ---------------------------------------------------------------
     def files(self, spark: SparkSession) -> list[str]:
-        """Every file below the dataset folder, recursively; none when it is missing."""
-        return [e.path for e in fs.list_files_recursive(spark, self.path)]
+        """Paths of :meth:`file_table`, sorted; none when the dataset folder is missing."""
+        if not fs.exists(spark, self.path):
+            return []
+        return [r["path"] for r in self.file_table(spark).select("path").sort("path").collect()]
+
+    def file_table(self, spark: SparkSession) -> DataFrame:
+        """path, length, modificationTime of every file below the dataset folder, recursively, by Spark's
+        listing (the folder must exist): a table to filter and count, of which nothing needs to come to
+        the driver."""
+        return fs.file_table(spark, [self.path], recursive=True)
 
     def latest_file(self, spark: SparkSession) -> list[str]:
         """The lexicographically greatest file path below the dataset, as a 0- or 1-element list.

@@ -293,3 +293,40 @@ def test_no_task_reads_a_part_of_a_document(spark, landing):
         with session_conf(spark, unsplit_files(spark, paths)):
             assert read_envelopes(spark, paths, schema=schema).rdd.getNumPartitions() <= 2
     assert unsplit_files(spark, [f"{root}/none"]) == {}
+
+
+def test_many_folders_are_listed_by_spark_alone(spark, landing, monkeypatch):
+    from quayside.session import session_conf
+    from quayside.sources import fs
+    from quayside.sources.json_feed import unsplit_files
+    root = landing({f"202401{d:02d}/{f}.json": {"Data": [{"id": d, "v": "x" * 50 * d}]} for d in range(1, 41) for f in "ab"})
+    feed = LandingFeed(root, "feed")
+    paths = feed.date_folders(spark, "all")
+    lengths = [e.length for p in paths for e in fs.list_dir(spark, p)]
+    want = (80, sum(lengths), max(lengths))
+    assert len(paths) == 40 and fs.sizes(spark, paths[:5]) == (10, sum(lengths[:10]), max(lengths[:10]))
+
+    def no_call(*_):
+        raise AssertionError("a folder was listed by the driver")
+
+    with monkeypatch.context() as m:
+        m.setattr(fs, "list_dir", no_call)
+        m.setattr(fs, "list_files_recursive", no_call)
+        assert fs.sizes(spark, paths) == fs.sizes(spark, [feed.path], recursive=True) == want
+        table = feed.file_table(spark)
+        assert "content" not in table._jdf.queryExecution().executedPlan().toString()
+        assert table.count() == 80 and feed.files(spark) == sorted(f"{p}/{f}.json" if p.startswith("file:") else f"file:{p}/{f}.json"
+                                                                   for p in paths for f in "ab")
+        with session_conf(spark, {"spark.sql.files.maxPartitionBytes": "1k"}):
+            assert unsplit_files(spark, paths)["spark.sql.files.maxPartitionBytes"] == str(max(lengths) + 1)
+
+
+def test_an_ingest_lists_its_folders_for_sizes_once(spark, landing, tmp_path, monkeypatch):
+    from quayside.plans.history_ingest import ingest_history
+    from quayside.sinks.history import HistoryTable
+    from quayside.sources import fs
+    root = landing({f"2024010{d}/a.json": {"Data": [{"id": d}]} for d in range(1, 4)})
+    calls, sizes = [], fs.sizes
+    monkeypatch.setattr(fs, "sizes", lambda *a: calls.append(1) or sizes(*a))
+    assert ingest_history(spark, LandingFeed(root, "feed"), HistoryTable(str(tmp_path / "h")), "all").metrics["rows"] == 3
+    assert len(calls) == 1

@@ -101,17 +101,23 @@ def _columns(batch: pa.RecordBatch | pa.Table, name: str) -> pa.Array:
     return c if isinstance(c, pa.Array) else pa.concat_arrays(c.chunks) if c.num_chunks else pa.array([], c.type)
 
 
+def _row_key(ident: Column, text: Column) -> list[Column]:
+    """128 bits of a row's id and text; a null text is an empty one."""
+    text = F.coalesce(text, F.lit(""))
+    return [F.xxhash64(ident.cast("long"), text).alias("k1"), F.xxhash64(F.lit(1), ident.cast("long"), text).alias("k2")]
+
+
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"),
-                       F.xxhash64(F.col(id_col).cast("long"), text).alias("key"))
+    text = F.col(text_col)
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(text, F.lit("")).alias("text"),
+                       *_row_key(F.col(id_col), text))
 
 
-_SKETCH = "id long, key long, n int, d1 long, d2 long, sig binary"
+_SKETCH = "id long, k1 long, k2 long, n int, d1 long, d2 long, sig binary"
 
 
 def sketches(docs: DataFrame, size: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Of every row: id, key (hash of id and text), n shingles, 128 bits of the set, MinHash vector."""
+    """Of every row: id, k1 and k2 (128 bits of id and text), n shingles, 128 bits of the set, MinHash vector."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -120,9 +126,9 @@ def sketches(docs: DataFrame, size: int = SHINGLE, id_col: str = "doc_id", text_
                 d1, d2 = _digests(h, first)
                 sig = signatures(h, first)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("key"), pa.array(np.diff(first), pa.int32()), pa.array(d1),
-                     pa.array(d2), pa.array([s.tobytes() for s in sig], pa.binary())],
-                    names=["id", "key", "n", "d1", "d2", "sig"])
+                    [part.column("id"), part.column("k1"), part.column("k2"), pa.array(np.diff(first), pa.int32()),
+                     pa.array(d1), pa.array(d2), pa.array([s.tobytes() for s in sig], pa.binary())],
+                    names=["id", "k1", "k2", "n", "d1", "d2", "sig"])
 
     return _keyed(docs, id_col, text_col).mapInArrow(run, _SKETCH)
 
@@ -282,11 +288,11 @@ def similar_links(docs: DataFrame, sets: DataFrame, similarity: float = SIMILARI
                   size: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """key, root, links, copies_linked for sets with similar ones: links to other sets, the documents
     behind them, and the smallest key of the sets linked to it in one bucket. ``sets``: one row of
-    :func:`sketches` for each distinct non-empty set, with copies."""
+    :func:`sketches` for each distinct non-empty set, with copies and a key of its own."""
     least = _least_agreement(similarity)
     leaf = written(leaves(sets, runs_for(similarity, recall)))
     lists = leaf.groupBy("key").agg(F.array_sort(F.collect_list("bucket")).alias("buckets"))
-    known = written(sets.select("key", "n", "d1", "d2", "copies", "sig").join(lists, "key"))
+    known = written(sets.select("key", "k1", "k2", "n", "copies", "sig").join(lists, "key"))
     blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("weight") / BLOCK_SHINGLES)).cast("int")
     blocks = F.least(blocks, F.col("size").cast("int"))
     member = leaf.select("key", "bucket", blocks.alias("blocks"),
@@ -304,7 +310,7 @@ def similar_links(docs: DataFrame, sets: DataFrame, similarity: float = SIMILARI
         return pa.table({"key": pa.array(g.key[on]), "bucket": same(bucket, pa.int64()), "a": same(a, pa.int32()),
                          "b": same(b, pa.int32()), "block": pa.array(g.block[on].astype(np.int32))})
 
-    listed = written(member.join(known.drop("d1", "d2"), "key").groupBy(*groups).applyInArrow(
+    listed = written(member.join(known.drop("k1", "k2"), "key").groupBy(*groups).applyInArrow(
         shortlist, "key long, bucket long, a int, b int, block int"))
 
     wanted = (listed.groupBy("key").agg(F.collect_list(F.struct("bucket", "a", "b", "block")).alias("to"))
@@ -318,8 +324,9 @@ def similar_links(docs: DataFrame, sets: DataFrame, similarity: float = SIMILARI
                     [part.column("key"), pa.array([h[i:j].tobytes() for i, j in zip(first, first[1:])], pa.binary())],
                     names=["key", "shingles"])
 
-    texts = _keyed(docs, id_col, text_col).select("key", "text").join(wanted.select("key"), "key")
-    whole = texts.mapInArrow(whole_sets, "key long, shingles binary")
+    texts = _keyed(docs, id_col, text_col).join(wanted.select("key", "k1", "k2"), ["k1", "k2"]).select("key", "text")
+    # a row that is repeated many times is one set
+    whole = texts.mapInArrow(whole_sets, "key long, shingles binary").dropDuplicates(["key"])
     dealt = (whole.join(wanted, "key")
              .select("key", "shingles", "n", "copies", "sig", "buckets", F.explode("to").alias("to"))
              .select("key", "shingles", "n", "copies", "sig", "buckets", "to.*"))
@@ -376,28 +383,33 @@ def similar_documents(docs: DataFrame, similarity: float = SIMILARITY, recall: f
     input column with the name of a result column (in any case) is replaced by it.
     """
     every = written(sketches(docs, size, id_col, text_col))
-    # a text without words is a set of its own: the key tells it from others
-    same = [F.when(F.col("n") > 0, F.col(c)).otherwise(F.col("key")).alias(c) for c in ("d1", "d2")]
-    rows = every.select("id", "key", "n", *same, "sig")
+    # a text without words is a set of its own: the row's key tells it from others
+    same = [F.when(F.col("n") > 0, F.col(d)).otherwise(F.col(k)).alias(d) for d, k in (("d1", "k1"), ("d2", "k2"))]
+    rows = every.select("id", "k1", "k2", "n", *same, "sig")
+    # sets are numbered, so no two share a key; once written, the numbers stay
     sets = written(rows.groupBy("n", "d1", "d2").agg(
-        F.min("key").alias("key"), F.count("*").alias("copies"), F.first("sig").alias("sig")))
+        F.min(F.struct("k1", "k2")).alias("one"), F.count("*").alias("copies"), F.first("sig").alias("sig"))
+        .select(F.monotonically_increasing_id().alias("key"), "n", "d1", "d2", "one.k1", "one.k2", "copies", "sig"))
     links = written(similar_links(docs, sets.filter("n > 0"), similarity, recall, size, id_col, text_col))
     counts = links.groupBy("key").agg(F.sum("links").alias("n_text_links"), F.sum("copies_linked").alias("linked"))
     labels = components(links)
     zero = F.lit(0).cast("long")
-    classed = (sets.drop("sig").join(counts, "key", "left").join(labels, "key", "left")
+    classed = (sets.drop("sig", "k1", "k2").join(counts, "key", "left").join(labels, "key", "left")
                .select("n", "d1", "d2", "copies", F.coalesce("label", "key").alias("label"),
                        F.coalesce("n_text_links", zero).alias("n_text_links"), F.coalesce("linked", zero).alias("linked")))
-    member = written(rows.select("id", "key", "n", "d1", "d2").join(classed, ["n", "d1", "d2"])
-                     .select("id", "key", "label", "n_text_links", (F.col("linked") + F.col("copies") - 1).alias("n_links")))
-    head = member.groupBy("label").agg(
-        F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "key")).alias("head"), F.count("*").alias("class_size"))
-    result = (member.join(head, "label")
-              .groupBy(F.col("key").alias("member_key")).agg(  # rows equal in id and text have one result
-                  F.first(F.col("head.id")).alias("class_id"), F.first("n_links").alias("n_links"),
-                  F.first("n_text_links").alias("n_text_links"), F.first("class_size").alias("class_size"),
-                  F.first(F.col("key") == F.col("head.key")).alias("first_of_class")))
-    key: Column = F.xxhash64(F.col(f"row.{id_col}").cast("long"), F.coalesce(F.col(f"row.{text_col}"), F.lit("")))
-    carried = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).withColumn("row_key", key)
-    return replace_columns(carried.join(result, F.col("row_key") == F.col("member_key")), "row",
+    member = written(rows.select("id", "k1", "k2", "n", "d1", "d2").join(classed, ["n", "d1", "d2"])
+                     .select("id", "k1", "k2", "label", "n_text_links", (F.col("linked") + F.col("copies") - 1).alias("n_links")))
+    # heads and results are written: no aggregate stands between a join and its shuffle, so a class or a
+    # repeated row with a third of all rows can be split
+    head = written(member.groupBy("label").agg(
+        F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "k1", "k2")).alias("head"), F.count("*").alias("class_size")))
+    first = (F.col("k1") == F.col("head.k1")) & (F.col("k2") == F.col("head.k2"))
+    result = written(member.join(head, "label")
+                     .groupBy("k1", "k2").agg(  # rows equal in id and text have one result
+                         F.first(F.col("head.id")).alias("class_id"), F.first("n_links").alias("n_links"),
+                         F.first("n_text_links").alias("n_text_links"), F.first("class_size").alias("class_size"),
+                         F.first(first).alias("first_of_class")))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    carried = docs.select(row, *_row_key(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")))
+    return replace_columns(carried.join(result, ["k1", "k2"]), "row",
                            ["class_id", "n_links", "n_text_links", "class_size", "first_of_class"])

@@ -89,3 +89,22 @@ def test_components_of_long_chains(spark):
 def test_query_against_brute_force(spark, small):
     rows = [(d.doc_id, d.text) for d in spark.read.parquet(f"{small}/documents.parquet").collect()]
     assert rows_of(QUERIES["op5_jaccard_join"](spark, small)) == wanted(rows)
+
+
+def test_a_row_repeated_many_times_is_one_set(spark):
+    """Its copies count as rows and links, but no group holds its text more than once."""
+    words = [f"w{i}" for i in range(40)]
+    near = " ".join([*words[:39], "other"])
+    rows = [(1, " ".join(words))] * 300 + [(2, near), (3, " ".join(words)), (4, "nothing like it at all , really")] + [(None, None)] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = C.similar_documents(docs).collect()
+    assert len(got) == len(rows)
+    by = {r.doc_id: (r.class_id, r.n_links, r.n_text_links, r.class_size, r.first_of_class) for r in got}
+    assert by == {1: (1, 301, 1, 302, True), 2: (1, 301, 1, 302, False), 3: (1, 301, 1, 302, False), 4: (4, 0, 0, 1, True),
+                  None: (None, 299, 0, 300, True)}
+
+
+def test_joins_by_class_can_be_split(spark, small):
+    """Under both joins of the result there is a scan on either side, no aggregate: adaptive execution may split them."""
+    plan = QUERIES["op5_jaccard_join"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and plan.count("Scan parquet") == 2

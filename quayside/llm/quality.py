@@ -5,11 +5,15 @@ Every word and every pair of neighbouring words falls into one of ``buckets`` co
 multinomials are counted, one over all documents and one over a bounded set of trusted documents;
 a document's score is the mean over its n-grams of log(p_trusted / p_corpus). A document is kept if
 its base rules hold and its score reaches its language's cut: ``threshold``, or less where trusted
-documents, scored without their own counts, reach less. Only built-in functions run.
+documents, scored without their own counts, reach less. A language without trusted documents has the cut
+that trusted documents of other languages show when scored without their whole language. Only built-in
+functions run.
 """
 
 from __future__ import annotations
 
+from statistics import mean, stdev
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +34,8 @@ PRIOR = 100_000.0
 FOLDS = 5
 #: The cut is at most this quantile of a language's held-out scores, and so many deviations below their mean.
 LOW, DEVIATIONS = 0.01, 3.0
+#: Languages, those with the most trusted documents, that are scored without all documents of their own.
+LANGUAGES = 8
 SYMBOLS = "#*$%&|<>"
 
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -87,69 +93,121 @@ def _fold(doc_id: Column) -> Column:
     return F.pmod(F.xxhash64(doc_id, F.lit("fold")), F.lit(FOLDS)).cast("int")
 
 
-def fit_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """One row: array ``ratios``, log(p_trusted / p_corpus) of each counter, and array ``held_out``, the
-    same without the trusted documents of each fold. All documents count. ``trusted`` must be bounded,
-    as :func:`trusted_ids` makes it: it is broadcast. It has no more than the id column. Without a
-    trusted document every ratio is 0."""
-    flagged = (docs.select("doc_id", "text")
-               .join(F.broadcast(trusted.select(F.col("doc_id").alias("trusted_id"))),
-                     F.col("doc_id") == F.col("trusted_id"), "left"))
-    grams = (flagged.select(F.when(F.col("trusted_id").isNotNull(), _fold(F.col("doc_id"))).alias("f"),
-                            _hashed(F.col("text")).alias("h"))
-             .select("f", F.explode(_buckets(F.col("h"), _pairs(F.col("h"), F.col("h"), 1), buckets)).alias("b")))
-    counts = grams.groupBy("b").agg(F.count("*").alias("n"), F.count("f").alias("k"),
-                                    F.array(*[F.count_if(F.col("f") == f) for f in range(FOLDS)]).alias("own"))
+def _language(row: str, df: DataFrame) -> Column:
+    """The language of struct column ``row`` ("" for the frame's own columns); empty where there is none."""
+    names = df.schema[row].dataType.names if row else df.columns
+    if "lang" not in names:
+        return F.lit("")
+    return F.coalesce(F.col(f"{row}.lang" if row else "lang").cast("string"), F.lit(""))
+
+
+def trusted_rows(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id is in ``trusted``, which must be bounded, as :func:`trusted_ids` makes
+    it: it is broadcast. It has no more than the id column."""
+    own = docs.join(F.broadcast(trusted.select(F.col("doc_id").alias("__trusted"))), F.col("doc_id") == F.col("__trusted"))
+    return own.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def shown_languages(own: DataFrame) -> list[str]:
+    """At most ``LANGUAGES`` languages of the trusted rows, those with the most rows first."""
+    n = own.groupBy(_language("", own).alias("lang")).count().filter("lang <> ''")
+    return [r["lang"] for r in n.orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
+
+
+def fit_ratios(docs: DataFrame, own: DataFrame, languages: list[str], buckets: int = BUCKETS) -> DataFrame:
+    """One row: array ``ratios``, log(p_trusted / p_corpus) of each counter, and arrays of arrays: ``held_out``,
+    the same without the trusted documents of each fold, and ``unseen``, without those of each language.
+    ``lowest``: the ratio, without each language, of a counter that no trusted document has; last that of
+    ``ratios``. All rows of ``docs`` count in the corpus; ``own`` are its trusted rows
+    (:func:`trusted_rows`). Without a trusted row every ratio is 0."""
+
+    def grams(rows: DataFrame, *more: Column) -> DataFrame:
+        hashed = rows.select(*more, _hashed(F.col("text")).alias("h"))
+        return hashed.select(*[c for c in hashed.columns if c != "h"],
+                             F.explode(_buckets(F.col("h"), _pairs(F.col("h"), F.col("h"), 1), buckets)).alias("b"))
+
+    parts = [F.col("f") == f for f in range(FOLDS)] + [F.col("lang") == x for x in languages]
+    corpus_counts = grams(docs).groupBy("b").agg(F.count("*").alias("n"))
+    trusted_counts = (grams(own, _fold(F.col("doc_id")).alias("f"), _language("", own).alias("lang")).groupBy("b")
+                      .agg(F.count("*").alias("k"), F.array(*[F.count_if(x) for x in parts]).alias("own")))
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("b"))
-    none = F.array(*[F.lit(0).cast("long")] * FOLDS)
-    one = (every.join(counts, "b", "left")
+    none = F.array(*[F.lit(0).cast("long")] * len(parts))
+    one = (every.join(corpus_counts, "b", "left").join(trusted_counts, "b", "left")
            .select("b", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("k", F.lit(0)).alias("k"),
                    F.coalesce("own", none).alias("own"))
            .agg(F.sum("n").alias("n_all"), F.sum("k").alias("k_all"),
-                F.array(*[F.sum(F.get("own", F.lit(f))) for f in range(FOLDS)]).alias("own_all"),
+                F.array(*[F.sum(F.get("own", F.lit(f))) for f in range(len(parts))]).alias("own_all"),
                 F.array_sort(F.collect_list(F.struct("b", "n", "k", "own"))).alias("c")))
 
-    def ratios(fold: int | None) -> Column:
+    def seen(part: int | None) -> Column:
+        return F.col("k_all") if part is None else F.col("k_all") - F.get("own_all", F.lit(part))
+
+    def ratios(part: int | None) -> Column:
         def ratio(c: Column) -> Column:
-            k, k_all = c["k"], F.col("k_all")
-            if fold is not None:
-                k, k_all = k - F.get(c["own"], F.lit(fold)), k_all - F.get("own_all", F.lit(fold))
+            k = c["k"] if part is None else c["k"] - F.get(c["own"], F.lit(part))
             corpus = (c["n"] + SMOOTHING) / (F.col("n_all") + SMOOTHING * buckets)
-            trusted_ = (k + PRIOR * corpus) / (k_all + PRIOR)
+            trusted_ = (k + PRIOR * corpus) / (seen(part) + PRIOR)
             return F.log(trusted_) - F.log(corpus)
 
         return F.transform("c", ratio)
 
-    return one.select(ratios(None).alias("ratios"), F.array(*[ratios(f) for f in range(FOLDS)]).alias("held_out"))
+    whole = range(FOLDS, len(parts))
+    return one.select(
+        ratios(None).alias("ratios"), F.array(*[ratios(f) for f in range(FOLDS)]).alias("held_out"),
+        F.array(*[ratios(x) for x in whole]).cast("array<array<double>>").alias("unseen"),
+        F.array(*[F.log(F.lit(PRIOR) / (seen(x) + PRIOR)) for x in [*whole, None]]).alias("lowest"))
 
 
-def held_out_scores(docs: DataFrame, trusted: DataFrame, held_out: list[list[float]]) -> DataFrame:
-    """The trusted documents that pass the base rules and have a score: all columns of ``docs`` in the
-    struct ``row``, and ``score`` without their own fold's counts."""
-    own = docs.join(F.broadcast(trusted.select(F.col("doc_id").alias("__trusted"))), F.col("doc_id") == F.col("__trusted"))
+def held_out_scores(own: DataFrame, languages: list[str], held_out: list[list[float]],
+                    unseen: list[list[float]]) -> DataFrame:
+    """The trusted rows that pass the base rules and have a score: all columns of ``own`` in the struct
+    ``row``, ``score`` without their own fold's counts, and ``unseen`` without those of their language
+    (null where it is none of ``languages``)."""
     buckets = len(held_out[0])
-    return _measured(own.select(*[F.col(f"`{c}`") for c in docs.columns]), _numbers(sum(held_out, [])), buckets,
-                     _fold(F.col("row.doc_id")) * buckets).filter(~F.col("base_failed") & F.col("score").isNotNull())
+    place = F.array_position(F.array(*[F.lit(x) for x in languages]).cast("array<string>"), F.col("row_lang"))
+    firsts = {"score": _fold(F.col("row.doc_id")) * buckets,
+              "unseen": F.when(place > 0, (place.cast("int") + FOLDS - 1) * buckets)}
+    return _measured(own, _numbers(sum(held_out + unseen, [])), buckets, firsts).filter(
+        ~F.col("base_failed") & F.col("score").isNotNull())
 
 
-def _cut(held_out: DataFrame, threshold: float) -> Column:
-    """The score from which a row is kept, by its language (column ``lang``, if there is one). In a
-    language without a trusted document the score says nothing, so it rejects none; a row without
-    language takes the lowest cut of all."""
-    lang = F.col("row.lang").cast("string") if "lang" in held_out.schema["row"].dataType.names else F.lit("")
+def _limits(scores: DataFrame, lang: Column, score: Column, quantile: float, side: int) -> dict[str, float]:
+    """For each language how far clean documents' scores go: the quantile, or where more ``DEVIATIONS``
+    from the mean, upwards (``side`` 1) or downwards (-1). Where a language has few scores, the spread is that of all."""
     # at most as many languages as trusted documents
-    seen = held_out.groupBy(F.coalesce(lang, F.lit("")).alias("lang")).agg(
-        F.count("*").alias("n"), F.avg("score").alias("mean"), F.coalesce(F.var_samp("score"), F.lit(0.0)).alias("var"),
-        F.percentile("score", LOW).alias("low")).collect()
+    seen = scores.filter(score.isNotNull()).groupBy(lang.alias("lang")).agg(
+        F.count("*").alias("n"), F.avg(score).alias("mean"), F.coalesce(F.var_samp(score), F.lit(0.0)).alias("var"),
+        F.percentile(score, quantile).alias("end")).collect()
     free = max(1, sum(r["n"] - 1 for r in seen))
-    spread = sum((r["n"] - 1) * r["var"] for r in seen) / free  # where a language has few, that of all
-    cuts = {r["lang"]: round(min(threshold, r["low"], r["mean"] - DEVIATIONS * (max(spread, r["var"]) * (1 + 1 / r["n"])) ** 0.5), 9)
-            for r in seen}
+    spread = sum((r["n"] - 1) * r["var"] for r in seen) / free
+    far = {r["lang"]: r["mean"] + side * DEVIATIONS * (max(spread, r["var"]) * (1 + 1 / r["n"])) ** 0.5 for r in seen}
+    return {r["lang"]: side * max(side * r["end"], side * far[r["lang"]]) for r in seen}
+
+
+def _cut(held_out: DataFrame, languages: list[str], lowest: list[float], threshold: float) -> Column:
+    """The score from which a row is kept, by its language (column ``lang``, if there is one).
+
+    A language without a trusted document has a cut from the others: each trusted document, scored without
+    its whole language, reaches some share of the lowest score there is, and languages differ in how far their
+    clean documents go. The cut is the share that a further language is expected not to pass (``DEVIATIONS``
+    from the mean of the languages, and no less than any of them), of the lowest score. One language shows
+    no difference, and the cut is the lowest score. A row without language takes the lowest cut of all."""
+    lang = _language("row", held_out)
+    cuts = {x: round(min(threshold, end), 9) for x, end in _limits(held_out, lang, F.col("score"), LOW, -1).items()}
+    least = F.try_element_at(F.create_map(*[F.lit(x) for pair in zip(languages, lowest) for x in pair]), lang) \
+        if languages else F.lit(None).cast("double")
+    share = F.when(least < 0, F.col("unseen") / least)
+    shares = list(_limits(held_out, lang, share, 1 - LOW, 1).values())
+    further = 1.0
+    if len(shares) > 1:
+        further = mean(shares) + DEVIATIONS * stdev(shares) * (1 + 1 / len(shares)) ** 0.5
+    # a score may be below the lowest by the rounding of its sum
+    other = min(threshold, round(lowest[-1] * min(1.0, max([further, *shares])), 9) - 1e-6)
     if not cuts:
-        return F.lit(float("-inf"))
+        return F.lit(other)
     known = F.create_map(*[F.lit(x) for pair in cuts.items() for x in pair])
-    return (F.when(F.coalesce(lang, F.lit("")) == "", F.lit(min(cuts.values())))
-            .otherwise(F.coalesce(F.try_element_at(known, lang), F.lit(float("-inf")))))
+    return (F.when(lang == "", F.lit(min(other, *cuts.values())))
+            .otherwise(F.coalesce(F.try_element_at(known, lang), F.lit(other))))
 
 
 def score_quality(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD,
@@ -163,37 +221,44 @@ def score_quality(docs: DataFrame, trusted: DataFrame, threshold: float = THRESH
     (in any case) is replaced by it. Equal inputs give equal scores on every run: the counts are whole
     numbers, and a document's ratios are added in the order of its text.
     """
-    fitted = fit_ratios(docs, trusted, buckets).first()
-    scored = _measured(docs, _numbers(fitted["ratios"]), buckets, F.lit(0))
-    cut = _cut(written(held_out_scores(docs, trusted, fitted["held_out"])), threshold)
+    own = written(trusted_rows(docs, trusted))
+    languages = shown_languages(own)
+    fitted = fit_ratios(docs, own, languages, buckets).first()
+    scored = _measured(docs, _numbers(fitted["ratios"]), buckets, {"score": F.lit(0)})
+    held_out = written(held_out_scores(own, languages, fitted["held_out"], fitted["unseen"]))
+    cut = _cut(held_out, languages, fitted["lowest"], threshold)
     scored = scored.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= cut))
     return replace_columns(scored, "row", [*BASE, "base_failed", "score", "kept"])
 
 
-def _measured(docs: DataFrame, model: Column, buckets: int, first: Column) -> DataFrame:
-    """The rows of ``docs`` as the struct ``row``, what the base rules count, base_failed and score.
-    A row's ratios begin in ``model`` at ``first``."""
+def _measured(docs: DataFrame, model: Column, buckets: int, firsts: dict[str, Column]) -> DataFrame:
+    """The rows of ``docs`` as the struct ``row``, what the base rules count, base_failed and a score for each
+    of ``firsts``: where a row's ratios begin in ``model`` (over ``row`` and ``row_lang``; null: no score)."""
     text = F.coalesce(F.col("row.text"), F.lit(""))
     # Each array is used more than once after the select that makes it, so it is made once.
     stage = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     lines = F.filter(F.split(text, "\n"), lambda s: s.rlike(r"[^\x20\x09-\x0D]"))
-    stage = stage.select("row", lines.alias("lines"), _hashed(text).alias("h"))
+    stage = stage.select("row", _language("row", stage).alias("row_lang"), lines.alias("lines"), _hashed(text).alias("h"))
     stage = stage.withColumn("pairs", _pairs(F.col("h"), F.col("h"), 1))
     fours = _pairs(F.col("pairs"), F.col("pairs"), 2)
     stage = stage.withColumn("windows", _pairs(fours, F.col("h"), 4))
     unique = F.size(F.array_distinct("windows")) == F.size("windows")
+
+    def mean_ratio(first: Column) -> Column:
+        return F.when(F.size("h") > 0, F.aggregate(
+            _buckets(F.col("h"), F.col("pairs"), buckets), F.lit(0.0),
+            lambda a, x: a + F.get(model, first + x)) / (F.size("h") + F.size("pairs")))
+
     scored = stage.select("row", F.struct(
         F.size("h").cast("long").alias("n_words"),
         (F.length(text) - count_chars(text, WHITE)).cast("long").alias("word_chars"),
         count_chars(text, SYMBOLS).alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.when(unique, F.lit(0).cast("long")).otherwise(_covered(F.col("windows"), 5)).alias("n_repeat_words"),
-        F.when(F.size("h") > 0, F.aggregate(
-            _buckets(F.col("h"), F.col("pairs"), buckets), F.lit(0.0),
-            lambda a, x: a + F.get(model, first + x)) / (F.size("h") + F.size("pairs"))).alias("score"),
+        *[mean_ratio(first).alias(name) for name, first in firsts.items()],
         # not deterministic, so no filter on a result moves below this select, where it would make
         # every array anew for each place that it is used in
         F.spark_partition_id().alias("here")).alias("r"))
-    scored = scored.select("row", *[F.col(f"r.{c}") for c in (*BASE, "score")])
+    scored = scored.select("row", *[F.col(f"r.{c}") for c in (*BASE, *firsts)])
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     return scored.withColumn("base_failed", failed)

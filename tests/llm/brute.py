@@ -111,6 +111,37 @@ def quality_cuts(grams, langs, folds, failed, buckets, threshold, prior):
     return {i: score(g) for i, g in grams.items()}, cuts
 
 
+def cut_of_other_languages(grams, langs, trusted, failed, buckets, threshold, prior):
+    """The cut of a language without trusted documents: each trusted one is scored as if its language had
+    none, as a share of the lowest score that is possible then."""
+    n, own = collections.Counter(), collections.defaultdict(collections.Counter)
+    for i, g in grams.items():
+        n.update(g)
+        if i in trusted:
+            own[langs[i]].update(g)
+    every = sum(own.values(), collections.Counter())
+    corpus = {b: (c + 1) / (sum(n.values()) + buckets) for b, c in n.items()}
+    shares = collections.defaultdict(list)
+    for i in trusted:
+        if failed[i] or not grams[i]:
+            continue
+        k = every - own[langs[i]]
+        total = sum(k.values())
+        score = sum(math.log((k[b] / corpus[b] + prior) / (total + prior)) for b in grams[i]) / len(grams[i])
+        shares[langs[i]].append(score / math.log(prior / (total + prior)))
+    var = {x: statistics.variance(v) if len(v) > 1 else 0.0 for x, v in shares.items()}
+    spread = sum((len(v) - 1) * var[x] for x, v in shares.items()) / max(1, sum(len(v) - 1 for v in shares.values()))
+    ends = []
+    for x, v in shares.items():
+        at = sorted(v)
+        place = 0.99 * (len(at) - 1)
+        low = int(place)
+        ends.append(max(at[low] + (place - low) * (at[min(low + 1, len(at) - 1)] - at[low]),
+                        statistics.mean(v) + 3 * math.sqrt(max(spread, var[x]) * (1 + 1 / len(v)))))
+    ends.append(statistics.mean(ends) + 3 * math.sqrt(statistics.variance(ends) * (1 + 1 / len(ends))) if len(ends) > 1 else 1.0)
+    return min(threshold, math.log(prior / (sum(every.values()) + prior)) * min(1.0, max(ends)) - 1e-6)
+
+
 def template(text, numbers, units):
     """(kind, value) of each token: 0 plain, 1 number, 2 name, 3 unit."""
     out, before, opens = [], None, True

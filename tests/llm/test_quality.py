@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -99,7 +100,44 @@ def test_clean_documents_outside_the_trusted_set_stay(spark, size, folds):
     assert n >= 50 and kept >= 0.98 * n
 
 
-def test_a_language_without_trusted_documents_is_not_rejected(spark, small):
+@pytest.mark.parametrize("out", ["de", "fr", "es", "en"])
+def test_a_language_without_trusted_documents_has_a_cut_from_the_others(spark, out):
+    """Against brute force, row by row; its clean documents stay."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    clean = labels.filter("quality = 1 and coalesce(toxic, 0) = 0").select("doc_id").distinct()
+    trusted = quality.trusted_ids(labels.join(docs.filter(F.col("lang") != out).select("doc_id"), "doc_id", "left_semi"))
+    got = {r.doc_id: r for r in quality.score_quality(docs, trusted).collect()}
+    h = quality._hashed(F.col("text"))
+    grams = {r.doc_id: r.b for r in docs.select(
+        "doc_id", quality._buckets(h, quality._pairs(h, h, 1), quality.BUCKETS).alias("b")).collect()}
+    cut = brute.cut_of_other_languages(grams, {i: r.lang for i, r in got.items()}, {r.doc_id for r in trusted.collect()},
+                                       {i: r.base_failed for i, r in got.items()}, quality.BUCKETS, quality.THRESHOLD, quality.PRIOR)
+    able = [r for r in got.values() if r.lang == out and not r.base_failed]
+    assert able and all(r.kept == (r.score >= cut) for r in able if abs(r.score - cut) > 1e-7)
+    good = {r.doc_id for r in clean.collect()}
+    stay = [r.kept for r in able if r.doc_id in good]
+    assert sum(stay) >= 0.98 * len(stay)
+
+
+def test_junk_of_a_language_without_trusted_documents_goes(spark):
+    """Words that no trusted document of any language has; what languages share keeps clean documents."""
+    def text(lang, i):
+        draw = random.Random(f"{lang}{i}")
+        return " ".join(f"name{draw.randrange(10)}" if k % 2 else f"{lang}{draw.randrange(10)}" for k in range(60))
+
+    docs = [(n * 200 + i, text(lang, i), lang) for n, lang in enumerate(["a", "b", "c"]) for i in range(150)]
+    junk = [(1000 + i, " ".join(f"q{i}x{k}" for k in range(60)), "c") for i in range(10)]
+    rows = spark.createDataFrame(docs + junk, "doc_id long, text string, lang string")
+    trusted = spark.createDataFrame([(d[0],) for d in docs if d[2] != "c"], "doc_id long")
+    kept = {r.doc_id for r in quality.score_quality(rows, trusted).filter("kept").collect()}
+    able = {d[0] for d in docs if not brute.base(d[1])[5]}
+    assert kept == able and len(able) > 400
+    none = quality.score_quality(rows.drop("lang"), trusted).filter("kept").count()
+    assert none >= len(able)  # without languages there is one for all
+
+
+def test_one_trusted_language_alone_says_nothing_of_others(spark, small):
     docs, labels = (spark.read.parquet(f"{small}/{t}.parquet") for t in ("documents", "labels"))
     english = docs.filter("lang = 'en'").select("doc_id")
     got = quality.score_quality(docs, quality.trusted_ids(labels.join(english, "doc_id", "left_semi")))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quayside.llm import (bktree, chats, chosen_path, collocations, negatives, pieces, pseudonyms, quality, repeats,
                           secret_scan, sharding, templates, wrappers)
-from quayside.llm.common import table
+from quayside.llm.common import shared_dir, table
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +44,12 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
+    """Two deliveries into one ledger: about half of the rows, then the whole table, of which only blobs
+    that the ledger does not hold by then are scanned. Findings of both are joined to all rows."""
+    docs = table(spark, sf_dir, "documents")
+    ledger = shared_dir(spark)
+    secret_scan.update_ledger(docs.filter(F.xxhash64("doc_id") < 0), ledger)
+    found = secret_scan.scan_secrets(docs, ledger)
     base = secret_scan.of_kind(F.col("secrets"), *secret_scan.BASE_KINDS)
     return found.select(
         "doc_id", *[F.size(secret_scan.of_kind(F.col("secrets"), k)).cast("long").alias(f"n_{k}")

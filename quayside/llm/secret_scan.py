@@ -112,8 +112,9 @@ def find_secrets(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
 
 
 def open_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """What a ledger holds: blob, rules, spans. A folder that does not exist is an empty ledger."""
-    schema = f"blob string, rules string, spans array<{_SPAN}>"
+    """What a ledger holds: blob, spans, rules. Each version of the rules has a folder of its own, so a scan
+    opens that of its rules only. A folder that does not exist is an empty ledger."""
+    schema = f"blob string, spans array<{_SPAN}>, rules string"
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
         return spark.createDataFrame([], schema)
@@ -139,7 +140,7 @@ def update_ledger(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RU
     scanned = texts.select(F.col("v.blob").alias("blob"), F.lit(version).alias("rules"),
                            find_secrets(F.col("v.text"), rules).alias("spans"))
     # rows with one id and one content find the same; one of them stays
-    scanned.groupBy("blob", "rules").agg(F.first("spans").alias("spans")).write.mode("append").parquet(ledger)
+    scanned.groupBy("blob", "rules").agg(F.first("spans").alias("spans")).write.mode("append").partitionBy("rules").parquet(ledger)
 
 
 def scan_secrets(versions: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] = RULES,

@@ -41,6 +41,27 @@ def test_the_ledger_scans_each_blob_once_for_each_version_of_the_rules(spark, tm
     out = {len(r.secrets) for r in S.scan_secrets(more, ledger, fewer).collect()}
     assert out == {0} and S.open_ledger(spark, ledger).count() == 8  # new rules: every blob again
     assert S.rules_version(fewer) != S.rules_version()
+    held = S.open_ledger(spark, ledger).filter(F.col("rules") == S.rules_version(fewer))
+    assert held.count() == 4 and len(held.inputFiles()) > 0
+    scan = held._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(rules" in scan  # other versions' folders are not opened
+
+
+def test_the_query_scans_in_the_second_delivery_what_the_first_has_not(spark, small, monkeypatch):
+    """One ledger for both: every blob is in it once, and the second scan added some, not all."""
+    ledgers, sizes = [], []
+    update = S.update_ledger
+
+    def noted(versions, ledger, *more):
+        update(versions, ledger, *more)
+        ledgers.append(ledger)
+        sizes.append(S.open_ledger(spark, ledger).count())
+
+    monkeypatch.setattr(S, "update_ledger", noted)
+    QUERIES["op6_secret_scan"](spark, small).count()
+    blobs = spark.read.parquet(f"{small}/documents.parquet").select(F.coalesce("text", F.lit(""))).distinct().count()
+    assert len(ledgers) == 2 and ledgers[0] == ledgers[1]
+    assert 0 < sizes[0] < sizes[1] == blobs == S.open_ledger(spark, ledgers[0]).select("blob").distinct().count()
 
 
 def test_query_odd_rows_and_native_plan(spark, small, odd, no_docs):
